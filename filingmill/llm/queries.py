@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import simhash
+import public_tokenizers
+from filingmill.llm import decontaminate, simhash, token_count, token_file
 
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -24,3 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex(F.col("code")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_token_id_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_file.token_table(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items")
