@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from filingmill.llm import decontaminate, simhash, token_count, token_file
+from filingmill.llm import decontaminate, mixing, quality, sharding, simhash, sketch, token_count, token_file, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
@@ -42,3 +42,40 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items")
+
+
+@query
+def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"), 8)
+
+
+@query
+def op7_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketch.compared(table(spark, sf_dir, "documents"))
+
+
+def family(source: Column) -> Column:
+    """The documents' tables name no domain: sources fall into four families by checksum."""
+    return F.concat(F.lit("family"), (F.crc32(F.coalesce(source, F.lit("")).cast("binary")) % 4).cast("string"))
+
+
+def even_weight(path: tuple[str, ...]) -> float:
+    """Siblings weigh the same at every level."""
+    return 1.0
+
+
+@query
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.selected(table(spark, sf_dir, "documents"), family(F.col("source")), even_weight, max_epochs=2)
+    return found.drop("text_hash")
+
+
+@query
+def op1_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length")
