@@ -156,22 +156,24 @@ def without_hits(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes
     small_batches(docs.sparkSession)
     for block in item_blocks(items, block_bytes):
         held = broadcast_value(docs.sparkSession, WindowSet(block, width))
+        docs = docs.where(_clean_udf(held)("text")) if remove == "documents" else docs.withColumn("text", _cut_udf(held)("text"))
+    return docs
 
-        if remove == "documents":
 
-            @F.pandas_udf("boolean")
-            def clean(texts: pd.Series, held=held) -> pd.Series:
-                return pd.Series([not held.value.scan(words(t))[1] for t in texts], dtype=bool)
+def _clean_udf(held):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not held.value.scan(words(t))[1] for t in texts], dtype=bool)
 
-            docs = docs.where(clean("text"))
-        else:
+    return clean
 
-            @F.pandas_udf("string")
-            def cut(texts: pd.Series, held=held) -> pd.Series:
-                return pd.Series([_cut(t, held.value) for t in texts], dtype=object)
 
-            docs = docs.withColumn("text", cut("text"))
-    return docs
+def _cut_udf(held):
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series) -> pd.Series:
+        return pd.Series([_cut(t, held.value) for t in texts], dtype=object)
+
+    return cut
 
 
 def _cut(text: str | None, windows: WindowSet) -> str | None:

@@ -14,6 +14,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingmill.llm.shared import staged
+
+#: Cut of an epoch that takes a whole leaf.
+LAST = (1 << 63) - 1
 #: Distinct leaves held on the driver at most; sources are few, and more of them is an error.
 MAX_LEAVES = 200_000
 #: Documents ordered by one task.
@@ -94,40 +98,76 @@ def leaf_columns(domain: Column) -> list[Column]:
     return [F.coalesce(c.cast("string"), F.lit("")).alias(f"__{name}") for name, c in zip(LEVELS, (domain, F.col("lang"), F.col("source")))]
 
 
-def selected(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
-    """(doc_id, text_hash, domain, lang, source, tokens, epoch) of every selected document and epoch.
+def _draw(seed: int) -> Column:
+    """A document's place in its leaf's order of an epoch, from 0 below 2 ** 63."""
+    return F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text"), F.col("epoch"), F.lit(seed)), 1)
 
-    ``domain`` derives a document's domain from its columns; ``weight`` gives the weight of a path
-    among its siblings. ``total`` is the token budget, by default all tokens of the table. A document
-    is taken if the tokens before it, in its leaf and epoch, leave room for at least one of its own,
-    so a leaf may overrun its budget by part of one document. Null lang or source is the name "";
-    null texts count one token; ties of doc_id are ordered by text hash; an empty table gives none.
+
+def cutoffs(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
+    """(leaf columns, epoch, cut): in that epoch a leaf's documents of draws up to ``cut`` are taken.
+
+    One row for each leaf and epoch that takes any, so it is bounded by ``MAX_LEAVES`` epochs.
     """
     names = [f"__{n}" for n in LEVELS]
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), *leaf_columns(domain), tokens_of().alias("tokens"))
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", "text", *leaf_columns(domain), tokens_of().alias("tokens"))
     found = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).limit(MAX_LEAVES + 1).collect()
     if len(found) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} leaves; group the sources first")
     leaves = {tuple(r[n] for n in names): r["tokens"] for r in found}
-    if not leaves:
-        return rows.select("doc_id", "text_hash", *[F.col(a).alias(b) for a, b in zip(names, LEVELS)], "tokens", F.lit(0).alias("epoch"))
-    budgets = plan(leaves, sum(leaves.values()) if total is None else total, weight, max_epochs)
-    buckets = max(1, max(r["n"] for r in found) // BUCKET_ROWS)
-    deals = []
-    for r in found:
-        path = tuple(r[n] for n in names)
+    whole = sum(leaves.values())
+    target = whole if total is None else int(total * whole) if isinstance(total, float) else total
+    budgets = plan(leaves, target, weight, max_epochs)
+    done, partial = [], []
+    for path, tokens in leaves.items():
         for epoch in range(max_epochs):
-            left = min(r["tokens"], budgets[path] - epoch * r["tokens"])
-            if left > 0:
-                deals.append((*path, epoch, int(left)))
-    spark = docs.sparkSession
-    deal = spark.createDataFrame(deals, ", ".join(f"{n} string" for n in names) + ", epoch int, room bigint")
-    drawn = rows.join(F.broadcast(deal), names).withColumn("__draw", F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", "epoch", F.lit(seed)), 1))
-    drawn = drawn.withColumn("__bucket", F.shiftright("__draw", 63 - (buckets - 1).bit_length()).cast("int"))
+            room = min(tokens, budgets[path] - epoch * tokens)
+            if room == tokens:
+                done.append((*path, epoch, LAST))
+            elif room > 0:
+                partial.append((*path, epoch, int(room)))
     keys = [*names, "epoch"]
-    sums = drawn.groupBy(*keys, "__bucket").agg(F.sum("tokens").alias("__t"))
-    before = F.sum("__t").over(Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sums.select(*keys, "__bucket", F.coalesce(before, F.lit(0)).alias("__before"))
-    inside = F.sum("tokens").over(Window.partitionBy(*keys, "__bucket").orderBy("__draw", "doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1))
-    taken = drawn.withColumn("__inside", F.coalesce(inside, F.lit(0))).join(starts, [*keys, "__bucket"]).where(F.col("__before") + F.col("__inside") < F.col("room"))
-    return taken.select("doc_id", "text_hash", *[F.col(a).alias(b) for a, b in zip(names, LEVELS)], "tokens", "epoch")
+    leaf_fields = ", ".join(f"{n} string" for n in names)
+    if partial:
+        bits = max(0, max(r["n"] for r in found) // BUCKET_ROWS).bit_length()
+        deal = F.broadcast(spark.createDataFrame(partial, f"{leaf_fields}, epoch int, room bigint"))
+        drawn = rows.join(deal, names).select(*keys, "room", "tokens", _draw(seed).alias("draw")).withColumn("bucket", F.shiftright("draw", 63 - bits))
+        drawn = staged(drawn, "draws")
+        sums = drawn.groupBy(*keys, "room", "bucket").agg(F.sum("tokens").alias("t"))
+        before = F.sum("t").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+        edge = sums.withColumn("before", F.coalesce(before, F.lit(0))).where((F.col("before") < F.col("room")) & (F.col("before") + F.col("t") >= F.col("room")))
+        inside = F.sum("tokens").over(Window.partitionBy(*keys).orderBy("draw").rangeBetween(Window.unboundedPreceding, -1))
+        near = drawn.join(F.broadcast(edge.select(*keys, "bucket", "before")), [*keys, "bucket"]).withColumn("inside", F.coalesce(inside, F.lit(0)))
+        cut = near.where(F.col("before") + F.col("inside") < F.col("room")).groupBy(*keys).agg(F.max("draw").alias("cut"))
+        done += [tuple(r) for r in cut.collect()]
+    return spark.createDataFrame(done, f"{leaf_fields}, epoch int, cut bigint")
+
+
+def _taken(docs: DataFrame, cuts: DataFrame, domain: Column, seed: int) -> DataFrame:
+    names = [f"__{n}" for n in LEVELS]
+    return docs.withColumns(dict(zip(names, leaf_columns(domain)))).join(F.broadcast(cuts), names).where(_draw(seed) <= F.col("cut"))
+
+
+def selected(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
+    """(doc_id, domain, lang, source, tokens, epoch) of every selected document and epoch.
+
+    ``domain`` derives a document's domain from its columns; ``weight`` gives the weight of a path
+    among its siblings. ``total`` is the token budget: a number of tokens, a share (float) of the
+    table's, or by default all of them. A document is taken if the tokens before it, in its leaf and
+    epoch, leave room for at least one of its own, so a leaf may overrun its budget by part of one
+    document. Null lang or source is the name "", null texts count one token, rows equal in doc_id
+    and text are taken or left together, and an empty table gives none.
+    """
+    rows = docs.select("doc_id", "text", "lang", "source")
+    taken = _taken(rows, cutoffs(rows, domain, weight, total, max_epochs, seed), domain, seed)
+    return taken.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(f"__{n}").alias(n) for n in LEVELS], tokens_of().alias("tokens"), "epoch")
+
+
+def mixed(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
+    """The selected rows of ``docs`` with its own columns, once for every epoch that takes them."""
+    own = docs.columns
+    held = docs
+    if clash := [c for c in own if c in ("epoch", "cut")]:
+        held = docs.withColumnsRenamed({c: f"__own_{c}" for c in clash})
+    taken = _taken(held, cutoffs(held, domain, weight, total, max_epochs, seed), domain, seed)
+    return taken.select(*[F.col(f"__own_{c}" if c in ("epoch", "cut") else c).alias(c) for c in own])

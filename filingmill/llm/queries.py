@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from filingmill.llm import decontaminate, mixing, quality, sharding, simhash, sketch, token_count, token_file, warc
+from filingmill.llm import decontaminate, main_text, mixing, quality, sharding, simhash, sketch, token_count, token_file, warc
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 QUERIES: dict = {}
@@ -71,8 +71,12 @@ def even_weight(path: tuple[str, ...]) -> float:
 
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = mixing.selected(table(spark, sf_dir, "documents"), family(F.col("source")), even_weight, max_epochs=2)
-    return found.drop("text_hash")
+    return mixing.selected(table(spark, sf_dir, "documents"), family(F.col("source")), even_weight, max_epochs=2)
+
+
+@query
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extracted(table(spark, sf_dir, "pages"))
 
 
 @query
