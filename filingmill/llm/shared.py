@@ -107,3 +107,8 @@ def broadcast_value(spark: SparkSession, value):
     """Broadcast a driver-side value of proven bounded size."""
     context: SparkContext = spark.sparkContext
     return context.broadcast(value)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal few rows of much work each to as many tasks as shuffles have; adaptive execution keeps their number."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in keys])

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingmill.llm import bpe
-from filingmill.llm.shared import fresh_dir, opened, small_batches, staged, whole_file
+from filingmill.llm.shared import fresh_dir, opened, small_batches, spread, staged, whole_file
 
 # Fixed values of the zstandard formats.
 SKIPPABLE = 0x184D2A5E
@@ -185,8 +185,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
                 reader.close()
 
-    spread = files.select("part", "uri").repartition(F.col("part"))
-    return spread.mapInArrow(made, "part int, pos bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint, first bigint")
+    return spread(files.select("part", "uri"), "part").mapInArrow(made, "part int, pos bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint, first bigint")
 
 
 def file_starts(files: DataFrame) -> DataFrame:

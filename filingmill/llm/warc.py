@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingmill.llm.shared import fresh_dir, opened, small_batches, staged, whole_file
+from filingmill.llm.shared import fresh_dir, opened, small_batches, spread, staged, whole_file
 
 PIECE = 1 << 18
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -130,7 +130,7 @@ def normalised(archives: DataFrame, directory: str) -> DataFrame:
                         n += 1
                 yield pa.RecordBatch.from_pylist([{"archive": name, "index": f"{name}.idx", "records": n}], schema=schema)
 
-    return staged(archives.select("archive").repartition(F.col("archive")).mapInArrow(made, "archive string, index string, records bigint"), "warc-files")
+    return staged(spread(archives.select("archive"), "archive").mapInArrow(made, "archive string, index string, records bigint"), "warc-files")
 
 
 def record_at(file, offset: int, length: int) -> tuple[dict[str, str], bytes]:
@@ -244,7 +244,7 @@ def read_pages(files: DataFrame) -> DataFrame:
                             rows = []
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return files.select("archive", "index").repartition(F.col("archive")).mapInArrow(made, fields)
+    return spread(files.select("archive", "index"), "archive").mapInArrow(made, fields)
 
 
 def archived(pages: DataFrame, least: int = 1000) -> DataFrame:
