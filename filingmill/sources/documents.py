@@ -6,10 +6,11 @@ import io
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from filingmill.functions.exprs import stable_id
 from filingmill.operators.register import content_hash
@@ -91,19 +92,18 @@ def pdf_pages(content: bytes) -> Iterator[dict]:
 
 def _each_file(files: DataFrame, read: Callable[[bytes], Iterator[dict]], schema: str) -> DataFrame:
     """Map (report_id, content) rows through a reader; a file that fails gives one row with its error."""
-    names = T.DataType.fromDDL(schema).names
+    arrow = to_arrow_schema(T.DataType.fromDDL(schema))
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for report_id, content in zip(batch["report_id"], batch["content"]):
+            for report_id, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 try:
-                    rows += [{"report_id": report_id, "error": None, **r} for r in read(bytes(content))]
+                    rows = [{"report_id": report_id, "error": None, **r} for r in read(content.as_py())]
                 except Exception as e:  # noqa: BLE001  one broken file must not end the batch; its error is a row
-                    rows.append({"report_id": report_id, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(rows, columns=names)
+                    rows = [{"report_id": report_id, "error": f"{type(e).__name__}: {e}"}]
+                yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return files.select("report_id", "content").mapInPandas(made, schema)
+    return files.select("report_id", "content").mapInArrow(made, schema)
 
 
 def read_pages(files: DataFrame, reader: Callable[[bytes], Iterator[dict]] = pdf_pages) -> DataFrame:
