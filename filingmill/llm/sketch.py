@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K = 128
+K = 256
 WIDTH = 5
 WHITE = r"[ \t\n\r\x0B\f]+"
 #: Documents of one bucket of neighbours, and the most buckets that are cut.
