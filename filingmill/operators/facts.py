@@ -98,18 +98,23 @@ def label_values(cells: DataFrame, key: list[str], value_columns: str = "first")
     """(key, row_index, raw_label, raw_value, raw_cell_id, cell_bbox, column_index, column_label) of a grid's rows below its header.
 
     Labels are column 0 and values column 1, or every later column with ``value_columns='all'``. Rows
-    without a label are dropped; a missing value cell gives a null value.
+    without a label are dropped; a missing value cell gives a null value. A table's cells, which are
+    those of one page's grid, meet in a single aggregation.
     """
     kept = cells if value_columns == "all" else cells.where("column_index <= 1")
-    at = F.struct("column_index", "raw_text", "raw_cell_id", "bbox")
-    rows = kept.groupBy(*key, "row_index").agg(
-        F.max_by("raw_text", F.when(F.col("column_index") == 0, F.lit(1))).alias("first_text"),
-        F.array_sort(F.collect_list(F.when(F.col("column_index") >= 1, at))).alias("later"),
+    held = kept.groupBy(*key).agg(F.collect_list(F.struct("row_index", "column_index", "raw_text", "raw_cell_id", "bbox")).alias("c"))
+    pick = lambda row, column: F.filter("c", lambda x: row(x["row_index"]) & column(x["column_index"]))
+    first, later, head, body = (lambda i: i == 0), (lambda i: i >= 1), (lambda i: i == 0), (lambda i: i > 0)
+    held = held.select(
+        *key,
+        F.filter(pick(body, first), lambda x: x["raw_text"].isNotNull()).alias("labels"),
+        pick(body, later).alias("values"),
+        F.map_from_entries(F.transform(pick(head, later), lambda x: F.struct(x["column_index"], x["raw_text"]))).alias("heads"),
     )
-    heads = rows.where("row_index = 0").select(*key, F.map_from_entries(F.transform("later", lambda x: F.struct(x["column_index"], x["raw_text"]))).alias("heads"))
-    absent = F.array(F.struct(F.lit(1).alias("column_index"), F.lit(None).cast("string").alias("raw_text"), F.lit(None).cast("string").alias("raw_cell_id"), F.lit(None).cast("array<double>").alias("bbox")))
-    body = rows.where("row_index > 0 and first_text is not null").withColumn("later", F.when(F.size("later") > 0, F.col("later")).otherwise(absent))
-    out = body.join(heads, key, "left").select(*key, "row_index", F.col("first_text").alias("raw_label"), "heads", F.explode("later").alias("v"))
+    rows = held.select(*key, "values", "heads", F.explode("labels").alias("label"))
+    own = F.filter("values", lambda v: v["row_index"] == F.col("label.row_index"))
+    missing = F.transform(F.array(F.col("label")), lambda x: F.struct(x["row_index"].alias("row_index"), F.lit(1).alias("column_index"), F.lit(None).cast("string").alias("raw_text"), F.lit(None).cast("string").alias("raw_cell_id"), F.lit(None).cast("array<double>").alias("bbox")))
+    out = rows.select(*key, F.col("label.row_index").alias("row_index"), F.col("label.raw_text").alias("raw_label"), "heads", F.explode(F.when(F.size(own) > 0, own).otherwise(missing)).alias("v"))
     return out.select(*key, "row_index", "raw_label", F.col("v.raw_text").alias("raw_value"), F.col("v.raw_cell_id").alias("raw_cell_id"), F.col("v.bbox").alias("cell_bbox"), F.col("v.column_index").alias("column_index"), F.element_at("heads", F.col("v.column_index")).alias("column_label"))
 
 
