@@ -21,7 +21,7 @@ LAST = (1 << 63) - 1
 #: Distinct leaves held on the driver at most; sources are few, and more of them is an error.
 MAX_LEAVES = 200_000
 #: Documents ordered by one task.
-BUCKET_ROWS = 8_192
+BUCKET_ROWS = 1_024
 LEVELS = ("domain", "lang", "source")
 
 
