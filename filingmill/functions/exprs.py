@@ -6,7 +6,7 @@ an error, since sessions run in ANSI mode.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -67,16 +67,22 @@ def first_match(lowered: str | Column, groups: Sequence[tuple[object, Sequence[s
     return F.coalesce(*[F.when(c, F.lit(g)) for c, g, _ in found]), F.coalesce(*[F.when(c, F.lit(p)) for c, _, p in found])
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def parse_decimal(raw: str | Column) -> Column:
     """The first number of a cell; commas are dropped, an enclosing pair of parentheses negates.
 
     Empty, ``-`` and ``--`` are null, as are texts without digits and numbers that don't fit.
     """
-    text = F.replace(strip(raw), F.lit(","), F.lit(""))
-    bracketed = F.startswith(text, F.lit("(")) & F.endswith(text, F.lit(")"))
-    signed = F.when(bracketed, F.concat(F.lit("-"), F.substring(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0))))).otherwise(text)
-    number = or_null(F.regexp_extract(signed, r"(?U)-?\d+(?:\.\d+)?", 0))
-    return F.when(~text.isin("", "-", "--"), number.try_cast(MONEY))
+    def number(text: Column) -> Column:
+        bracketed = F.startswith(text, F.lit("(")) & F.endswith(text, F.lit(")"))
+        signed = F.when(bracketed, F.concat(F.lit("-"), F.substring(text, F.lit(2), F.greatest(F.length(text) - 2, F.lit(0))))).otherwise(text)
+        return F.regexp_extract(signed, r"(?U)-?\d+(?:\.\d+)?", 0).try_cast(MONEY)  # no match is '', which casts to null
+
+    return bound(F.replace(strip(raw), F.lit(","), F.lit("")), number)
 
 
 def decimal_text(value: str | Column, scale: str | Column) -> Column:

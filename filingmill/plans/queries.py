@@ -346,7 +346,7 @@ def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = [("Line item", F.lit("Amount")), ("TOTAL assets", F.col("total").cast("string")), (" Total liabilities ", F.when(k % 11 == 10, "--").otherwise(F.col("part").cast("string"))), (last, F.col("equity").cast("string")), ("Unmapped line", F.lit("999"))]
     cells = [F.struct(F.lit(r).alias("row_index"), F.lit(c).alias("column_index"), (F.lit(x) if isinstance(x, str) else x).alias("raw_text")) for r, row in enumerate(rows) for c, x in enumerate(row)]
     out = sums.select("k", context.alias("context"), F.explode(F.array(*cells)).alias("c")).select("k", "context", "c.*")
-    return out.withColumns({"raw_cell_id": exprs.stable_id("k", "row_index", "column_index"), "bbox": F.lit(None).cast("array<double>")})
+    return out.withColumns({"raw_cell_id": F.concat_ws("-", F.col("k").cast("string"), F.col("row_index").cast("string"), F.col("column_index").cast("string")), "bbox": F.lit(None).cast("array<double>")})
 
 
 US = rulepack.load("us")
