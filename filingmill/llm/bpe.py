@@ -135,14 +135,13 @@ class PretokenEncoder:
         return made
 
     def _looked_up(self, held: dict, parts: list[str], lead: str) -> list:
-        try:
-            return list(map(held.__getitem__, parts))
-        except KeyError:
-            out = []
-            for p in parts:
-                v = held.get(p)
-                out.append(self._chunk(held, p, lead) if v is None else v)
-            return out
+        out = list(map(held.get, parts))
+        at = -1
+        for _ in range(out.count(None)):
+            at = out.index(None, at + 1)
+            again = held.get(parts[at])
+            out[at] = self._chunk(held, parts[at], lead) if again is None else again
+        return out
 
     def total(self, text: str):
         """The value of a whole text."""
