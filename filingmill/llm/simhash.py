@@ -185,8 +185,10 @@ def code_links(codes: DataFrame, tau: int = 3) -> DataFrame:
     probed = plan(codes, tau)
     index = codes.select("code", "n", F.explode(_keys(probed, False)).alias("x")).select("code", "n", "x.part", "x.key")
     hubs = index.groupBy("part", "key").agg(F.count("*").alias("k"), F.max_by("code", F.struct("n", "code")).alias("hub")).where(F.col("k") >= HUB_FROM).select("part", "key", "hub")
+    hubs = staged(hubs, "hubs")
     near_hub = F.coalesce(F.bit_count(F.col("code").bitwiseXOR(F.col("hub"))) <= tau, F.lit(False))
     index = index.join(hubs, ["part", "key"], "left").select("part", "key", F.col("code").alias("b"), "hub", near_hub.alias("tied"))
+    index = staged(index, "index")  # both sides of the join below are scans, whose hot keys can be split
     ties = index.where("tied and b != hub").select(F.col("hub").alias("a"), "b")
     probes = codes.select("code", F.explode(_keys(probed, True)).alias("x")).select("x.part", "x.key", F.col("code").alias("a"))
     if any(t for _, t in probed):
@@ -213,7 +215,7 @@ def near_duplicates(docs: DataFrame, tau: int = 3, width: int = 3, seed: int = 4
     found = components(code_links(codes, tau)).withColumnRenamed("node", "code")
     rooted = codes.join(found, "code", "left").select("code", "rep", F.coalesce("root", "code").alias("root"))
     rooted = staged(rooted, "roots")
-    ids = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
+    ids = staged(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "components")
     classes = staged(rooted.select("code", "root").join(ids, "root"), "classes")
     return rows.join(classes, "code")
 
