@@ -7,7 +7,6 @@ are hashed by rolling sums, and every hash that is met is verified word by word.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 

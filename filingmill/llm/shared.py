@@ -12,7 +12,6 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-import pyarrow as pa
 from pyarrow import fs
 from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -96,13 +95,6 @@ def text_bytes(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit("")).cast("binary")
 
 
-def joined_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema, made) -> Iterator[pa.RecordBatch]:
-    """Map each Arrow batch to lists of columns by ``made`` and wrap them as batches."""
-    for batch in batches:
-        if batch.num_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(made(batch), schema)], schema=schema)
-
-
 def broadcast_value(spark: SparkSession, value):
     """Broadcast a driver-side value of proven bounded size."""
     context: SparkContext = spark.sparkContext
