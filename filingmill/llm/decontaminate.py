@@ -127,9 +127,10 @@ def hits(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes: int =
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items) per row of ``docs`` (doc_id, text).
 
     ``items`` has (item_id, text). Null and empty texts have no words and no hits; repeated rows and
-    null ids are kept one to one; repeated items count once by item_id; an empty table of items
-    leaves every document clean; other columns are ignored. More items than one block take one more
-    pass over the texts for each block, with the marks so far in a written table.
+    null ids are kept one to one; repeated items count once by item_id, and items without an id have
+    the name "None"; an empty table of items leaves every document clean; other columns are ignored.
+    More items than one block take one more pass over the texts for each block, with the marks so
+    far in a written table.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.lit(None).cast("binary").alias("marks"), F.lit(None).cast("array<string>").alias("items"))

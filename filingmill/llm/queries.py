@@ -44,6 +44,35 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return found.drop("items")
 
 
+SQL["op4_benchmark_decontamination"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+  FROM documents
+), i AS (
+  SELECT item_id::VARCHAR AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), starts AS (
+  SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM i WHERE len(w) > 0
+), windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS k FROM starts
+), sizes AS (
+  SELECT DISTINCT n FROM windows
+), places AS (
+  SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n
+), found AS (
+  SELECT r, s, p.n, item_id FROM (SELECT r, s, n, array_to_string(list_slice(w, s, s + n - 1), ' ') AS k FROM places) p JOIN windows v ON v.n = p.n AND v.k = p.k
+), hit AS (
+  SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS x FROM found) GROUP BY r
+), named AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT r, item_id FROM found) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
+
 @query
 def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -82,4 +111,14 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.archived(table(spark, sf_dir, "pages"))
-    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length")
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op1_warc_normaliser"] = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+g AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest, max(page_id) OVER (PARTITION BY sha1(html)) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM g
+"""

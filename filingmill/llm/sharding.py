@@ -91,7 +91,7 @@ def sharded(docs: DataFrame, shards: int = 8, tree: Node | None = None, grown: N
     """
     tree = tree or grown_tree(shards)
     grown = grown or grown_tree(shards + 1)
-    key = F.col("doc_id")
+    key = F.col("doc_id").cast("bigint")
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("size"),
