@@ -1,0 +1,141 @@
+"""Near duplicates by the Jaccard similarity of word shingles, found whole by prefix filtering.
+
+Two sets of similarity ``t`` or more share at least one of the first n - ceil(t n) + 1 shingles of
+each, in any order that is the same for all sets. Here the rare ones come first, by counts in hashed
+counters, so that phrases of many texts make few candidates; the order sets cost, never results.
+Every link is verified on the whole sets. Shingles are compared by their XXH64.
+
+Equal sets are one node. The sets of a bucket are first tied to its hub, and only those that the
+links found so far leave apart are paired.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from fractions import Fraction
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from filingmill.llm.components import components
+from filingmill.llm.shared import broadcast_value, small_batches, staged, text_bytes
+from filingmill.llm.simhash import least_of_group, shingle_hashes
+
+#: Counters of shingles, as a power of two.
+COUNTER_BITS = 18
+
+
+def shingle_set(text: bytes, width: int) -> np.ndarray:
+    """The distinct shingle hashes of a text, ascending."""
+    return np.unique(shingle_hashes(text, width))
+
+
+def _counters(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)
+
+
+def frequencies(docs: DataFrame, width: int) -> np.ndarray:
+    """How many shingles of all texts fall on each counter."""
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                np.add.at(total, _counters(shingle_set(t, width)), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
+
+    out = np.zeros(1 << COUNTER_BITS, np.int64)
+    found = docs.select(text_bytes("text").alias("b")).mapInArrow(partial, "at bigint, n bigint").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def with_prefixes(docs: DataFrame, width: int, least: Fraction) -> DataFrame:
+    """(doc_id, text_hash, node, size, prefix): node is a hash of the shingle set, equal for equal sets."""
+    small_batches(docs.sparkSession)
+    counts = broadcast_value(docs.sparkSession, frequencies(docs, width))
+    up, down = least.numerator, least.denominator
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, prefixes = [], [], []
+            for t in batch.column(2).to_pylist():
+                own = shingle_set(t, width)
+                nodes.append(xxhash.xxh64_intdigest(own.tobytes()))
+                sizes.append(len(own))
+                order = np.lexsort((own, counts.value[_counters(own)]))
+                prefixes.append(own[order[: len(own) + up * -len(own) // down + 1] if len(own) else order].view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
+
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), text_bytes("text").alias("b"))
+    return rows.mapInArrow(made, "doc_id bigint, text_hash bigint, node bigint, size bigint, prefix array<bigint>")
+
+
+def _sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+    """(node, shingles) of the nodes whose row (doc_id, text_hash) is in ``reps``."""
+    schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [shingle_set(t, width) for t in batch.column(0).to_pylist()]
+            nodes = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in own], dtype=np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], schema=schema)
+
+    rows = docs.join(reps, docs["doc_id"].cast("bigint").eqNullSafe(reps["rep_id"]) & (F.xxhash64(docs["text"]) == reps["rep_hash"]), "left_semi")
+    return rows.select(text_bytes("text").alias("b")).mapInArrow(made, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
+    """The pairs (a, b) whose sets are of the similarity asked for."""
+    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
+    common = F.size(F.array_intersect("s", "t")).cast("bigint")
+    up, down = least.numerator, least.denominator
+    return both.where(common * (up + down) >= (F.size("s") + F.size("t")) * F.lit(up)).select("a", "b")
+
+
+def _reachable(n: Column, i: Column, m: Column, j: Column, least: Fraction) -> Column:
+    """Whether sets of n and m shingles whose first common one is at i and j can be similar enough."""
+    up, down = least.numerator, least.denominator
+    return (F.least(n - i, m - j)) * (up + down) >= (n + m) * F.lit(up)
+
+
+def set_links(docs: DataFrame, nodes: DataFrame, width: int, least: Fraction) -> DataFrame:
+    """Links (a, b) of a graph with the same components as all pairs of similar ``nodes``."""
+    index = nodes.select("node", "size", F.posexplode("prefix").alias("i", "key"))
+    hubs = index.groupBy("key").agg(F.count("*").alias("k"), F.min(F.struct("size", "node", "i")).alias("hub")).where("k > 1").select("key", "hub")
+    index = staged(index.join(staged(hubs, "hubs"), "key"), "index")
+    met = nodes.join(index.select("node").distinct(), "node", "left_semi").select("rep_id", "rep_hash")
+    sets = staged(_sets(docs, staged(met, "met"), width), "sets")
+    ties = index.where((F.col("node") != F.col("hub.node")) & _reachable(F.col("size"), F.col("i"), F.col("hub.size"), F.col("hub.i"), least))
+    ties = staged(ties.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), "ties")
+    ties = staged(_verified(ties, sets, least), "tied")
+    rooted = index.select("key", "node", "size", "i").join(components(ties), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = staged(rooted, "rooted")
+    mixed = rooted.groupBy("key", "root").count().groupBy("key").agg(F.count("*").alias("k"), F.max_by("root", F.struct("count", "root")).alias("top")).where("k > 1").select("key", "top")
+    open_ = staged(rooted.join(staged(mixed, "mixed"), "key"), "open")
+    x, y = open_.where("root != top").alias("x"), open_.alias("y")
+    once = (F.col("y.root") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))
+    pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.root") != F.col("y.root")) & once & _reachable(F.col("x.size"), F.col("x.i"), F.col("y.size"), F.col("y.i"), least))
+    pairs = staged(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")
+    return ties.unionByName(_verified(pairs, sets, least))
+
+
+def one_per_group(docs: DataFrame, width: int = 5, least: Fraction = Fraction(4, 5)) -> DataFrame:
+    """The rows of ``docs``, all columns, with one row of each component of similar texts.
+
+    Texts link at a Jaccard similarity of ``least`` or more over the sets of their ``width``-word
+    shingles; texts of fewer words are one shingle, texts without words are alike. Which row stays
+    is as in ``simhash.one_per_group``.
+    """
+    rows = staged(with_prefixes(docs, width, least), "prefixes")
+    rep = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = rows.groupBy("node").agg(F.min(rep).alias("r"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
+    nodes = staged(nodes.select("node", "size", "prefix", F.col("r.doc_id").alias("rep_id"), F.col("r.text_hash").alias("rep_hash")), "nodes")
+    found = components(set_links(docs, nodes, width, least))
+    classes = rows.select("doc_id", "text_hash", "node").join(found, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
+    return least_of_group(docs, staged(classes, "near"))

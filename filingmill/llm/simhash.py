@@ -34,17 +34,24 @@ HUB_FROM = 256
 CANDIDATE_COST = 0.05
 
 
-def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
-    """SimHash of one text: bit i is set if it is in over half the shingles' XXH64. No words: 0."""
+def shingle_hashes(text: bytes, width: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of every shingle of one text in order; none without words."""
     words = text.translate(LOWER).split()  # splits at the six ASCII white-space bytes
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
     starts = np.concatenate(([0], ends[:-1])).tolist()
     stops = (ends[min(width, len(words)) - 1 :] - 1).tolist()
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts, stops)], dtype="<u8")
+    return np.array([digest(line[a:b], seed) for a, b in zip(starts, stops)], dtype="<u8")
+
+
+def fingerprint(text: bytes, width: int = 3, seed: int = 42) -> int:
+    """SimHash of one text: bit i is set if it is in over half the shingles' XXH64. No words: 0."""
+    hashes = shingle_hashes(text, width, seed)
+    if not len(hashes):
+        return 0
     octets = hashes.view(np.uint8).reshape(-1, 8)
     counts = np.concatenate([np.bincount(octets[:, k], minlength=256) @ _OCTET_BITS for k in range(8)])
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
@@ -231,7 +238,11 @@ def one_per_group(docs: DataFrame, tau: int = 3, width: int = 3, seed: int = 42)
     The row with the least doc_id stays (nulls last), among equal ids that with the least text hash;
     of rows equal in both, one.
     """
-    classes = staged(near_duplicates(docs, tau, width, seed), "near")
+    return least_of_group(docs, staged(near_duplicates(docs, tau, width, seed), "near"))
+
+
+def least_of_group(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stand for the groups of ``classes`` (doc_id, text_hash, root), a written table."""
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     kept = classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
     kept = staged(kept, "kept")

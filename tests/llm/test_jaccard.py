@@ -1,0 +1,67 @@
+import random
+
+import corpus_pipeline
+import pytest
+
+from filingmill.llm import jaccard
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def brute_kept(rows):
+    """The ids left when texts of Jaccard 0.8 or more are linked and each component keeps its least."""
+    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or 5 * len(a & b) >= 4 * len(a | b):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return [rows[i][0] for i in range(len(rows)) if find(i) == i]
+
+
+def near_rows():
+    """Texts with a shared opening, and copies with 0 to 12 words changed, on both sides of 0.8."""
+    r = random.Random(3)
+    word = lambda: "w" + str(r.randrange(5000))
+    opening = [word() for _ in range(30)]
+    texts = []
+    for base in range(12):
+        own = opening + [word() for _ in range(r.choice([20, 120, 300]))]
+        for changes in (0, 0, 1, 2, 3, 4, 6, 8, 12):
+            copy = list(own)
+            for _ in range(changes):
+                copy[r.randrange(len(copy))] = word()
+            texts.append(" ".join(copy))
+    texts += ["", None, "  ", "one two", "One  two", "three"]
+    r.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_groups_equal_brute_force(spark, edge_docs, no_docs):
+    rows = near_rows()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in jaccard.one_per_group(docs).collect()) == brute_kept(rows)
+    kept = jaccard.one_per_group(edge_docs)
+    assert kept.columns == edge_docs.columns
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 10, 11, 3, 6, 7, None]
+    assert jaccard.one_per_group(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("changed", [3, 4])
+def test_stage_drops_edited_copies(spark, changed):
+    own = [f"w{i}" for i in range(200)]
+    copy = list(own)
+    for k in range(changed):
+        copy[20 + 40 * k] = f"x{k}"
+    docs = spark.createDataFrame([(1, " ".join(own)), (2, " ".join(copy)), (3, "other text of few words here")], "doc_id bigint, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
