@@ -4,6 +4,7 @@ The token budget is split from the root by the children's weights. A child whose
 supply its share, at ``max_epochs`` passes over every leaf, takes what it can, and the rest goes to
 its siblings by their weights before any of it goes back to the level above. Each leaf then takes
 the prefix of its documents, in an order drawn anew for every epoch, that fills its budget.
+Tokens are those of a vocabulary file, counted once and written; words are an option.
 """
 
 from __future__ import annotations
@@ -11,10 +12,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingmill.llm.shared import staged
+from filingmill.llm.shared import small_batches, staged
+from filingmill.llm.token_count import counter
+
+#: The vocabulary of the token ids that the pipeline and op8 write.
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Cut of an epoch that takes a whole leaf.
 LAST = (1 << 63) - 1
@@ -89,8 +96,19 @@ def plan(leaves: dict[tuple[str, ...], int], total: int, weight: Callable[[tuple
     return out
 
 
-def tokens_of(text: str = "text") -> Column:
-    """Tokens of a text for mixing: its words between white space, and one for the end."""
+def tokens_of(text: str = "text", path: str = VOCABULARY) -> Column:
+    """Tokens of a text for mixing: its ids in the vocabulary file, which every executor has, and one for the end."""
+
+    @F.arrow_udf("bigint")
+    def counted(texts: pa.Array) -> pa.Array:
+        count = counter(path)
+        return pa.array([(count(t) if t else 0) + 1 for t in texts.to_pylist()], pa.int64())
+
+    return counted(F.col(text))
+
+
+def words_of(text: str = "text") -> Column:
+    """Words of a text between white space, and one for the end: a cheaper weight than tokens, wrong for scripts without spaces."""
     return F.size(F.filter(F.split(F.coalesce(F.col(text), F.lit("")), r"[ \t\n\r\x0B\f]+"), lambda w: w != "")).cast("bigint") + 1
 
 
@@ -98,19 +116,25 @@ def leaf_columns(domain: Column) -> list[Column]:
     return [F.coalesce(c.cast("string"), F.lit("")).alias(f"__{name}") for name, c in zip(LEVELS, (domain, F.col("lang"), F.col("source")))]
 
 
-def _draw(seed: int) -> Column:
+def _draw(seed: int, text_hash: Column | None = None) -> Column:
     """A document's place in its leaf's order of an epoch, from 0 below 2 ** 63."""
-    return F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("bigint"), F.xxhash64("text"), F.col("epoch"), F.lit(seed)), 1)
+    own = F.xxhash64("text") if text_hash is None else text_hash
+    return F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("bigint"), own, F.col("epoch"), F.lit(seed)), 1)
+
 
+def weighed(docs: DataFrame, domain: Column, count: Callable[[], Column] = tokens_of) -> DataFrame:
+    """(doc_id, text_hash, leaf columns, tokens) per row of ``docs``, written once so that texts are counted once."""
+    small_batches(docs.sparkSession)
+    return staged(docs.select("doc_id", F.xxhash64("text").alias("text_hash"), *leaf_columns(domain), count().alias("tokens")), "weighed")
 
-def cutoffs(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
+
+def cutoffs(rows: DataFrame, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
     """(leaf columns, epoch, cut): in that epoch a leaf's documents of draws up to ``cut`` are taken.
 
-    One row for each leaf and epoch that takes any, so it is bounded by ``MAX_LEAVES`` epochs.
+    ``rows`` is the table of ``weighed``. One row for each leaf and epoch that takes any, so it is bounded by ``MAX_LEAVES`` epochs.
     """
     names = [f"__{n}" for n in LEVELS]
-    spark = docs.sparkSession
-    rows = docs.select("doc_id", "text", *leaf_columns(domain), tokens_of().alias("tokens"))
+    spark = rows.sparkSession
     found = rows.groupBy(*names).agg(F.sum("tokens").alias("tokens"), F.count("*").alias("n")).limit(MAX_LEAVES + 1).collect()
     if len(found) > MAX_LEAVES:
         raise ValueError(f"more than {MAX_LEAVES} leaves; group the sources first")
@@ -131,7 +155,7 @@ def cutoffs(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]],
     if partial:
         bits = max(0, max(r["n"] for r in found) // BUCKET_ROWS).bit_length()
         deal = F.broadcast(spark.createDataFrame(partial, f"{leaf_fields}, epoch int, room bigint"))
-        drawn = rows.join(deal, names).select(*keys, "room", "tokens", _draw(seed).alias("draw")).withColumn("bucket", F.shiftright("draw", 63 - bits))
+        drawn = rows.join(deal, names).select(*keys, "room", "tokens", _draw(seed, F.col("text_hash")).alias("draw")).withColumn("bucket", F.shiftright("draw", 63 - bits))
         drawn = staged(drawn, "draws")
         sums = drawn.groupBy(*keys, "room", "bucket").agg(F.sum("tokens").alias("t"))
         before = F.sum("t").over(Window.partitionBy(*keys).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
@@ -143,31 +167,29 @@ def cutoffs(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]],
     return spark.createDataFrame(done, f"{leaf_fields}, epoch int, cut bigint")
 
 
-def _taken(docs: DataFrame, cuts: DataFrame, domain: Column, seed: int) -> DataFrame:
-    names = [f"__{n}" for n in LEVELS]
-    return docs.withColumns(dict(zip(names, leaf_columns(domain)))).join(F.broadcast(cuts), names).where(_draw(seed) <= F.col("cut"))
-
-
-def selected(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
+def selected(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11, count: Callable[[], Column] = tokens_of) -> DataFrame:
     """(doc_id, domain, lang, source, tokens, epoch) of every selected document and epoch.
 
     ``domain`` derives a document's domain from its columns; ``weight`` gives the weight of a path
     among its siblings. ``total`` is the token budget: a number of tokens, a share (float) of the
-    table's, or by default all of them. A document is taken if the tokens before it, in its leaf and
-    epoch, leave room for at least one of its own, so a leaf may overrun its budget by part of one
-    document. Null lang or source is the name "", null texts count one token, rows equal in doc_id
-    and text are taken or left together, and an empty table gives none.
+    table's, or by default all of them; ``count`` is ``tokens_of`` or ``words_of``. A document is
+    taken if the tokens before it, in its leaf and epoch, leave room for at least one of its own, so
+    a leaf may overrun its budget by part of one document. Null lang or source is the name "", null
+    texts count one token, rows equal in doc_id and text are taken or left together, and an empty
+    table gives none.
     """
-    rows = docs.select("doc_id", "text", "lang", "source")
-    taken = _taken(rows, cutoffs(rows, domain, weight, total, max_epochs, seed), domain, seed)
-    return taken.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(f"__{n}").alias(n) for n in LEVELS], tokens_of().alias("tokens"), "epoch")
+    names = [f"__{n}" for n in LEVELS]
+    rows = weighed(docs.select("doc_id", "text", "lang", "source"), domain, count)
+    taken = rows.join(F.broadcast(cutoffs(rows, weight, total, max_epochs, seed)), names).where(_draw(seed, F.col("text_hash")) <= F.col("cut"))
+    return taken.select(F.col("doc_id").cast("bigint").alias("doc_id"), *[F.col(f"__{n}").alias(n) for n in LEVELS], "tokens", "epoch")
 
 
-def mixed(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11) -> DataFrame:
+def mixed(docs: DataFrame, domain: Column, weight: Callable[[tuple[str, ...]], float], total: int | float | None = None, max_epochs: int = 1, seed: int = 11, count: Callable[[], Column] = tokens_of) -> DataFrame:
     """The selected rows of ``docs`` with its own columns, once for every epoch that takes them."""
-    own = docs.columns
+    own, names = docs.columns, [f"__{n}" for n in LEVELS]
     held = docs
     if clash := [c for c in own if c in ("epoch", "cut")]:
         held = docs.withColumnsRenamed({c: f"__own_{c}" for c in clash})
-    taken = _taken(held, cutoffs(held, domain, weight, total, max_epochs, seed), domain, seed)
+    cuts = cutoffs(weighed(held, domain, count), weight, total, max_epochs, seed)
+    taken = held.withColumns(dict(zip(names, leaf_columns(domain)))).join(F.broadcast(cuts), names).where(_draw(seed) <= F.col("cut"))
     return taken.select(*[F.col(f"__own_{c}" if c in ("epoch", "cut") else c).alias(c) for c in own])

@@ -39,7 +39,8 @@ def _other(path: str):
     return _LIBRARY[path]
 
 
-def _counter(path: str):
+def counter(path: str):
+    """The token count of one text as a function, by the fastest way the file allows."""
     if path.endswith(".json"):
         try:
             bpe.id_count(path, "")
@@ -60,7 +61,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = _counter(path)
+        count = counter(path)
         for batch in batches:
             n = [count(t) if t else 0 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], schema=schema)

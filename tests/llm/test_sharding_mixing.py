@@ -94,3 +94,26 @@ def test_prefixes_equal_brute_force(spark, edge_docs, no_docs, monkeypatch, shar
     kept = mixing.mixed(edge_docs, F.lit("d"), lambda p: 1.0, share, epochs)
     assert kept.columns == edge_docs.columns
     assert mixing.selected(no_docs, F.lit("d"), lambda p: 1.0).count() == 0
+
+
+def test_tokens_are_those_of_the_vocabulary(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["some plain words of it", "漢字仮名交じり文" * 20, "x" * 500, "", None]
+    want = [(len(library.encode(t, add_special_tokens=False).ids) if t else 0) + 1 for t in texts]
+    docs = spark.createDataFrame([(i, t, "en", f"s{i}") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string, source string")
+    got = mixing.selected(docs, F.lit("d"), lambda p: 1.0).collect()
+    assert [r["tokens"] for r in sorted(got, key=lambda r: r["doc_id"])] == want
+    words = mixing.selected(docs, F.lit("d"), lambda p: 1.0, count=mixing.words_of).collect()
+    assert [r["tokens"] for r in sorted(words, key=lambda r: r["doc_id"])] == [6, 2, 2, 1, 1]
+
+
+def test_text_without_spaces_is_cut_by_its_tokens(spark):
+    rows = [(i, "漢字仮名交じり文" * 20, "ja", "a") for i in range(20)] + [(100 + i, "word " * 100, "en", "b") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = mixing.selected(docs, F.lit("d"), lambda p: 1.0, 3000).collect()
+    taken = [sum(r["tokens"] for r in got if r["lang"] == lang) for lang in ("ja", "en")]
+    most = max(r["tokens"] for r in got)
+    assert all(1500 <= t < 1500 + most for t in taken)
