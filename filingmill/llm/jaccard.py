@@ -1,7 +1,7 @@
 """Near duplicates by the Jaccard similarity of word shingles, found whole by prefix filtering.
 
 Two sets of similarity ``t`` or more share at least one of the first n - ceil(t n) + 1 shingles of
-each, in any order that is the same for all sets. Here the rare ones come first, by counts in hashed
+each, in any order that is the same for all sets; half of a hash is enough to meet. Here the rare ones come first, by counts in hashed
 counters, so that phrases of many texts make few candidates; the order sets cost, never results.
 Every link is verified on the whole sets. Shingles are compared by their XXH64.
 
@@ -59,7 +59,7 @@ def with_prefixes(docs: DataFrame, width: int, least: Fraction) -> DataFrame:
     small_batches(docs.sparkSession)
     counts = broadcast_value(docs.sparkSession, frequencies(docs, width))
     up, down = least.numerator, least.denominator
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("prefix", pa.list_(pa.int32()))])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,14 +69,14 @@ def with_prefixes(docs: DataFrame, width: int, least: Fraction) -> DataFrame:
                 nodes.append(xxhash.xxh64_intdigest(own.tobytes()))
                 sizes.append(len(own))
                 order = np.lexsort((own, counts.value[_counters(own)]))
-                prefixes.append(own[order[: len(own) + up * -len(own) // down + 1] if len(own) else order].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], schema=schema)
+                prefixes.append(own[order[: len(own) + up * -len(own) // down + 1] if len(own) else order].astype(np.uint32).view(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.array(nodes, dtype=np.uint64).view(np.int64)), pa.array(sizes, pa.int64()), pa.array(prefixes, pa.list_(pa.int32()))], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), text_bytes("text").alias("b"))
-    return rows.mapInArrow(made, "doc_id bigint, text_hash bigint, node bigint, size bigint, prefix array<bigint>")
+    return rows.mapInArrow(made, "doc_id bigint, text_hash bigint, node bigint, size bigint, prefix array<int>")
 
 
-def _sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
+def _sets(docs: DataFrame, reps: DataFrame, width: int, repeated: bool) -> DataFrame:
     """(node, shingles) of the nodes whose row (doc_id, text_hash) is in ``reps``."""
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
 
@@ -87,11 +87,15 @@ def _sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array([s.view(np.int64) for s in own], pa.list_(pa.int64()))], schema=schema)
 
     rows = docs.join(reps, docs["doc_id"].cast("bigint").eqNullSafe(reps["rep_id"]) & (F.xxhash64(docs["text"]) == reps["rep_hash"]), "left_semi")
-    return rows.select(text_bytes("text").alias("b")).mapInArrow(made, "node bigint, shingles array<bigint>").dropDuplicates(["node"])
+    found = rows.select(text_bytes("text").alias("b")).mapInArrow(made, "node bigint, shingles array<bigint>")
+    return found.dropDuplicates(["node"]) if repeated else found
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets are of the similarity asked for."""
+def _verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, least: Fraction, repeated: bool) -> DataFrame:
+    """The pairs (a, b) whose sets are of the similarity asked for; only their sets are made again."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    reps = staged(nodes.select("node", "rep_id", "rep_hash").join(ends, "node", "left_semi"), "reps")
+    sets = staged(_sets(docs, reps, width, repeated), "sets")
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
     common = F.size(F.array_intersect("s", "t")).cast("bigint")
     up, down = least.numerator, least.denominator
@@ -104,16 +108,15 @@ def _reachable(n: Column, i: Column, m: Column, j: Column, least: Fraction) -> C
     return (F.least(n - i, m - j)) * (up + down) >= (n + m) * F.lit(up)
 
 
-def set_links(docs: DataFrame, nodes: DataFrame, width: int, least: Fraction) -> DataFrame:
+def set_links(docs: DataFrame, nodes: DataFrame, width: int, least: Fraction, repeated: bool = True) -> DataFrame:
     """Links (a, b) of a graph with the same components as all pairs of similar ``nodes``."""
     index = nodes.select("node", "size", F.posexplode("prefix").alias("i", "key"))
-    hubs = index.groupBy("key").agg(F.count("*").alias("k"), F.min(F.struct("size", "node", "i")).alias("hub")).where("k > 1").select("key", "hub")
-    index = staged(index.join(staged(hubs, "hubs"), "key"), "index")
-    met = nodes.join(index.select("node").distinct(), "node", "left_semi").select("rep_id", "rep_hash")
-    sets = staged(_sets(docs, staged(met, "met"), width), "sets")
-    ties = index.where((F.col("node") != F.col("hub.node")) & _reachable(F.col("size"), F.col("i"), F.col("hub.size"), F.col("hub.i"), least))
+    shared = staged(index.groupBy("key").count().where("count > 1").select("key"), "shared")
+    index = staged(index.join(shared, "key"), "index")
+    hubs = staged(index.groupBy("key").agg(F.min(F.struct("size", "node", "i")).alias("hub")), "hubs")
+    ties = index.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & _reachable(F.col("size"), F.col("i"), F.col("hub.size"), F.col("hub.i"), least))
     ties = staged(ties.select(F.col("hub.node").alias("a"), F.col("node").alias("b")).distinct(), "ties")
-    ties = staged(_verified(ties, sets, least), "tied")
+    ties = staged(_verified(ties, docs, nodes, width, least, repeated), "tied")
     rooted = index.select("key", "node", "size", "i").join(components(ties), "node", "left").withColumn("root", F.coalesce("root", "node"))
     rooted = staged(rooted, "rooted")
     mixed = rooted.groupBy("key", "root").count().groupBy("key").agg(F.count("*").alias("k"), F.max_by("root", F.struct("count", "root")).alias("top")).where("k > 1").select("key", "top")
@@ -122,7 +125,7 @@ def set_links(docs: DataFrame, nodes: DataFrame, width: int, least: Fraction) ->
     once = (F.col("y.root") == F.col("y.top")) | (F.col("x.node") < F.col("y.node"))
     pairs = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.root") != F.col("y.root")) & once & _reachable(F.col("x.size"), F.col("x.i"), F.col("y.size"), F.col("y.i"), least))
     pairs = staged(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")
-    return ties.unionByName(_verified(pairs, sets, least))
+    return ties.unionByName(_verified(pairs, docs, nodes, width, least, repeated))
 
 
 def one_per_group(docs: DataFrame, width: int = 5, least: Fraction = Fraction(4, 5)) -> DataFrame:
@@ -136,6 +139,7 @@ def one_per_group(docs: DataFrame, width: int = 5, least: Fraction = Fraction(4,
     rep = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     nodes = rows.groupBy("node").agg(F.min(rep).alias("r"), F.first("size").alias("size"), F.first("prefix").alias("prefix"))
     nodes = staged(nodes.select("node", "size", "prefix", F.col("r.doc_id").alias("rep_id"), F.col("r.text_hash").alias("rep_hash")), "nodes")
-    found = components(set_links(docs, nodes, width, least))
+    repeated = rows.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count() > 0
+    found = components(set_links(docs, nodes, width, least, repeated))
     classes = rows.select("doc_id", "text_hash", "node").join(found, "node", "left").select("doc_id", "text_hash", F.coalesce("root", "node").alias("root"))
     return least_of_group(docs, staged(classes, "near"))
