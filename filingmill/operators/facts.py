@@ -68,18 +68,21 @@ def candidates(rows: DataFrame, aliases: DataFrame, raw_label: str, most: int =
 
     The label is cut into ``most + 1`` pieces; an alias within that many edits holds one of them
     unchanged, so candidates come from an equality join on pieces before the distance is checked.
+    A label of fewer characters has the empty piece, which every alias holds.
     """
     n = most + 1
 
     def pieces(text: Column) -> Column:
-        size = F.greatest(F.ceil(F.length(text) / n).cast("int"), F.lit(1))
-        return F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.substring(text, i * size + 1, size))
+        at = lambda i: F.floor(F.length(text) * i / n).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: F.substring(text, at(i) + 1, at(i + 1) - at(i)))
+        return F.when(F.length(text) < n, F.array(F.lit(""))).otherwise(cut)
 
     own = rows.select(label(raw_label).alias("__label"), F.col(market).alias("__m")).distinct()
-    own = own.where(F.length("__label") > 0).select("__label", "__m", F.explode(pieces(F.col("__label"))).alias("piece")).where(F.length("piece") > 0)
+    own = own.where(F.length("__label") > 0).select("__label", "__m", F.explode(pieces(F.col("__label"))).alias("piece"))
     grams = aliases.select("*", F.explode(F.sequence(F.lit(1), F.length("alias"))).alias("at"))
     sized = grams.select("*", F.explode(F.sequence(F.lit(1), F.length("alias") - F.col("at") + 1)).alias("size"))
-    sized = sized.select("market", "alias", "normalized_concept_id", F.substring(F.col("alias"), F.col("at"), F.col("size")).alias("piece")).distinct()
+    sized = sized.select("market", "alias", "normalized_concept_id", F.substring(F.col("alias"), F.col("at"), F.col("size")).alias("piece"))
+    sized = sized.unionByName(aliases.select("market", "alias", "normalized_concept_id", F.lit("").alias("piece"))).distinct()
     met = own.join(F.broadcast(sized), (own["__m"] == sized["market"]) & (own["piece"] == sized["piece"])).select("__m", "__label", "alias", "normalized_concept_id").distinct()
     met = met.withColumn("edits", F.levenshtein("__label", "alias")).where((F.col("edits") > 0) & (F.col("edits") <= most))
     return met.select(F.col("__m").alias("market"), F.col("__label").alias("label"), "alias", "normalized_concept_id", "edits", F.lit(True).alias("requires_review"))
