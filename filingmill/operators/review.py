@@ -62,8 +62,13 @@ def display_columns(names: Sequence[str]) -> list[str]:
     return sorted({n for n in names if n.startswith("display_col_")}, key=place)
 
 
-def with_display(cells: DataFrame, key: Sequence[str], width: int, text: str = "raw_text") -> DataFrame:
-    """A row per (key, row_index) with its cells as display_col_0 … by a pivot over stated columns."""
+def with_display(cells: DataFrame, key: Sequence[str], width: int | None = None, text: str = "raw_text") -> DataFrame:
+    """A row per (key, row_index) with its cells as display_col_0 … up to the widest grid's last column.
+
+    One aggregate finds the width; a stated ``width`` leaves out the cells beyond it.
+    """
+    if width is None:
+        width = (cells.agg(F.max("column_index").alias("m")).first()["m"] or 0) + 1
     named = cells.withColumn("__c", F.concat(F.lit("display_col_"), F.col("column_index").cast("string")))
     return named.groupBy(*key, "row_index").pivot("__c", [f"display_col_{i}" for i in range(width)]).agg(F.max(text))
 
