@@ -4,7 +4,8 @@ A page is a sequence of words, tags and skipped elements. A word outside boilerp
 every tag scores its learned weight, which is negative. One pass finds the contiguous run of the
 greatest sum, and the blocks inside it are the text. Weights come from labelled pages: how often
 elements of a tag name, or with a word in their class, id or role, lie inside the labelled content,
-hold it, or lie outside. Elements whose evidence is against content are skipped with all they hold.
+hold it, or lie outside. Elements whose evidence is against content are skipped with all they hold; names
+don't count on the page's article or main of most words, its headline, and what holds these.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 #: An opening tag of one of these ends an open paragraph, as browsers do.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
+#: Headlines; what holds one inside the content is not left out by name.
+HEADINGS = frozenset(("h1",))
+
 #: Labelled pages. Content is what lies in elements marked data-content.
 LABELLED = (
     """<html><head><title>t t</title><style>s</style></head><body><header class="site-header masthead"><h2>site name</h2></header><nav class="menu navbar"><ul><li><a href="/">home</a></li><li><a href="/b">news</a></li></ul></nav>
@@ -79,6 +83,8 @@ def parsed(page: str) -> Iterator[tuple[str, str, str]]:
         if found[1]:
             yield "close", tag, ""
             continue
+        if tag in ("svg", "math") and found[0].endswith("/>"):
+            continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
             at = end.end() if end else n
@@ -164,11 +170,45 @@ def learn(pages: tuple[str, ...] = LABELLED) -> Weights:
     return Weights(tags, -0.5, frozenset(n for n in never if not n.startswith(".") and n not in keep) | {"head"}, frozenset(n[1:] for n in never if n.startswith(".") and n[1:] not in ("site", "list")))
 
 
+def _content_path(events: list[tuple[str, str, str]]) -> set[int]:
+    """Places in ``events`` of the article or main with most words, its headings, and all elements around these."""
+    stack, opens = _Open(), []
+    words: Counter[int] = Counter()
+    around: dict[int, list[int]] = {}
+    headings: dict[int, list[int]] = {}
+    for i, (kind, what, _) in enumerate(events):
+        if kind == "text":
+            n = len(what.split())
+            for at in opens:
+                if at in around:
+                    words[at] += n
+        elif kind == "open":
+            stack.opened(what)
+            del opens[len(stack.tags) - (what not in VOID) :]
+            if what not in VOID:
+                opens.append(i)
+            if what in ("article", "main"):
+                around[i] = list(opens)
+            elif what in HEADINGS:
+                for at in opens:
+                    if at in around:
+                        headings.setdefault(at, []).extend(opens)
+        else:
+            stack.closed(what)
+            del opens[len(stack.tags) :]
+    if not around:
+        return set()
+    best = max(around, key=lambda at: (words[at], len(around[at])))
+    return {*around[best], *headings.get(best, ())}
+
+
 def blocks(page: str, weights: Weights) -> list[str]:
     """The blocks of the best run of a page, in order."""
     stack, skip_at = _Open(), None
     tokens: list[tuple[float, str | None]] = []  # (score, text); None ends a block
-    for kind, what, attributes in parsed(page):
+    events = list(parsed(page))
+    path = _content_path(events)
+    for i, (kind, what, attributes) in enumerate(events):
         if kind == "text":
             if skip_at is None:
                 tokens.append((float(len(what.split())), html.unescape(what)))
@@ -177,7 +217,7 @@ def blocks(page: str, weights: Weights) -> list[str]:
             stack.opened(what)
             if skip_at is not None and len(stack.tags) <= skip_at:
                 skip_at = None
-            if skip_at is None and what not in VOID and weights.skips(what, attributes):
+            if skip_at is None and what not in VOID and weights.skips(what, "" if i in path else attributes):
                 skip_at = len(stack.tags) - 1
                 tokens.append((weights.other, None))
                 continue

@@ -40,3 +40,26 @@ def test_rows(spark):
     got = sorted(((r["page_id"], r["url"], r["n_chars"], len(r["text"])) for r in main_text.extracted(pages).collect()), key=str)
     assert got == sorted([(1, "u", 0, 0), (2, None, 0, 0), (None, "w", 15, 15), (4, "x", 1_999_999, 1_999_999), (4, "x", 4, 4), (4, "x", 4, 4)], key=str)
     assert main_text.extracted(pages.where("false")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body><div class='layout has-sidebar'><article><h1>The headline</h1><p>words of a story here</p></article></div></body>",
+        "<body><article class='post ad-free'><h1>The headline</h1><p>words of a story here</p></article></body>",
+        "<body><article><h1 class='page-header'>The headline</h1><p>words of a story here</p></article></body>",
+        "<body><article><div class='article-header'><h1>The headline</h1></div><p>words of a story here</p></article></body>",
+    ],
+)
+def test_names_do_not_leave_out_the_article_or_its_headline(page):
+    assert text(page) == ["The headline", "words of a story here"]
+
+
+def test_comments_that_are_articles_are_left_out():
+    page = "<body><article><p>first part of the story is here</p></article><section id='comments'><article class='comment'><p>a reader liked it</p></article></section></body>"
+    assert text(page) == ["first part of the story is here"]
+
+
+@pytest.mark.parametrize("tag", ["svg", "math"])
+def test_self_closed_elements_are_empty(tag):
+    assert text(f"<p>words before it</p><{tag} class='x'/><p>words after it</p>") == ["words before it", "words after it"]
