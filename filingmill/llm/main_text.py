@@ -25,6 +25,8 @@ from filingmill.llm.shared import broadcast_value, small_batches
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)/?>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Letters of scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Han.
+UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
 WHITE = re.compile(r"\s+")
 #: Elements whose content is never text of the page.
 RAW = frozenset("script style template noscript textarea title svg math iframe object canvas select".split())
@@ -170,15 +172,20 @@ def learn(pages: tuple[str, ...] = LABELLED) -> Weights:
     return Weights(tags, -0.5, frozenset(n for n in never if not n.startswith(".") and n not in keep) | {"head"}, frozenset(n[1:] for n in never if n.startswith(".") and n[1:] not in ("site", "list")))
 
 
+def _words(text: str) -> float:
+    """Words of a text; two letters of a script without spaces count as one more."""
+    return len(text.split()) + (0 if text.isascii() else len(UNSPACED.findall(text)) / 2)
+
+
 def _content_path(events: list[tuple[str, str, str]]) -> set[int]:
     """Places in ``events`` of the article or main with most words, its headings, and all elements around these."""
     stack, opens = _Open(), []
-    words: Counter[int] = Counter()
+    words: Counter = Counter()
     around: dict[int, list[int]] = {}
     headings: dict[int, list[int]] = {}
     for i, (kind, what, _) in enumerate(events):
         if kind == "text":
-            n = len(what.split())
+            n = _words(html.unescape(what))
             for at in opens:
                 if at in around:
                     words[at] += n
@@ -211,7 +218,8 @@ def blocks(page: str, weights: Weights) -> list[str]:
     for i, (kind, what, attributes) in enumerate(events):
         if kind == "text":
             if skip_at is None:
-                tokens.append((float(len(what.split())), html.unescape(what)))
+                plain = html.unescape(what)
+                tokens.append((len(what.split()) + _words(plain) - len(plain.split()), plain))
             continue
         if kind == "open":
             stack.opened(what)

@@ -63,3 +63,9 @@ def test_comments_that_are_articles_are_left_out():
 @pytest.mark.parametrize("tag", ["svg", "math"])
 def test_self_closed_elements_are_empty(tag):
     assert text(f"<p>words before it</p><{tag} class='x'/><p>words after it</p>") == ["words before it", "words after it"]
+
+
+@pytest.mark.parametrize("script", ["これは長い記事の本文です", "这是一篇很长的文章的正文", "นี่คือเนื้อหาบทความยาว"])
+def test_text_without_spaces_keeps_its_paragraphs_with_links(script):
+    page = "<body><article>" + f"<p>{script * 3}<a href='x'>{script}</a>{script * 2}</p>" * 4 + "</article></body>"
+    assert text(page) == [script * 6] * 4
