@@ -104,3 +104,22 @@ def broadcast_value(spark: SparkSession, value):
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal few rows of much work each to as many tasks as shuffles have; adaptive execution keeps their number."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in keys])
+
+
+#: Bits of the filter of ``possibly_in``, as a power of two.
+FILTER_BITS = 24
+
+
+def possibly_in(df: DataFrame, hashed: Column, members: DataFrame) -> DataFrame:
+    """Add ``__hit``: false only where ``hashed`` is none of ``members`` (h bigint).
+
+    The members set bits of a table of at most 2 ** FILTER_BITS bits, which is broadcast whatever their
+    number, so rows that can't match need no shuffle. More members than bits make hits of more rows.
+    """
+    word = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit((1 << FILTER_BITS - 6) - 1)).cast("int")
+    bit = lambda h: h.bitwiseAND(F.lit(63)).cast("int")
+    one = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    words = members.select(word(F.col("h")).alias("__word"), one.alias("one")).groupBy("__word").agg(F.bit_or("one").alias("__bits"))
+    found = df.withColumn("__hash", hashed).withColumn("__word", word(F.col("__hash")))
+    hit = F.coalesce(F.getbit("__bits", bit(F.col("__hash"))) == 1, F.lit(False))
+    return found.join(F.broadcast(words), "__word", "left").withColumn("__hit", hit).drop("__word", "__bits", "__hash")

@@ -6,13 +6,15 @@ differs in no more bits than its own threshold (-1: the part isn't probed). Thre
 so that index rows, probes and expected candidates together cost least; the expectation comes from
 counts over all fingerprints. Any such choice finds every link: it sets cost, never results.
 
-Equal fingerprints are one node. Within a bucket of many fingerprints those near the bucket's most
-frequent one are tied to it by one link each and aren't paired among themselves.
+Equal fingerprints are one node. In a bucket of many nodes those near one of its few hubs are tied
+to it first, and only nodes that no ties join are paired, so a group of near copies costs as its
+members do and not as their pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 from itertools import combinations
 from math import comb
 
@@ -28,8 +30,9 @@ from filingmill.llm.shared import small_batches, staged, text_bytes
 BITS = 64
 #: Bytes A-Z to a-z; other bytes of UTF-8 stay.
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: From this many fingerprints on, a bucket's most frequent one becomes its hub.
-HUB_FROM = 256
+#: Buckets of this many nodes have hubs, and so many of them at most.
+HUB_FROM = 32
+HUBS = 8
 #: Cost of a compared candidate against that of a shuffled row.
 CANDIDATE_COST = 0.05
 
@@ -139,13 +142,21 @@ def deal_thresholds(costs: list[list[float]], total: int) -> list[int]:
     return best[total][1]
 
 
-def plan(codes: DataFrame, tau: int) -> list[tuple[list[int], int]]:
-    """The parts to probe, with their thresholds, from counts over all codes."""
+def ball(width: int, threshold: int) -> int:
+    """Rows of a part of ``width`` bits in a search within ``threshold``: each side flips half of the bits that differ."""
+    return sum(comb(width, d) for d in range((threshold + 1) // 2 + 1)) if threshold >= 0 else 0
+
+
+def plan(codes: DataFrame, tau: int, least: Fraction | None = None) -> list[tuple[list[int], int]]:
+    """The parts to probe, with their thresholds, from counts over all nodes of ``codes`` (code, size)."""
     n, both = bit_statistics(codes)
-    cuts = {m: correlated_parts(n, both, m) for m in range(2, tau + 2)} if tau else {1: [list(range(BITS))]}
+    most = 2  # a part's threshold; numbers of parts that would need more aren't weighed
+    counts = range(max(2, -(-(tau + 1) // (most + 1))), min(tau + 1, max(6, -(-(tau + 1) // (most + 1)))) + 1)
+    cuts = {m: correlated_parts(n, both, m) for m in counts} if tau else {1: [list(range(BITS))]}
     flat = [(m, k, part) for m, parts in cuts.items() for k, part in enumerate(parts)]
-    buckets = codes.select(F.explode(F.array(*[F.struct(F.lit(i).alias("c"), F.col("code").bitwiseAND(F.lit(signed(mask_of(part)))).alias("key")) for i, (_, _, part) in enumerate(flat)])).alias("x"))
-    sizes = buckets.groupBy("x.c", "x.key").agg(F.count("*").alias("k")).groupBy("c").agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs"))
+    keys = F.array(*[F.struct(F.lit(i).alias("c"), F.col("code").bitwiseAND(F.lit(signed(mask_of(part)))).alias("key")) for i, (_, _, part) in enumerate(flat)])
+    buckets = codes.select(_size_class("size", least).alias("cls"), F.explode(keys).alias("x"))
+    sizes = buckets.groupBy("x.c", "cls", "x.key").agg(F.count("*").alias("k")).groupBy("c").agg(F.sum(F.col("k") * (F.col("k") - 1) / 2).alias("pairs"))
     pairs = {r["c"]: float(r["pairs"]) for r in sizes.collect()}
     p = np.diag(both) / max(n, 1)
     odds = np.clip(2 * p * (1 - p), 1e-6, 0.5)
@@ -154,14 +165,9 @@ def plan(codes: DataFrame, tau: int) -> list[tuple[list[int], int]]:
     for m, parts in cuts.items():
         costs = []
         for k, part in enumerate(parts):
-            base, w = pairs.get(flat.index((m, k, part)), 0.0), len(part)
-            e1 = odds[part].sum()
+            base, e1 = pairs.get(flat.index((m, k, part)), 0.0), odds[part].sum()
             grow = [1.0, 1 + e1, 1 + e1 + (e1**2 - (odds[part] ** 2).sum()) / 2]
-            row = [0.0]
-            for t in range(min(3, tau + 1)):
-                probes = sum(comb(w, d) for d in range(t + 1))
-                row.append(n * (probes + (probes > 1)) + CANDIDATE_COST * base * grow[t] * (1 + (t > 0)))
-            costs.append(row)
+            costs.append([0.0, *(n * ball(len(part), t) + CANDIDATE_COST * base * grow[t] for t in range(min(most, tau) + 1))])
         dealt = deal_thresholds(costs, tau - m + 1)
         cost = sum(c[t + 1] for c, t in zip(costs, dealt))
         if cost < chosen[0]:
@@ -169,44 +175,112 @@ def plan(codes: DataFrame, tau: int) -> list[tuple[list[int], int]]:
     return chosen[1]
 
 
-def _keyed(own: Column, part: int):
-    return lambda flip: F.struct(F.lit(part).alias("part"), own.bitwiseXOR(flip).alias("key"))
+def _size_class(size: str | Column, least: Fraction | None) -> Column:
+    """Sizes by powers of four; without a similarity of sizes all are alike."""
+    bits = F.length(F.bin(F.greatest(F.col(size) if isinstance(size, str) else size, F.lit(1))))
+    return F.shiftright(bits - 1, 1) if least else F.lit(0)
+
 
+def _flipped(own: Column, part: int, flips: int):
+    return lambda mask: F.struct(F.lit(part).alias("part"), F.lit(flips).alias("flips"), own.bitwiseXOR(mask).alias("bits"))
 
-def _keys(probed: list[tuple[list[int], int]], flips: bool) -> Column:
-    """An array of (part, key) of a code: the part's own bits, and with ``flips`` those within its threshold."""
+
+def _keys(probed: list[tuple[list[int], int]], balls: bool) -> Column:
+    """An array of (part, flips, bits) of a code: the parts' own bits, and with ``balls`` those with half a threshold flipped."""
     out = []
     for i, (part, t) in enumerate(probed):
         own = F.col("code").bitwiseAND(F.lit(signed(mask_of(part))))
-        near = [c for d in range(t + 1 if flips else 1) for c in combinations(part, d)]
-        out.append(F.transform(F.array(*[F.lit(signed(mask_of(c))) for c in near]), _keyed(own, i)))
+        for d in range((t + 1) // 2 + 1 if balls else 1):
+            masks = F.array(*[F.lit(signed(mask_of(c))) for c in combinations(part, d)])
+            out.append(F.transform(masks, _flipped(own, i, d)))
     return F.flatten(F.array(*out))
 
 
+#: Bit fields of 64 parities each, see ``_parity_allows``.
+ODD = ("odd1", "odd2", "odd3", "odd4")
+
+
+def _held(least: Fraction | None) -> list[str]:
+    return ["node", "code", *(ODD if least else ())]
+
+
+def _near(x: str, y: str, sizes: tuple[Column, Column], tau: int, least: Fraction | None) -> Column:
+    """Whether bits, and with ``least`` sizes, let two nodes link."""
+    ok = F.bit_count(F.col(f"{x}.code").bitwiseXOR(F.col(f"{y}.code"))) <= tau
+    return ok & (F.least(*sizes) * least.denominator >= F.greatest(*sizes) * least.numerator) if least else ok
+
+
+def _parity_allows(x: str, y: str, sizes: tuple[Column, Column], least: Fraction | None) -> Column:
+    """False only if the similarity is below ``least`` for certain.
+
+    ``ODD`` holds for each of 256 bits whether an odd number of a set's shingles falls on it, so two
+    sets differ in at least as many shingles as in bits; null says nothing.
+    """
+    if not least:
+        return F.lit(True)
+    up, down = least.numerator, least.denominator
+    apart = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in ODD[1:]), F.bit_count(F.col(f"{x}.{ODD[0]}").bitwiseXOR(F.col(f"{y}.{ODD[0]}"))))
+    return F.coalesce(apart * (up + down) <= (sizes[0] + sizes[1]) * (down - up), F.lit(True))
+
+
+def hub_ties(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int, least: Fraction | None = None) -> DataFrame:
+    """(a, b, allowed) of the nodes in buckets of ``HUB_FROM`` or more near their buckets' hubs: may parities let them link?
+
+    A bucket has at most ``HUBS`` hubs, one for each part of a deal by hash, so ties grow as the nodes do.
+    """
+    rows = nodes.select(*_held(least), "size", F.explode(_keys(probed, False)).alias("k"))
+    rows = rows.select(F.xxhash64("k.part", _size_class("size", least), "k.bits").alias("key"), *_held(least), "size")
+    hub = F.min(F.struct(F.xxhash64("node", "key").alias("draw"), *_held(least), "size")).alias("hub")
+    dealt = rows.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("deal")).agg(F.count("*").alias("k"), hub)
+    hubs = dealt.groupBy("key").agg(F.sum("k").alias("k"), F.collect_list("hub").alias("hubs")).where(F.col("k") >= HUB_FROM)
+    hubs = staged(hubs.select("key", F.explode("hubs").alias("h")).select("key", "h.*"), "hubs")
+    x, y = hubs.alias("x"), rows.alias("y")
+    sizes = (F.col("x.size"), F.col("y.size"))
+    met = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.node") != F.col("y.node")) & _near("x", "y", sizes, tau, least))
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), _parity_allows("x", "y", sizes, least).alias("allowed")).distinct()
+
+
+def close_pairs(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int, least: Fraction | None = None) -> DataFrame:
+    """Candidate links (a, b) of ``nodes`` (node, code, size, root) that no common root joins yet.
+
+    Of two nodes that differ within a part's threshold each flips half of the bits that differ there,
+    so both rows have the same key; sizes near a class's end are in the next class too. Both sides of
+    the join are the same rows, shuffled once.
+    """
+    held = [*_held(least), "root"]
+    own = _size_class("size", least)
+    classes = F.array_distinct(F.array(own, _size_class(F.ceil(F.col("size") * least.denominator / least.numerator), least))) if least else F.array(own)
+    rows = nodes.select(*held, "size", F.explode(classes).alias("cls"))
+    rows = rows.select(*held, "size", "cls", F.explode(_keys(probed, True)).alias("k"))
+    most = F.element_at(F.array(*[F.lit(t) for _, t in probed]), F.col("k.part") + 1)
+    tag = F.shiftleft("size", 16) + F.shiftleft(most, 8) + F.shiftleft("k.flips", 1) + (F.col("cls") != own).cast("int")
+    rows = rows.select(F.xxhash64("k.part", "cls", "k.bits").alias("key"), *held, tag.cast("bigint").alias("tag"))
+    x, y = rows.alias("x"), rows.alias("y")
+    sizes = tuple(F.shiftright(F.col(f"{s}.tag"), 16) for s in "xy")
+    flips = [F.shiftright(F.col(f"{s}.tag"), 1).bitwiseAND(F.lit(127)) for s in "xy"]
+    most = F.shiftright(F.col("x.tag"), 8).bitwiseAND(F.lit(255))
+    ok = _near("x", "y", sizes, tau, least) & _parity_allows("x", "y", sizes, least)
+    ok &= (sizes[0] < sizes[1]) | ((sizes[0] == sizes[1]) & (F.col("x.node") < F.col("y.node")))
+    ok &= (flips[1] - flips[0]).between(0, 1) & (flips[0] + flips[1] <= most)
+    ok &= F.col("x.tag").bitwiseAND(F.col("y.tag")).bitwiseAND(F.lit(1)) == 0
+    ok &= F.coalesce(F.col("x.root") != F.col("y.root"), F.lit(True))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & ok)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+
+
 def code_links(codes: DataFrame, tau: int = 3) -> DataFrame:
-    """Links (a, b) that join all codes (code, n) at ``tau`` or fewer differing bits.
+    """Links (a, b) of a graph with the same components as all pairs of codes (code) at ``tau`` or fewer differing bits.
 
-    Pairs are verified on all bits. The links are those of a graph with the same components as all
-    pairs: codes of a large bucket that are near its hub are tied to the hub alone.
+    Ties to hubs come first; only codes that these leave apart are paired.
     """
-    probed = plan(codes, tau)
-    index = codes.select("code", "n", F.explode(_keys(probed, False)).alias("x")).select("code", "n", "x.part", "x.key")
-    hubs = index.groupBy("part", "key").agg(F.count("*").alias("k"), F.max_by("code", F.struct("n", "code")).alias("hub")).where(F.col("k") >= HUB_FROM).select("part", "key", "hub")
-    hubs = staged(hubs, "hubs")
-    near_hub = F.coalesce(F.bit_count(F.col("code").bitwiseXOR(F.col("hub"))) <= tau, F.lit(False))
-    index = index.join(hubs, ["part", "key"], "left").select("part", "key", F.col("code").alias("b"), "hub", near_hub.alias("tied"))
-    index = staged(index, "index")  # both sides of the join below are scans, whose hot keys can be split
-    ties = index.where("tied and b != hub").select(F.col("hub").alias("a"), "b")
-    probes = codes.select("code", F.explode(_keys(probed, True)).alias("x")).select("x.part", "x.key", F.col("code").alias("a"))
-    if any(t for _, t in probed):
-        met = probes.join(index.select("part", "key", "b"), ["part", "key"]).where((F.col("a") != F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau))
-        return ties.unionByName(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")))
-    loose = index.where("not tied").select("part", "key", F.col("b").alias("a"))
-    right = index.select("part", "key", "b", "tied")
-    met = loose.join(right, ["part", "key"]).where(
-        (F.col("a") != F.col("b")) & (F.col("tied") | (F.col("a") < F.col("b"))) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= tau)
-    )
-    return ties.unionByName(met.select("a", "b"))
+    nodes = codes.select(F.col("code").alias("node"), "code", F.lit(1).cast("bigint").alias("size"))
+    probed = plan(nodes, tau)
+    ties = staged(hub_ties(nodes, probed, tau).drop("allowed"), "ties")
+    if not ties.isEmpty():
+        nodes = staged(nodes.join(components(ties), "node", "left"), "tied")
+    else:
+        nodes = nodes.withColumn("root", F.lit(None).cast("bigint"))
+    return ties.unionByName(close_pairs(nodes, probed, tau))
 
 
 def near_duplicates(docs: DataFrame, tau: int = 3, width: int = 3, seed: int = 42) -> DataFrame:
@@ -218,7 +292,7 @@ def near_duplicates(docs: DataFrame, tau: int = 3, width: int = 3, seed: int = 4
     component's id; repeated rows stay; an empty table gives an empty result.
     """
     rows = staged(with_fingerprints(docs, width, seed), "fingerprints")
-    codes = staged(rows.groupBy("code").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "codes")
+    codes = staged(rows.groupBy("code").agg(F.min("doc_id").alias("rep")), "codes")
     found = components(code_links(codes, tau)).withColumnRenamed("node", "code")
     rooted = codes.join(found, "code", "left").select("code", "rep", F.coalesce("root", "code").alias("root"))
     rooted = staged(rooted, "roots")
@@ -230,25 +304,3 @@ def near_duplicates(docs: DataFrame, tau: int = 3, width: int = 3, seed: int = 4
 def fingerprint_hex(code: Column) -> Column:
     """The 16 lower-case hex digits of a code."""
     return F.lower(F.lpad(F.hex(code), 16, "0"))
-
-
-def one_per_group(docs: DataFrame, tau: int = 3, width: int = 3, seed: int = 42) -> DataFrame:
-    """The rows of ``docs``, all columns, with one row of each near-duplicate component.
-
-    The row with the least doc_id stays (nulls last), among equal ids that with the least text hash;
-    of rows equal in both, one.
-    """
-    return least_of_group(docs, staged(near_duplicates(docs, tau, width, seed), "near"))
-
-
-def least_of_group(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stand for the groups of ``classes`` (doc_id, text_hash, root), a written table."""
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    kept = classes.groupBy("root").agg(F.min(order).alias("k")).select(F.col("k.doc_id").alias("kept_id"), F.col("k.text_hash").alias("kept_hash"))
-    kept = staged(kept, "kept")
-    repeated = classes.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count()
-    own = docs.join(kept, docs["doc_id"].cast("bigint").eqNullSafe(kept["kept_id"]) & (F.xxhash64(docs["text"]) == kept["kept_hash"]), "left_semi")
-    if not repeated:
-        return own
-    mark = "__row_hash"
-    return own.withColumn(mark, F.xxhash64("text")).dropDuplicates(["doc_id", mark]).drop(mark)

@@ -50,3 +50,26 @@ def hits(text, items, width=10):
                 marks.update(range(i, i + n))
                 met.add(str(item))
     return len(doc), len(marks), len(met), hashlib.sha256(",".join(sorted(met)).encode()).hexdigest(), bool(marks)
+
+
+def shingles(text, width=5):
+    words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def near_texts(texts, tau=11):
+    """The index of the first member of each text's group: fingerprints within tau bits and a Jaccard similarity of 0.8."""
+    codes, sets, parent = [simhash(t) for t in texts], [shingles(t) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            a, b = sets[i], sets[j]
+            if a == b or (codes[i] ^ codes[j]).bit_count() <= tau and 5 * len(a & b) >= 4 * len(a | b):
+                x, y = find(i), find(j)
+                parent[max(x, y)] = min(x, y)
+    return [find(i) for i in range(len(texts))]

@@ -1,32 +1,10 @@
 import random
 
+import brute
 import corpus_pipeline
 import pytest
 
-from filingmill.llm import jaccard
-
-
-def shingles(text):
-    words = (text or "").lower().split()
-    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
-
-
-def brute_kept(rows):
-    """The ids left when texts of Jaccard 0.8 or more are linked and each component keeps its least."""
-    sets, parent = [shingles(t) for _, t in rows], list(range(len(rows)))
-
-    def find(i):
-        while parent[i] != i:
-            i = parent[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            a, b = sets[i], sets[j]
-            if a == b or 5 * len(a & b) >= 4 * len(a | b):
-                x, y = find(i), find(j)
-                parent[max(x, y)] = min(x, y)
-    return [rows[i][0] for i in range(len(rows)) if find(i) == i]
+from filingmill.llm import near_text, simhash
 
 
 def near_rows():
@@ -50,11 +28,30 @@ def near_rows():
 def test_groups_equal_brute_force(spark, edge_docs, no_docs):
     rows = near_rows()
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert sorted(r["doc_id"] for r in jaccard.one_per_group(docs).collect()) == brute_kept(rows)
-    kept = jaccard.one_per_group(edge_docs)
+    first = brute.near_texts([t for _, t in rows])
+    assert sorted(r["doc_id"] for r in near_text.one_per_group(docs).collect()) == [i for i, _ in rows if first[i] == i]
+    kept = near_text.one_per_group(edge_docs)
     assert kept.columns == edge_docs.columns
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == [1, 10, 11, 3, 6, 7, None]
-    assert jaccard.one_per_group(no_docs).count() == 0
+    assert near_text.one_per_group(no_docs).count() == 0
+
+
+def test_a_dense_group_is_whole_and_pairs_few(spark, monkeypatch):
+    """Copies near a common text, most of them too far from each other: hubs tie, parities rule out the rest."""
+    r = random.Random(5)
+    base = [f"w{r.randrange(3000)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for k in range(120):
+        copy = list(base)
+        for at in r.sample(range(150), 1 + k % 5):
+            copy[at] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    paired = []
+    monkeypatch.setattr(near_text, "close_pairs", lambda *a: paired.append(simhash.close_pairs(*a)) or paired[-1])
+    first = brute.near_texts(texts)
+    assert sorted(r["doc_id"] for r in near_text.one_per_group(docs).collect()) == sorted(set(first))
+    assert paired[0].count() < 120 * 119 / 8
 
 
 @pytest.mark.parametrize("changed", [3, 4])

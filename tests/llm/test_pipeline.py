@@ -17,7 +17,7 @@ def test_run_equals_brute_force(spark):
     docs = table(spark, SF, "documents")
     model = quality.train(docs, table(spark, SF, "labels"))
     rows = [r for r in docs.orderBy("doc_id").collect() if model.scores(quality.features(r["text"])[None])[0] >= quality.THRESHOLD]
-    first = brute.classes([brute.simhash(r["text"]) for r in rows])
+    first = brute.near_texts([r["text"] for r in rows])
     rows = [r for i, r in enumerate(rows) if first[i] == i]
     items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
     rows = [r for r in rows if not brute.hits(r["text"], items)[1]]

@@ -27,17 +27,6 @@ def test_edges(edge_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
-def test_one_per_group_keeps_columns_and_one_row(edge_docs, no_docs):
-    kept = simhash.one_per_group(edge_docs)
-    assert kept.columns == edge_docs.columns
-    got = [r["doc_id"] for r in kept.collect()]
-    rows = edge_docs.select("doc_id", "text").collect()
-    first = brute.classes([brute.simhash(r["text"]) for r in rows])
-    assert len(got) == len(set(first))
-    assert got.count(8) == 0 and got.count(1) == 1 and got.count(3) == 1 and None in got
-    assert simhash.one_per_group(no_docs).count() == 0
-
-
 @pytest.mark.parametrize("tau", [1, 2, 3, 4])
 def test_links_are_whole_for_any_plan(spark, tau, monkeypatch):
     draw = np.random.default_rng(tau)
