@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.llm import decontaminate, jaccard, mixing, quality, token_file
+from filingmill.llm import decontaminate, mixing, near_text, quality, token_file
 from filingmill.llm.queries import BYTE_BPE, even_weight, family, table
 from filingmill.llm.shared import staged
 
@@ -24,7 +24,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (0.8 of their five-word shingles) stays, that of the least doc_id."""
-    return jaccard.one_per_group(docs)
+    return near_text.one_per_group(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
