@@ -167,36 +167,39 @@ def write_token_files(docs: DataFrame, vocabulary: str, directory: str, end_id:
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
-    """(part, pos, doc_id, n_tokens, ids_crc32, first) of every document in the archives, frame by frame.
+    """(part, pos, doc_id, n_tokens, ids_crc32, start) of every document in the archives, frame by frame.
 
-    ``pos`` numbers the documents of a file; ``first`` is the number of ids before it in its file.
+    ``files`` has (part, uri, before), ``before`` being the number of ids in the files before, see
+    ``with_starts``. ``pos`` numbers the documents of a file; ``start`` is the number of ids before one.
     """
-    schema = pa.schema([("part", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("first", pa.int64())])
+    schema = pa.schema([("part", pa.int32()), ("pos", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("start", pa.int64())])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, uri in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                reader, pos, first = TokenFileReader(uri), 0, 0
+            for part, uri, start in zip(*[c.to_pylist() for c in batch.columns]):
+                reader, pos = TokenFileReader(uri), 0
                 for k in range(len(reader.frames)):
                     rows = []
                     for d, b in reader.frame(k):
-                        rows.append({"part": part, "pos": pos, "doc_id": d, "n_tokens": len(b) // 4, "ids_crc32": zlib.crc32(b), "first": first})
-                        pos, first = pos + 1, first + len(b) // 4
+                        rows.append({"part": part, "pos": pos, "doc_id": d, "n_tokens": len(b) // 4, "ids_crc32": zlib.crc32(b), "start": start})
+                        pos, start = pos + 1, start + len(b) // 4
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
                 reader.close()
 
-    return spread(files.select("part", "uri"), "part").mapInArrow(made, "part int, pos bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint, first bigint")
+    return spread(files.select("part", "uri", "before"), "part").mapInArrow(made, "part int, pos bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint, start bigint")
 
 
-def file_starts(files: DataFrame) -> DataFrame:
-    """(part, before): the ids of all files before each; one row per file goes to one task."""
+def with_starts(files: DataFrame) -> DataFrame:
+    """Add ``before``, the ids of all files before each; one row per file goes to one task."""
     before = F.sum("n_tokens").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    return files.select("part", F.coalesce(before, F.lit(0)).alias("before"))
+    return files.withColumn("before", F.coalesce(before, F.lit(0)))
 
 
 def token_table(docs: DataFrame, vocabulary: str, end_id: int = 0) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) per document, read back from archives written for ``docs``."""
+    """(doc_id, start, n_tokens, ids_crc32) per document, read back from archives written for ``docs``.
+
+    Order, nulls and ties are those of ``write_token_files``; other columns are ignored.
+    """
     directory = fresh_dir(docs.sparkSession, "token-ids")
     files = write_token_files(docs, vocabulary, directory, end_id)
-    starts = file_starts(files)
-    return read_token_files(files).join(starts, "part").select("doc_id", (F.col("before") + F.col("first")).alias("start"), "n_tokens", "ids_crc32")
+    return read_token_files(with_starts(files)).select("doc_id", "start", "n_tokens", "ids_crc32")
