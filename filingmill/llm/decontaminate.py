@@ -20,8 +20,8 @@ from filingmill.llm.shared import broadcast_value, small_batches, staged
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
-#: Bytes of item text in one broadcast block; more items are scanned in more blocks.
-BLOCK_BYTES = 16 << 20
+#: Bytes of item text in one broadcast block, about a window for every six; more items are scanned in more blocks.
+BLOCK_BYTES = 4 << 20
 _ODD = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 
@@ -126,7 +126,7 @@ def _scanned(rows: DataFrame, windows: WindowSet, last: bool) -> DataFrame:
 def hits(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items) per row of ``docs`` (doc_id, text).
 
-    ``items`` has (item_id, text). Null and empty texts have no words and no hits; repeated rows and
+    ``items`` has (item_id, text). doc_id is an integer; texts of any length are scanned whole. Null and empty texts have no words and no hits; repeated rows and
     null ids are kept one to one; repeated items count once by item_id, and items without an id have
     the name "None"; an empty table of items leaves every document clean; other columns are ignored.
     More items than one block take one more pass over the texts for each block, with the marks so
@@ -149,15 +149,18 @@ def without_hits(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes
     """``docs``, all columns, without contaminated documents, or with the hit spans cut from their texts.
 
     A span reaches from the first to the last hit word of a stretch of hits; the texts around it are
-    joined by one space. Clean texts, null ones included, stay as they are.
+    joined by one space. The hits of all items are gathered before anything is cut, so spans don't
+    depend on the blocks. Clean texts, null ones included, stay as they are, as do repeated rows.
     """
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     small_batches(docs.sparkSession)
+    own = docs.columns
+    rows = docs if remove == "documents" else docs.withColumn("__marks", F.lit(None).cast("binary"))
     for block in item_blocks(items, block_bytes):
         held = broadcast_value(docs.sparkSession, WindowSet(block, width))
-        docs = docs.where(_clean_udf(held)("text")) if remove == "documents" else docs.withColumn("text", _cut_udf(held)("text"))
-    return docs
+        rows = rows.where(_clean_udf(held)("text")) if remove == "documents" else rows.withColumn("__marks", _marks_udf(held)("text", "__marks"))
+    return rows if remove == "documents" else rows.withColumn("text", _cut_udf()("text", "__marks")).select(*own)
 
 
 def _clean_udf(held):
@@ -168,23 +171,35 @@ def _clean_udf(held):
     return clean
 
 
-def _cut_udf(held):
+def _marks_udf(held):
+    @F.pandas_udf("binary")
+    def marked(texts: pd.Series, marks: pd.Series) -> pd.Series:
+        out = []
+        for text, before in zip(texts, marks):
+            hit, _ = held.value.scan(words(text))
+            if before is not None:
+                hit |= np.unpackbits(np.frombuffer(before, np.uint8), count=len(hit)).astype(bool)
+            out.append(np.packbits(hit).tobytes() if hit.any() else None)
+        return pd.Series(out, dtype=object)
+
+    return marked
+
+
+def _cut_udf():
     @F.pandas_udf("string")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([_cut(t, held.value) for t in texts], dtype=object)
+    def cut(texts: pd.Series, marks: pd.Series) -> pd.Series:
+        return pd.Series([_cut(t, m) for t, m in zip(texts, marks)], dtype=object)
 
     return cut
 
 
-def _cut(text: str | None, windows: WindowSet) -> str | None:
-    if not text:
+def _cut(text: str | None, marks: bytes | None) -> str | None:
+    if not text or marks is None:
         return text
     raw = text.encode()
     spans = [m.span() for m in WORD.finditer(raw.translate(LOWER))]
-    hit, _ = windows.scan([raw[a:b].translate(LOWER) for a, b in spans])
-    if not hit.any():
-        return text
-    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.astype(np.int8), [0]))))
+    hit = np.unpackbits(np.frombuffer(marks, np.uint8), count=len(spans)).astype(np.int8)
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit, [0]))))
     out, at = [], 0
     for first, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
         out.append(raw[at : spans[first][0]].decode().rstrip())

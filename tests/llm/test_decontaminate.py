@@ -37,3 +37,12 @@ def test_spans_are_cut(spark, items):
     assert got == {1: "Before, . After", 2: "clean  text\n", 3: None, 4: ""}
     with pytest.raises(ValueError):
         decontaminate.without_hits(held, items, remove="x")
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 40])
+def test_spans_of_overlapping_items_do_not_depend_on_blocks(spark, block_bytes):
+    names = [f"w{i}" for i in range(30)]
+    overlapping = spark.createDataFrame([(1, " ".join(names[:15])), (2, " ".join(names[8:21]))], "item_id bigint, text string")
+    held = spark.createDataFrame([(1, " ".join(names)), (1, " ".join(names))], "doc_id bigint, text string")
+    got = decontaminate.without_hits(held, overlapping, block_bytes=block_bytes, remove="spans")
+    assert [r["text"] for r in got.collect()] == [" ".join(names[21:])] * 2
