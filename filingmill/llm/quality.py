@@ -3,7 +3,8 @@
 The strength of a document is a weighted sum of features of its whole text. Weights maximise the
 likelihood that the better document of each pair wins, that is, the logistic loss on the difference
 of features. Strengths become scores by a logistic curve placed so that a quantile of the labelled
-documents' strengths falls on the score threshold.
+documents' strengths falls on the score threshold: by default the quantile at the share of documents
+labelled 0, so that as many labelled documents fall below the threshold as are labelled so.
 """
 
 from __future__ import annotations
@@ -104,8 +105,20 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def fit(x: np.ndarray, label: np.ndarray, threshold: float = THRESHOLD, pairs_each: int = PAIRS_EACH, penalty: float = 1e-4, steps: int = 400, seed: int = 7) -> Model:
-    """Fit from features and 0/1 labels. With only one label all scores are equal and above the threshold."""
+def quantile_cut(strength: np.ndarray, level: float) -> float:
+    """The strength with a share ``level`` of all below it, midway between its neighbours; ties stay on one side."""
+    ranked = np.sort(strength)
+    k = min(max(round(level * len(ranked)), 0), len(ranked))
+    if k in (0, len(ranked)):
+        return float(ranked[0] - 1 if k == 0 else ranked[-1] + 1)
+    return float((ranked[k - 1] + ranked[k]) / 2)
+
+
+def fit(x: np.ndarray, label: np.ndarray, threshold: float = THRESHOLD, level: float | None = None, pairs_each: int = PAIRS_EACH, penalty: float = 1e-4, steps: int = 400, seed: int = 7) -> Model:
+    """Fit from features and 0/1 labels; ``level`` is the quantile of the strengths that scores ``threshold``.
+
+    With only one label all scores are equal and above the threshold.
+    """
     n_features = x.shape[1] if x.ndim == 2 else N_FEATURES
     if not len(x) or label.min() == label.max():
         return Model(np.zeros(n_features), np.zeros(n_features), -1.0, 1.0, threshold)
@@ -126,12 +139,7 @@ def fit(x: np.ndarray, label: np.ndarray, threshold: float = THRESHOLD, pairs_ea
         m, v = 0.9 * m + 0.1 * gradient, 0.999 * v + 0.001 * gradient**2
         w -= 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     strength = z @ w
-    order = np.argsort(strength, kind="stable")
-    ranked, marks = strength[order], label[order]
-    wrong = np.concatenate(([0], np.cumsum(marks == 1))) + ((marks == 0).sum() - np.concatenate(([0], np.cumsum(marks == 0))))
-    edges = np.concatenate(([ranked[0] - 1], (ranked[:-1] + ranked[1:]) / 2, [ranked[-1] + 1]))
-    best = np.flatnonzero(wrong <= wrong.min() + len(z) // 2000)
-    cut = float(edges[best[len(best) // 2]])
+    cut = quantile_cut(strength, float((label == 0).mean()) if level is None else level)
     return Model(mean, w / spread, cut, float(1 / (strength.std() + 1e-9) * 2), threshold)
 
 
@@ -141,17 +149,19 @@ def held_out(doc_id: str | Column) -> Column:
     return F.coalesce(F.crc32(col.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> Model:
-    """Fit on the labelled documents that aren't held out, at most ``max_labelled`` of them."""
+def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD, level: float | None = None) -> Model:
+    """Fit on the labelled documents that aren't held out, at most ``max_labelled`` of them, one row for each doc_id.
+
+    Ids whose labels disagree are left out; of documents with one id that of the least features counts.
+    """
     small_batches(docs.sparkSession)
-    chosen = labels.where(~held_out("doc_id") & F.col("quality").isin(0, 1)).select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_labelled)
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("quality", _features_udf()("text").alias("x"))
-    got = rows.collect()
+    known = labels.where(~held_out("doc_id") & F.col("quality").isin(0, 1)).groupBy(F.col("doc_id").cast("bigint").alias("doc_id"))
+    known = known.agg(F.min("quality").cast("int").alias("quality"), F.max("quality").alias("most")).where("quality = most").drop("most")
+    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", _features_udf()("text").alias("x"))
+    got = sorted(rows.groupBy("doc_id", "quality").agg(F.min("x").alias("x")).collect())
     x = np.array([np.frombuffer(r["x"], np.float32) for r in got]) if got else np.zeros((0, N_FEATURES))
-    label = np.array([r["quality"] for r in got], dtype=np.int64)
-    order = np.lexsort([*x.T[:4], label]) if len(got) else []
-    return fit(x[order], label[order], threshold) if len(got) else fit(x, label, threshold)
+    return fit(x, np.array([r["quality"] for r in got], dtype=np.int64), threshold, level)
 
 
 def _features_udf():
@@ -172,20 +182,21 @@ def score_column(model: Model, text: str | Column = "text") -> Column:
     return score(text)
 
 
-def scored(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD, level: float | None = None) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row of ``docs`` (doc_id, text), by ``labels`` (doc_id, quality).
 
-    Null texts score as empty ones; rows without a doc_id are held out; repeated rows are kept one
-    to one; labels other than 0 and 1 are ignored; other columns are ignored; without labels of both
-    kinds every document is accepted.
+    doc_id is an integer. Null texts score as empty ones, whole texts of any length are scored; rows
+    without a doc_id are held out; repeated rows are kept one to one; labels other than 0 and 1 are
+    ignored; other columns are ignored; without labels of both kinds every document is accepted; an
+    empty table stays empty.
     """
     small_batches(docs.sparkSession)
-    model = train(docs, labels, max_labelled, threshold)
+    model = train(docs, labels, max_labelled, threshold, level)
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), score_column(model).alias("score"))
     return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score reaches the threshold."""
+def accepted(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, threshold: float = THRESHOLD, level: float | None = None) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score reaches the threshold; nulls, repeats and empty tables as in ``scored``."""
     small_batches(docs.sparkSession)
-    return docs.where(score_column(train(docs, labels, max_labelled, threshold)) >= threshold)
+    return docs.where(score_column(train(docs, labels, max_labelled, threshold, level)) >= threshold)
