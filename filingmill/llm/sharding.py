@@ -4,7 +4,7 @@ At every level each child draws a straw from the row's key and the child's name,
 child's weight, and the row goes to the child with the longest. Straws of children whose weight is
 unchanged are unchanged, so a change moves rows only into the subtrees that gained weight and out
 of those that lost it. ``grown_tree`` adds shards as regions of their own, which makes every added
-shard take rows only into itself.
+shard take rows only into itself, at any number of shards from its base on.
 """
 
 from __future__ import annotations
@@ -33,14 +33,19 @@ class Node:
 
 
 def grown_tree(shards: int, base: int = 8, racks: int = 2, per_rack: int = 2) -> Node:
-    """The first ``base`` shards in regions of ``racks`` racks of ``per_rack`` shards, each later one a region of its own."""
-    regions, first = [], min(base, shards) if shards >= base else 0
-    for r, at in enumerate(range(0, first, racks * per_rack)):
+    """The first ``base`` shards in regions of ``racks`` racks of ``per_rack`` shards, each later one a region of its own.
+
+    ``base`` is settled when a store is set up and stays as it grows; fewer shards than that are an error.
+    """
+    if not 0 < base <= shards:
+        raise ValueError("base is between 1 and the number of shards")
+    regions = []
+    for r, at in enumerate(range(0, base, racks * per_rack)):
         kids = []
-        for k, lo in enumerate(range(at, min(at + racks * per_rack, first), per_rack)):
-            kids.append(Node(f"r{r}/k{k}", children=tuple(Node(f"r{r}/k{k}/s{s}", s) for s in range(lo, min(lo + per_rack, first)))))
+        for k, lo in enumerate(range(at, min(at + racks * per_rack, base), per_rack)):
+            kids.append(Node(f"r{r}/k{k}", children=tuple(Node(f"r{r}/k{k}/s{s}", s) for s in range(lo, min(lo + per_rack, base)))))
         regions.append(Node(f"r{r}", children=tuple(kids)))
-    regions += [Node(f"own{s}", children=(Node(f"own{s}/k", children=(Node(f"own{s}/k/s{s}", s),)),)) for s in range(first, shards)]
+    regions += [Node(f"own{s}", children=(Node(f"own{s}/k", children=(Node(f"own{s}/k/s{s}", s),)),)) for s in range(base, shards)]
     return Node("root", children=tuple(regions))
 
 
@@ -65,36 +70,40 @@ def descend(key: Column, node: Node) -> Column:
     return out
 
 
-def with_slots(rows: DataFrame, order: list[str]) -> DataFrame:
-    """Add ``slot``, gapless from 0 within each ``shard``.
+def with_slots(rows: DataFrame) -> DataFrame:
+    """Add ``slot``, gapless from 0 within each ``shard``, to rows that are dealt and ordered by all their columns.
 
-    Rows of a shard are dealt by a hash of ``order`` into buckets of about ``SLOT_ROWS``, numbered
-    there, and offset by the sizes of the buckets before; no task holds a whole shard.
+    Equal rows are counted before the shuffle and get consecutive slots. The rest of a shard's rows are
+    dealt by hash into buckets of about ``SLOT_ROWS``, numbered there, and offset by the sizes of the
+    buckets before; no task holds a whole shard.
     """
-    total = rows.count()
-    buckets = max(8, total // SLOT_ROWS)
-    dealt = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    sizes = dealt.groupBy("shard", "__bucket").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    own = rows.columns
+    buckets = max(8, rows.count() // SLOT_ROWS)
+    dealt = rows.groupBy(*own).agg(F.count("*").alias("__n")).withColumn("__bucket", F.pmod(F.xxhash64(*own), F.lit(buckets)))
+    sizes = rows.withColumn("__bucket", F.pmod(F.xxhash64(*own), F.lit(buckets))).groupBy("shard", "__bucket").agg(F.count("*").alias("__rows"))
+    before = F.sum("__rows").over(Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select("shard", "__bucket", F.coalesce(before, F.lit(0)).alias("__start"))
-    own = F.row_number().over(Window.partitionBy("shard", "__bucket").orderBy(*order)) - 1
-    numbered = dealt.withColumn("__own", own).join(starts, ["shard", "__bucket"])
-    return numbered.withColumn("slot", F.col("__start") + F.col("__own")).drop("__start", "__own", "__bucket")
+    inside = F.sum("__n").over(Window.partitionBy("shard", "__bucket").orderBy(*[c for c in own if c != "shard"]).rowsBetween(Window.unboundedPreceding, -1))
+    numbered = dealt.withColumn("__first", F.coalesce(inside, F.lit(0))).join(starts, ["shard", "__bucket"])
+    each = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1))
+    return numbered.select(*own, (F.col("__start") + F.col("__first")).alias("__first"), each.alias("__own")).select(*own, (F.col("__first") + F.col("__own")).alias("slot"))
 
 
-def sharded(docs: DataFrame, shards: int = 8, tree: Node | None = None, grown: Node | None = None) -> DataFrame:
+def sharded(docs: DataFrame, shards: int = 8, base: int | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per row of ``docs`` (doc_id, text).
 
-    Law ``key``: the doc_id and the tree alone decide the shard. Null texts have size 1 and the
-    checksum of no bytes; a null doc_id is a key of its own; repeated rows share a shard and have
-    slots of their own; an empty table gives an empty result; other columns are ignored.
+    Law ``key``: the doc_id and the tree alone decide the shard, and ``grown_shard`` is that of one
+    more shard. ``base`` is that of ``grown_tree``, by default all shards but 8 at most. doc_id is an integer. Null
+    texts have size 1 and the checksum of no bytes; a null doc_id is a key of its own; repeated rows
+    share a shard and have slots of their own; very long texts are checked whole; an empty table
+    gives an empty result; other columns are ignored.
     """
-    tree = tree or grown_tree(shards)
-    grown = grown or grown_tree(shards + 1)
+    base = min(8, shards) if base is None else base
+    tree, grown = grown_tree(shards, base), grown_tree(shards + 1, base)
     key = F.col("doc_id").cast("bigint")
     rows = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1).alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
     ).select("*", F.lit("key").alias("law"), descend(key, tree).alias("shard"), descend(key, grown).alias("grown_shard"))
-    return with_slots(rows, ["doc_id", "text_crc32", "size"])
+    return with_slots(rows).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
