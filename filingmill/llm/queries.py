@@ -93,14 +93,20 @@ def family(source: Column) -> Column:
     return F.concat(F.lit("family"), (F.crc32(F.coalesce(source, F.lit("")).cast("binary")) % 4).cast("string"))
 
 
-def even_weight(path: tuple[str, ...]) -> float:
-    """Siblings weigh the same at every level."""
-    return 1.0
+#: Target weights among the languages of a family; others weigh 1. Families weigh by their number, sources are even.
+LANGUAGE_WEIGHTS = {"en": 4.0, "de": 2.0, "fr": 2.0, "es": 1.0}
+
+
+def target_weight(path: tuple[str, ...]) -> float:
+    """The weight of a domain, language or source among its siblings."""
+    if len(path) == 1:
+        return 1.0 + int(path[0][-1])
+    return LANGUAGE_WEIGHTS.get(path[1], 1.0) if len(path) == 2 else 1.0
 
 
 @query
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.selected(table(spark, sf_dir, "documents"), family(F.col("source")), even_weight, max_epochs=2)
+    return mixing.selected(table(spark, sf_dir, "documents"), family(F.col("source")), target_weight, max_epochs=2)
 
 
 @query

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import struct
 
 import xxhash
 
@@ -73,3 +74,70 @@ def near_texts(texts, tau=11):
                 x, y = find(i), find(j)
                 parent[max(x, y)] = min(x, y)
     return [find(i) for i in range(len(texts))]
+
+
+def split(total, kids):
+    """A total split among kids {name: (weight, supply)} by weight; what one lacks goes to the others, in whole tokens."""
+    given, left = {}, total
+    open_ = {k: v for k, v in kids.items() if v[0] > 0 and v[1] > 0}
+    while open_:
+        whole = sum(w for w, _ in open_.values())
+        full = [k for k, (w, s) in open_.items() if s <= left * w / whole]
+        if not full:
+            break
+        for k in full:
+            given[k] = open_.pop(k)[1]
+            left -= given[k]
+    exact = {k: left * w / sum(v for v, _ in open_.values()) for k, (w, _) in open_.items()}
+    given |= {k: int(x) for k, x in exact.items()}
+    spare = left - sum(int(x) for x in exact.values())
+    for k in sorted(exact, key=lambda k: (int(exact[k]) - exact[k], k))[:spare]:
+        given[k] += given[k] < open_[k][1]
+    return given
+
+
+def budgets(leaves, total, weight, epochs):
+    """Budgets of {path: tokens}, level by level."""
+
+    def below(path, total):
+        depth = len(path)
+        names = {p[depth] for p in leaves if p[:depth] == path}
+        kids = {n: (weight((*path, n)), epochs * sum(t for p, t in leaves.items() if p[: depth + 1] == (*path, n))) for n in names}
+        for n, share in split(total, kids).items():
+            if depth == 2:
+                out[(*path, n)] = share
+            else:
+                below((*path, n), share)
+
+    out = {}
+    below((), total)
+    return out
+
+
+def draw(doc_id, text, epoch, seed=11):
+    """The place of a document in its leaf's order: XXH64 chained over text, id, epoch and seed, without its last bit."""
+    h = 42 if text is None else xxhash.xxh64_intdigest(text.encode(), 42)
+    h = h - (1 << 64) if h >> 63 else h
+    out = 42
+    for x, form in ((doc_id, "<q"), (h, "<q"), (epoch, "<i"), (seed, "<i")):
+        if x is not None:
+            out = xxhash.xxh64_intdigest(struct.pack(form, x), out)
+    return out >> 1
+
+
+def mixed(rows, total, weight, epochs, tokens):
+    """Selected (index, epoch) of rows (doc_id, text, domain, lang, source)."""
+    leaves = {}
+    for i, r in enumerate(rows):
+        leaves.setdefault(tuple(x or "" for x in r[2:5]), []).append(i)
+    sizes = {p: sum(tokens[i] for i in own) for p, own in leaves.items()}
+    given, out = budgets(sizes, total, weight, epochs), []
+    for path, own in leaves.items():
+        for e in range(epochs):
+            room, at, last = min(sizes[path], given.get(path, 0) - e * sizes[path]), 0, None
+            for i in sorted(own, key=lambda i: draw(rows[i][0], rows[i][1], e)):
+                if at < room or room > 0 and draw(rows[i][0], rows[i][1], e) == last:
+                    out.append((i, e))
+                    last = draw(rows[i][0], rows[i][1], e)
+                at += tokens[i]
+    return sorted(out)

@@ -4,11 +4,10 @@ import brute
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
-from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from filingmill.llm import mixing, quality
-from filingmill.llm.queries import QUERIES, even_weight, family, table
+from filingmill.llm import quality
+from filingmill.llm.queries import QUERIES, table, target_weight
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,25 +20,14 @@ def test_run_equals_brute_force(spark):
     rows = [r for i, r in enumerate(rows) if first[i] == i]
     items = [tuple(r) for r in table(spark, SF, "benchmark").select("item_id", "text").collect()]
     rows = [r for r in rows if not brute.hits(r["text"], items)[1]]
-    left = spark.createDataFrame([tuple(r) for r in rows], docs.schema)
-    marked = left.select("doc_id", "text", *mixing.leaf_columns(family(F.col("source"))), mixing.tokens_of().alias("t"), F.lit(0).alias("epoch")).withColumn("draw", mixing._draw(11)).collect()
-    leaves = {}
-    for r in marked:
-        leaves.setdefault((r["__domain"], r["__lang"], r["__source"]), []).append(r)
-    sizes = {k: sum(r["t"] for r in v) for k, v in leaves.items()}
-    budgets = mixing.plan(sizes, int(corpus_pipeline.MIX_SHARE * sum(sizes.values())), even_weight, 1)
-    kept = []
-    for path, own in leaves.items():
-        at = 0
-        for r in sorted(own, key=lambda r: r["draw"]):
-            if at < budgets[path]:
-                kept.append(r)
-            at += r["t"]
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = [(r["doc_id"], r["text"], f"family{zlib.crc32((r['source'] or '').encode()) % 4}", r["lang"], r["source"]) for r in rows]
+    tokens = [len(library.encode(r[1] or "", add_special_tokens=False).ids) + 1 for r in rows]
+    kept = [rows[i] for i, _ in brute.mixed(rows, int(corpus_pipeline.MIX_SHARE * sum(tokens)), target_weight, 1, tokens)]
     want, at = [], 0
-    for r in sorted(kept, key=lambda r: r["doc_id"]):
-        ids = np.array([*library.encode(r["text"], add_special_tokens=False).ids, 0], "<u4")
-        want.append((r["doc_id"], at, len(ids), zlib.crc32(ids.tobytes())))
+    for r in sorted(kept):
+        ids = np.array([*library.encode(r[1], add_special_tokens=False).ids, 0], "<u4")
+        want.append((r[0], at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == want
     assert 0 < len(want) < docs.count()
