@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from filingmill.llm import decontaminate, mixing, near_text, quality, token_file
-from filingmill.llm.queries import BYTE_BPE, even_weight, family, table
+from filingmill.llm.queries import BYTE_BPE, family, table, target_weight
 from filingmill.llm.shared import staged
 
 #: The mixture's token budget as a share of what reaches that stage.
@@ -33,8 +33,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources of even weight fill a budget of most tokens, none repeated: only the largest are cut."""
-    return mixing.mixed(docs, family(F.col("source")), even_weight, total=MIX_SHARE)
+    """Families, languages and sources of stated weights fill a budget of most tokens, none repeated: few sources are cut."""
+    return mixing.mixed(docs, family(F.col("source")), target_weight, total=MIX_SHARE)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
