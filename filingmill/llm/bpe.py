@@ -178,3 +178,8 @@ def id_bytes(path: str, text: str) -> bytes:
 def id_count(path: str, text: str) -> int:
     """The number of a text's ids."""
     return _held(path, "count", len, sum).total(text)
+
+
+def release() -> None:
+    """Free the caches of this process: other work that begins in a worker calls it, so stages don't add up their memory."""
+    _HELD.clear()

@@ -9,22 +9,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from filingmill.llm.shared import staged
+from filingmill.llm.shared import drop_dirs, staged
 
 
 def _least(sym: DataFrame) -> DataFrame:
     return sym.groupBy("u").agg(F.min("v").alias("m"))
 
 
-def _step(links: DataFrame, large: bool) -> DataFrame:
+def _step(links: DataFrame, large: bool, scratch: list[str]) -> DataFrame:
     """One star step over links (a, b) with a < b; returns links of the same form."""
     up = links.select(F.col("b").alias("u"), F.col("a").alias("v"))
     if large:
         sym = up.unionByName(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        least = staged(_least(sym).select("u", F.least("m", "u").alias("m")), "star")
+        least = staged(_least(sym).select("u", F.least("m", "u").alias("m")), "star", scratch)
         moved = sym.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("m").alias("a"), F.col("v").alias("b"))
     else:
-        least = staged(_least(up), "star")
+        least = staged(_least(up), "star", scratch)
         moved = up.join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
         moved = moved.unionByName(least.select(F.col("m").alias("a"), F.col("u").alias("b")))
     return moved.where(F.col("a") < F.col("b")).distinct()
@@ -34,10 +34,12 @@ def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a bigint, b bigint); root is the least node reachable.
 
     Self links are ignored, repeated links and either direction count once, nulls are dropped. An
-    empty table gives an empty result. Nodes without a link are not listed.
+    empty table gives an empty result. Nodes without a link are not listed. Tables of earlier steps are
+    deleted as soon as the next is written; the last one holds the result.
     """
+    used: list[str] = []
     now = staged(
-        links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"
+        links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links", used
     )
     mark = None
     while True:
@@ -45,6 +47,9 @@ def components(links: DataFrame) -> DataFrame:
         if not seen["n"] or (seen["n"], seen["x"]) == mark:
             break
         mark = (seen["n"], seen["x"])
-        now = staged(_step(staged(_step(now, True), "links"), False), "links")
+        last: list[str] = []
+        now = staged(_step(staged(_step(now, True, used), "links", used), False, used), "links", last)
+        drop_dirs(links.sparkSession, used)
+        used = last
     roots = now.groupBy("b").agg(F.min("a").alias("root")).select(F.col("b").alias("node"), "root")
     return roots.unionByName(now.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())

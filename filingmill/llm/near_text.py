@@ -21,8 +21,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filingmill.llm import bpe
 from filingmill.llm.components import components
-from filingmill.llm.shared import possibly_in, small_batches, staged, text_bytes
+from filingmill.llm.shared import drop_dirs, possibly_in, small_batches, staged, text_bytes
 from filingmill.llm.simhash import ODD, close_pairs, fingerprint, hub_ties, plan, shingle_hashes
 
 #: Differing bits of 64 within which texts are candidates.
@@ -62,6 +63,7 @@ def with_sets(docs: DataFrame, width: int, probe_width: int) -> DataFrame:
     schema = pa.schema([(n, pa.int64()) for n in names])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe.release()
         for batch in batches:
             nodes, codes, sizes, odd = [], [], [], []
             for t in batch.column(2).to_pylist():
@@ -93,39 +95,42 @@ def _sets(docs: DataFrame, reps: DataFrame, width: int) -> DataFrame:
     return found.select("node", "shingles")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, least: Fraction) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, least: Fraction, scratch: list[str]) -> DataFrame:
     """The pairs (a, b) whose sets are of the similarity asked for; only their sets are made again."""
     if pairs.isEmpty():
         return pairs
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    reps = staged(nodes.select("node", "rep_id", "rep_hash").join(ends, "node", "left_semi"), "reps")
-    sets = staged(_sets(docs, reps, width), "sets")
+    reps = staged(nodes.select("node", "rep_id", "rep_hash").join(ends, "node", "left_semi"), "reps", scratch)
+    sets = staged(_sets(docs, reps, width), "sets", scratch)
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
     common = F.size(F.array_intersect("s", "t")).cast("bigint")
     up, down = least.numerator, least.denominator
-    return staged(both.where(common * (up + down) >= (F.size("s") + F.size("t")) * F.lit(up)).select("a", "b").distinct(), "verified")
+    return staged(both.where(common * (up + down) >= (F.size("s") + F.size("t")) * F.lit(up)).select("a", "b").distinct(), "verified", scratch)
 
 
 def classes(docs: DataFrame, width: int = 5, least: Fraction = Fraction(4, 5), tau: int = TAU, probe_width: int = PROBE_WIDTH) -> DataFrame:
     """(doc_id, text_hash, root) per row of ``docs`` (doc_id, text): root is equal for linked texts, a written table."""
-    rows = staged(with_sets(docs, width, probe_width), "shingle-sets")
+    scratch: list[str] = []
+    rows = staged(with_sets(docs, width, probe_width), "shingle-sets", scratch)
     rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("r")
     nodes = rows.groupBy("node").agg(rep, *[F.min(c).alias(c) for c in ("code", "size", *ODD)])
-    nodes = staged(nodes.select("node", "code", "size", *ODD, F.col("r.doc_id").alias("rep_id"), F.col("r.text_hash").alias("rep_hash")), "nodes")
+    nodes = staged(nodes.select("node", "code", "size", *ODD, F.col("r.doc_id").alias("rep_id"), F.col("r.text_hash").alias("rep_hash")), "nodes", scratch)
     probed = plan(nodes, tau, least)
-    met = staged(hub_ties(nodes, probed, tau, least), "met")
-    first = staged(components(verified(met.where("allowed").select("a", "b"), docs, nodes, width, least)), "first")
+    met = staged(hub_ties(nodes, probed, tau, least, scratch), "met", scratch)
+    first = staged(components(verified(met.where("allowed").select("a", "b"), docs, nodes, width, least, scratch)), "first", scratch)
     dense = met.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("dense", F.lit(True))
     apart = nodes.join(first, "node", "left").join(dense, "node", "left")
     odd = [F.when(F.col("dense"), F.col(c)).alias(c) for c in ODD]  # many rows of each node: zeros of most pack well
-    apart = staged(apart.select("node", "code", "size", "root", *odd), "apart")
-    pairs = staged(close_pairs(apart, probed, tau, least), "pairs")
-    links = verified(pairs, docs, nodes, width, least)
+    apart = staged(apart.select("node", "code", "size", "root", *odd), "apart", scratch)
+    pairs = staged(close_pairs(apart, probed, tau, least), "pairs", scratch)
+    links = verified(pairs, docs, nodes, width, least, scratch)
     of = lambda c: first.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}"))
     links = links.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     second = components(links).select(F.col("node").alias("held"), F.col("root").alias("last"))
     rooted = rows.select("doc_id", "text_hash", "node").join(first, "node", "left").withColumn("held", F.coalesce("root", "node"))
-    return staged(rooted.join(second, "held", "left").select("doc_id", "text_hash", F.coalesce("last", "held").alias("root")), "near")
+    near = staged(rooted.join(second, "held", "left").select("doc_id", "text_hash", F.coalesce("last", "held").alias("root")), "near")
+    drop_dirs(docs.sparkSession, scratch)
+    return near
 
 
 def one_per_group(docs: DataFrame, width: int = 5, least: Fraction = Fraction(4, 5), tau: int = TAU, probe_width: int = PROBE_WIDTH) -> DataFrame:

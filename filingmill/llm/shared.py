@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch handed to Python; whole texts are in them, so the batches stay small.
 BATCH_ROWS = 512
+#: Bytes of one; a text that is longer has a batch of its own.
+BATCH_BYTES = 32 << 20
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -27,6 +29,9 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         held = spark.sparkContext.getCheckpointDir()
         if held is None:
+            master = spark.sparkContext.master
+            if not (master == "local" or master.startswith("local[")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="filingmill-"))
             held = spark.sparkContext.getCheckpointDir()
         root = held
@@ -38,26 +43,35 @@ def fresh_dir(spark: SparkSession, tag: str) -> str:
     return f"{shared_root(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts its lineage."""
+def staged(df: DataFrame, tag: str, scratch: list[str] | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, which cuts its lineage; ``scratch`` takes note of its path."""
     spark = df.sparkSession
     path = fresh_dir(spark, tag)
     df.write.parquet(path)
+    if scratch is not None:
+        scratch.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_dir(spark: SparkSession, path: str) -> None:
-    """Delete a folder below the shared one through Hadoop's file system."""
+def drop_dirs(spark: SparkSession, scratch: list[str]) -> None:
+    """Delete the folders that ``staged`` noted, once nothing that is still to run reads them."""
     jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    while scratch:
+        target = jvm.org.apache.hadoop.fs.Path(scratch.pop())
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Keep the Arrow batches of whole texts small enough for a worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key)) > BATCH_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Bound the Arrow batches of whole texts, in rows and bytes, so that they fit in a worker's memory.
+
+    The planner reads both settings from the session when the query runs, so they are lowered there and
+    stay; a session that has smaller ones keeps them.
+    """
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):
+        now = spark.conf.get(key)
+        held = int(now) if now.lstrip("-").isdigit() else None
+        if held is None or held <= 0 or held > most:
+            spark.conf.set(key, str(most))
 
 
 def opened(uri: str) -> tuple[fs.FileSystem, str]:

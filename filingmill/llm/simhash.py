@@ -223,7 +223,7 @@ def _parity_allows(x: str, y: str, sizes: tuple[Column, Column], least: Fraction
     return F.coalesce(apart * (up + down) <= (sizes[0] + sizes[1]) * (down - up), F.lit(True))
 
 
-def hub_ties(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int, least: Fraction | None = None) -> DataFrame:
+def hub_ties(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int, least: Fraction | None = None, scratch: list[str] | None = None) -> DataFrame:
     """(a, b, allowed) of the nodes in buckets of ``HUB_FROM`` or more near their buckets' hubs: may parities let them link?
 
     A bucket has at most ``HUBS`` hubs, one for each part of a deal by hash, so ties grow as the nodes do.
@@ -233,7 +233,7 @@ def hub_ties(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int, le
     hub = F.min(F.struct(F.xxhash64("node", "key").alias("draw"), *_held(least), "size")).alias("hub")
     dealt = rows.groupBy("key", F.pmod(F.xxhash64("node"), F.lit(HUBS)).alias("deal")).agg(F.count("*").alias("k"), hub)
     hubs = dealt.groupBy("key").agg(F.sum("k").alias("k"), F.collect_list("hub").alias("hubs")).where(F.col("k") >= HUB_FROM)
-    hubs = staged(hubs.select("key", F.explode("hubs").alias("h")).select("key", "h.*"), "hubs")
+    hubs = staged(hubs.select("key", F.explode("hubs").alias("h")).select("key", "h.*"), "hubs", scratch)
     x, y = hubs.alias("x"), rows.alias("y")
     sizes = (F.col("x.size"), F.col("y.size"))
     met = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.node") != F.col("y.node")) & _near("x", "y", sizes, tau, least))
