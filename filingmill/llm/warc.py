@@ -169,13 +169,14 @@ def revisits(pages: DataFrame, least: int = 1000) -> DataFrame:
 
     Among rows of equal payloads of at least ``least`` bytes one with the largest page_id is the
     response. Copies are found by digest from counts of the table, and only digests that occur more
-    than once are joined.
+    than once are joined; shorter payloads, all empty ones among them, have keys that spread and match none.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), "url", payload.alias("payload")).withColumn("digest", F.sha1("payload"))
     long_ones = rows.where(F.octet_length("payload") >= least)
     copies = long_ones.groupBy("digest").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
-    joined = rows.join(staged(copies, "copies"), "digest", "left")
+    keyed = rows.withColumn("digest", F.when(F.octet_length("payload") >= least, F.col("digest")).otherwise(F.concat(F.lit("-"), F.coalesce(F.col("page_id"), F.lit(0)).cast("string"))))
+    joined = keyed.join(staged(copies, "copies"), "digest", "left")
     revisit = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     return joined.select("page_id", "url", "payload", F.when(revisit, F.col("first")).alias("refers_to"), F.coalesce(revisit, F.lit(False)).alias("revisit"))
 
