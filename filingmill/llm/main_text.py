@@ -1,11 +1,12 @@
 """Main text of web pages by a maximum-scoring contiguous run of tokens.
 
-A page is a sequence of words, tags and skipped elements. A word outside boilerplate scores one;
-every tag scores its learned weight, which is negative. One pass finds the contiguous run of the
-greatest sum, and the blocks inside it are the text. Weights come from labelled pages: how often
-elements of a tag name, or with a word in their class, id or role, lie inside the labelled content,
-hold it, or lie outside. Elements whose evidence is against content are skipped with all they hold; names
-don't count on the page's article or main of most words, its headline, and what holds these.
+A page is a sequence of words, tags and skipped elements. A word scores one, every tag its learned
+weight, which is negative; one pass finds the contiguous run of the greatest sum, and the blocks
+inside it are the text. Weights come from labelled pages, kept as data beside this module: how often
+tags and the names in class, id and role lie in content, hold it, or lie outside. Elements whose
+names and tag together speak against content are skipped with all they hold, unless they hold the
+page's article: its article or main element of most words or, without one, the element that most
+words are in. Inside the article tags cost little, so its lists and links stay.
 """
 
 from __future__ import annotations
@@ -13,9 +14,10 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,29 +39,28 @@ INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em fo
 #: An opening tag of one of these ends an open paragraph, as browsers do.
 ENDS_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
-#: Headlines; what holds one inside the content is not left out by name.
-HEADINGS = frozenset(("h1",))
-
-#: Labelled pages. Content is what lies in elements marked data-content.
-LABELLED = (
-    """<html><head><title>t t</title><style>s</style></head><body><header class="site-header masthead"><h2>site name</h2></header><nav class="menu navbar"><ul><li><a href="/">home</a></li><li><a href="/b">news</a></li></ul></nav>
-    <div class="ad advert">buy this now and save money</div><article data-content class="post entry"><h1>one headline here</h1><p>first words of a story that goes on for some time.</p><p>more words with <a href="x">a link</a> and <b>bold words</b> too.<br>next line.</p>
-    <h2>section</h2><p>still more words of it.</p></article><aside class="sidebar related"><ul><li><a>other story</a></li></ul></aside><section class="comments" id="comments"><h3>comments</h3><p>i liked it a lot thank you</p></section><footer class="footer">copyright site</footer></body></html>""",
-    """<body><div id="header" role="banner">site</div><div id="menu" role="navigation"><a>one</a> <a>two</a></div><div class="cookie-notice notice banner">we use cookies please accept</div><div id="page" class="wrapper container"><div id="content" class="main" data-content><h1>title words</h1>
-    <p>a text of many words in the content division.</p><blockquote><p>a quoted thing someone said.</p></blockquote><ul><li>point one of list</li><li>point two of list</li></ul><pre>code words</pre></div><div class="sidebar widget promo sponsored"><p>subscribe to our newsletter for offers</p></div></div>
-    <form class="search subscribe newsletter"><label>email</label><input name="q"><button>send</button></form><div id="footer" class="legal" role="contentinfo"><p>terms privacy</p></div></body>""",
-    """<body><nav>links here</nav><main><div class="breadcrumb breadcrumbs"><a>home</a></div><section data-content class="article-body story"><p>the story begins with words and more words.</p><figure><img src="a"><figcaption>a caption of a picture</figcaption></figure><p>it continues.</p>
-    <table><tr><th>head</th><td>cell words</td></tr></table><ol><li>numbered</li></ol><dl><dt>term</dt><dd>meaning of it</dd></dl></section><div class="share social"><a>share</a><a>tweet</a></div><div class="comment-list reply respond"><div class="comment"><p>first reader says something</p></div></div></main>
-    <aside>about the author and others</aside><div class="popup modal alert" role="alert">sign up today</div><footer><p>all rights reserved</p></footer></body>""",
-    """<body><table><tr><td class="nav">menu</td><td data-content><h1>old page</h1><p>text in a table cell, as old pages have it.</p><p>second paragraph of words.</p><h3>part</h3><h4>part</h4><div>loose division text</div></td></tr></table>
-    <div class="advertisement ads adsbygoogle sponsor">advert words</div><div role="complementary" class="toolbar pagination pager login">next page</div><form><select><option>x</option></select><textarea>y</textarea><button>go</button></form></body>""",
-)
-
-
-def _tokens_of(attributes: str) -> Iterator[str]:
+#: Labelled pages: content lies in elements marked data-content, except what is marked data-out.
+LABELLED = tuple(x for x in (Path(__file__).parent / "labelled_pages.html").read_text(encoding="utf-8").split("<!-- page -->\n")[1:])
+#: Summed log odds from which an element is skipped; single features count within these bounds.
+SKIP_FROM, LEAST, MOST = 1.25, -2.0, 3.0
+#: Share of the words outside boilerplate that the article of a page without article and main has at least.
+ARTICLE_SHARE = 0.8
+#: Score of a word outside an article or main element that has at least half of the words, and outside another article; a headline's words score one.
+OUTSIDE_MARKED, OUTSIDE_OTHER = -0.3, 0.0
+#: First parts of names that say what a page has or lacks.
+HAVING = frozenset("has have with without no hide show is".split())
+
+
+def names_of(attributes: str) -> Iterator[str]:
+    """Names in class, id and role, in lower case, parts joined by one dash."""
+    if not attributes:
+        return
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
-            yield from re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", html.unescape(a or b or c)).lower())
+            for word in html.unescape(a or b or c).split():
+                parts = re.findall(r"[^\W\d_]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", word))
+                if parts:
+                    yield "-".join(parts).lower()
 
 
 def parsed(page: str) -> Iterator[tuple[str, str, str]]:
@@ -127,49 +128,114 @@ class _Open:
                 return
 
 
+def _odds(outside: float, inside: float) -> float:
+    return min(max(math.log((outside + 0.5) / (inside + 0.5)), LEAST), MOST)
+
+
 @dataclass(frozen=True)
 class Weights:
-    """Scores of tags, and names whose elements are skipped."""
+    """What labelled pages say: scores of tags, and how often names lie outside and inside content."""
 
+    outer: dict[str, float]
+    inner: dict[str, float]
     tags: dict[str, float]
-    other: float
-    skipped_tags: frozenset[str]
-    skipped_names: frozenset[str]
-
-    def skips(self, tag: str, attributes: str) -> bool:
-        if tag in self.skipped_tags:
-            return True
-        return tag not in ("html", "body", "main") and any(t in self.skipped_names for t in _tokens_of(attributes))
-
-
-def learn(pages: tuple[str, ...] = LABELLED) -> Weights:
-    """Weights from labelled pages: log odds of lying outside the content, at least a small cost for any tag."""
-    inside, outside, around = Counter(), Counter(), Counter()
-    for page in pages:
-        stack, marks = _Open(), []
-        held: list[list[str]] = []
-        for kind, tag, attributes in parsed(page):
+    whole: dict[str, tuple[int, int]]
+    part: dict[str, tuple[int, int]]
+    other: float = -0.5
+
+    def against(self, tag: str, names: Iterable[str]) -> float:
+        """Log odds that an element isn't content.
+
+        A name of several parts counts as a whole, if it is known, and by its parts, the last of which
+        is what it names; a word alone counts as it does alone where that is known. Names that say what
+        a page has or lacks (has-sidebar) count as a whole only.
+        """
+        out = self.tags.get(tag, 0.0)
+        for name in set(names):
+            parts = name.split("-")
+            if len(parts) > 1 and name in self.whole:
+                out += _odds(*self.whole[name])
+            if parts[0] in HAVING and len(parts) > 1:
+                continue
+            for k, p in enumerate(parts):
+                known, other = (self.whole, self.part) if len(parts) == 1 else (self.part, self.whole)
+                own = _odds(*(known.get(p) or other.get(p) or (0, 0)))
+                out += own if k == len(parts) - 1 else own / 2
+        return out
+
+
+class Page:
+    """A parsed page as its events and the tree of its elements, in page order."""
+
+    def __init__(self, page: str) -> None:
+        self.events = list(parsed(page))
+        self.tag, self.attributes, self.parent, self.words = ["html"], [""], [-1], [0.0]
+        self.holder: list[int] = []
+        #: The element of each event: that a tag opens or closes, or that a text is in.
+        stack, opened = _Open(), []
+        for kind, what, attributes in self.events:
             if kind == "open":
-                stack.opened(tag)
-                del marks[len(stack.tags) :], held[len(stack.tags) :]
-                names = [tag, *("." + t for t in _tokens_of(attributes))]
-                content = "data-content" in attributes or any(marks)
-                if tag not in VOID:
-                    marks += [False] * (len(stack.tags) - 1 - len(marks)) + ["data-content" in attributes]
-                    held += [[]] * (len(stack.tags) - 1 - len(held)) + [names]
-                if "data-content" in attributes:
-                    for above in held[:-1]:
-                        around.update(above)
-                (inside if content else outside).update(names)
+                stack.opened(what)
+                del opened[len(stack.tags) - (what not in VOID) :]
+                self.tag.append(what)
+                self.attributes.append(attributes)
+                self.parent.append(opened[-1] if opened else 0)
+                self.words.append(0.0)
+                if what not in VOID:
+                    opened.append(len(self.tag) - 1)
+                self.holder.append(len(self.tag) - 1)
             elif kind == "close":
-                stack.closed(tag)
-                del marks[len(stack.tags) :], held[len(stack.tags) :]
-    names = set(inside) | set(outside) | set(around)
-    odds = {n: math.log((outside[n] - around[n] + 0.5) / (inside[n] + around[n] + 0.5)) for n in names if outside[n] >= around[n]}
-    tags = {n: -max(0.25, odds.get(n, 0.0)) for n in names if not n.startswith(".")}
-    never = {n for n in names if not inside[n] and not around[n] and outside[n]}
-    keep = {"html", "head", "body", "a", "section", "label", "main", "h1", "h2", "h3", "ul", "li", "p", "div", "meta", "link"}
-    return Weights(tags, -0.5, frozenset(n for n in never if not n.startswith(".") and n not in keep) | {"head"}, frozenset(n[1:] for n in never if n.startswith(".") and n[1:] not in ("site", "list")))
+                inner = opened[-1] if opened else 0
+                stack.closed(what)
+                del opened[len(stack.tags) :]
+                self.holder.append(inner)
+            else:
+                self.holder.append(opened[-1] if opened else 0)
+                self.words[self.holder[-1]] += _words(html.unescape(what))
+
+    def path(self, e: int) -> list[int]:
+        """The element and all around it."""
+        out = []
+        while e >= 0:
+            out.append(e)
+            e = self.parent[e]
+        return out
+
+
+def learn(pages: Sequence[str] = LABELLED) -> Weights:
+    """Weights from labelled pages. Elements around content count as inside for their names, not for their tags."""
+    inside, outside, cut = Counter(), Counter(), Counter()
+    whole, part = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for text in pages:
+        page = Page(text)
+        content = [False] * len(page.tag)
+        out = [False] * len(page.tag)
+        around: set[int] = set()
+        for e in range(1, len(page.tag)):
+            content[e] = "data-content" in page.attributes[e] or content[page.parent[e]]
+            out[e] = "data-out" in page.attributes[e] or out[page.parent[e]]
+            if "data-content" in page.attributes[e]:
+                around.update(page.path(e)[1:])
+        for e in range(1, len(page.tag)):
+            good = content[e] and not out[e]
+            if good:
+                inside[page.tag[e]] += 1
+            elif e not in around:
+                outside[page.tag[e]] += 1
+                cut[page.tag[e]] += out[e]
+            for name in set(names_of(page.attributes[e])):
+                parts = name.split("-")
+                whole[name][good or e in around] += 1
+                for p in parts if len(parts) > 1 and parts[0] not in HAVING else ():
+                    part[p][good or e in around] += 1
+    tags = set(inside) | set(outside)
+    odds = {t: math.log((outside[t] + 0.5) / (inside[t] + 0.5)) for t in tags}
+    outer = {t: -max(0.25, odds[t]) for t in tags}
+    inner = {t: -max(0.05, (cut[t] + 0.5) / (cut[t] + inside[t] + 1) / 2) for t in tags}
+    against = {t: min(x, MOST) for t, x in odds.items() if x > SKIP_FROM and not inside[t] and t not in INLINE and outside[t] > 1}
+    against |= {t: MOST for t in ("nav", "footer", "aside", "form", "button", "head")} | {"header": SKIP_FROM + 0.1}
+    held = lambda counts: {n: tuple(c) for n, c in counts.items()}
+    return Weights(outer, inner, against, held(whole), held(part))
 
 
 def _words(text: str) -> float:
@@ -177,87 +243,108 @@ def _words(text: str) -> float:
     return len(text.split()) + (0 if text.isascii() else len(UNSPACED.findall(text)) / 2)
 
 
-def _content_path(events: list[tuple[str, str, str]]) -> set[int]:
-    """Places in ``events`` of the article or main with most words, its headings, and all elements around these."""
-    stack, opens = _Open(), []
-    words: Counter = Counter()
-    around: dict[int, list[int]] = {}
-    headings: dict[int, list[int]] = {}
-    for i, (kind, what, _) in enumerate(events):
-        if kind == "text":
-            n = _words(html.unescape(what))
-            for at in opens:
-                if at in around:
-                    words[at] += n
-        elif kind == "open":
-            stack.opened(what)
-            del opens[len(stack.tags) - (what not in VOID) :]
-            if what not in VOID:
-                opens.append(i)
-            if what in ("article", "main"):
-                around[i] = list(opens)
-            elif what in HEADINGS:
-                for at in opens:
-                    if at in around:
-                        headings.setdefault(at, []).extend(opens)
-        else:
-            stack.closed(what)
-            del opens[len(stack.tags) :]
-    if not around:
-        return set()
-    best = max(around, key=lambda at: (words[at], len(around[at])))
-    return {*around[best], *headings.get(best, ())}
+def _skipped(page: Page, against: list[float], kept: set[int]) -> list[bool]:
+    """Whether each element is boilerplate or inside such; those of ``kept`` are neither."""
+    out = [False] * len(page.tag)
+    for e in range(1, len(out)):
+        out[e] = out[page.parent[e]] or (against[e] > SKIP_FROM and e not in kept)
+    return out
 
 
-def blocks(page: str, weights: Weights) -> list[str]:
-    """The blocks of the best run of a page, in order."""
-    stack, skip_at = _Open(), None
-    tokens: list[tuple[float, str | None]] = []  # (score, text); None ends a block
-    events = list(parsed(page))
-    path = _content_path(events)
-    for i, (kind, what, attributes) in enumerate(events):
-        if kind == "text":
-            if skip_at is None:
-                plain = html.unescape(what)
-                tokens.append((len(what.split()) + _words(plain) - len(plain.split()), plain))
-            continue
-        if kind == "open":
-            stack.opened(what)
-            if skip_at is not None and len(stack.tags) <= skip_at:
-                skip_at = None
-            if skip_at is None and what not in VOID and weights.skips(what, "" if i in path else attributes):
-                skip_at = len(stack.tags) - 1
-                tokens.append((weights.other, None))
-                continue
-        else:
-            stack.closed(what)
-            if skip_at is not None and len(stack.tags) <= skip_at:
-                skip_at = None
-                continue
-        if skip_at is None:
-            tokens.append((weights.tags.get(what, weights.other), " " if what == "br" else "" if what in INLINE else None))
+def _totals(page: Page, skipped: list[bool]) -> list[float]:
+    """Words in each element and all it holds, without skipped ones."""
+    out = [0.0 if s else w for w, s in zip(page.words, skipped)]
+    for e in range(len(out) - 1, 0, -1):
+        out[page.parent[e]] += out[e]
+    return out
+
+
+def article_of(page: Page, against: list[float]) -> tuple[int, set[int]]:
+    """The element of the article, 0 if none stands out, and the elements that names don't speak against.
+
+    These are the article, what it is in, and its first headline with all between the two.
+    """
+    marked = [e for e in range(1, len(page.tag)) if page.tag[e] in ("article", "main") or "main" in names_of(page.attributes[e]) and "role" in page.attributes[e]]
+    plain = _totals(page, [False] * len(page.tag))
+    # an article inside boilerplate, such as a reader's comment, is none; the page's wrappers say little
+    good = [e for e in marked if plain[e] and not any(against[a] > SKIP_FROM and plain[a] < ARTICLE_SHARE * plain[0] for a in page.path(e)[1:]) and (against[e] <= SKIP_FROM or page.tag[e] == "main")]
+    best = max(good, key=lambda e: (plain[e], e), default=0)
+    if not best:
+        total = _totals(page, _skipped(page, against, set()))
+        if total[0] < plain[0] / 4:  # names have left out nearly all
+            total = plain
+        kids = defaultdict(list)
+        for e in range(1, len(page.tag)):
+            kids[page.parent[e]].append(e)
+        at = 0
+        while at is not None:
+            best = at
+            at = next((k for k in kids[at] if total[k] and total[k] >= ARTICLE_SHARE * total[0]), None)
+        while best and page.tag[best] in INLINE | {"p", "h1", "h2"}:
+            best = page.parent[best]
+        if page.tag[best] in ("html", "body"):
+            return 0, set(page.path(best))
+    path = set(page.path(best))
+    for e in range(1, len(page.tag)):
+        if page.tag[e] == "h1" and best in (up := page.path(e)):
+            path.update(up)
+            break
+    return best, path
+
+
+def best_run(scores: Sequence[float]) -> tuple[int, int]:
+    """Start and end of the contiguous run of the greatest sum above 0, the first of equal ones; (0, 0) if there is none."""
     best, at, run, start, end = 0.0, 0, 0.0, 0, 0
-    for i, (score, _) in enumerate(tokens):
+    for i, score in enumerate(scores):
         if run <= 0:
             run, at = 0.0, i
         run += score
         if run > best:
             best, start, end = run, at, i + 1
+    return start, end
+
+
+def blocks(text: str, weights: Weights) -> list[str]:
+    """The blocks of the best run of a page, in order."""
+    page = Page(text)
+    against = [weights.against(t, names_of(a)) for t, a in zip(page.tag, page.attributes)]
+    article, kept = article_of(page, against)
+    skipped = _skipped(page, against, kept)
+    total = _totals(page, skipped)
+    inside = [False] * len(page.tag)
+    for e in range(len(page.tag)):
+        inside[e] = e == article and e > 0 or e > 0 and inside[page.parent[e]]
+    marked = page.tag[article] in ("article", "main")
+    outside_word = 1.0 if not article or 2 * total[article] < total[0] else OUTSIDE_MARKED if marked else OUTSIDE_OTHER
+    tokens: list[tuple[float, str | None]] = []  # (score, text); None ends a block
+    for (kind, what, _), e in zip(page.events, page.holder):
+        if skipped[e]:
+            if kind == "open" and not skipped[page.parent[e]]:
+                tokens.append((weights.other, None))
+        elif kind == "text":
+            plain = html.unescape(what)
+            own = inside[e] or page.tag[e] == "h1" or page.tag[page.parent[e]] == "h1"
+            tokens.append(((1.0 if own else outside_word) * _words(plain), plain))
+        else:
+            cost = (weights.inner if inside[e] else weights.outer).get(what, weights.other)
+            tokens.append((cost, " " if what == "br" else "" if what in INLINE else None))
+    start, end = best_run([score for score, _ in tokens])
     out, line = [], []
-    for _, text in [*tokens[start:end], (0.0, None)]:
-        if text is None:
+    for _, piece in [*tokens[start:end], (0.0, None)]:
+        if piece is None:
             if joined := WHITE.sub(" ", "".join(line)).strip():
                 out.append(joined)
             line = []
         else:
-            line.append(text)
+            line.append(piece)
     return out
 
 
-def extracted(pages: DataFrame, labelled: tuple[str, ...] = LABELLED) -> DataFrame:
+def extracted(pages: DataFrame, labelled: Sequence[str] = LABELLED) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages`` (page_id, url, html); blocks are joined by two line feeds.
 
-    Null and empty html, and pages without words, give the empty text. Repeated rows and null ids
+    page_id is an integer. Null and empty html, and pages without words, give the empty text; pages of
+    any length are taken whole. Repeated rows and null ids
     are kept one to one; other columns are ignored; an empty table stays empty.
     """
     small_batches(pages.sparkSession)
