@@ -64,8 +64,11 @@ def _patterns() -> tuple[re.Pattern, re.Pattern]:
 class PretokenEncoder:
     """Ids or counts of whole texts, equal to the library's encoding without added special tokens."""
 
-    def __init__(self, path: str, value, add) -> None:
-        """``value`` turns ids into what the cache holds for them, ``add`` joins such values."""
+    def __init__(self, path: str, value, add, whole: dict[str, int] | None = None) -> None:
+        """``value`` turns ids into what the cache holds for them, ``add`` joins such values.
+
+        ``whole`` is the table of ``whole_tokens``, if it has been proven already.
+        """
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -82,13 +85,14 @@ class PretokenEncoder:
         self.space = " ".translate(self.chars)
         self.pattern, self.beyond = _patterns()
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.whole = self._whole_tokens(spec["model"]["vocab"])
+        proven = self._whole_tokens(spec["model"]["vocab"]) if whole is None else whole
+        self.whole = {text: self.value([k]) for text, k in proven.items()}
         self.cache = dict(self.whole)
         self.first: dict = {}
         self.later: dict = {}
         self.feed = self.value([t.id for t in self.model.tokenize("\n".translate(self.chars))])
 
-    def _whole_tokens(self, vocab: dict[str, int]) -> dict:
+    def _whole_tokens(self, vocab: dict[str, int]) -> dict[str, int]:
         """Vocabulary strings that are one pre-token and that the library's merges give as one token."""
         back = {c: b for b, c in enumerate(_byte_chars())}
         found = {}
@@ -98,7 +102,7 @@ class PretokenEncoder:
             except (KeyError, UnicodeDecodeError):
                 continue
             if not self.beyond.search(text) and self.pattern.findall(text) == [text] and [t.id for t in self.model.tokenize(token)] == [k]:
-                found[text] = self.value([k])
+                found[text] = k
         return found
 
     def _merged(self, pretoken: str):
@@ -162,11 +166,29 @@ class PretokenEncoder:
 
 
 _HELD: dict[tuple[str, str], PretokenEncoder] = {}
+_PROVEN: dict[str, dict[str, int]] = {}
+
+
+def whole_tokens(path: str) -> dict[str, int]:
+    """The whole-token table of a vocabulary file, text to id, proven once; ValueError if the file isn't of this kind.
+
+    It is no larger than the vocabulary, so the driver makes it and hands it to the workers.
+    """
+    if path not in _PROVEN:
+        encoder = PretokenEncoder(path, lambda ids: ids[0] if len(ids) == 1 else None, None)
+        _PROVEN[path] = dict(encoder.whole)
+    return _PROVEN[path]
+
+
+def take(path: str, proven: dict[str, int] | None) -> None:
+    """Use a table proven elsewhere in this process."""
+    if proven is not None:
+        _PROVEN.setdefault(path, proven)
 
 
 def _held(path: str, kind: str, value, add) -> PretokenEncoder:
     if (path, kind) not in _HELD:
-        _HELD[path, kind] = PretokenEncoder(path, value, add)
+        _HELD[path, kind] = PretokenEncoder(path, value, add, _PROVEN.get(path))
     return _HELD[path, kind]
 
 

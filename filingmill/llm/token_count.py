@@ -1,7 +1,7 @@
 """Token counts of whole texts with a whole-token shortcut.
 
 For byte-level BPE files, pre-tokens that are proven whole tokens count one without a merge and
-the rest are merged once each (see ``bpe``). Sentencepiece models and other ``tokenizers`` files are
+the rest are merged once each (see ``bpe``); the table is proven once, on the driver, and broadcast. Sentencepiece models and other ``tokenizers`` files are
 counted by their own library.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from filingmill.llm import bpe
-from filingmill.llm.shared import small_batches
+from filingmill.llm.shared import broadcast_value, small_batches
 
 _LIBRARY: dict = {}
 
@@ -39,8 +39,17 @@ def _other(path: str):
     return _LIBRARY[path]
 
 
-def counter(path: str):
+def proven_table(path: str) -> dict[str, int] | None:
+    """The whole-token table of a byte-level BPE file, None for other files; made on the driver, before the job."""
+    try:
+        return bpe.whole_tokens(path) if path.endswith(".json") else None
+    except ValueError:
+        return None
+
+
+def counter(path: str, proven: dict[str, int] | None = None):
     """The token count of one text as a function, by the fastest way the file allows."""
+    bpe.take(path, proven)
     if path.endswith(".json"):
         try:
             bpe.id_count(path, "")
@@ -53,15 +62,16 @@ def counter(path: str):
 def token_counts(docs: DataFrame, path: str, limit: int = 1024) -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit) per row of ``docs`` (doc_id, text).
 
-    ``path`` names a vocabulary file that every executor has. Whole texts are counted, without
+    doc_id is an integer; ``path`` names a vocabulary file that every executor has. Whole texts are counted, without
     begin, end or added special tokens; null and empty texts have none. Rows, repeated ones and
     null ids included, are kept one to one; other columns are ignored; an empty table stays empty.
     """
     small_batches(docs.sparkSession)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
+    proven = broadcast_value(docs.sparkSession, proven_table(path))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
+        count = counter(path, proven.value)
         for batch in batches:
             n = [count(t) if t else 0 for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], schema=schema)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingmill.llm import bpe
-from filingmill.llm.shared import fresh_dir, opened, small_batches, spread, staged, whole_file
+from filingmill.llm.shared import broadcast_value, fresh_dir, opened, small_batches, spread, staged, whole_file
 
 # Fixed values of the zstandard formats.
 SKIPPABLE = 0x184D2A5E
@@ -133,19 +133,21 @@ def _listed(raw: bytes, at: int) -> tuple[np.ndarray, np.ndarray, int]:
 def write_token_files(docs: DataFrame, vocabulary: str, directory: str, end_id: int = 0, partitions: int | None = None) -> DataFrame:
     """Write the documents' ids below ``directory`` in ascending doc_id order; one row per file.
 
-    Returns (part, uri, n_docs, n_tokens), the files in order of ``part``. Each document's ids end
-    with ``end_id``. Null texts have that id alone; rows without a doc_id come first; of equal ids
+    Returns (part, uri, n_docs, n_tokens), the files in order of ``part``. doc_id is an integer; texts of
+    any length are encoded whole. Each document's ids end with ``end_id``. Null texts have that id alone; rows without a doc_id come first; of equal ids
     the order is that of the texts' hashes; an empty table writes nothing.
     """
     spark = docs.sparkSession
     small_batches(spark)
     schema = pa.schema([("part", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
     end = struct.pack("<I", end_id)
+    proven = broadcast_value(spark, bpe.whole_tokens(vocabulary))
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = next((b for b in batches if b.num_rows), None)
         if batch is None:
             return
+        bpe.take(vocabulary, proven.value)
         part = TaskContext.get().partitionId()
         uri = f"{directory}/ids-{part:08d}.zst"
         n_docs = n_tokens = 0
