@@ -68,8 +68,11 @@ def _groups(held: dict | None) -> tuple[tuple[str, tuple[str, ...]], ...]:
     return tuple((str(k), tuple(map(str, v or ()))) for k, v in (held or {}).items())
 
 
-def load(market: str, root: str | Path = RULES_ROOT) -> RulePack:
-    """The pack of a market. All missing files are named in one FileNotFoundError."""
+def load(market: str, root: str | Path = RULES_ROOT, extended: bool = False) -> RulePack:
+    """The pack of a market. All missing files are named in one FileNotFoundError.
+
+    With ``extended`` the deferred note roles and the aliases of the further concepts are in it as well.
+    """
     paths = [Path(root) / market / f"{f}.yml" for f in FILES]
     if missing := [str(p) for p in paths if not p.exists()]:
         raise FileNotFoundError("missing rule files: " + ", ".join(missing))
@@ -77,7 +80,9 @@ def load(market: str, root: str | Path = RULES_ROOT) -> RulePack:
     tolerance = overrides.get("tolerance")
     tolerance = tolerance if isinstance(tolerance, dict) else {}
     aliases, n = [], 0
-    for concept, rule in (concepts.get("concepts") or {}).items():
+    more = (concepts.get("further_concepts") or {}) if extended else {}
+    deferred = _roles(notes.get("deferred_note_roles")) if extended else ()
+    for concept, rule in [*(concepts.get("concepts") or {}).items(), *more.items()]:
         for alias in rule.get("aliases") or ():
             aliases.append((n, concept, str(alias), float(rule.get("confidence", 0.0))))
             n += 1
@@ -91,15 +96,15 @@ def load(market: str, root: str | Path = RULES_ROOT) -> RulePack:
         _groups(units.get("currency_patterns")),
         _groups(units.get("scale_patterns")),
         _groups(periods.get("period_patterns")),
-        _roles(notes.get("note_roles")),
+        _roles(notes.get("note_roles")) + deferred,
         Decimal(str(tolerance.get("absolute_tolerance_display_units", 2))),
         Decimal(str(tolerance.get("relative_tolerance", "0.0001"))),
         overrides.get("rules") or {},
     )
 
 
-def load_all(root: str | Path = RULES_ROOT) -> dict[str, RulePack]:
-    return {m: load(m, root) for m in MARKETS}
+def load_all(root: str | Path = RULES_ROOT, extended: bool = False) -> dict[str, RulePack]:
+    return {m: load(m, root, extended) for m in MARKETS}
 
 
 def alias_table(spark: SparkSession, packs: dict[str, RulePack]) -> DataFrame:
