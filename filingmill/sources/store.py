@@ -7,6 +7,8 @@ generation that covers it. Files are never changed, so readers and retries are s
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,7 +27,8 @@ class Lake:
     def _path(self, table: str, part: str = "rows") -> str:
         return f"{self.root}/{ANALYTICS if table == 'trusted_facts' else AUDIT}/{table}/{part}"
 
-    def _exists(self, path: str) -> bool:
+    def exists(self, path: str) -> bool:
+        """Whether a file or folder is there, in whatever store Spark reads."""
         jvm = self.spark.sparkContext._jvm
         at = jvm.org.apache.hadoop.fs.Path(path)
         return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
@@ -33,7 +36,7 @@ class Lake:
     def initialize(self) -> None:
         """Create every declared table that isn't there; a second call changes nothing."""
         for table, schema in SCHEMAS.items():
-            if not self._exists(self._path(table)):
+            if not self.exists(self._path(table)):
                 full = T.StructType([*schema.fields, T.StructField("generation", T.LongType())])
                 self.spark.createDataFrame([], full).write.parquet(self._path(table))
 
@@ -45,21 +48,29 @@ class Lake:
         conformed(rows, table).withColumn("generation", F.lit(generation).cast("bigint")).write.mode("append").parquet(self._path(table))
 
     def replace(self, table: str, rows: DataFrame, key: str, covered: DataFrame) -> None:
-        """Replace the rows of the keys in ``covered`` (one column ``key``) by ``rows``, none included."""
-        generation = self.next_generation(table)
+        """Replace the rows of the keys in ``covered`` (one column ``key``) by ``rows``, none included.
+
+        Rows of a generation that no covered key names yet, as a writer that died leaves them, are never read.
+        """
+        generation = self.next_generation(table, key)
         self.append(table, rows, generation)
         covered.select(F.col(key).cast("string").alias("key")).distinct().withColumn("generation", F.lit(generation).cast("bigint")).write.mode("append").parquet(self._path(table, f"keys-{key}"))
 
-    def next_generation(self, table: str) -> int:
-        found = self._all(table).agg(F.max("generation").alias("g")).first()["g"]
-        return (found or 0) + 1
+    def next_generation(self, table: str, key: str) -> int:
+        """The time in nanoseconds, after every replacement in the log of covered keys; rows aren't read."""
+        log, latest = self._path(table, f"keys-{key}"), 0
+        if self.exists(log):
+            latest = self.spark.read.schema("key string, generation bigint").parquet(log).agg(F.max("generation").alias("g")).first()["g"] or 0
+        return max(latest + 1, time.time_ns())
 
     def read(self, table: str, key: str | None = None) -> DataFrame:
         """The current rows; with ``key``, the latest generation of every key."""
         rows = self._all(table)
-        if key is None or not self._exists(self._path(table, f"keys-{key}")):
+        if key is None:
             return rows.drop("generation")
+        if not self.exists(self._path(table, f"keys-{key}")):
+            return rows.where("generation = 0").drop("generation")
         keys = self.spark.read.schema("key string, generation bigint").parquet(self._path(table, f"keys-{key}"))
         latest = keys.groupBy("key").agg(F.max("generation").alias("__latest"))
         joined = rows.join(latest, rows[key].cast("string") == latest["key"], "left")
-        return joined.where(F.col("__latest").isNull() | (F.col("generation") == F.col("__latest"))).select(*SCHEMAS[table].names)
+        return joined.where(F.col("generation") == F.coalesce("__latest", F.lit(0))).select(*SCHEMAS[table].names)
