@@ -91,11 +91,6 @@ def decimal_text(value: str | Column, scale: str | Column) -> Column:
     return F.when(s > 0, F.substring(text, F.lit(1), F.instr(text, ".") + s)).otherwise(F.substring_index(text, ".", 1))
 
 
-def value_scale(raw: str | Column) -> Column:
-    """Fraction digits of the number in a cell, six at most."""
-    return F.least(F.length(F.regexp_extract(F.replace(col(raw), F.lit(","), F.lit("")), r"(?U)\d+\.(\d+)", 1)), F.lit(6))
-
-
 def within_tolerance(diff: str | Column, lhs: str | Column, absolute: Decimal | str, relative: Decimal | str) -> Column:
     """|diff| <= absolute, or for lhs other than 0, |diff| <= |lhs| * relative.
 

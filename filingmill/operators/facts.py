@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingmill.functions.exprs import MONEY, first_match, label, or_null, parse_decimal, stable_id
+from filingmill.operators.rawtables import last_cells
 from filingmill.sources.rulepack import RulePack
 
 BALANCE_SHEET = "statement.balance_sheet"
+STATEMENTS = (BALANCE_SHEET, "statement.income_statement", "statement.cash_flow")
 UNIT_CONFIDENCE = 0.99
 AUTO_CONFIDENCE = 0.95
 
@@ -89,11 +91,21 @@ def candidates(rows: DataFrame, aliases: DataFrame, raw_label: str, most: int =
 
 
 def values(rows: DataFrame, raw_value: str = "raw_value") -> DataFrame:
-    """Add parsed_decimal, normalized_value and fact_status to rows with a unit."""
-    parsed = parse_decimal(raw_value)
-    rows = rows.withColumn("parsed_decimal", parsed)
-    rows = rows.withColumn("normalized_value", F.try_multiply(F.col("parsed_decimal").cast("decimal(28,6)"), F.col("scale_factor").cast("decimal(9,0)")).try_cast(MONEY))
-    ready = F.col("parsed_decimal").isNotNull() & (F.col("unit_confidence") >= AUTO_CONFIDENCE)
+    """Add parsed_decimal, normalized_value and fact_status to rows with a unit.
+
+    A value that doesn't fit the money type, before or after scaling, is null. An alias that several
+    concepts claim (``concepts``) and levels whose units disagree (``unit_conflict``) need review, where
+    rows have these columns.
+    """
+    rows = rows.withColumn("parsed_decimal", parse_decimal(raw_value))
+    product = F.try_multiply(F.col("parsed_decimal").try_cast("decimal(28,6)"), F.col("scale_factor").try_cast("decimal(9,0)"))
+    rows = rows.withColumn("normalized_value", product.try_cast(MONEY))
+    fits = F.col("normalized_value").isNotNull() | F.col("scale_factor").isNull()
+    ready = F.col("parsed_decimal").isNotNull() & fits & (F.col("unit_confidence") >= AUTO_CONFIDENCE)
+    if "concepts" in rows.columns:
+        ready &= F.col("concepts") <= 1
+    if "unit_conflict" in rows.columns:
+        ready &= ~F.col("unit_conflict")
     return rows.withColumn("fact_status", F.when(ready, "normalized").otherwise("needs_review"))
 
 
@@ -101,24 +113,19 @@ def label_values(cells: DataFrame, key: list[str], value_columns: str = "first")
     """(key, row_index, raw_label, raw_value, raw_cell_id, cell_bbox, column_index, column_label) of a grid's rows below its header.
 
     Labels are column 0 and values column 1, or every later column with ``value_columns='all'``. Rows
-    without a label are dropped; a missing value cell gives a null value. A table's cells, which are
-    those of one page's grid, meet in a single aggregation.
+    without a label are dropped; a row without value cells gives one null value; of repeated cells the
+    last counts. Cells are dealt once, by ``key``, and meet in windows, so work is linear in them.
     """
     kept = cells if value_columns == "all" else cells.where("column_index <= 1")
-    held = kept.groupBy(*key).agg(F.collect_list(F.struct("row_index", "column_index", "raw_text", "raw_cell_id", "bbox")).alias("c"))
-    pick = lambda row, column: F.filter("c", lambda x: row(x["row_index"]) & column(x["column_index"]))
-    first, later, head, body = (lambda i: i == 0), (lambda i: i >= 1), (lambda i: i == 0), (lambda i: i > 0)
-    held = held.select(
-        *key,
-        F.filter(pick(body, first), lambda x: x["raw_text"].isNotNull()).alias("labels"),
-        pick(body, later).alias("values"),
-        F.map_from_entries(F.transform(pick(head, later), lambda x: F.struct(x["column_index"], x["raw_text"]))).alias("heads"),
-    )
-    rows = held.select(*key, "values", "heads", F.explode("labels").alias("label"))
-    own = F.filter("values", lambda v: v["row_index"] == F.col("label.row_index"))
-    missing = F.transform(F.array(F.col("label")), lambda x: F.struct(x["row_index"].alias("row_index"), F.lit(1).alias("column_index"), F.lit(None).cast("string").alias("raw_text"), F.lit(None).cast("string").alias("raw_cell_id"), F.lit(None).cast("array<double>").alias("bbox")))
-    out = rows.select(*key, F.col("label.row_index").alias("row_index"), F.col("label.raw_text").alias("raw_label"), "heads", F.explode(F.when(F.size(own) > 0, own).otherwise(missing)).alias("v"))
-    return out.select(*key, "row_index", "raw_label", F.col("v.raw_text").alias("raw_value"), F.col("v.raw_cell_id").alias("raw_cell_id"), F.col("v.bbox").alias("cell_bbox"), F.col("v.column_index").alias("column_index"), F.element_at("heads", F.col("v.column_index")).alias("column_label"))
+    held = last_cells(kept.repartition(*key), key)
+    is_value, at_head = F.col("column_index") >= 1, F.col("row_index") == 0
+    row, column, grid = Window.partitionBy(*key, "row_index"), Window.partitionBy(*key, "column_index"), Window.partitionBy(*key)
+    held = held.withColumns({"raw_label": F.max(F.when(~is_value, F.col("raw_text"))).over(row), "__values": F.count(F.when(is_value, 1)).over(row)})
+    held = held.withColumn("__head", F.max(F.when(at_head, F.col("raw_text"))).over(column))
+    held = held.withColumn("__first", F.max(F.when(at_head & (F.col("column_index") == 1), F.col("raw_text"))).over(grid))
+    rows = held.where(~at_head & F.col("raw_label").isNotNull() & (is_value | (F.col("__values") == 0)))
+    own = lambda c: F.when(is_value, F.col(c))
+    return rows.select(*key, "row_index", "raw_label", own("raw_text").alias("raw_value"), own("raw_cell_id").alias("raw_cell_id"), own("bbox").alias("cell_bbox"), F.greatest("column_index", F.lit(1)).alias("column_index"), F.when(is_value, F.col("__head")).otherwise(F.col("__first")).alias("column_label"))
 
 
 def period_basis(header: Column, packs: dict[str, RulePack], market: str = "market") -> Column:
@@ -130,20 +137,42 @@ def period_basis(header: Column, packs: dict[str, RulePack], market: str = "mark
     return out
 
 
+def with_unit_by_level(rows: DataFrame, packs: dict[str, RulePack], levels: dict[str, Column], longest: bool = False) -> DataFrame:
+    """Add the fields of ``units``, from the first level whose text has a currency and a scale, and ``unit_conflict``.
+
+    A later level with another unit is a conflict. Without a level that has both, the texts of all
+    levels together decide, as ``units`` does.
+    """
+    held = {f"__{n}": units(text, packs, longest=longest) for n, text in levels.items()}
+    rows = rows.withColumns({**held, "__all": units(F.concat_ws("\n", *levels.values()), packs, longest=longest)})
+    known = lambda c: F.col(c)["unit_confidence"] > 0
+    rows = rows.withColumns({f"{c}_name": F.when(known(c), F.concat_ws(" ", F.col(c)["currency"], F.col(c)["scale_factor"].cast("string"))) for c in held})
+    _, conflict = nearest_unit([f"{c}_name" for c in held])
+    rows = rows.withColumns({"__unit": F.coalesce(*[F.when(known(c), F.col(c)) for c in held], F.col("__all")), "unit_conflict": conflict})
+    return rows.select("*", "__unit.*").drop("__unit", "__all", *held, *[f"{c}_name" for c in held])
+
+
 def extract_facts(
-    classified: DataFrame, raw_tables: DataFrame, raw_cells: DataFrame, pages: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], aliases: DataFrame, created_at: Column, roles: Sequence[str] = (BALANCE_SHEET,), value_columns: str = "first", longest_unit: bool = False
+    classified: DataFrame, raw_tables: DataFrame, raw_cells: DataFrame, pages: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], aliases: DataFrame, created_at: Column, roles: Sequence[str] = (BALANCE_SHEET,), value_columns: str = "first", longest_unit: bool = False, unit_levels: bool = False
 ) -> DataFrame:
     """Rows of extracted_facts for the classified tables of ``roles`` in the given runs.
 
     By default only balance sheets and their first value column, as point-in-time amounts. With
-    ``value_columns='all'`` every later column is a fact, with the basis its header names.
+    ``value_columns='all'`` every later column is a fact, with the basis its header names. With
+    ``unit_levels`` a column's header decides the unit before the table's text, and that before the
+    page's; units that disagree need review.
     """
     context = runs.select("extraction_run_id", "report_id").join(reports.select("report_id", "market", "company_id", "fiscal_year", "report_type", "source_type"), "report_id")
     tables = classified.where(F.col("table_role").isin(*roles)).select("raw_table_id", "table_role", "statement_scope")
     tables = tables.join(raw_tables.select("raw_table_id", "extraction_run_id", "report_id", "page_number", "table_index_on_page", "extractor_name", "raw_table_text"), "raw_table_id")
     tables = tables.join(context, ["extraction_run_id", "report_id"]).join(pages.select("report_id", "page_number", "page_text_sample"), ["report_id", "page_number"], "left")
-    tables = tables.withColumn("u", units(unit_context(), packs, longest=longest_unit)).select("*", "u.*").drop("u", "page_text_sample", "raw_table_text")
+    texts = ("page_text_sample", "raw_table_text")
+    if not unit_levels:
+        tables = tables.withColumn("u", units(unit_context(), packs, longest=longest_unit)).select("*", "u.*").drop("u", *texts)
     rows = label_values(raw_cells.join(tables.select("raw_table_id"), "raw_table_id", "left_semi"), ["raw_table_id"], value_columns).join(tables, "raw_table_id")
+    if unit_levels:
+        levels = {"cell": F.col("column_label"), "table": F.col("raw_table_text"), "page": F.col("page_text_sample")}
+        rows = with_unit_by_level(rows, packs, levels, longest_unit).drop(*texts)
     rows = values(concepts(rows, aliases))
     basis = F.lit("point_in_time") if value_columns == "first" else period_basis(F.col("column_label"), packs)
     return rows.withColumns(
@@ -157,17 +186,5 @@ def extract_facts(
     )
 
 
-def ambiguous(aliases: DataFrame) -> DataFrame:
-    """Aliases that several concepts of a market claim; their facts need review."""
-    return aliases.where("concepts > 1")
-
-
 def summary(facts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return facts.groupBy(*keys).agg(F.count("*").alias("fact_count"), F.count_if(F.col("fact_status") == "needs_review").alias("needs_review_count"))
-
-
-def auto_trusted(facts: DataFrame) -> DataFrame:
-    """Facts whose mapping is sure enough to be trusted without a person."""
-    return facts.where(F.col("mapping_confidence") >= AUTO_CONFIDENCE)
-
-

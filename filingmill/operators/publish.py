@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingmill.operators.facts import AUTO_CONFIDENCE
 from filingmill.sources.schemas import ALLOWED, conformed
 
 
@@ -35,5 +36,5 @@ def auto_trust(facts: DataFrame, agreement: DataFrame, keys: list[str], status:
     """Add ``auto_trusted``: extractors agree, the unit is known, the mapping is sure and the rule holds."""
     agreed = agreement.where("agreement_status = 'agreed'").select(*keys).distinct().withColumn("__agreed", F.lit(True))
     out = facts.join(agreed, keys, "left")
-    sure = F.col("__agreed").isNotNull() & (F.col("unit_confidence") >= 0.95) & (F.col("mapping_confidence") >= 0.95) & F.col(status).isin("verified", "verified_with_rounding")
+    sure = F.col("__agreed").isNotNull() & (F.col("unit_confidence") >= AUTO_CONFIDENCE) & (F.col("mapping_confidence") >= AUTO_CONFIDENCE) & F.col(status).isin("verified", "verified_with_rounding")
     return out.withColumn("auto_trusted", F.coalesce(sure, F.lit(False))).drop("__agreed")

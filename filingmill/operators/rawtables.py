@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,16 @@ def grid_size(cells: DataFrame, key: list[str]) -> DataFrame:
     return cells.groupBy(*key).agg((F.max("row_index") + 1).alias("row_count"), (F.max("column_index") + 1).alias("column_count"))
 
 
+def last_cells(cells: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, row_index, column_index, raw_text, raw_cell_id, bbox): one cell for each place of a grid.
+
+    Of repeated ones the last by ``emit_order`` counts, where cells have one, else that of the greatest text.
+    """
+    order = [c for c in ("emit_order", "raw_text") if c in cells.columns]
+    last = F.max_by(F.struct("raw_text", "raw_cell_id", "bbox"), F.struct(*order)).alias("c")
+    return cells.groupBy(*key, "row_index", "column_index").agg(last).select(*key, "row_index", "column_index", "c.*")
+
+
 def table_text(cells: DataFrame, key: list[str], order: str = "emit_order") -> DataFrame:
     """(key, raw_table_text): the dense grid with tabs and line feeds; gaps are empty, of equal places the last counts.
 

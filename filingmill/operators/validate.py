@@ -9,11 +9,13 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from filingmill.functions.exprs import MONEY, stable_id, within_tolerance
+from filingmill.functions.exprs import MONEY, stable_id
 from filingmill.sources.rulepack import RulePack
 
 SURE_UNIT = 0.95
 FAILED = ("failed", "blocked_unit_unknown")
+#: The place of a fact, by which the last of several counts.
+PLACE = ("page_number", "table_index_on_page", "row_index", "column_index", "fact_id")
 #: Messages of results that compare no values.
 MISSING_MESSAGE = "a required concept is missing"
 UNIT_MESSAGE = "a unit is unknown"
@@ -22,13 +24,14 @@ VALUE_MESSAGE = "a value is missing"
 
 @dataclass(frozen=True)
 class Identity:
-    """A linear rule: the left concept equals the sum of coefficient times concept."""
+    """The left concept equals the sum of coefficient times concept, or with ``product`` the product of the concepts."""
 
     rule_id: str
     name: str
     left: str
     right: tuple[tuple[int, str], ...]
     severity: str = "error"
+    product: bool = False
 
     @property
     def concepts(self) -> tuple[str, ...]:
@@ -44,75 +47,94 @@ SUBTOTALS = (
     Identity("cash_flow.operating", "net operating = inflows - outflows", "net_cash_flow_from_operating", ((1, "subtotal_cash_inflows_from_operating"), (-1, "subtotal_cash_outflows_from_operating"))),
     Identity("cash_flow.net_increase", "increase = operating + investing + financing", "net_increase_in_cash_and_cash_equivalents", ((1, "net_cash_flow_from_operating"), (1, "net_cash_flow_from_investing"), (1, "net_cash_flow_from_financing"))),
     Identity("cash_flow.ending_cash_reconciliation", "ending = beginning + increase", "cash_and_cash_equivalents_ending", ((1, "cash_and_cash_equivalents_beginning"), (1, "net_increase_in_cash_and_cash_equivalents")), "warning"),
+    Identity("income_statement.basic_eps", "attributable profit = basic earnings a share x weighted shares", "net_profit_attributable_to_parent", ((1, "basic_eps"), (1, "weighted_average_shares")), "warning", product=True),
 )
 
 
-def last_facts(facts: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last fact of every key and concept, in insertion order (page, table, row by default)."""
-    last = Window.partitionBy(*keys, "normalized_concept_id").orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return facts.withColumn("__n", F.row_number().over(last)).where("__n = 1").drop("__n")
+def _fact() -> Column:
+    return F.struct(F.col("fact_id").alias("id"), F.col("normalized_value").cast(MONEY).alias("value"), F.col("scale_factor").cast(MONEY).alias("scale"), F.col("unit_confidence").alias("sure"))
 
 
-def pivoted(facts: DataFrame, keys: Sequence[str], concepts: Sequence[str], order: Sequence[str]) -> DataFrame:
+def pivoted(facts: DataFrame, keys: Sequence[str], concepts: Sequence[str], order: Sequence[str] = PLACE) -> DataFrame:
     """One row per key with a struct (id, value, scale, sure) per concept; of repeated concepts the last counts.
 
-    The last fact is an aggregate, so map-side combining bounds what a hot key sends.
+    The last fact, by page, table, row and column, is an aggregate, so map-side combining bounds what a
+    hot key sends.
     """
     at = F.struct(*order)
-    fact = F.struct(F.col("fact_id").alias("id"), F.col("normalized_value").cast(MONEY).alias("value"), F.col("scale_factor").alias("scale"), F.col("unit_confidence").alias("sure"))
-    aggregates = [F.max_by(fact, F.when(F.col("normalized_concept_id") == c, at)).alias(c) for c in concepts]
-    return facts.groupBy(*keys).agg(*aggregates)
+    return facts.groupBy(*keys).agg(*[F.max_by(_fact(), F.when(F.col("normalized_concept_id") == c, at)).alias(c) for c in concepts])
 
 
-def check(rows: DataFrame, rule: Identity, absolute: Decimal | str, relative: Decimal | str) -> DataFrame:
-    """Add lhs_value, rhs_value, difference_value, status, involved_fact_ids and message to pivoted rows.
+def beside(facts: DataFrame, keys: Sequence[str], concepts: Sequence[str], order: Sequence[str] = PLACE) -> DataFrame:
+    """``facts`` with the columns of ``pivoted`` for their key: facts are dealt once, and nothing is joined back."""
+    at, group = F.struct(*order), Window.partitionBy(*keys)
+    return facts.withColumns({c: F.max_by(_fact(), F.when(F.col("normalized_concept_id") == c, at)).over(group) for c in concepts})
+
+
+def _rule(rule: Identity, severity: str, absolute: Decimal | str, relative: Decimal | str) -> Column:
+    """A rule over pivoted rows as a struct, the left fact first and its factor 0."""
+    factors = [0, *(k for k, _ in rule.right)]
+    return F.struct(
+        F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.name).alias("rule_name"), F.lit(severity).alias("severity"), F.lit(rule.left).alias("left"), F.lit(rule.product).alias("product"),
+        F.array(*[F.struct(F.lit(k).alias("k"), F.col(c).alias("fact")) for k, c in zip(factors, rule.concepts)]).alias("terms"),
+        F.lit(str(absolute)).cast(MONEY).alias("absolute_tolerance"), F.lit(str(relative)).cast("decimal(9,8)").alias("relative_tolerance"),
+    )
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """Rows with a ``rule`` of ``_rule``, with its verdict.
 
     A missing concept comes before an unknown unit, and that before a missing value.
     """
-    facts = [F.col(c) for c in rule.concepts]
-    missing, unsure, empty = F.lit(False), F.lit(False), F.lit(False)
-    for f in facts:
-        missing = missing | f.isNull()
-        unsure = unsure | f["scale"].isNull() | F.coalesce(f["sure"] < SURE_UNIT, F.lit(True))
-        empty = empty | f["value"].isNull()
-    rhs = None
-    for k, c in rule.right:
-        part = F.col(c)["value"] if k == 1 else F.col(c)["value"] * F.lit(k)
-        rhs = part.cast(MONEY) if rhs is None else F.try_add(rhs, part.cast(MONEY))
-    usable = ~missing & ~unsure & ~empty
-    rows = rows.withColumns({"lhs_value": F.when(usable, F.col(rule.left)["value"]).cast(MONEY), "rhs_value": F.when(usable, rhs).cast(MONEY)})
+    terms = F.col("rule.terms")
+    missing = F.exists(terms, lambda t: t["fact"].isNull())
+    unsure = F.exists(terms, lambda t: t["fact"]["scale"].isNull() | F.coalesce(t["fact"]["sure"] < SURE_UNIT, F.lit(True)))
+    empty = F.exists(terms, lambda t: t["fact"]["value"].isNull())
+    right = F.slice(terms, 2, 100)
+    added = F.aggregate(right, F.lit(0).cast(MONEY), lambda out, t: F.try_add(out, (t["fact"]["value"] * t["k"]).try_cast(MONEY)).cast(MONEY))
+    times = F.aggregate(right, F.lit(1).cast(MONEY), lambda out, t: F.try_multiply(out, t["fact"]["value"]).try_cast(MONEY))
+    rows = rows.withColumns({"__missing": missing, "__unsure": unsure, "__empty": empty})
+    usable = ~F.col("__missing") & ~F.col("__unsure") & ~F.col("__empty")
+    rows = rows.withColumns({"lhs_value": F.when(usable, F.get(terms, F.lit(0))["fact"]["value"]), "rhs_value": F.when(usable, F.when(F.col("rule.product"), times).otherwise(added))})
     rows = rows.withColumn("difference_value", F.try_subtract(F.col("lhs_value"), F.col("rhs_value")).cast(MONEY))
-    d = F.col("difference_value")
-    near = within_tolerance("difference_value", "lhs_value", absolute, relative)
-    status = F.when(missing, "requires_manual_review").when(unsure, "blocked_unit_unknown").when(empty, "requires_manual_review").when(d == 0, "verified").when(near, "verified_with_rounding").otherwise("failed")
-    message = F.when(missing, MISSING_MESSAGE).when(unsure, UNIT_MESSAGE).when(empty, VALUE_MESSAGE).otherwise(
-        F.concat_ws(" ", F.lit(f"{rule.left}"), F.col("lhs_value").cast("string"), F.lit("against"), F.col("rhs_value").cast("string"), F.lit("differs by"), d.cast("string"))
-    )
-    return rows.withColumns({"status": status, "involved_fact_ids": F.array_compact(F.array(*[f["id"] for f in facts])), "message": message})
+    d, lhs = F.col("difference_value"), F.col("lhs_value")
+    allowed = F.abs(lhs).try_cast("decimal(28,6)") * F.col("rule.relative_tolerance")
+    near = (F.abs(d) <= F.col("rule.absolute_tolerance")) | F.coalesce((lhs != 0) & (F.abs(d) <= allowed), F.lit(False))
+    status = F.when(F.col("__missing"), "requires_manual_review").when(F.col("__unsure"), "blocked_unit_unknown").when(F.col("__empty") | d.isNull(), "requires_manual_review")
+    status = status.when(d == 0, "verified").when(near, "verified_with_rounding").otherwise("failed")
+    said = F.concat_ws(" ", F.col("rule.left"), lhs.cast("string"), F.lit("against"), F.col("rhs_value").cast("string"), F.lit("differs by"), d.cast("string"))
+    message = F.when(F.col("__missing"), MISSING_MESSAGE).when(F.col("__unsure"), UNIT_MESSAGE).when(F.col("__empty"), VALUE_MESSAGE).otherwise(said)
+    ids = F.transform(F.filter(terms, lambda t: t["fact"].isNotNull()), lambda t: t["fact"]["id"])
+    return rows.withColumns({"status": status, "involved_fact_ids": ids, "message": message}).drop("__missing", "__unsure", "__empty")
+
+
+def check(rows: DataFrame, rule: Identity, absolute: Decimal | str, relative: Decimal | str) -> DataFrame:
+    """Add lhs_value, rhs_value, difference_value, status, involved_fact_ids and message to pivoted rows."""
+    return _judged(rows.withColumn("rule", _rule(rule, rule.severity, absolute, relative))).drop("rule")
 
 
 def validate_runs(facts: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], created_at: Column, rules: Sequence[Identity] = (BALANCE,), overrides: bool = False) -> DataFrame:
-    """Rows of validation_results: every rule over every run, runs without facts included.
+    """Rows of validation_results: every rule over every run, runs without facts included, in one pass over the facts.
 
     With ``overrides`` the packs switch rules off and set severities; by default, all run as errors.
+    Of a concept's facts the last by page, table, row and column counts.
     """
     held = runs.select("extraction_run_id", "report_id").join(reports.select("report_id", "market"), "report_id")
     concepts = sorted({c for r in rules for c in r.concepts})
-    order = ["page_number", "raw_table_id", "row_index"] if "row_index" in facts.columns else ["page_number", "raw_table_id", "fact_id"]
-    wide = held.join(pivoted(facts.where(F.col("normalized_concept_id").isin(*concepts)), ["extraction_run_id"], concepts, order), "extraction_run_id", "left")
-    out = None
+    wide = held.join(pivoted(facts.where(F.col("normalized_concept_id").isin(*concepts)), ["extraction_run_id"], concepts), "extraction_run_id", "left")
+    chosen = None
     for m, pack in packs.items():
-        for rule in rules:
-            own = pack.rules.get(rule.rule_id, {}) if overrides else {}
-            if not own.get("enabled", True):
-                continue
-            found = check(wide.where(F.col("market") == m), rule, pack.absolute_tolerance, pack.relative_tolerance).select(
-                "extraction_run_id", F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.name).alias("rule_name"), F.lit(own.get("severity", "error")).alias("severity"), "status", "lhs_value", "rhs_value", "difference_value",
-                F.lit(str(pack.absolute_tolerance)).cast(MONEY).alias("absolute_tolerance"), F.lit(str(pack.relative_tolerance)).cast(MONEY).alias("relative_tolerance"), "involved_fact_ids", "message",
-            )
-            out = found if out is None else out.unionByName(found)
-    ids = {"validation_run_id": stable_id(F.lit("validation"), "extraction_run_id"), "validation_result_id": stable_id("extraction_run_id", "rule_id"), "created_at": created_at}
-    return out.withColumns(ids)
+        own = [(r, pack.rules.get(r.rule_id, {}) if overrides else {}) for r in rules]
+        own = [_rule(r, o.get("severity", "error"), pack.absolute_tolerance, pack.relative_tolerance) for r, o in own if o.get("enabled", True)]
+        if own:
+            chosen = F.when(F.col("market") == m, F.array(*own)) if chosen is None else chosen.when(F.col("market") == m, F.array(*own))
+    if chosen is None:
+        raise ValueError("the rule packs switch every rule off")
+    found = _judged(wide.select("extraction_run_id", F.explode(chosen).alias("rule")))
+    return found.select(
+        "extraction_run_id", "rule.rule_id", "rule.rule_name", "rule.severity", "status", "lhs_value", "rhs_value", "difference_value", "rule.absolute_tolerance", F.col("rule.relative_tolerance").cast(MONEY).alias("relative_tolerance"), "involved_fact_ids", "message",
+        stable_id(F.lit("validation"), "extraction_run_id").alias("validation_run_id"), stable_id("extraction_run_id", "rule.rule_id").alias("validation_result_id"), created_at.alias("created_at"),
+    )
 
 
 def summary(results: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

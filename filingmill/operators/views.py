@@ -59,6 +59,19 @@ def debug_facts(facts: DataFrame, results: DataFrame, corrections: DataFrame) ->
     return out.withColumn("correction_count", F.coalesce("correction_count", F.lit(0)))
 
 
+def debug_beside(judged: DataFrame, corrections: DataFrame) -> DataFrame:
+    """``debug_facts`` for facts that have one rule's ``status`` and ``involved_fact_ids`` beside them already."""
+    involved = F.when(F.array_contains("involved_fact_ids", F.col("fact_id")), F.col("status"))
+    counts = corrections.groupBy("fact_id").agg(F.count("*").alias("correction_count"))
+    out = judged.withColumn("validation_status", involved).join(counts, "fact_id", "left")
+    return out.withColumn("correction_count", F.coalesce("correction_count", F.lit(0)))
+
+
+def register_debug(facts: DataFrame, results: DataFrame, corrections: DataFrame) -> None:
+    """The debug mode's temporary view; nothing registers it unasked."""
+    debug_facts(facts, results, corrections).createOrReplaceTempView("debug_facts_view")
+
+
 def register(spark: SparkSession, trusted: DataFrame) -> None:
     """Temporary views of the trusted mode; the debug view is asked for by name."""
     lines = statement_lines(trusted)

@@ -22,12 +22,12 @@ def grid(*rows):
 @pytest.fixture(scope="module")
 def stages(spark):
     """Two reports: one with a full balance sheet, one without equity."""
-    reports = spark.createDataFrame([("r1", "us", "SMOKE", "Smoke Test Corp", 2026, "annual", "pdf"), ("r2", "us", "OTHER", None, 2026, "annual", "pdf")], "report_id string, market string, company_id string, company_name string, fiscal_year int, report_type string, source_type string")
+    reports = spark.createDataFrame([("r1", "us", "LARCH", "Larch Mills", 2026, "annual", "pdf"), ("r2", "us", "OTHER", None, 2026, "annual", "pdf")], "report_id string, market string, company_id string, company_name string, fiscal_year int, report_type string, source_type string")
     runs = spark.createDataFrame([("run1", "r1"), ("run2", "r2")], "extraction_run_id string, report_id string")
     text = "Consolidated Balance Sheets\nUSD thousands"
     pages = spark.createDataFrame([("r1", 1, text), ("r2", 1, text)], "report_id string, page_number int, page_text_sample string")
     head = ["Line item", "Amount"]
-    full = grid(head, ["Total assets", "100"], ["Total liabilities", "40"], ["Total stockholders' equity", "60"], ["Unmapped line", "999"], [None, "5"])
+    full = grid(head, ["Total assets", "731"], ["Total liabilities", "512"], ["Total stockholders' equity", "219"], ["Looms in use", "8"], [None, "5"])
     part = grid(head, ["TOTAL   assets", "n/a"], ["total liabilities", "(40)"])
     tables = spark.createDataFrame([("run1", "r1", "fake", 1, 0, full), ("run2", "r2", "fake", 1, 0, part), ("run2", "r2", "fake", 1, 1, [])], CELLS)
     held = tables.withColumn("raw_table_id", rawtables.raw_table_id())
@@ -42,7 +42,7 @@ def test_raw_tables(stages):
     assert stages["tables"].count() == 2
     r = stages["tables"].where("report_id = 'r1'").first()
     assert (r["row_count"], r["column_count"]) == (6, 2)
-    assert r["raw_table_text"] == "Line item\tAmount\nTotal assets\t100\nTotal liabilities\t40\nTotal stockholders' equity\t60\nUnmapped line\t999\n\t5"
+    assert r["raw_table_text"] == "Line item\tAmount\nTotal assets\t731\nTotal liabilities\t512\nTotal stockholders' equity\t219\nLooms in use\t8\n\t5"
 
 
 def test_classified(stages):
@@ -54,7 +54,7 @@ def test_facts_have_full_rows(stages):
     got = {r["normalized_concept_id"]: r for r in conformed(stages["facts"], "extracted_facts").where("report_id = 'r1'").collect()}
     assert set(got) == {"total_assets", "total_equity", "total_liabilities"}
     r = got["total_assets"]
-    assert (r["raw_value"], r["parsed_decimal"], r["normalized_value"], r["raw_unit"], r["currency"], r["scale_factor"]) == ("100", 100, 100000, "USD thousands", "USD", 1000)
+    assert (r["raw_value"], r["parsed_decimal"], r["normalized_value"], r["raw_unit"], r["currency"], r["scale_factor"]) == ("731", 731, 731000, "USD thousands", "USD", 1000)
     assert (r["statement_scope"], r["statement_type"], r["table_role"], r["period_basis"], r["column_label"], r["page_number"], r["fact_status"]) == ("consolidated", "balance_sheet", "statement.balance_sheet", "point_in_time", "Amount", 1, "normalized")
     assert r["cell_bbox"] == [10.0, 1.0, 20.0, 2.0] and r["mapping_confidence"] == 0.99 and r["mapping_rule_id"] == "concept_aliases.total_assets"
     other = {r["normalized_concept_id"]: (r["parsed_decimal"], r["fact_status"]) for r in stages["facts"].where("report_id = 'r2'").collect()}
@@ -66,7 +66,7 @@ def test_verdict(stages):
     got = {r["extraction_run_id"]: r for r in conformed(rows, "validation_results").collect()}
     r = got["run1"]
     ids = {x["normalized_concept_id"]: x["fact_id"] for x in stages["facts"].where("report_id = 'r1'").collect()}
-    assert (r["rule_id"], r["status"], r["lhs_value"], r["rhs_value"], r["difference_value"], r["severity"]) == ("balance_sheet.assets_equal_liabilities_plus_equity", "verified", 100000, 100000, 0, "error")
+    assert (r["rule_id"], r["status"], r["lhs_value"], r["rhs_value"], r["difference_value"], r["severity"]) == ("balance_sheet.assets_equal_liabilities_plus_equity", "verified", 731000, 731000, 0, "error")
     assert r["involved_fact_ids"] == [ids["total_assets"], ids["total_liabilities"], ids["total_equity"]]
     assert got["run2"]["status"] == "requires_manual_review" and len(got["run2"]["involved_fact_ids"]) == 2
     s = validate.summary(rows).first()
@@ -145,3 +145,66 @@ def test_overrides_and_subtotals(stages):
     rows = validate.validate_runs(stages["facts"], stages["runs"], stages["reports"], {"us": off}, F.lit(WHEN), (validate.BALANCE, *validate.SUBTOTALS), overrides=True).collect()
     assert len(rows) == 2 * len(validate.SUBTOTALS) and {r["status"] for r in rows} == {"requires_manual_review"}
     assert {r["severity"] for r in rows if r["rule_id"] == "cash_flow.ending_cash_reconciliation"} == {"warning"}
+
+
+def grid_cells(spark, *cells):
+    return spark.createDataFrame([(1, r, c, t, f"{r}-{c}-{n}", None, n) for n, (r, c, t) in enumerate(cells)], "k int, row_index int, column_index int, raw_text string, raw_cell_id string, bbox array<double>, emit_order int")
+
+
+@pytest.mark.parametrize("columns", ["first", "all"])
+def test_the_last_of_repeated_cells_counts(spark, columns):
+    cells = grid_cells(spark, (0, 0, "x"), (0, 1, "old head"), (0, 1, "head"), (1, 0, "Total assets"), (1, 1, "1"), (1, 1, "2"), (2, 0, "no value"), (3, 1, "no label"))
+    got = facts.label_values(cells, ["k"], columns).orderBy("row_index").collect()
+    assert [(r["raw_label"], r["raw_value"], r["raw_cell_id"], r["column_index"], r["column_label"]) for r in got] == [("Total assets", "2", "1-1-5", 1, "head"), ("no value", None, None, 1, "head")]
+
+
+def test_numbers_too_long_need_review(spark):
+    rows = spark.createDataFrame([("9" * 25, 0.99), ("9" * 40, 0.99), ("7", 0.99)], "raw_value string, unit_confidence double").withColumn("scale_factor", F.lit(1000).cast("decimal(38,6)"))
+    got = facts.values(rows).collect()
+    assert [(r["parsed_decimal"] is None, r["normalized_value"], r["fact_status"]) for r in got] == [(False, None, "needs_review"), (True, None, "needs_review"), (False, Decimal(7000), "normalized")]
+
+
+def test_the_last_fact_is_that_of_the_last_table_and_row(spark):
+    fact = lambda run, table, row, value: (run, f"{run}/{table}/{row}", "total_equity", Decimal(value), Decimal(1), 0.99, 1, table, row, 1)
+    rows = [fact(f"run{i}", t, r, 10 * t + r) for i in range(6) for t in (0, 1, 2) for r in (1, 2)]
+    df = spark.createDataFrame(rows, "extraction_run_id string, fact_id string, normalized_concept_id string, normalized_value decimal(38,6), scale_factor decimal(38,6), unit_confidence double, page_number int, table_index_on_page int, row_index int, column_index int")
+    wide = validate.pivoted(df.repartition(7), ["extraction_run_id"], ["total_equity"]).collect()
+    assert {r["total_equity"]["value"] for r in wide} == {22}
+    beside = validate.beside(df, ["extraction_run_id"], ["total_equity"]).collect()
+    assert len(beside) == 36 and {r["total_equity"]["id"][-4:] for r in beside} == {"/2/2"}
+
+
+def test_aliases_of_several_concepts_and_units_that_disagree_need_review(spark):
+    torn = rulepack.RulePack(**{**PACKS["us"].__dict__, "aliases": ((0, "total_assets", "total", 0.99), (1, "total_equity", "Total", 0.99), (2, "revenue", "revenue", 0.99))})
+    rows = spark.createDataFrame([("total", "5"), ("Revenue", "6")], "raw_label string, raw_value string").withColumns({"market": F.lit("us"), "scale_factor": F.lit(1).cast("decimal(38,6)"), "unit_confidence": F.lit(0.99)})
+    got = facts.values(facts.concepts(rows, rulepack.alias_table(spark, {"us": torn}))).collect()
+    assert {r["raw_label"]: r["fact_status"] for r in got} == {"total": "needs_review", "Revenue": "normalized"}
+    texts = spark.createDataFrame([("us", "in millions USD", "USD thousands", None), ("us", None, "USD thousands", "USD thousands"), ("us", None, "in thousands", "USD")], "market string, cell string, t string, page string")
+    found = facts.with_unit_by_level(texts, PACKS, {c: F.col(c) for c in ("cell", "t", "page")}, True).collect()
+    assert [(str(r["scale_factor"]), r["unit_conflict"]) for r in found] == [("1000000.000000", True), ("1000.000000", False), ("1000.000000", False)]
+
+
+def test_products_of_concepts(spark):
+    rule = next(r for r in validate.SUBTOTALS if r.product)
+    fact = lambda c, v: F.struct(F.lit(c).alias("id"), F.lit(v).cast("decimal(38,6)").alias("value"), F.lit(1).cast("decimal(38,6)").alias("scale"), F.lit(0.99).alias("sure")).alias(c)
+    for shares, status in (("400", "verified"), ("401", "verified_with_rounding"), ("450", "failed")):
+        row = spark.range(1).select(fact("net_profit_attributable_to_parent", "1000"), fact("basic_eps", "2.5"), fact("weighted_average_shares", shares))
+        assert validate.check(row, rule, "3", "0.0001").first()["status"] == status
+
+
+def test_extended_packs_have_every_concept_and_note_role():
+    from filingmill.operators.views import WIDE
+
+    for market in rulepack.MARKETS:
+        own, more = rulepack.load(market), rulepack.load(market, extended=True)
+        assert len({a[1] for a in own.aliases}) == 7 and len(own.notes) == 3 and len(more.notes) == 8
+        assert {c for names in WIDE.values() for c in names} <= {a[1] for a in more.aliases}
+
+
+def test_debug_view_is_registered_when_asked(spark, stages):
+    from filingmill.operators import views
+
+    results = validate.validate_runs(stages["facts"], stages["runs"], stages["reports"], PACKS, F.lit(WHEN))
+    views.register_debug(stages["facts"], results, stages["facts"].where("report_id = 'r2'").select("fact_id"))
+    got = {(r["report_id"], r["validation_status"], r["correction_count"]) for r in spark.table("debug_facts_view").collect()}
+    assert got == {("r1", "verified", 0), ("r2", "requires_manual_review", 1)}
