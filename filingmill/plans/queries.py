@@ -6,8 +6,12 @@ lines are sums of their line items, documents for pages, events for runs and cor
 
 from __future__ import annotations
 
+import hashlib
+import tempfile
+import uuid
 from decimal import Decimal
 
+import yaml
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +19,8 @@ from filingmill.functions import exprs
 from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, register, review, validate, views
 from filingmill.sources import rulepack
 from filingmill.sources.rulepack import Role, RulePack
-from filingmill.sources.schemas import active_conflicts, orphans
+from filingmill.sources.schemas import active_conflicts, conformed, orphans
+from filingmill.sources.store import Lake
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -72,13 +77,49 @@ def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return total.crossJoin(empty).crossJoin(lost)  # one row each
 
 
-@query()
+def _rulepack_sql() -> str:
+    """The shipped aliases as VALUES, read from the files by plain means."""
+    rows, fold = [], lambda t: " ".join(t.lower().split())
+    for market in rulepack.MARKETS:
+        files = [rulepack.RULES_ROOT / market / f"{f}.yml" for f in rulepack.FILES]
+        version = hashlib.sha256(b"".join(f.name.encode() + b"\0" + f.read_bytes() + b"\0" for f in files)).hexdigest()
+        held = yaml.safe_load(files[1].read_text(encoding="utf-8"))["concepts"]
+        named = [(concept, str(a), rule["confidence"]) for concept, rule in held.items() for a in rule["aliases"]]
+        for alias in dict.fromkeys(fold(a) for _, a, _ in named):
+            claims = [(c, k) for c, a, k in named if fold(a) == alias]
+            said = alias.replace("'", "''")
+            rows.append(f"('{market}', '{said}', '{claims[0][0]}', {claims[0][1]}::double, 'concept_aliases.{claims[0][0]}', {len({c for c, _ in claims})}::int, '{version}')")
+    return "select * from (values " + ", ".join(rows) + ") as t(market, alias, normalized_concept_id, mapping_confidence, mapping_rule_id, concepts, rule_pack_version)"
+
+
+@query(_rulepack_sql())
 def q_rulepack(spark: SparkSession, sf_dir: str) -> DataFrame:
     packs = rulepack.load_all()
     versions = spark.createDataFrame([(m, p.version) for m, p in packs.items()], "market string, rule_pack_version string")
     return rulepack.alias_table(spark, packs).join(versions, "market")
 
 
+@query("select user_id as report_id, arg_max(event_id::varchar, (ts, event_id::varchar)) as extraction_run_id from events group by 1")
+def q_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = table(spark, sf_dir, "events").select(F.col("user_id").alias("report_id"), F.col("event_id").cast("string").alias("extraction_run_id"), F.col("ts").alias("run_started_at"))
+    return register.latest_runs(runs)
+
+
+@query("select c_custkey::varchar as page_id, c_nationkey::varchar as report_id, case when c_nationkey % 3 = 0 then 2 else 1 end::int as page_number from customer where c_nationkey % 5 <> 4")
+def q_lake_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of every nation, then those of each third again, then none for the nations of rest 4 by 5."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="filingmill-lake-")
+    lake = Lake(spark, f"{root.rstrip('/')}/lake-{uuid.uuid4().hex}")
+    lake.initialize()
+    k = F.col("c_nationkey")
+    pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("page_id"), k.cast("string").alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("text_char_count"), F.lit(False).alias("has_statement_keywords"), "c_nationkey")
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_nationkey").cast("string").alias("report_id"))
+    lake.replace("pdf_pages", pages, "report_id", nations)
+    lake.replace("pdf_pages", pages.where(k % 3 == 0).withColumn("page_number", F.lit(2)), "report_id", nations.where(k % 3 == 0))
+    lake.replace("pdf_pages", pages.limit(0), "report_id", nations.where(k % 5 == 4))
+    return lake.read("pdf_pages", "report_id").select("page_id", "report_id", "page_number")
+
+
 # Profiles -----------------------------------------------------------------------------------------
 
 KEYWORDS = {"en": ("the", "tion"), "de": ("und ", "ung"), "fr": ("est", "dans")}
@@ -110,13 +151,12 @@ def q_html_title(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Grids --------------------------------------------------------------------------------------------
 
-_GRID = """rows as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as r from documents where contains(text, ' | ')),
+_GRID = """rows as (select doc_id, unnest(string_split(text, chr(10))) as line, unnest(range(len(string_split(text, chr(10))))) as r from documents),
 g as (select doc_id, r::int as row_index, (unnest(range(len(string_split(line, ' | ')))))::int as column_index, nullif(unnest(string_split(line, ' | ')), '') as raw_text from rows)"""
 
 
 def _grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").where(F.contains("text", F.lit(" | ")))
-    return rawtables.grid_cells(docs.select("doc_id", "text"), ["doc_id"], "text")
+    return rawtables.grid_cells(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"], "text")
 
 
 @query(rf"with {_GRID} select doc_id, row_index, column_index, raw_text, nullif(trim(regexp_replace(raw_text, '[\s\p{{Z}}]+', ' ', 'g')), '') as normalized_text, row_index = 0 as is_header_candidate from g")
@@ -141,12 +181,13 @@ def q_grid_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rawtables.table_text(cells, ["doc_id"]).select("doc_id", F.md5("raw_table_text").alias("text_md5"))
 
 
-@query("select doc_id, row_index, " + ", ".join(f"max(raw_text) filter (column_index = {i}) as display_col_{i}" for i in range(4)) + " from g group by 1, 2")
+@query(f"with {_GRID} select doc_id, row_index, count(raw_text) as n_cells, md5(coalesce(string_agg(column_index || '=' || raw_text, chr(31) order by column_index), '')) as cells_md5 from g group by 1, 2")
 def q_display_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return review.with_display(_grid(spark, sf_dir), ["doc_id"], 4)
-
-
-SQL["q_display_pivot"] = f"with {_GRID} " + SQL["q_display_pivot"]
+    """Every cell of every document as a display column, as wide as the widest grid; a row's columns are shown as a digest."""
+    wide = review.with_display(_grid(spark, sf_dir), ["doc_id"])
+    shown = review.display_columns(wide.columns)
+    cells = F.array_compact(F.array(*[F.concat(F.lit(f"{c.removeprefix('display_col_')}="), F.col(c)) for c in shown]))
+    return wide.select("doc_id", "row_index", cells.alias("cells")).select("doc_id", "row_index", F.size("cells").cast("bigint").alias("n_cells"), F.md5(F.array_join("cells", "\x1f")).alias("cells_md5"))
 
 
 @query(
@@ -345,7 +386,7 @@ def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = F.when(k % 10 == 9, "Unmapped line").otherwise("Total stockholders'  equity")
     rows = [("Line item", F.lit("Amount")), ("TOTAL assets", F.col("total").cast("string")), (" Total liabilities ", F.when(k % 11 == 10, "--").otherwise(F.col("part").cast("string"))), (last, F.col("equity").cast("string")), ("Unmapped line", F.lit("999"))]
     cells = [F.struct(F.lit(r).alias("row_index"), F.lit(c).alias("column_index"), (F.lit(x) if isinstance(x, str) else x).alias("raw_text")) for r, row in enumerate(rows) for c, x in enumerate(row)]
-    out = sums.select("k", context.alias("context"), F.explode(F.array(*cells)).alias("c")).select("k", "context", "c.*")
+    out = sums.select("k", "equity", context.alias("context"), F.explode(F.array(*cells)).alias("c")).select("k", "equity", "context", "c.*")
     return out.withColumns({"raw_cell_id": F.concat_ws("-", F.col("k").cast("string"), F.col("row_index").cast("string"), F.col("column_index").cast("string")), "bbox": F.lit(None).cast("array<double>")})
 
 
@@ -385,6 +426,12 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.check(rows, validate.BALANCE, US.absolute_tolerance, US.relative_tolerance)
 
 
+def _checked_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fact with its statement's verdict, without a second look at the statements."""
+    rows = validate.beside(_facts(spark, sf_dir), ["k"], validate.BALANCE.concepts, ["row_index"])
+    return validate.check(rows, validate.BALANCE, US.absolute_tolerance, US.relative_tolerance)
+
+
 @query(f"with {_CHECKED} select k, lhs_value, rhs_value, difference_value, status, case when no_equity then k || '-1,' || k || '-2' else k || '-1,' || k || '-2,' || k || '-3' end as involved_fact_ids from v")
 def q_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _checked(spark, sf_dir).select("k", "lhs_value", "rhs_value", "difference_value", "status", F.array_join("involved_fact_ids", ",").alias("involved_fact_ids"))
@@ -395,10 +442,15 @@ def q_validate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.summary(_checked(spark, sf_dir))
 
 
-@query("select o_custkey, o_orderstatus as normalized_concept_id, arg_max(o_orderkey, (o_orderdate, o_orderkey)) as o_orderkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) as o_totalprice from orders group by 1, 2")
+_LAST = ", ".join(f"arg_max(o_orderkey::varchar, (o_orderdate, o_orderkey)) filter (o_orderstatus = '{c}') as {c.lower()}_id, arg_max(o_totalprice::decimal(18,2), (o_orderdate, o_orderkey)) filter (o_orderstatus = '{c}')::{D} as {c.lower()}_value" for c in "FOP")
+
+
+@query(f"select o_custkey, {_LAST} from orders group by 1")
 def q_validate_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "orders").withColumn("normalized_concept_id", F.col("o_orderstatus"))
-    return validate.last_facts(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "normalized_concept_id", "o_orderkey", "o_totalprice")
+    """Of repeated concepts the last counts, by the aggregate that every validation uses."""
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey", F.col("o_orderstatus").alias("normalized_concept_id"), F.col("o_orderkey").cast("string").alias("fact_id"), F.col("o_totalprice").cast("decimal(18,2)").alias("normalized_value"), F.lit(1).alias("scale_factor"), F.lit(0.99).alias("unit_confidence"))
+    wide = validate.pivoted(rows, ["o_custkey"], list("FOP"), ["o_orderdate", "o_orderkey"])
+    return wide.select("o_custkey", *[F.col(f"{c}.{f}").alias(f"{c.lower()}_{f}") for c in "FOP" for f in ("id", "value")])
 
 
 @query(
@@ -495,9 +547,8 @@ from n join v on n.k = v.k where v.status in ('verified', 'verified_with_roundin
 
 def _trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statements are reports k % 50 of run k % 5; version of run 0 are inactive."""
-    status = _checked(spark, sf_dir).select("k", F.col("status").alias("validation_status"))
     k = F.col("k")
-    rows = _facts(spark, sf_dir).join(status, "k").withColumns(
+    rows = _checked_facts(spark, sf_dir).withColumnRenamed("status", "validation_status").withColumns(
         {
             "report_id": (k % 50).cast("string"), "extraction_run_id": (k % 5).cast("string"), "company_id": F.concat(F.lit("c"), (k % 20).cast("string")), "fiscal_year": (1992 + k % 7).cast("int"), "report_type": F.when(k % 2 == 0, "annual").otherwise("quarterly"),
             "statement_scope": F.lit("consolidated"), "statement_type": F.lit("balance_sheet"), "table_role": F.lit("statement.balance_sheet"), "period_basis": F.lit("point_in_time"), "raw_table_id": k.cast("string"), "page_number": (k % 100).cast("int"), "row_label": F.col("raw_label"),
@@ -538,6 +589,123 @@ def q_period_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {_CHECKED} select n.k || '-' || n.row_index as fact_id, n.concept as normalized_concept_id, v.status as validation_status, case when n.k % 4 = 0 then 1 else 0 end::bigint as correction_count from n join v on n.k = v.k")
 def q_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = _facts(spark, sf_dir).select("fact_id", "normalized_concept_id", "k")
-    fixed = held.where("k % 4 = 0").select("fact_id")
-    return views.debug_facts(held, _checked(spark, sf_dir), fixed).drop("k")
+    k = F.col("o_orderkey")
+    fixed = table(spark, sf_dir, "orders").where(k % 4 == 0).select(F.explode(F.array(*[F.concat_ws("-", k.cast("string"), F.lit(str(r))) for r in (1, 2, 3)])).alias("fact_id"))
+    return views.debug_beside(_checked_facts(spark, sf_dir), fixed).select("fact_id", "normalized_concept_id", "validation_status", "correction_count")
+
+
+# Whole stages over the lake's tables ----------------------------------------------------------------
+
+LONG = "1234567890123456789012345"
+_FILED = f"""{_STATEMENTS.rsplit("n as (", 1)[0].rstrip().rstrip(",")},
+filed as (select k, row_index, concept, 0 as table_index_on_page, case when concept = 'total_assets' and k % 13 = 0 then '{LONG}' else raw_value end as raw_value, case when concept = 'total_assets' and k % 13 = 0 then '{LONG}'::{D} else parsed end as parsed, scale, currency, raw_unit, unit_confidence from f
+union all select k, 1, 'total_equity', 1, (equity + 900)::varchar, (equity + 900)::{D}, scale, currency, raw_unit, unit_confidence from u where k % 3 = 0),
+fact as (select *, case when not (concept = 'total_assets' and k % 13 = 0) then (parsed * scale::decimal(9,0))::{D} end as normalized_value, case when parsed is not null and unit_confidence >= 0.95 and not (concept = 'total_assets' and k % 13 = 0) then 'normalized' else 'needs_review' end as fact_status from filed)"""
+
+
+def _filings(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The lake's tables for one report, run and balance sheet per order; some cells are repeated, some numbers too long, some equity in a second table."""
+    own = _statements(spark, sf_dir)
+    k, at = F.col("k"), (F.col("row_index"), F.col("column_index"))
+    raw = F.when((k % 13 == 0) & (at[0] == 1) & (at[1] == 1), LONG).otherwise(F.col("raw_text"))
+    own = own.withColumns({"raw_text": raw, "table_index_on_page": F.lit(0), "emit_order": at[0] * 10 + at[1] + 1})
+    again = own.where((k % 7 == 0) & (at[1] == 1)).withColumns({"raw_text": F.lit("5"), "emit_order": F.lit(0)})
+    second = own.where((k % 3 == 0) & at[0].isin(0, 3)).withColumn("raw_text", F.when(at[0] == 0, F.col("raw_text")).when(at[1] == 0, "Total stockholders' equity").otherwise((F.col("equity") + 900).cast("string")))
+    second = second.withColumns({"row_index": F.when(at[0] == 3, 1).otherwise(0), "table_index_on_page": F.lit(1)})
+    ids = {"report_id": k.cast("string"), "extraction_run_id": k.cast("string"), "page_number": F.lit(1), "raw_table_id": F.concat_ws("/", k.cast("string"), F.col("table_index_on_page").cast("string"))}
+    cells = own.unionByName(again).unionByName(second).withColumns(ids)
+    tables = cells.groupBy("k", "context", "raw_table_id", "extraction_run_id", "report_id", "page_number", "table_index_on_page").agg(F.lit("fake").alias("extractor_name")).withColumnRenamed("context", "raw_table_text")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("report_id"))
+    reports = orders.withColumns({"market": F.lit("us"), "company_id": F.lit("c"), "fiscal_year": F.lit(2026), "report_type": F.lit("annual"), "source_type": F.lit("pdf")})
+    return {
+        "classified": tables.select("raw_table_id", F.lit(facts.BALANCE_SHEET).alias("table_role"), F.lit("consolidated").alias("statement_scope")),
+        "tables": tables, "cells": cells, "reports": reports, "runs": orders.withColumn("extraction_run_id", F.col("report_id")),
+        "pages": orders.withColumns({"page_number": F.lit(1), "page_text_sample": F.lit("Consolidated Balance Sheets")}),
+    }
+
+
+def _extracted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    x = _filings(spark, sf_dir)
+    found = facts.extract_facts(x["classified"], x["tables"], x["cells"], x["pages"], x["runs"], x["reports"], {"us": US}, rulepack.alias_table(spark, {"us": US}), F.lit(EPOCH).cast("timestamp"), longest_unit=True)
+    return found, x
+
+
+@query(f"with {_FILED} select k::varchar as report_id, table_index_on_page, row_index, concept as normalized_concept_id, raw_value, parsed as parsed_decimal, normalized_value, fact_status, 'Amount' as column_label from fact")
+def q_extract_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = _extracted(spark, sf_dir)
+    return conformed(found, "extracted_facts").select("report_id", "table_index_on_page", "row_index", "normalized_concept_id", "raw_value", "parsed_decimal", "normalized_value", "fact_status", "column_label")
+
+
+def _last_side(c: str) -> str:
+    s, at = c[6:7], "(table_index_on_page, row_index)"
+    return f"arg_max((normalized_value, scale, unit_confidence), {at}) filter (concept = '{c}') as {s}"
+
+
+_RUNS = f"""{_FILED}, w as (select k, {_last_side('total_assets')}, {_last_side('total_liabilities')}, {_last_side('total_equity')} from fact group by 1),
+z as (select o_orderkey as k, a, l, e from orders left join w on k = o_orderkey),
+x as (select k, (a is null or l is null or e is null) as missing, (a[2] is null or l[2] is null or e[2] is null or a[3] < 0.95 or l[3] < 0.95 or e[3] < 0.95) as unsure, (a[1] is null or l[1] is null or e[1] is null) as empty, a[1] as lhs, (l[1] + e[1])::{D} as rhs from z),
+y as (select *, not missing and not unsure and not empty as ok from x),
+v as (select k::varchar as extraction_run_id, case when ok then lhs end as lhs_value, case when ok then rhs end as rhs_value, case when ok then (lhs - rhs)::{D} end as difference_value, case when missing then 'requires_manual_review' when unsure then 'blocked_unit_unknown' when empty then 'requires_manual_review' when lhs = rhs then 'verified'
+when abs(lhs - rhs) <= 2 or (lhs <> 0 and abs(lhs - rhs) <= abs(lhs)::decimal(28,6) * 0.0001::decimal(9,4)) then 'verified_with_rounding' else 'failed' end as status, case when missing then 'a required concept is missing' when unsure then 'a unit is unknown' when empty then 'a value is missing' end as said from y)"""
+
+
+@query(f"with {_RUNS} select extraction_run_id, 'balance_sheet.assets_equal_liabilities_plus_equity' as rule_id, 'error' as severity, status, lhs_value, rhs_value, difference_value, coalesce(said, 'total_assets ' || lhs_value || ' against ' || rhs_value || ' differs by ' || difference_value) as message from v")
+def q_validate_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, x = _extracted(spark, sf_dir)
+    rows = validate.validate_runs(found, x["runs"], x["reports"], {"us": US}, F.lit(EPOCH).cast("timestamp"))
+    return conformed(rows, "validation_results").select("extraction_run_id", "rule_id", "severity", "status", "lhs_value", "rhs_value", "difference_value", "message")
+
+
+@query(
+    rf"""with lines as (select conv_id, string_agg(text, chr(10) order by turn, role) as t from conversations where text is not null group by 1),
+    t as (select d.doc_id, d.lang, lower(concat_ws(chr(10), nullif(substring(regexp_replace(coalesce(d.text, ''), '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g'), 1, 1000), ''), nullif(lines.t, ''))) as t, lang in ('en', 'fr', 'de') as known from documents d left join lines on conv_id = doc_id),
+    c as (select doc_id, {_ROLE} as table_role, {_CONFIDENCE} as classification_confidence, {_RULE.replace('%s', 'table_titles')} as classification_rule_id, case when known and {_hit(SCOPES['parent'])} then 'parent' when known and {_hit(SCOPES['consolidated'])} then 'consolidated' else 'unknown' end as statement_scope from t)
+    select doc_id::varchar as raw_table_id, table_role, statement_scope, classification_confidence, classification_rule_id, classification_confidence < 0.95 or statement_scope <> 'consolidated' as requires_review from c"""
+)
+def q_classify_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pages of a table each, conversations as the tables' cells."""
+    docs = table(spark, sf_dir, "documents").withColumn("id", F.col("doc_id").cast("string"))
+    tables = docs.select(F.col("id").alias("raw_table_id"), F.col("id").alias("extraction_run_id"), F.col("id").alias("report_id"), F.lit(1).alias("page_number"), F.lit(None).cast("string").alias("raw_table_text"))
+    cells = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("raw_table_id"), F.col("turn").alias("row_index"), F.col("role").alias("column_index"), F.col("text").alias("raw_text"))
+    pages = docs.select(F.col("id").alias("report_id"), F.lit(1).alias("page_number"), exprs.or_null(F.substring(exprs.strip(F.coalesce("text", F.lit(""))), 1, profile.SAMPLE_CHARS)).alias("page_text_sample"))
+    runs = docs.select(F.col("id").alias("extraction_run_id"), F.col("id").alias("report_id"))
+    rows = classify.classify_runs(tables, cells, pages, runs, docs.select(F.col("id").alias("report_id"), F.col("lang").alias("market")), DOC_PACKS, F.lit(EPOCH).cast("timestamp"))
+    return rows.select("raw_table_id", "table_role", "statement_scope", "classification_confidence", "classification_rule_id", "requires_review")
+
+
+@query(f"select c_custkey::varchar as concept_id, c_name as raw_label, case when c_custkey % 3 = 0 then 'segment' when c_custkey % 3 = 1 then 'sales_by_area' end as dimension_name, case when c_custkey % 3 < 2 then c_name end as dimension_value, c_acctbal::decimal(18,2)::{D} as effective_value from customer where c_custkey % 4 <> 0")
+def q_note_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("c_custkey")
+    role = F.when(k % 4 == 0, "statement.balance_sheet").when(k % 3 == 0, "note.revenue_by_segment").when(k % 3 == 1, "note.revenue_by_sales_by_area").otherwise("note.revenue")
+    trusted = conformed(table(spark, sf_dir, "customer").withColumns({"table_role": role, "raw_label": F.col("c_name"), "effective_concept_id": k.cast("string"), "effective_value": F.col("c_acctbal").cast("decimal(18,2)")}), "trusted_facts")
+    return views.note_facts(trusted).select("concept_id", "raw_label", "dimension_name", "dimension_value", "effective_value")
+
+
+@query(f"with {_TRUSTED} select report_id, source_page, trusted_status, company_id, fiscal_year, report_type, concept as effective_concept_id, effective_value, effective_unit, currency from t")
+def q_ai_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.ai_facts(_trusted(spark, sf_dir)).select("report_id", "source_page", "trusted_status", "company_id", "fiscal_year", "report_type", "effective_concept_id", "effective_value", "effective_unit", "currency")
+
+
+@query(f"with g as ({SQL['q_agreement']}) select s_suppkey, coalesce(agreement_status = 'agreed', false) and s_suppkey % 5 <> 0 and s_suppkey % 4 <> 1 and s_suppkey % 6 <> 5 as auto_trusted from supplier left join g on nation = s_nationkey and period = s_suppkey % 7")
+def q_auto_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extractors agree, the unit is known, the mapping is sure and the rule holds."""
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("nation"), (k % 7).alias("period"), F.when(k % 5 == 0, 0.0).otherwise(0.99).alias("unit_confidence"), F.when(k % 4 == 1, 0.9).otherwise(0.98).alias("mapping_confidence"), F.when(k % 6 == 5, "failed").when(k % 6 == 4, "verified_with_rounding").otherwise("verified").alias("validation_status"))
+    return publish.auto_trust(rows, q_agreement(spark, sf_dir), ["nation", "period"]).select("s_suppkey", "auto_trusted")
+
+
+@query("select o_orderkey::varchar as trusted_version_id, case when o_orderstatus = 'P' then 'inactive' when row_number() over (partition by o_custkey, coalesce(case when o_orderpriority <> '5-LOW' then o_orderpriority end, ''), o_orderstatus = 'P' order by o_orderdate desc, o_orderkey::varchar desc) > 1 then 'superseded' else 'active' end as status from orders")
+def q_activated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("trusted_version_id"), F.col("o_custkey").cast("string").alias("report_id"), F.lit("statement").alias("scope"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("scope_key"), F.when(F.col("o_orderstatus") == "P", "inactive").otherwise("active").alias("status"), F.col("o_orderdate").alias("published_at"))
+    return publish.activated(rows).select("trusted_version_id", "status")
+
+
+@query(
+    f"""with s as ({_SHEET}), p as (select row_number, fact_id, correction_reason, unnest([{{'f': 'normalized_value', 'v': corrected_value}}, {{'f': 'raw_unit', 'v': corrected_unit}}, {{'f': 'normalized_concept_id', 'v': normalized_concept_id}}, {{'f': 'correction_action', 'v': correction_action}}]) as x from s)
+    select p.fact_id, x.f as field_name, x.v as new_value, case x.f when 'normalized_value' then c_acctbal::decimal(18,2)::{D}::varchar when 'raw_unit' then case when c_custkey is not null then 'CNY' end when 'normalized_concept_id' then case when c_custkey is not null then 'revenue' end end as old_value, correction_reason from p left join customer on c_custkey::varchar = p.fact_id where x.v is not null"""
+)
+def q_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    none = F.lit(None).cast("string")
+    held = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("fact_id"), F.col("c_acctbal").cast("decimal(18,2)").cast(D).alias("normalized_value"), F.lit("CNY").alias("raw_unit"), F.lit("revenue").alias("normalized_concept_id"), none.alias("period_basis"), none.alias("statement_scope"), none.alias("table_role"))
+    log = corrections.history(_sheet(spark, sf_dir).drop("created_at"), held, F.lit("b"), F.lit(EPOCH).cast("timestamp"))
+    return log.select("fact_id", "field_name", "new_value", "old_value", "correction_reason")
