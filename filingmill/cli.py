@@ -8,7 +8,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from filingmill.operators import classify, facts, profile, rawtables, register, review, validate
+from filingmill.operators import classify, corrections, facts, profile, rawtables, register, review, validate
 from filingmill.sources import documents, rulepack, workbook
 from filingmill.sources.store import Lake
 
@@ -30,6 +30,12 @@ def _one(df, what: str, key: str):
     return row
 
 
+def _files(lake: Lake, path: str):
+    if not lake.exists(path):
+        raise FileNotFoundError(path)
+    return documents.report_files(lake.spark, path, "*")
+
+
 def run_events(lake: Lake):
     """Extraction runs by their latest event."""
     order = ["event_at", "event_number"]
@@ -38,12 +44,15 @@ def run_events(lake: Lake):
 
 
 def init_db(lake: Lake, args) -> str:
+    """Create the lake's tables and note the versions of the rule packs, each once."""
     lake.initialize()
+    rows = rulepack.version_rows(lake.spark, rulepack.load_all(args.rules_root), args.rules_root, datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None))
+    lake.append("rule_pack_versions", rows.join(lake.read("rule_pack_versions").select("rule_pack_version"), "rule_pack_version", "left_anti"))
     return f"{lake.root}/audit\n{lake.root}/analytics"
 
 
 def import_pdf(lake: Lake, args) -> str:
-    files = documents.report_files(lake.spark, args.pdf_path, "*")
+    files = _files(lake, args.pdf_path)
     rows = documents.reports_of(files, args.market, now(), company_id=args.company_id, company_name=args.company_name, fiscal_year=args.fiscal_year, report_type=args.report_type)
     if args.stored_pdf_path:
         rows = rows.withColumn("stored_pdf_path", F.lit(args.stored_pdf_path))
@@ -56,7 +65,7 @@ def import_pdf(lake: Lake, args) -> str:
 def profile_pdf(lake: Lake, args) -> str:
     report = lake.read("reports", "report_id").where(F.col("report_id") == args.report_id)
     row = _one(report, "report", args.report_id)
-    files = documents.report_files(lake.spark, row["stored_pdf_path"], "*").withColumn("report_id", F.lit(args.report_id))
+    files = _files(lake, row["stored_pdf_path"]).withColumn("report_id", F.lit(args.report_id))
     pages = documents.read_pages(files)
     if bad := pages.where("error is not null").first():
         raise RuntimeError(bad["error"])
@@ -71,7 +80,11 @@ def profile_pdf(lake: Lake, args) -> str:
 
 
 def extract_tables(lake: Lake, args) -> str:
-    """A run is recorded as running first and as succeeded or failed after; a failed one has no rows."""
+    """A run is recorded as running first and as succeeded or failed after.
+
+    That last event publishes tables and cells together: readers take rows of succeeded runs only, so a
+    run that fails between the two writes shows none.
+    """
     report = _one(lake.read("reports", "report_id").where(F.col("report_id") == args.report_id), "report", args.report_id)
     spark, started = lake.spark, datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
     run_id = args.run_id or f"{args.report_id[:12]}-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
@@ -85,7 +98,7 @@ def extract_tables(lake: Lake, args) -> str:
 
     event("running", None)
     try:
-        files = documents.report_files(spark, report["stored_pdf_path"], "*").withColumn("report_id", F.lit(args.report_id))
+        files = _files(lake, report["stored_pdf_path"]).withColumn("report_id", F.lit(args.report_id))
         found = documents.read_tables(files, extractor).withColumn("extraction_run_id", F.lit(run_id)).cache()
         if bad := found.where("error is not null").first():
             raise RuntimeError(bad["error"])
@@ -111,28 +124,37 @@ def _of_run(df, args):
     return df.where(F.col("extraction_run_id") == args.extraction_run_id)
 
 
+def raw(lake: Lake, table: str, runs):
+    """Raw rows of the ``runs`` that have succeeded."""
+    done = runs.where("status = 'succeeded'").select("extraction_run_id")
+    return lake.read(table).join(done, "extraction_run_id", "left_semi")
+
+
 def classify_tables(lake: Lake, args) -> str:
     runs, reports, packs = _context(lake, args)
-    rows = classify.classify_runs(_of_run(lake.read("raw_tables"), args), _of_run(lake.read("raw_cells"), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, now())
+    rows = classify.classify_runs(_of_run(raw(lake, "raw_tables", runs), args), _of_run(raw(lake, "raw_cells", runs), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, now())
     lake.replace("classified_tables", rows, "extraction_run_id", runs)
     s = classify.summary(_of_run(lake.read("classified_tables", "extraction_run_id"), args)).first()
     return f"extraction_run_id={args.extraction_run_id} classified={s['classified_count']} review_required={s['review_required_count']}"
 
 
 def extract_facts(lake: Lake, args) -> str:
+    """Balance sheets by default; ``--all-statements`` takes every statement and every value column."""
     runs, reports, packs = _context(lake, args)
+    packs = rulepack.load_all(args.rules_root, extended=True) if args.all_statements else packs
+    more = {"roles": facts.STATEMENTS, "value_columns": "all", "unit_levels": True} if args.all_statements else {}
     rows = facts.extract_facts(
-        _of_run(lake.read("classified_tables", "extraction_run_id"), args), _of_run(lake.read("raw_tables"), args), _of_run(lake.read("raw_cells"), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, rulepack.alias_table(lake.spark, packs), now()
+        _of_run(lake.read("classified_tables", "extraction_run_id"), args), _of_run(raw(lake, "raw_tables", runs), args), _of_run(raw(lake, "raw_cells", runs), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, rulepack.alias_table(lake.spark, packs), now(), **more
     )
     lake.replace("extracted_facts", rows, "extraction_run_id", runs)
     s = facts.summary(_of_run(lake.read("extracted_facts", "extraction_run_id"), args)).first()
     return f"extraction_run_id={args.extraction_run_id} facts={s['fact_count']} needs_review={s['needs_review_count']}"
 
 
-def validate_run(lake: Lake, args) -> str:
-    runs, reports, packs = _context(lake, args)
-    rows = validate.validate_runs(_of_run(lake.read("extracted_facts", "extraction_run_id"), args), runs, reports, packs, now()).cache()
+def _validated(lake: Lake, args, runs, reports, packs, found) -> str:
+    rows = validate.validate_runs(found, runs, reports, packs, now())
     lake.replace("validation_results", rows, "extraction_run_id", runs)
+    rows = _of_run(lake.read("validation_results", "extraction_run_id"), args)
     lake.append("validation_runs", rows.select("validation_run_id", "extraction_run_id").distinct().join(runs.select("extraction_run_id", "rule_pack_version"), "extraction_run_id").withColumns({"started_at": now(), "finished_at": now(), "status": F.lit("succeeded")}))
     s = validate.summary(rows, ["validation_run_id"]).first()
     if s is None:
@@ -140,16 +162,67 @@ def validate_run(lake: Lake, args) -> str:
     return f"validation_run_id={s['validation_run_id']} extraction_run_id={args.extraction_run_id} results={s['result_count']} failed={s['failed_count']}"
 
 
+def validate_run(lake: Lake, args) -> str:
+    runs, reports, packs = _context(lake, args)
+    return _validated(lake, args, runs, reports, packs, _of_run(lake.read("extracted_facts", "extraction_run_id"), args))
+
+
 def export_review(lake: Lake, args) -> str:
+    """The workbook of a run, its facts beside the cells of their rows; the export is recorded."""
     runs, reports, _ = _context(lake, args)
     found = _of_run(lake.read("extracted_facts", "extraction_run_id"), args)
     results = _of_run(lake.read("validation_results", "extraction_run_id"), args)
-    meta = runs.select(F.lit("1").alias("workbook_schema_version"), "report_id", "extraction_run_id", F.sha2(F.concat_ws("/", F.lit("review"), "extraction_run_id"), 256).alias("review_export_id"), "rule_pack_version", now().cast("string").alias("exported_at"))
-    workbook.write_workbook(args.workbook, review.workbook_sheets(meta, results, found.withColumn("cell_bbox_json", F.to_json("cell_bbox"))))
-    return str(args.workbook)
-
-
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review}
+    cells = rawtables.last_cells(_of_run(raw(lake, "raw_cells", runs), args).join(found.select("raw_table_id").distinct(), "raw_table_id", "left_semi"), ["raw_table_id"])
+    shown = found.join(review.with_display(cells, ["raw_table_id"]), ["raw_table_id", "row_index"], "left")
+    export_id = F.sha2(F.concat_ws("/", F.lit("review"), "extraction_run_id"), 256)
+    meta = runs.select(F.lit("1").alias("workbook_schema_version"), "report_id", "extraction_run_id", export_id.alias("review_export_id"), "rule_pack_version", now().cast("string").alias("exported_at"))
+    book = args.workbook or str(review.workbook_path(f"{lake.root}/review", _one(runs, "extraction run", args.extraction_run_id)["report_id"], args.extraction_run_id))
+    workbook.write_workbook(book, review.workbook_sheets(meta, results, shown.withColumn("cell_bbox_json", F.to_json("cell_bbox"))))
+    if args.html:
+        workbook.html_summary(args.html, f"Review of {args.extraction_run_id}", {"summary": review.key_values(meta), "validation_failures": review.failures(results)})
+    lake.append("review_exports", runs.select(export_id.alias("review_export_id"), "report_id", "extraction_run_id", F.lit(book).alias("workbook_path"), F.lit(args.html).cast("string").alias("html_summary_path"), F.lit("exported").alias("status"), now().alias("created_at")))
+    return book
+
+
+def import_corrections(lake: Lake, args) -> str:
+    """Import a workbook's corrections, once, and validate the run again over the corrected facts.
+
+    Broken rows reject the whole batch and are written to an error workbook; only the corrections and
+    the metadata sheet are read.
+    """
+    meta = workbook.metadata_of(args.workbook)
+    args.extraction_run_id = meta.get("extraction_run_id")
+    runs, reports, packs = _context(lake, args)
+    batches = lake.read("correction_batches")
+    export = corrections.importable(meta, lake.read("review_exports").dropDuplicates(["review_export_id"]), batches)
+    _one(export, "or already imported review export", meta.get("review_export_id"))
+    found = _of_run(lake.read("extracted_facts", "extraction_run_id"), args)
+    sheet = workbook.corrections_of(lake.spark, args.workbook)
+    number = batches.where(F.col("review_export_id") == meta["review_export_id"]).count() + 1
+    batch_id = f"{meta['review_export_id'][:12]}-{number}"
+    errors = corrections.error_rows(sheet, lake.read("extracted_facts", "extraction_run_id"), args.extraction_run_id)
+    n_errors = errors.count()
+
+    def batch(status: str, error: str | None) -> None:
+        row = export.select("review_export_id", "report_id", "extraction_run_id").withColumns({"correction_batch_id": F.lit(batch_id), "imported_workbook_path": F.lit(str(args.workbook)), "imported_at": now(), "status": F.lit(status), "error_message": F.lit(error).cast("string")})
+        lake.append("correction_batches", row.limit(1))
+
+    if n_errors:
+        report = f"{args.workbook}.errors.xlsx"
+        workbook.write_sheets(report, {"errors": errors.orderBy("row_number", "error_code").select(*[F.col(c).cast("string") for c in errors.columns])})
+        batch("rejected", f"{n_errors} errors, see {report}")
+        raise ValueError(f"{n_errors} errors in the corrections, see {report}")
+    log = corrections.history(sheet, found, F.lit(batch_id), now())
+    lake.append("corrections", log)
+    batch("accepted", None)
+    accepted = lake.read("correction_batches").where("status = 'accepted'").select("correction_batch_id")
+    corrected = corrections.effective(found, lake.read("corrections").join(accepted, "correction_batch_id", "left_semi"))
+    kept = corrected.where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False)))
+    said = _validated(lake, args, runs, reports, packs, kept)
+    return f"correction_batch_id={batch_id} corrections={sheet.count()} {said}"
+
+
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -172,10 +245,15 @@ def parser() -> argparse.ArgumentParser:
             if name == "extract-tables":
                 p.add_argument("--extractor", default="pdfplumber", choices=sorted(documents.EXTRACTORS))
                 p.add_argument("--run-id")
+        elif name == "import-corrections":
+            p.add_argument("workbook")
         elif name != "init-db":
             p.add_argument("extraction_run_id")
+            if name == "extract-facts":
+                p.add_argument("--all-statements", action="store_true")
             if name == "export-review":
-                p.add_argument("workbook")
+                p.add_argument("workbook", nargs="?")
+                p.add_argument("--html")
     return out
 
 

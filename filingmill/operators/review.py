@@ -87,20 +87,23 @@ def key_values(one: DataFrame, names: tuple[str, str] = ("field", "value")) -> D
 
 
 def read_corrections(sheet: DataFrame) -> DataFrame:
-    """The nine columns of a corrections sheet without its empty rows; other columns are ignored."""
+    """The nine columns of a corrections sheet, and ``row_number`` where it has one, without its empty rows; other columns are ignored."""
     if missing := [c for c in CORRECTION_COLUMNS if c not in sheet.columns]:
         raise ValueError("the corrections sheet lacks " + ", ".join(missing))
-    return sheet.select(*CORRECTION_COLUMNS).na.drop("all")
+    numbered = ["row_number"] if "row_number" in sheet.columns else []
+    return sheet.select(*numbered, *CORRECTION_COLUMNS).na.drop("all", subset=CORRECTION_COLUMNS)
 
 
 def workbook_sheets(metadata: DataFrame, results: DataFrame, rows: DataFrame) -> dict[str, DataFrame]:
     """The eight sheets of a report's workbook."""
-    raw = raw_rows(rows)
+    place = [c for c in ("page_number", "table_index_on_page", "row_index", "column_index", "fact_id") if c in rows.columns]
+    raw = raw_rows(rows.orderBy(*place))  # presentation order; a report's rows are few
     empty = metadata.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in CORRECTION_COLUMNS))
     sheets = {"summary": key_values(metadata), "validation_failures": failures(results)}
     sheets |= {s: raw.where(F.col("sheet") == s).drop("sheet") for s in RAW_SHEETS}
     return sheets | {"corrections": empty, "_metadata": key_values(metadata, ("key", "value"))}
 
 
-def workbook_path(root: str, report_id: str | Column, run_id: str | Column) -> Column:
-    return F.format_string(f"{root}/%s/%s/review.xlsx", report_id, run_id)
+def workbook_path(root: str, report_id: str, run_id: str) -> str:
+    """Where a run's workbook goes by default."""
+    return f"{root}/{report_id}/{run_id}/review.xlsx"

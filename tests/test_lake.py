@@ -72,6 +72,77 @@ def test_command_line_end_to_end(spark, tmp_path, monkeypatch, capsys):
         run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run2")
     states = {r["extraction_run_id"]: r["status"] for r in cli.run_events(Lake(spark, lake)).collect()}
     assert states == {"run1": "succeeded", "run2": "failed"}
+    pdf.unlink()
+    with pytest.raises(FileNotFoundError):
+        run("profile-pdf", report_id)
+    with pytest.raises(FileNotFoundError):
+        run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run3")
+    assert {r["extraction_run_id"]: r["status"] for r in cli.run_events(Lake(spark, lake)).collect()}["run3"] == "failed"
+
+
+@pytest.fixture
+def reviewed(spark, tmp_path, monkeypatch):
+    """A lake with one run that has been validated, and its verbs."""
+    monkeypatch.setitem(documents.EXTRACTORS, "fake", Fake())
+    monkeypatch.setattr(documents.read_pages, "__defaults__", (fake_pages,))
+    (tmp_path / "report.pdf").write_bytes(b"some file")
+    lake = Lake(spark, str(tmp_path / "lake"))
+    run = lambda *a: cli.main([a[0], "--lake", lake.root, *a[1:]], spark)
+    run("init-db")
+    report_id = run("import-pdf", str(tmp_path / "report.pdf"), "--market", "us")
+    run("profile-pdf", report_id)
+    run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run1")
+    for verb in ("classify-tables", "extract-facts", "validate-run"):
+        run(verb, "run1")
+    return lake, run
+
+
+def test_rows_of_a_failed_run_are_not_read(spark, reviewed, monkeypatch):
+    lake, run = reviewed
+    append = Lake.append
+
+    def broken(self, table, rows, generation=0):
+        if table == "raw_tables":
+            raise OSError("the store is full")
+        append(self, table, rows, generation)
+
+    monkeypatch.setattr(Lake, "append", broken)
+    report_id = lake.read("reports").first()["report_id"]
+    with pytest.raises(OSError):
+        run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run2")
+    assert lake.read("raw_cells").where("extraction_run_id = 'run2'").count() == 8
+    assert cli.raw(lake, "raw_cells", cli.run_events(lake)).where("extraction_run_id = 'run2'").count() == 0
+
+
+def test_workbook_of_a_run_and_import_of_its_corrections(spark, reviewed, tmp_path):
+    lake, run = reviewed
+    book, page = tmp_path / "review.xlsx", tmp_path / "s.html"
+    run("export-review", "run1", str(book), "--html", str(page))
+    raw = workbook.read_sheet(book, "balance_sheet_raw")
+    at = {c: i for i, c in enumerate(raw[0])}
+    assert [(r[at["row_index"]], r[at["display_col_0"]], r[at["display_col_1"]]) for r in raw[1:]] == [("1", "Total assets", "100"), ("2", "Total liabilities", "40"), ("3", "Total shareholders' equity", "60")]
+    assert "validation_failures" in page.read_text() and lake.read("review_exports").count() == 1
+    ids = {r[at["normalized_concept_id"]]: r[0] for r in raw[1:]}
+
+    def filled(path, *rows):
+        names = [s for s in review.SHEETS if s not in ("corrections",)]
+        sheets = {n: spark.createDataFrame([tuple([*r, *[None] * (len(h) - len(r))]) for r in body], ", ".join(f"`{c}` string" for c in h)) for n, (h, *body) in ((n, workbook.read_sheet(book, n)) for n in names)}
+        sheets["corrections"] = spark.createDataFrame([(*r, *[None] * (9 - len(r))) for r in rows], ", ".join(f"{c} string" for c in review.CORRECTION_COLUMNS))
+        workbook.write_workbook(path, sheets)
+
+    equity = ids["total_equity"]
+    bad, good = tmp_path / "bad.xlsx", tmp_path / "good.xlsx"
+    filled(bad, (equity, "correct", "x", None, None, None, None, None, "why"), ("nobody", "confirm"))
+    with pytest.raises(ValueError, match="2 errors"):
+        run("import-corrections", str(bad))
+    assert [r[2] for r in workbook.read_sheet(f"{bad}.errors.xlsx", "errors")[1:]] == ["INVALID_DECIMAL", "UNKNOWN_FACT_ID"]
+    filled(good, (equity, "correct", "50000000", None, None, None, None, None, "a misprint"))
+    said = run("import-corrections", str(good))
+    assert "corrections=1" in said and said.endswith("results=1 failed=1")
+    assert lake.read("corrections").select("field_name", "old_value", "new_value").where("field_name = 'normalized_value'").collect() == [("normalized_value", "60000000.000000", "50000000")]
+    assert sorted(r["status"] for r in lake.read("correction_batches").collect()) == ["accepted", "rejected"]
+    with pytest.raises(ValueError, match="already imported"):
+        run("import-corrections", str(good))
 
 
 def test_replacing_with_nothing_clears(spark, tmp_path):
@@ -109,7 +180,7 @@ def test_checks(spark):
     assert [tuple(r) for r in schemas.repeated_keys(a, ["k"]).collect()] == [("x", 2)]
     assert schemas.orphans(a, "p", spark.createDataFrame([(1,)], "id int"), "id").collect() == [("x", 3)]
     assert schemas.not_allowed(spark.createDataFrame([("us",), ("xx",), (None,)], "m string"), "m", "market").count() == 2
-    assert len(schemas.AUDIT_TABLES) == 14 and len(schemas.SCHEMAS["extracted_facts"]) == 36
+    assert len(schemas.AUDIT_TABLES) == 14 and len(schemas.SCHEMAS["extracted_facts"]) == 36 + 3  # and the place of a fact in its table
     with pytest.raises(ValueError):
         schemas.conformed(a, "reports")
 
