@@ -132,7 +132,8 @@ def raw(lake: Lake, table: str, runs):
 
 def classify_tables(lake: Lake, args) -> str:
     runs, reports, packs = _context(lake, args)
-    rows = classify.classify_runs(_of_run(raw(lake, "raw_tables", runs), args), _of_run(raw(lake, "raw_cells", runs), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, now())
+    packs = rulepack.load_all(args.rules_root, extended=True) if args.notes else packs
+    rows = classify.classify_runs(_of_run(raw(lake, "raw_tables", runs), args), _of_run(raw(lake, "raw_cells", runs), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, now(), args.notes)
     lake.replace("classified_tables", rows, "extraction_run_id", runs)
     s = classify.summary(_of_run(lake.read("classified_tables", "extraction_run_id"), args)).first()
     return f"extraction_run_id={args.extraction_run_id} classified={s['classified_count']} review_required={s['review_required_count']}"
@@ -249,6 +250,8 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("workbook")
         elif name != "init-db":
             p.add_argument("extraction_run_id")
+            if name == "classify-tables":
+                p.add_argument("--notes", action="store_true")
             if name == "extract-facts":
                 p.add_argument("--all-statements", action="store_true")
             if name == "export-review":

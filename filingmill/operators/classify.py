@@ -75,12 +75,20 @@ def summary(classified_tables: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     return classified_tables.groupBy(*keys).agg(F.count("*").alias("classified_count"), F.count_if("requires_review").alias("review_required_count"))
 
 
-def classify_runs(raw_tables: DataFrame, raw_cells: DataFrame, pages: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], created_at: Column) -> DataFrame:
-    """Rows of classified_tables for every raw table of the given runs."""
+def classify_runs(raw_tables: DataFrame, raw_cells: DataFrame, pages: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], created_at: Column, notes: bool = False) -> DataFrame:
+    """Rows of classified_tables for every raw table of the given runs.
+
+    With ``notes`` tables of no statement take the role of the packs' note rules.
+    """
     from filingmill.operators.rawtables import cell_lines
 
     market = runs.select("extraction_run_id", "report_id").join(reports.select("report_id", "market"), "report_id").select("extraction_run_id", "market")
     rows = raw_tables.join(market, "extraction_run_id").join(cell_lines(raw_cells, ["raw_table_id"]), "raw_table_id", "left")
     rows = rows.join(pages.select("report_id", "page_number", "page_text_sample"), ["report_id", "page_number"], "left")
     out = classified(rows, packs)
+    if notes:
+        out = note_roles(out, packs, evidence())
+        noted = (F.col("table_role") == "unknown") & (F.col("note_role") != "unknown")
+        own = {"table_role": "note_role", "classification_confidence": "note_confidence", "classification_rule_id": "note_rule_id"}
+        out = out.withColumn("__noted", noted).withColumns({c: F.when(F.col("__noted"), F.col(n)).otherwise(F.col(c)) for c, n in own.items()}).drop("__noted", *own.values())
     return out.withColumns({"classified_table_id": stable_id("extraction_run_id", "raw_table_id"), "created_at": created_at})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingmill.functions.exprs import MONEY, stable_id
@@ -29,7 +29,9 @@ def error_rows(rows: DataFrame, facts: DataFrame, run_id: str | None = None, imm
     """
     known = facts.select(F.col("fact_id").alias("__id"), "extraction_run_id", *[F.col(c).cast("string").alias(f"__{c}") for c in immutable])
     at = rows.join(known, F.col("fact_id") == F.col("__id"), "left")
-    at = at.withColumn("__n", F.count("*").over(Window.partitionBy("fact_id", "correction_action")))
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in ("fact_id", "correction_action")]
+    repeated = rows.groupBy(F.col("fact_id").alias("__fact_id"), F.col("correction_action").alias("__correction_action")).agg(F.count("*").alias("__n")).where("__n > 1")
+    at = at.join(repeated, same, "left")
     action, unknown = F.col("correction_action"), F.col("__id").isNull()
     changed = F.lit(False)
     for c in immutable:
@@ -47,7 +49,7 @@ def error_rows(rows: DataFrame, facts: DataFrame, run_id: str | None = None, imm
         "INVALID_DECIMAL": ~_blank("corrected_value") & F.trim("corrected_value").try_cast(MONEY).isNull(),
         "INVALID_UNIT": ~_blank("corrected_unit") & ~F.trim("corrected_unit").isin(*units),
         "IMMUTABLE_FIELD_MODIFIED": ~unknown & changed,
-        "DUPLICATE_CORRECTION_ROW": F.col("__n") > 1,
+        "DUPLICATE_CORRECTION_ROW": F.col("__n").isNotNull(),
     }
     codes = F.array_compact(F.array(*[F.when(F.coalesce(rules[code], F.lit(False)), F.lit(code)) for code in ERRORS]))
     return at.select("row_number", "fact_id", F.explode(codes).alias("error_code"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingmill.operators.facts import AUTO_CONFIDENCE
@@ -15,9 +15,11 @@ def is_trusted(status: str | Column) -> Column:
 
 def activated(versions: DataFrame) -> DataFrame:
     """Versions with all but the latest active one of a report, scope and key superseded."""
-    same = Window.partitionBy("report_id", "scope", F.coalesce("scope_key", F.lit("")), "status").orderBy(F.col("published_at").desc(), F.col("trusted_version_id").desc())
-    later = (F.col("status") == "active") & (F.row_number().over(same) > 1)
-    return versions.withColumn("status", F.when(later, "superseded").otherwise(F.col("status")))
+    active = versions.where("status = 'active'").select("report_id", "scope", F.coalesce("scope_key", F.lit("")).alias("k"), "published_at", "trusted_version_id")
+    latest = active.groupBy("report_id", "scope", "k").agg(F.max(F.struct("published_at", "trusted_version_id"))["trusted_version_id"].alias("__latest"))
+    out = versions.join(latest.select(F.col("__latest").alias("__id")), F.col("trusted_version_id") == F.col("__id"), "left")
+    superseded = (F.col("status") == "active") & F.col("__id").isNull()
+    return out.withColumn("status", F.when(superseded, "superseded").otherwise(F.col("status"))).drop("__id")
 
 
 def trusted_facts(effective_facts: DataFrame, versions: DataFrame, reports: DataFrame, status: str = "validation_status") -> DataFrame:

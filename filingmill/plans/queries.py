@@ -71,10 +71,11 @@ def q_latest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select count(*) as n_orders, (select count(*) from orders o where not exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey)) as n_without_lines, (select count(*) from lineitem l where not exists (select 1 from orders o where l.l_orderkey = o.o_orderkey)) as n_orphans from orders")
 def q_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    total = orders.agg(F.count("*").alias("n_orders"))
-    empty = orphans(orders, "o_orderkey", lines.select("l_orderkey").distinct(), "l_orderkey").agg(F.count("*").alias("n_without_lines"))
-    lost = orphans(lines, "l_orderkey", orders, "o_orderkey").agg(F.count("*").alias("n_orphans"))
-    return total.crossJoin(empty).crossJoin(lost)  # one row each
+    empty = orphans(orders, "o_orderkey", lines.select("l_orderkey").distinct(), "l_orderkey")
+    lost = orphans(lines, "l_orderkey", orders, "o_orderkey")
+    names = ("n_orders", "n_without_lines", "n_orphans")
+    counts = [df.select(*[F.lit(int(n == m)).cast("bigint").alias(m) for m in names]) for n, df in zip(names, (orders, empty, lost))]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2]).agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
 
 
 def _rulepack_sql() -> str:

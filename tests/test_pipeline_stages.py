@@ -208,3 +208,12 @@ def test_debug_view_is_registered_when_asked(spark, stages):
     views.register_debug(stages["facts"], results, stages["facts"].where("report_id = 'r2'").select("fact_id"))
     got = {(r["report_id"], r["validation_status"], r["correction_count"]) for r in spark.table("debug_facts_view").collect()}
     assert got == {("r1", "verified", 0), ("r2", "requires_manual_review", 1)}
+
+
+def test_tables_of_no_statement_take_note_roles(spark, stages):
+    tables = spark.createDataFrame([("n1", "run1", "r1", 7, "Revenue by product line"), ("n2", "run1", "r1", 8, "ageing analysis of receivables"), ("n3", "run1", "r1", 9, "other")], "raw_table_id string, extraction_run_id string, report_id string, page_number int, raw_table_text string")
+    cells = stages["cells"].limit(0)
+    pages = spark.createDataFrame([], "report_id string, page_number int, page_text_sample string")
+    for packs, want in ((PACKS, ["note.revenue_by_product", "unknown", "unknown"]), (rulepack.load_all(extended=True), ["note.revenue_by_product", "note.receivables_aging", "unknown"])):
+        rows = classify.classify_runs(tables, cells, pages, stages["runs"], stages["reports"], packs, F.lit(WHEN), notes=True)
+        assert [r["table_role"] for r in conformed(rows, "classified_tables").orderBy("raw_table_id").collect()] == want
