@@ -10,12 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from filingmill.llm.shared import possibly_in, staged
+
 K = 256
 WIDTH = 5
 WHITE = r"[ \t\n\r\x0B\f]+"
-#: Documents of one bucket of neighbours, and the most buckets that are cut.
+#: Documents of one bucket of neighbours, and the most ranges of ids whose bounds the driver holds.
 BUCKET_ROWS = 500
-MAX_BUCKETS = 32_768
+MOST_RANGES = 4_096
 
 
 def _col(x: str | Column) -> Column:
@@ -82,7 +84,7 @@ def merged_by(df: DataFrame, keys: list[str], sketch: str, k: int = K, salts: in
     return on.select(*[F.col(f"g.{c}").alias(c) for c in keys], F.coalesce("__s", F.array().cast("array<bigint>")).alias(sketch))
 
 
-def _bucket(id_: Column, bounds: list[int]) -> Column:
+def _range_of(id_: Column, bounds: list[int]) -> Column:
     """The number of bounds at or below an id, by binary search; -1 for a null id."""
     cuts = F.lit(bounds).cast("array<bigint>") if bounds else F.array().cast("array<bigint>")
     start = F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi"))
@@ -96,29 +98,64 @@ def _bucket(id_: Column, bounds: list[int]) -> Column:
     return F.when(id_.isNull(), F.lit(-1)).otherwise(F.aggregate(steps, start, halve)["lo"])
 
 
+def _bounds(rows: DataFrame, total: int) -> list[int]:
+    """Bounds of at most ``MOST_RANGES`` ranges of about equal rows; an id with the rows of two is a range of its own."""
+    n = min(MOST_RANGES, total // BUCKET_ROWS)
+    if n < 2:
+        return []
+    found = rows.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], max(10_000, 4 * n)).alias("q")).first()["q"] or []
+    hot = {a for a, b in zip(found, found[1:]) if a == b and a < (1 << 63) - 1}
+    return sorted({*found, *(i + 1 for i in hot)})
+
+
+def with_buckets(rows: DataFrame) -> DataFrame:
+    """Add ``span`` and ``bucket`` to rows (doc_id, h): buckets of about ``BUCKET_ROWS`` rows, in order of doc_id, then h.
+
+    Ids are cut into ranges at quantiles, and each range into as many buckets as its rows ask for, by
+    place in the range, or by hash in a range of one id or of none. The driver holds a few numbers for
+    each range.
+    """
+    rows = rows.withColumn("span", _range_of(F.col("doc_id"), _bounds(rows, rows.count())))
+    stats = {r["span"]: r for r in rows.groupBy("span").agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).collect()}
+    many, low, wide, first, at = [], [], [], [], 0
+    for span in range(-1, max(stats, default=-1) + 1):
+        r = stats.get(span)
+        n, lo, hi = (r["n"], r["lo"] or 0, r["hi"] or 0) if r else (0, 0, 0)
+        many.append(max(1, -(-n // BUCKET_ROWS)))
+        low.append(float(lo))
+        wide.append(float(hi) - float(lo) + 1.0 if hi > lo else 0.0)
+        first.append(at)
+        at += many[-1]
+    held = lambda values, kind: F.get(F.lit(values).cast(f"array<{kind}>"), F.col("span") + 1) if values else F.lit(0).cast(kind)
+    share = F.when(held(wide, "double") > 0, (F.col("doc_id").cast("double") - held(low, "double")) / held(wide, "double")).otherwise(F.col("h").cast("double") / float(1 << 64) + 0.5)
+    own = F.least(F.floor(share * held(many, "bigint")), held(many, "bigint") - 1)
+    return rows.withColumn("bucket", held(first, "bigint") + F.greatest(own, F.lit(0)))
+
+
 def with_next(docs: DataFrame, partitions: int | None = None) -> DataFrame:
-    """(doc_id, text, next_text) in descending order of doc_id; after the last comes the first.
+    """(doc_id, text, h, bucket, copy) in descending order of doc_id; after the last comes the first.
 
-    Rows go once, by ranges of ids, to buckets of neighbours, and every bucket also gets a copy of
-    the row that follows it. Null texts are empty ones. Rows without a doc_id come last; equal ids
-    are ordered by the texts' hashes; a single row is followed by itself; an empty table stays empty.
+    Rows go once to buckets of neighbours, and every bucket also gets a copy of the row that follows its
+    last. Only the rows that are copied meet a join. Null texts are empty ones. Rows without a doc_id
+    come last; equal ids are ordered by the texts' hashes; a single row is followed by itself; an empty
+    table stays empty.
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     spark = docs.sparkSession
-    total = docs.count()
-    n = min(MAX_BUCKETS, max(1, total // BUCKET_ROWS))
-    bounds = []
-    if n > 1:
-        shares = [i / n for i in range(1, n)]
-        bounds = sorted(set(rows.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * n)).alias("q")).first()["q"] or []))
-    rows = rows.withColumn("bucket", _bucket(F.col("doc_id"), bounds)).withColumn("h", F.xxhash64("text"))
-    tops = rows.groupBy("bucket").agg(F.max(F.struct("doc_id", "h")).alias("top")).collect()  # at most a row for each bucket
-    tops = sorted(((r["bucket"], r["top"]["doc_id"], r["top"]["h"]) for r in tops), reverse=True)
-    after = [(tops[(i + 1) % len(tops)][1], tops[(i + 1) % len(tops)][2], b) for i, (b, _, _) in enumerate(tops)]
-    ends = spark.createDataFrame(after, "doc_id bigint, h bigint, for_bucket int")
-    copies = rows.join(F.broadcast(ends), rows["doc_id"].eqNullSafe(ends["doc_id"]) & (rows["h"] == ends["h"]))
-    copies = copies.select(rows["doc_id"], "text", ends["for_bucket"].alias("bucket"), rows["h"], F.lit(True).alias("copy"))
-    both = rows.withColumn("copy", F.lit(False)).unionByName(copies)
+    rows = with_buckets(rows)
+    top = F.max(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "h")).alias("top")
+    tops = staged(rows.groupBy("span", "bucket").agg(top), "tops")
+    spans = sorted((r["span"], r["last"]["doc_id"], r["last"]["h"]) for r in tops.groupBy("span").agg(F.max_by("top", "bucket").alias("last")).collect())  # a row for each range
+    before = [(span, *spans[i - 1][1:]) for i, (span, _, _) in enumerate(spans)]
+    earlier = spark.createDataFrame(before, "span int, b_id bigint, b_h bigint")
+    follower = F.lag(F.struct("top.doc_id", "top.h")).over(Window.partitionBy("span").orderBy("bucket"))
+    ends = tops.withColumn("f", follower).join(F.broadcast(earlier), "span")
+    ends = ends.select(F.col("bucket").alias("for_bucket"), F.when(F.col("f").isNull(), F.col("b_id")).otherwise(F.col("f.doc_id")).alias("f_id"), F.coalesce("f.h", "b_h").alias("f_h"))
+    ends = staged(ends, "ends")
+    likely = possibly_in(rows.select("doc_id", "text", "h"), F.xxhash64("doc_id", "h"), ends.select(F.xxhash64("f_id", "f_h").alias("h"))).where("__hit")
+    copies = likely.join(ends, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("h") == F.col("f_h"))).dropDuplicates(["for_bucket"])
+    copies = copies.select("doc_id", "text", "h", F.col("for_bucket").alias("bucket"), F.lit(True).alias("copy"))
+    both = rows.select("doc_id", "text", "h", "bucket", F.lit(False).alias("copy")).unionByName(copies)
     return both.repartition(partitions, "bucket") if partitions else both.repartition("bucket")
 
 

@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from filingmill.llm import sketch
@@ -55,3 +56,21 @@ def test_merge_containment_and_counts(spark):
     assert abs(one["r"] - 1 / 3) < 0.15 and abs(one["c"] - 0.5) < 0.2 and abs(one["n"] / 2996 - 1) < 0.3
     merged = {r["g"]: r["s"] for r in sketch.merged_by(s, ["g"], "s").collect()}
     assert merged["g"] == one["m"] and merged["h"] == [] and len(merged[None]) == 1
+
+
+def test_neighbours_of_hot_and_missing_ids(spark, monkeypatch):
+    """A third of the rows share an id and some have none: buckets stay small, and every row has its neighbour."""
+    monkeypatch.setattr(sketch, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(sketch, "MOST_RANGES", 7)
+    ids = [5] * 100 + [None] * 60 + [-(2**63), 2**63 - 1] + list(range(1000, 1140))
+    rows = [(d, f"text {i} of number {d} " + "abc" * (i % 5)) for i, d in enumerate(ids)]
+    signed = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) - ((xxhash.xxh64_intdigest(t.encode(), 42) >> 63) << 64)
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, signed(r[1])), reverse=True)
+    want = []
+    for i, (d, text) in enumerate(order):
+        m = len(text) // 3
+        want.append((str(d), hashlib.sha256((text[: len(text) - m] + order[(i + 1) % len(order)][1][:m]).encode()).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in sketch.compared(docs).collect()) == sorted(want)
+    sizes = [r["count"] for r in sketch.with_buckets(docs.withColumn("h", F.xxhash64("text"))).groupBy("bucket").count().collect()]
+    assert max(sizes) <= 40 and len(sizes) > 60  # ids at both ends of the type stretch two ranges

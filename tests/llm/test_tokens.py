@@ -93,3 +93,8 @@ def test_attempts_leave_one_whole_file(spark, edge_docs):
     directory = fresh_dir(spark, "twice")
     first = sorted(map(tuple, token_file.write_token_files(edge_docs, PATH, directory, partitions=3).collect()))
     assert sorted(map(tuple, token_file.write_token_files(edge_docs, PATH, directory, partitions=3).collect())) == first
+
+
+def test_reading_back_joins_nothing(edge_docs):
+    plan = token_file.token_table(edge_docs, PATH)._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Broadcast" not in plan
