@@ -87,11 +87,14 @@ class PretokenEncoder:
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
         proven = self._whole_tokens(spec["model"]["vocab"]) if whole is None else whole
         self.whole = {text: self.value([k]) for text, k in proven.items()}
-        self.cache = dict(self.whole)
-        self.first: dict = {}
-        self.later: dict = {}
+        self.forget()
+        self.marks = {m: self.value([t.id for t in self.model.tokenize(m)]) for m in ".,;:!?"}
         self.feed = self.value([t.id for t in self.model.tokenize("\n".translate(self.chars))])
 
+    def forget(self) -> None:
+        """Empty the caches."""
+        self.cache, self.first, self.later = dict(self.whole), {}, {}
+
     def _whole_tokens(self, vocab: dict[str, int]) -> dict[str, int]:
         """Vocabulary strings that are one pre-token and that the library's merges give as one token."""
         back = {c: b for b, c in enumerate(_byte_chars())}
@@ -126,8 +129,28 @@ class PretokenEncoder:
             out.append(self._merged(p) if v is None else v)
         return out
 
+    def _word(self, held: dict, word: str, lead: str):
+        """The value of a chunk of letters, which is one pre-token; held under the chunk alone."""
+        made = held.get(word)
+        if made is None:
+            made = self.whole.get(lead + word)
+            if made is None:
+                written = word if word.isascii() else word.encode().decode("latin-1").translate(self.chars)
+                made = self.value([t.id for t in self.model.tokenize(self.space + written if lead else written)])
+            if len(word) <= LONGEST_KEPT:
+                if len(held) >= CACHE_SIZE:
+                    held.clear()
+                held[word] = made
+        return made
+
     def _chunk(self, held: dict, part: str, lead: str):
         """A chunk's value, kept in ``held``; None if it can't be taken apart from its neighbours."""
+        if part.isascii() or not self.beyond.search(part):
+            if part.isalpha():
+                return self._word(held, part, lead)
+            word, mark = part[:-1], part[-1:]
+            if mark in self.marks and word.isalpha():  # letters and one mark are two pre-tokens
+                return self.add([self._word(held, word, lead), self.marks[mark]])
         if not part or part[0].isspace() or part[-1].isspace():
             return None
         values = self._split(lead + part)
@@ -167,6 +190,7 @@ class PretokenEncoder:
 
 _HELD: dict[tuple[str, str], PretokenEncoder] = {}
 _PROVEN: dict[str, dict[str, int]] = {}
+_LAST: tuple[str, str] | None = None
 
 
 def whole_tokens(path: str) -> dict[str, int]:
@@ -187,6 +211,12 @@ def take(path: str, proven: dict[str, int] | None) -> None:
 
 
 def _held(path: str, kind: str, value, add) -> PretokenEncoder:
+    """The encoder of a kind; one has caches at a time, and work that needs another begins anew."""
+    global _LAST
+    if (path, kind) != _LAST:
+        for other in _HELD.values():
+            other.forget()
+        _LAST = (path, kind)
     if (path, kind) not in _HELD:
         _HELD[path, kind] = PretokenEncoder(path, value, add, _PROVEN.get(path))
     return _HELD[path, kind]

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from filingmill.llm import bpe
 from filingmill.llm.shared import broadcast_value, small_batches, staged
 
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -166,6 +167,7 @@ def without_hits(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes
 def _clean_udf(held):
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
+        bpe.release()
         return pd.Series([not held.value.scan(words(t))[1] for t in texts], dtype=bool)
 
     return clean

@@ -16,6 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from filingmill.llm import bpe
 from filingmill.llm.shared import small_batches
 
 #: Labelled documents a model is fitted on at most: those with the least hash of doc_id.
@@ -167,6 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED,
 def _features_udf():
     @F.pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
+        bpe.release()
         return pd.Series([features(t).tobytes() for t in texts], dtype=object)
 
     return packed
@@ -177,6 +179,7 @@ def score_column(model: Model, text: str | Column = "text") -> Column:
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        bpe.release()
         return pd.Series(model.scores(np.array([features(t) for t in texts])) if len(texts) else [], dtype=float)
 
     return score(text)
