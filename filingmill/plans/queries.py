@@ -7,7 +7,6 @@ lines are sums of their line items, documents for pages, events for runs and cor
 from __future__ import annotations
 
 import hashlib
-import tempfile
 import uuid
 from decimal import Decimal
 
@@ -20,7 +19,7 @@ from filingmill.operators import agreement, classify, corrections, facts, profil
 from filingmill.sources import rulepack
 from filingmill.sources.rulepack import Role, RulePack
 from filingmill.sources.schemas import active_conflicts, conformed, orphans
-from filingmill.sources.store import Lake
+from filingmill.sources.store import Lake, scratch_root
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -109,8 +108,7 @@ def q_latest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("select c_custkey::varchar as page_id, c_nationkey::varchar as report_id, case when c_nationkey % 3 = 0 then 2 else 1 end::int as page_number from customer where c_nationkey % 5 <> 4")
 def q_lake_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of every nation, then those of each third again, then none for the nations of rest 4 by 5."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="filingmill-lake-")
-    lake = Lake(spark, f"{root.rstrip('/')}/lake-{uuid.uuid4().hex}")
+    lake = Lake(spark, f"{scratch_root(spark)}/lake-{uuid.uuid4().hex}")
     lake.initialize()
     k = F.col("c_nationkey")
     pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("page_id"), k.cast("string").alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("text_char_count"), F.lit(False).alias("has_statement_keywords"), "c_nationkey")

@@ -7,6 +7,7 @@ generation that covers it. Files are never changed, so readers and retries are s
 
 from __future__ import annotations
 
+import tempfile
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,17 @@ from filingmill.sources.schemas import SCHEMAS, conformed
 AUDIT, ANALYTICS = "audit", "analytics"
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """A folder for a lake that lasts as long as a query: below spark.checkpoint.dir, or a temporary one in local mode only."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="filingmill-lake-")
+
+
 class Lake:
     """Tables below a root folder."""
 
