@@ -3,8 +3,13 @@
 import hashlib
 import re
 import struct
+from collections import Counter
+from itertools import accumulate
 
+import public_tokenizers
+import sentencepiece
 import xxhash
+from tokenizers import Tokenizer
 
 LOWER = str.maketrans({chr(i): chr(i + 32) for i in range(65, 91)})
 
@@ -141,3 +146,76 @@ def mixed(rows, total, weight, epochs, tokens):
                     last = draw(rows[i][0], rows[i][1], e)
                 at += tokens[i]
     return sorted(out)
+
+
+def tokens_of(texts):
+    """Functions that give (id, bytes) of a text's tokens on both sides of the alignment."""
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True
+    sp = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    back = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in plain)}
+
+    def left(x):
+        return [(i, bytes(back[c] for c in t.id_to_token(i))) for i in t.encode(" " + x, add_special_tokens=False).ids]
+
+    def right(x):
+        return [(i, bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else sp.id_to_piece(i).replace("\u2581", " ").encode()) for i in sp.encode(x)]
+
+    return left, right
+
+
+def aligned(texts):
+    """(n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256) of each text, from byte offsets."""
+    left, right = tokens_of(texts)
+    rows, links, counts = [], [], Counter()
+    for x in texts:
+        own, sides = [], [left(x), right(x)] if x else [[], []]
+        if not x or any(b"".join(b for _, b in side) != (" " + x).encode() for side in sides):
+            rows.append((0, 0, 0, 0, ""))
+            links.append(own)
+            continue
+        spans = [[(end - len(b), end, i) for end, (i, b) in zip(accumulate(len(b) for _, b in side), side)] for side in sides]
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]})
+        groups = ["|".join(",".join(str(i) for s, e, i in side if e > a and e <= b) for side in spans) for a, b in zip([0, *cuts], cuts)]
+        own += [(i, j) for s, e, i in spans[0] for p, q, j in spans[1] if max(s, p) < min(e, q)]
+        counts.update(own)
+        rows.append((len(sides[0]), len(sides[1]), len(groups), len(own), hashlib.sha256(";".join(groups).encode()).hexdigest()))
+        links.append(own)
+    best = {j: max(n for (_, k), n in counts.items() if k == j) for _, j in counts}
+    return [(*r[:4], sum(counts[x] == best[x[1]] for x in own), sum(counts[x] for x in own), r[4]) for r, own in zip(rows, links)]
+
+
+def linked(texts, least=(85, 100)):
+    """The index of the first member of each text's group, and set sizes: five-word shingles; texts without words stand alone."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for _ in texts:
+        for i in range(len(texts)):
+            for j in range(i):
+                a, b = sets[i], sets[j]
+                if a and b and least[1] * len(a & b) >= least[0] * len(a | b):
+                    root[i] = root[j] = min(root[i], root[j])
+    return root, [len(s) for s in sets]
+
+
+def phrases(rows, least=10, cover=50, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of rows (text, lang)."""
+    f, n = Counter(), Counter()
+    for text, lang in rows:
+        lang = lang or "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            f.update((lang, tuple(w[i : i + k])) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    cands = [k for k, a in f.items() if len(k[1]) > 1 and a >= least]
+    out = []
+    for lang in n:
+        own = []
+        for _, p in (c for c in cands if c[0] == lang):
+            a = f[lang, p]
+            if any(q[0] == lang and len(q[1]) > len(p) and p in (q[1][:2], q[1][1:]) and 100 * f[q] >= cover * a for q in cands):
+                continue
+            score, _, left, right = min((1000000 * a * a // (f[lang, p[:k]] * f[lang, p[k:]]), k, f[lang, p[:k]], f[lang, p[k:]]) for k in range(1, len(p)))
+            own.append((-score, -a, " ".join(p).encode(), left, right))
+        out += [(lang, i, p.decode(), -a, left, right, n[lang], -s) for i, (s, a, p, left, right) in enumerate(sorted(own)[:top], 1)]
+    return out
