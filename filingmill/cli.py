@@ -7,9 +7,11 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from filingmill.operators import classify, corrections, facts, profile, rawtables, register, review, validate
+from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, register, review, validate, views
 from filingmill.sources import documents, rulepack, workbook
+from filingmill.sources.schemas import ALLOWED, SCHEMAS
 from filingmill.sources.store import Lake
 
 VERSION = "0.1.0"
@@ -36,10 +38,10 @@ def _files(lake: Lake, path: str):
     return documents.report_files(lake.spark, path, "*")
 
 
-def run_events(lake: Lake):
-    """Extraction runs by their latest event."""
+def run_events(lake: Lake, of=None):
+    """Extraction runs, all or some, by their latest event."""
     order = ["event_at", "event_number"]
-    runs = lake.read("extraction_runs").withColumn("event_at", F.coalesce("run_finished_at", "run_started_at")).withColumn("event_number", (F.col("status") != "running").cast("int"))
+    runs = lake.read("extraction_runs", of).withColumn("event_at", F.coalesce("run_finished_at", "run_started_at")).withColumn("event_number", (F.col("status") != "running").cast("int"))
     return register.latest_status(runs, "extraction_run_id", order).select("extraction_run_id", "last.*").drop("event_at", "event_number")
 
 
@@ -63,7 +65,7 @@ def import_pdf(lake: Lake, args) -> str:
 
 
 def profile_pdf(lake: Lake, args) -> str:
-    report = lake.read("reports", "report_id").where(F.col("report_id") == args.report_id)
+    report = lake.read("reports", [args.report_id])
     row = _one(report, "report", args.report_id)
     files = _files(lake, row["stored_pdf_path"]).withColumn("report_id", F.lit(args.report_id))
     pages = documents.read_pages(files)
@@ -71,9 +73,9 @@ def profile_pdf(lake: Lake, args) -> str:
         raise RuntimeError(bad["error"])
     pages = profile.page_profiles(pages.withColumn("market", F.lit(row["market"])))
     pages = pages.withColumn("page_id", F.sha2(F.concat_ws("/", "report_id", "page_number"), 256))
-    lake.replace("pdf_pages", pages, "report_id", report.select("report_id"))
-    summary = profile.report_profiles(lake.read("pdf_pages", "report_id").where(F.col("report_id") == args.report_id))
-    lake.replace("reports", profile.with_profile(report, summary), "report_id", report.select("report_id"))
+    lake.replace("pdf_pages", pages, report.select("report_id"))
+    summary = profile.report_profiles(lake.read("pdf_pages", [args.report_id]))
+    lake.replace("reports", profile.with_profile(report, summary), report.select("report_id"))
     s = summary.first()
     pages_n, text, keyword = (s["page_count"], s["is_text_pdf"], s["keyword_page_count"]) if s else (0, False, 0)
     return f"report_id={args.report_id} pages={pages_n} is_text_pdf={int(text)} keyword_pages={keyword}"
@@ -85,7 +87,7 @@ def extract_tables(lake: Lake, args) -> str:
     That last event publishes tables and cells together: readers take rows of succeeded runs only, so a
     run that fails between the two writes shows none.
     """
-    report = _one(lake.read("reports", "report_id").where(F.col("report_id") == args.report_id), "report", args.report_id)
+    report = _one(lake.read("reports", [args.report_id]), "report", args.report_id)
     spark, started = lake.spark, datetime.now(timezone.utc).replace(microsecond=0, tzinfo=None)
     run_id = args.run_id or f"{args.report_id[:12]}-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
     pack = rulepack.load(report["market"], args.rules_root) if report["market"] in rulepack.MARKETS else None
@@ -115,27 +117,23 @@ def extract_tables(lake: Lake, args) -> str:
 
 
 def _context(lake: Lake, args):
-    runs = run_events(lake).where(F.col("extraction_run_id") == args.extraction_run_id)
-    _one(runs, "extraction run", args.extraction_run_id)
-    return runs, lake.read("reports", "report_id"), rulepack.load_all(args.rules_root)
+    runs = run_events(lake, [args.extraction_run_id])
+    report_id = _one(runs, "extraction run", args.extraction_run_id)["report_id"]
+    return runs, lake.read("reports", [report_id]), rulepack.load_all(args.rules_root)
 
 
-def _of_run(df, args):
-    return df.where(F.col("extraction_run_id") == args.extraction_run_id)
-
-
-def raw(lake: Lake, table: str, runs):
-    """Raw rows of the ``runs`` that have succeeded."""
+def raw(lake: Lake, table: str, runs, of=None):
+    """Raw rows of the ``runs`` that have succeeded, from the files of the run ids ``of`` alone if they are given."""
     done = runs.where("status = 'succeeded'").select("extraction_run_id")
-    return lake.read(table).join(done, "extraction_run_id", "left_semi")
+    return lake.read(table, of).join(done, "extraction_run_id", "left_semi")
 
 
 def classify_tables(lake: Lake, args) -> str:
     runs, reports, packs = _context(lake, args)
     packs = rulepack.load_all(args.rules_root, extended=True) if args.notes else packs
-    rows = classify.classify_runs(_of_run(raw(lake, "raw_tables", runs), args), _of_run(raw(lake, "raw_cells", runs), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, now(), args.notes)
-    lake.replace("classified_tables", rows, "extraction_run_id", runs)
-    s = classify.summary(_of_run(lake.read("classified_tables", "extraction_run_id"), args)).first()
+    rows = classify.classify_runs(raw(lake, "raw_tables", runs, [args.extraction_run_id]), raw(lake, "raw_cells", runs, [args.extraction_run_id]), lake.read("pdf_pages", [r["report_id"] for r in reports.select("report_id").collect()]), runs, reports, packs, now(), args.notes)
+    lake.replace("classified_tables", rows, runs)
+    s = classify.summary(lake.read("classified_tables", [args.extraction_run_id])).first()
     return f"extraction_run_id={args.extraction_run_id} classified={s['classified_count']} review_required={s['review_required_count']}"
 
 
@@ -145,17 +143,17 @@ def extract_facts(lake: Lake, args) -> str:
     packs = rulepack.load_all(args.rules_root, extended=True) if args.all_statements else packs
     more = {"roles": facts.STATEMENTS, "value_columns": "all", "unit_levels": True} if args.all_statements else {}
     rows = facts.extract_facts(
-        _of_run(lake.read("classified_tables", "extraction_run_id"), args), _of_run(raw(lake, "raw_tables", runs), args), _of_run(raw(lake, "raw_cells", runs), args), lake.read("pdf_pages", "report_id"), runs, reports, packs, rulepack.alias_table(lake.spark, packs), now(), **more
+        lake.read("classified_tables", [args.extraction_run_id]), raw(lake, "raw_tables", runs, [args.extraction_run_id]), raw(lake, "raw_cells", runs, [args.extraction_run_id]), lake.read("pdf_pages", [r["report_id"] for r in reports.select("report_id").collect()]), runs, reports, packs, rulepack.alias_table(lake.spark, packs), now(), **more
     )
-    lake.replace("extracted_facts", rows, "extraction_run_id", runs)
-    s = facts.summary(_of_run(lake.read("extracted_facts", "extraction_run_id"), args)).first()
+    lake.replace("extracted_facts", rows, runs)
+    s = facts.summary(lake.read("extracted_facts", [args.extraction_run_id])).first()
     return f"extraction_run_id={args.extraction_run_id} facts={s['fact_count']} needs_review={s['needs_review_count']}"
 
 
 def _validated(lake: Lake, args, runs, reports, packs, found) -> str:
     rows = validate.validate_runs(found, runs, reports, packs, now())
-    lake.replace("validation_results", rows, "extraction_run_id", runs)
-    rows = _of_run(lake.read("validation_results", "extraction_run_id"), args)
+    lake.replace("validation_results", rows, runs)
+    rows = lake.read("validation_results", [args.extraction_run_id])
     lake.append("validation_runs", rows.select("validation_run_id", "extraction_run_id").distinct().join(runs.select("extraction_run_id", "rule_pack_version"), "extraction_run_id").withColumns({"started_at": now(), "finished_at": now(), "status": F.lit("succeeded")}))
     s = validate.summary(rows, ["validation_run_id"]).first()
     if s is None:
@@ -165,15 +163,67 @@ def _validated(lake: Lake, args, runs, reports, packs, found) -> str:
 
 def validate_run(lake: Lake, args) -> str:
     runs, reports, packs = _context(lake, args)
-    return _validated(lake, args, runs, reports, packs, _of_run(lake.read("extracted_facts", "extraction_run_id"), args))
+    return _validated(lake, args, runs, reports, packs, lake.read("extracted_facts", [args.extraction_run_id]))
+
+
+def _accepted(lake: Lake, args):
+    """Corrections of a run's accepted batches."""
+    accepted = lake.read("correction_batches", [args.extraction_run_id]).where("status = 'accepted'").select("correction_batch_id")
+    return lake.read("corrections", [r["correction_batch_id"] for r in accepted.toLocalIterator()]).join(accepted, "correction_batch_id", "left_semi")
+
+
+def publish_run(lake: Lake, args) -> str:
+    """Publish a run's trusted facts as the active version of its report, statement or table.
+
+    A fact's status is the worst verdict that involves it; a reviewer's confirmation counts instead, and what the
+    reviewer ignores isn't published. With ``--agree-with`` facts need the other run's agreement, a sure unit and a sure mapping,
+    unless a reviewer has confirmed them.
+    """
+    runs, reports, _ = _context(lake, args)
+    log = _accepted(lake, args)
+    found = corrections.effective(lake.read("extracted_facts", [args.extraction_run_id]), log)
+    judged = corrections.candidate_status(views.debug_facts(found, lake.read("validation_results", [args.extraction_run_id]), log))
+    if args.agree_with:
+        both = found.unionByName(lake.read("extracted_facts", [args.agree_with]), allowMissingColumns=True)
+        agreed = agreement.run_agreement(both, args.extraction_run_id, args.agree_with)
+        confirmed = F.col("validation_status") == "manually_confirmed"
+        judged = publish.auto_trust(judged, agreed, agreement.FACT_KEYS).where(F.col("auto_trusted") | F.coalesce(confirmed, F.lit(False)))
+    version = publish.version_rows(runs, args.scope, args.scope_key, now(), args.published_by, args.notes)
+    version_id = version.first()["trusted_version_id"]
+    publish.publish(lake, judged, reports, version)
+    n = lake.read("trusted_facts", [r["report_id"] for r in reports.collect()]).where(F.col("trusted_version_id") == version_id).count()
+    return f"trusted_version_id={version_id} extraction_run_id={args.extraction_run_id} facts={n}"
+
+
+#: What orders the rows of a shown view; other columns follow.
+VIEW_ORDER = ("company_id", "fiscal_year", "report_type", "statement_type", "source_page", "fact_id")
+
+
+def show_view(lake: Lake, args) -> str:
+    """A view's rows as lines of JSON, in order. Only the debug mode has the view of unpublished facts."""
+    if args.mode == "debug":
+        views.register_debug(lake.read("extracted_facts"), lake.read("validation_results"), lake.read("corrections"))
+    views.register(lake.spark, publish.published(lake))
+    if not lake.spark.catalog.tableExists(args.view):
+        raise ValueError(f"Unknown view in {args.mode} mode: {args.view}")
+    rows = lake.spark.table(args.view)
+    order = [c for c in VIEW_ORDER if c in rows.columns]
+    return "\n".join(r["j"] for r in rows.orderBy(*order, *[c for c in rows.columns if c not in order and not isinstance(rows.schema[c].dataType, T.MapType)]).select(F.to_json(F.struct("*")).alias("j")).toLocalIterator())
+
+
+def compact(lake: Lake, args) -> str:
+    """Write a table's current rows anew without what is superseded; ``--vacuum`` also deletes the old files."""
+    version = lake.compact(args.table)
+    gone = lake.vacuum(args.table) if args.vacuum else 0
+    return f"table={args.table} version={version} folders_deleted={gone}"
 
 
 def export_review(lake: Lake, args) -> str:
     """The workbook of a run, its facts beside the cells of their rows; the export is recorded."""
     runs, reports, _ = _context(lake, args)
-    found = _of_run(lake.read("extracted_facts", "extraction_run_id"), args)
-    results = _of_run(lake.read("validation_results", "extraction_run_id"), args)
-    cells = rawtables.last_cells(_of_run(raw(lake, "raw_cells", runs), args).join(found.select("raw_table_id").distinct(), "raw_table_id", "left_semi"), ["raw_table_id"])
+    found = lake.read("extracted_facts", [args.extraction_run_id])
+    results = lake.read("validation_results", [args.extraction_run_id])
+    cells = rawtables.last_cells(raw(lake, "raw_cells", runs, [args.extraction_run_id]).join(found.select("raw_table_id").distinct(), "raw_table_id", "left_semi"), ["raw_table_id"])
     shown = found.join(review.with_display(cells, ["raw_table_id"]), ["raw_table_id", "row_index"], "left")
     export_id = F.sha2(F.concat_ws("/", F.lit("review"), "extraction_run_id"), 256)
     meta = runs.select(F.lit("1").alias("workbook_schema_version"), "report_id", "extraction_run_id", export_id.alias("review_export_id"), "rule_pack_version", now().cast("string").alias("exported_at"))
@@ -197,11 +247,11 @@ def import_corrections(lake: Lake, args) -> str:
     batches = lake.read("correction_batches")
     export = corrections.importable(meta, lake.read("review_exports").dropDuplicates(["review_export_id"]), batches)
     _one(export, "or already imported review export", meta.get("review_export_id"))
-    found = _of_run(lake.read("extracted_facts", "extraction_run_id"), args)
+    found = lake.read("extracted_facts", [args.extraction_run_id])
     sheet = workbook.corrections_of(lake.spark, args.workbook)
     number = batches.where(F.col("review_export_id") == meta["review_export_id"]).count() + 1
     batch_id = f"{meta['review_export_id'][:12]}-{number}"
-    errors = corrections.error_rows(sheet, lake.read("extracted_facts", "extraction_run_id"), args.extraction_run_id)
+    errors = corrections.error_rows(sheet, lake.read("extracted_facts"), args.extraction_run_id)
     n_errors = errors.count()
 
     def batch(status: str, error: str | None) -> None:
@@ -216,14 +266,13 @@ def import_corrections(lake: Lake, args) -> str:
     log = corrections.history(sheet, found, F.lit(batch_id), now())
     lake.append("corrections", log)
     batch("accepted", None)
-    accepted = lake.read("correction_batches").where("status = 'accepted'").select("correction_batch_id")
-    corrected = corrections.effective(found, lake.read("corrections").join(accepted, "correction_batch_id", "left_semi"))
+    corrected = corrections.effective(found, _accepted(lake, args))
     kept = corrected.where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False)))
     said = _validated(lake, args, runs, reports, packs, kept)
     return f"correction_batch_id={batch_id} corrections={sheet.count()} {said}"
 
 
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections}
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -248,12 +297,24 @@ def parser() -> argparse.ArgumentParser:
                 p.add_argument("--run-id")
         elif name == "import-corrections":
             p.add_argument("workbook")
+        elif name == "show-view":
+            p.add_argument("view")
+            p.add_argument("--mode", choices=("trusted", "debug"), default="trusted")
+        elif name == "compact":
+            p.add_argument("table", choices=sorted(SCHEMAS))
+            p.add_argument("--vacuum", action="store_true")
         elif name != "init-db":
             p.add_argument("extraction_run_id")
             if name == "classify-tables":
                 p.add_argument("--notes", action="store_true")
             if name == "extract-facts":
                 p.add_argument("--all-statements", action="store_true")
+            if name == "publish-run":
+                p.add_argument("--scope", choices=ALLOWED["trusted_scope"], default="report")
+                p.add_argument("--scope-key")
+                p.add_argument("--agree-with")
+                p.add_argument("--published-by")
+                p.add_argument("--notes")
             if name == "export-review":
                 p.add_argument("workbook", nargs="?")
                 p.add_argument("--html")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from filingmill.functions.exprs import MONEY, first_match, label, or_null, parse_decimal, stable_id
+from filingmill.functions.periods import period
 from filingmill.operators.rawtables import last_cells
 from filingmill.sources.rulepack import RulePack
 
@@ -175,6 +176,7 @@ def extract_facts(
         rows = with_unit_by_level(rows, packs, levels, longest_unit).drop(*texts)
     rows = values(concepts(rows, aliases))
     basis = F.lit("point_in_time") if value_columns == "first" else period_basis(F.col("column_label"), packs)
+    rows = rows.withColumn("__dates", period(F.col("column_label"), basis)).select("*", "__dates.*").drop("__dates")
     return rows.withColumns(
         {
             "fact_id": stable_id("extraction_run_id", "raw_table_id", "row_index", "column_index", "normalized_concept_id"),

@@ -50,21 +50,28 @@ def last_cells(cells: DataFrame, key: Sequence[str]) -> DataFrame:
     return cells.groupBy(*key, "row_index", "column_index").agg(last).select(*key, "row_index", "column_index", "c.*")
 
 
+def _line(cells: Column) -> Column:
+    """Cells (at, t) sorted by place, each behind as many tabs as its place and that of the one before it differ by."""
+    before = F.concat(F.array(F.lit(0)), F.transform(cells, lambda x: x["at"]))
+    return F.array_join(F.zip_with(cells, F.slice(before, 1, F.size(cells)), lambda x, b: F.concat(F.repeat(F.lit("\t"), x["at"] - b), F.coalesce(x["t"], F.lit("")))), "")
+
+
 def table_text(cells: DataFrame, key: list[str], order: str = "emit_order") -> DataFrame:
     """(key, raw_table_text): the dense grid with tabs and line feeds; gaps are empty, of equal places the last counts.
 
-    A table's cells meet in one aggregation; a row is laid out from a map of its cells, so nothing
-    is joined with generated places.
+    A row's cells are sorted and joined with as many tabs as their places differ by, then a table's rows
+    with line feeds and empty rows: time and memory are linear in the text.
     """
     last = cells.groupBy(*key, "row_index", "column_index").agg(F.max_by("raw_text", order).alias("t"))
-    by_row = last.groupBy(*key, "row_index").agg(F.map_from_entries(F.collect_list(F.struct("column_index", "t"))).alias("m"), F.max("column_index").alias("w"))
-    whole = by_row.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("row_index", "m"))).alias("rows"), F.max("w").alias("w"), F.max("row_index").alias("h"))
-
-    def line(r: Column) -> Column:
-        held = F.element_at("rows", r)
-        return F.array_join(F.transform(F.sequence(F.lit(0), F.col("w")), lambda c: F.coalesce(F.element_at(held, c), F.lit(""))), "\t")
-
-    return whole.select(*key, F.array_join(F.transform(F.sequence(F.lit(0), F.col("h")), line), "\n").alias("raw_table_text"))
+    by_row = last.groupBy(*key, "row_index").agg(F.array_sort(F.collect_list(F.struct(F.col("column_index").alias("at"), "t"))).alias("cells"), F.max("column_index").alias("w"))
+    lines = by_row.select(*key, "row_index", "w", _line(F.col("cells")).alias("line"))
+    whole = lines.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(F.col("row_index").alias("at"), "line", "w"))).alias("rows"), F.max("w").alias("w"), F.max("row_index").alias("h"))
+    empty = F.repeat(F.lit("\t"), F.col("w"))
+    full = lambda x: F.concat(x["line"], F.repeat(F.lit("\t"), F.col("w") - x["w"]))
+    # rows that have no cells are lines of tabs alone
+    before = F.concat(F.array(F.lit(-1)), F.transform("rows", lambda x: x["at"]))
+    laid = F.zip_with("rows", F.slice(before, 1, F.size("rows")), lambda x, b: F.concat(F.repeat(F.concat(empty, F.lit("\n")), x["at"] - b - 1), full(x)))
+    return whole.select(*key, F.array_join(laid, "\n").alias("raw_table_text"))
 
 
 def cell_lines(cells: DataFrame, key: list[str], text: str = "raw_text") -> DataFrame:

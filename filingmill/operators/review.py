@@ -62,15 +62,25 @@ def display_columns(names: Sequence[str]) -> list[str]:
     return sorted({n for n in names if n.startswith("display_col_")}, key=place)
 
 
+def display_cells(cells: DataFrame, key: Sequence[str], text: str = "raw_text") -> DataFrame:
+    """(key, row_index, display): a row's cells that aren't null as a map from their column; one pass whatever the grids' widths.
+
+    Of repeated cells the greatest text counts. The driver plans nothing by column, so one very wide grid costs its own row alone.
+    """
+    one = cells.groupBy(*key, "row_index", "column_index").agg(F.max(text).alias("t"))
+    held = F.array_sort(F.collect_list(F.when(F.col("t").isNotNull(), F.struct("column_index", "t"))))
+    return one.groupBy(*key, "row_index").agg(F.map_from_entries(held).alias("display"))
+
+
 def with_display(cells: DataFrame, key: Sequence[str], width: int | None = None, text: str = "raw_text") -> DataFrame:
-    """A row per (key, row_index) with its cells as display_col_0 … up to the widest grid's last column.
+    """``display_cells`` as columns display_col_0 … up to the widest grid's last one, for one report's workbook.
 
     One aggregate finds the width; a stated ``width`` leaves out the cells beyond it.
     """
+    shown = display_cells(cells, key, text)
     if width is None:
         width = (cells.agg(F.max("column_index").alias("m")).first()["m"] or 0) + 1
-    named = cells.withColumn("__c", F.concat(F.lit("display_col_"), F.col("column_index").cast("string")))
-    return named.groupBy(*key, "row_index").pivot("__c", [f"display_col_{i}" for i in range(width)]).agg(F.max(text))
+    return shown.select(*key, "row_index", *[F.try_element_at("display", F.lit(i)).alias(f"display_col_{i}") for i in range(width)])
 
 
 def raw_rows(rows: DataFrame, prefixes: bool = False) -> DataFrame:

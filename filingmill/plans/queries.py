@@ -113,10 +113,10 @@ def q_lake_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_nationkey")
     pages = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("page_id"), k.cast("string").alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("text_char_count"), F.lit(False).alias("has_statement_keywords"), "c_nationkey")
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_nationkey").cast("string").alias("report_id"))
-    lake.replace("pdf_pages", pages, "report_id", nations)
-    lake.replace("pdf_pages", pages.where(k % 3 == 0).withColumn("page_number", F.lit(2)), "report_id", nations.where(k % 3 == 0))
-    lake.replace("pdf_pages", pages.limit(0), "report_id", nations.where(k % 5 == 4))
-    return lake.read("pdf_pages", "report_id").select("page_id", "report_id", "page_number")
+    lake.replace("pdf_pages", pages, nations)
+    lake.replace("pdf_pages", pages.where(k % 3 == 0).withColumn("page_number", F.lit(2)), nations.where(k % 3 == 0))
+    lake.replace("pdf_pages", pages.limit(0), nations.where(k % 5 == 4))
+    return lake.read("pdf_pages").select("page_id", "report_id", "page_number")
 
 
 # Profiles -----------------------------------------------------------------------------------------

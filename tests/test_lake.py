@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filingmill import cli
 from filingmill.operators import agreement, corrections, publish, register, review, views
-from filingmill.sources import documents, rulepack, schemas, workbook
+from filingmill.sources import commits, documents, rulepack, schemas, store, workbook
 from filingmill.sources.store import Lake
 from filingmill.streaming import ingest
 
@@ -49,15 +49,15 @@ def test_command_line_end_to_end(spark, tmp_path, monkeypatch, capsys):
     run("init-db")
     report_id = run("import-pdf", str(pdf), "--market", "us", "--fiscal-year", "2026", "--company-id", "X")
     assert run("import-pdf", str(pdf), "--market", "hk") == report_id
-    assert Lake(spark, lake).read("reports", "report_id").select("market", "fiscal_year").collect() == [("us", 2026)]
+    assert Lake(spark, lake).read("reports").select("market", "fiscal_year").collect() == [("us", 2026)]
     assert run("profile-pdf", report_id) == f"report_id={report_id} pages=2 is_text_pdf=1 keyword_pages=1"
-    assert run("profile-pdf", report_id).endswith("keyword_pages=1") and Lake(spark, lake).read("pdf_pages", "report_id").count() == 2
+    assert run("profile-pdf", report_id).endswith("keyword_pages=1") and Lake(spark, lake).read("pdf_pages").count() == 2
     assert run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run1") == "extraction_run_id=run1 tables=1 cells=8"
     assert run("classify-tables", "run1") == "extraction_run_id=run1 classified=1 review_required=0"
     assert run("extract-facts", "run1") == "extraction_run_id=run1 facts=3 needs_review=0"
     assert run("extract-facts", "run1").endswith("facts=3 needs_review=0")
     assert run("validate-run", "run1").endswith("results=1 failed=0")
-    r = Lake(spark, lake).read("validation_results", "extraction_run_id").first()
+    r = Lake(spark, lake).read("validation_results").first()
     assert (r["status"], r["lhs_value"]) == ("verified", 100_000_000)
     book = tmp_path / "out" / "review.xlsx"
     run("export-review", "run1", str(book))
@@ -150,11 +150,11 @@ def test_replacing_with_nothing_clears(spark, tmp_path):
     lake.initialize()
     page = lambda k, n: spark.createDataFrame([(f"{k}{i}", k, i, 0, False) for i in range(n)], "page_id string, report_id string, page_number int, text_char_count int, has_statement_keywords boolean")
     keys = lambda *k: spark.createDataFrame([(x,) for x in k], "report_id string")
-    lake.replace("pdf_pages", page("a", 2).union(page("b", 3)), "report_id", keys("a", "b"))
-    lake.replace("pdf_pages", page("a", 1), "report_id", keys("a"))
-    assert lake.read("pdf_pages", "report_id").count() == 4
-    lake.replace("pdf_pages", page("b", 0), "report_id", keys("b"))
-    assert [r["report_id"] for r in lake.read("pdf_pages", "report_id").collect()] == ["a"]
+    lake.replace("pdf_pages", page("a", 2).union(page("b", 3)), keys("a", "b"))
+    lake.replace("pdf_pages", page("a", 1), keys("a"))
+    assert lake.read("pdf_pages").count() == 4
+    lake.replace("pdf_pages", page("b", 0), keys("b"))
+    assert [r["report_id"] for r in lake.read("pdf_pages").collect()] == ["a"]
 
 
 def test_stream_registers_new_files_once(spark, tmp_path):
@@ -172,6 +172,127 @@ def test_stream_registers_new_files_once(spark, tmp_path):
     assert lake.read("reports").count() == 2
 
 
+def test_known_file_after_its_profile(spark, reviewed, tmp_path):
+    lake, run = reviewed
+    ids = {r["report_id"] for r in lake.read("reports").collect()}
+    assert run("import-pdf", str(tmp_path / "report.pdf"), "--market", "us") in ids and lake.read("reports").count() == 1
+
+
+PAGE = "page_id string, report_id string, page_number int, text_char_count int, has_statement_keywords boolean"
+
+
+def pages(spark, report, n, first=0):
+    return spark.createDataFrame([(f"{report}{i}", report, i, 0, False) for i in range(first, first + n)], PAGE)
+
+
+def keys(spark, *names):
+    return spark.createDataFrame([(x,) for x in names], "report_id string")
+
+
+def test_reads_of_some_keys_list_their_buckets_only(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.initialize(buckets=8)
+    names = [f"r{i}" for i in range(40)]
+    for name in names[:5]:
+        lake.append("pdf_pages", pages(spark, name, 2))
+    lake.replace("pdf_pages", pages(spark, "r1", 1), keys(spark, "r1"))
+    one = lake.read("pdf_pages", ["r1"])
+    assert {f.split("bucket=")[1].split("/")[0] for f in one.inputFiles()} == {str(store.bucket_of("r1", 8))}
+    assert one.count() == 1 and lake.read("pdf_pages", ["r2", "none"]).count() == 2 and lake.read("pdf_pages").count() == 9
+
+
+def test_compaction_beside_readers_and_writers(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.initialize(buckets=4)
+    for k in range(3):
+        lake.replace("pdf_pages", pages(spark, "a", 3 - k).union(pages(spark, "b", 2, k)), keys(spark, "a", "b"))
+    before = lake.read("pdf_pages")
+    log, seen = lake.commits("pdf_pages"), sorted(map(tuple, before.collect()))
+    real, done = store.Lake._write, []
+
+    def slow(self, *args):
+        folder = real(self, *args)
+        if not done:
+            done.append(1)
+            lake.append("pdf_pages", pages(spark, "c", 1))  # another writer commits during the work
+        return folder
+
+    store.Lake._write = slow
+    try:
+        lake.compact("pdf_pages")
+    finally:
+        store.Lake._write = real
+    assert sorted(map(tuple, before.collect())) == seen
+    after = lake.read("pdf_pages")
+    assert sorted(map(tuple, after.where("report_id <> 'c'").collect())) == seen and after.count() == len(seen) + 1
+    assert lake.read("pdf_pages", version=log.versions()[2]).count() == 4
+    assert lake.vacuum("pdf_pages") == 6 and sorted(map(tuple, lake.read("pdf_pages").collect())) == sorted(map(tuple, after.collect()))
+    lake.replace("pdf_pages", pages(spark, "a", 0), keys(spark, "a"))
+    assert lake.read("pdf_pages", ["a"]).count() == 0
+    assert lake.compact("pdf_pages") and lake.read("pdf_pages", ["a"]).count() == 0 and lake.read("pdf_pages").count() == 3
+
+
+def test_a_writer_that_dies_leaves_nothing(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"))
+    lake.initialize(buckets=2)
+    lake.append("pdf_pages", pages(spark, "a", 2))
+    monkeypatch.setattr(commits.Commits, "commit", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError):
+        lake.replace("pdf_pages", pages(spark, "a", 1), keys(spark, "a"))
+    monkeypatch.undo()
+    assert lake.read("pdf_pages").count() == 2
+
+
+def test_a_version_is_made_once(spark, tmp_path):
+    log = commits.Commits(spark, str(tmp_path / "log"))
+    log.begin(4)
+    log.begin(8)
+    assert log.read().buckets == 4
+    base = log.read()
+    from dataclasses import replace
+
+    assert log._create(replace(base, version=1)) and not log._create(replace(base, version=1))
+    made = log.commit(lambda now: ([commits.Folder("x", "rows", (1,))], []))
+    assert (made.version, made.folders[0].version) == (2, 2) and log.versions() == [0, 1, 2]
+
+
+def test_two_publishers_leave_one_active_version(spark, reviewed):
+    """Eight at once, and each sees the others' versions superseded."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    lake, run = reviewed
+    said = run("publish-run", "run1")
+    assert said.endswith("facts=3")
+    runs = cli.run_events(lake, ["run1"])
+    found = lake.read("extracted_facts", ["run1"]).withColumn("validation_status", F.lit("verified"))
+    one = lambda k: publish.publish(lake, found, lake.read("reports"), publish.version_rows(runs, "report", None, F.lit(datetime(2026, 5, 1 + k))))
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(one, range(4)))
+    held = lake.read("trusted_versions").collect()
+    assert sorted(r["status"] for r in held) == ["active", *["superseded"] * 4]
+    assert publish.published(lake).count() == 3 and schemas.active_conflicts(lake.read("trusted_versions")).count() == 0
+    assert len(run("show-view", "trusted_statement_lines").splitlines()) == 3
+    with pytest.raises(ValueError, match="Unknown view"):
+        run("show-view", "debug_facts_view")
+    assert '"validation_status":"verified"' in run("show-view", "debug_facts_view", "--mode", "debug")
+    with pytest.raises(ValueError):
+        publish.version_rows(runs, "table", None, F.lit(AT))
+    assert run("compact", "trusted_versions", "--vacuum").startswith("table=trusted_versions")
+    assert publish.published(lake).count() == 3
+
+
+def test_publishing_needs_the_other_run_to_agree(spark, reviewed):
+    lake, run = reviewed
+    report_id = lake.read("reports").first()["report_id"]
+    run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run2")
+    for verb in ("classify-tables", "extract-facts", "validate-run"):
+        run(verb, "run2")
+    assert run("publish-run", "run1", "--agree-with", "run2", "--scope", "statement", "--scope-key", "balance_sheet").endswith("facts=3")
+    other = lake.read("extracted_facts", ["run2"]).withColumn("normalized_value", F.col("normalized_value") * 2)
+    lake.replace("extracted_facts", other, spark.createDataFrame([("run2",)], "extraction_run_id string"))
+    assert run("publish-run", "run1", "--agree-with", "run2").endswith("facts=0")
+
+
 def test_checks(spark):
     v = spark.createDataFrame([("1", "r", "table", None, "active", AT), ("2", "r", "table", "", "active", AT), ("3", "r", "table", "t", "active", AT), ("4", "r", "table", None, "inactive", AT)], "trusted_version_id string, report_id string, scope string, scope_key string, status string, published_at timestamp")
     assert [tuple(r) for r in schemas.active_conflicts(v).collect()] == [("r", "table", "", 2)]
@@ -278,6 +399,12 @@ def test_agreement_gate(spark):
     b = spark.createDataFrame([("x", None, "101"), ("y", "p", "50"), ("w", "p", "1")], "c string, p string, normalized_value string")
     got = agreement.agreement(a, b, ["c", "p"])
     assert {(r["c"], r["agreement_status"]) for r in got.collect()} == {("x", "agreed"), ("y", agreement.CONFLICT), ("z", agreement.CONFLICT), ("w", agreement.CONFLICT)}
+    many = lambda *v: spark.createDataFrame([("k", x) for x in v], "c string, normalized_value string")
+    pairs = lambda a, b: sorted((int(r["value_a"]) if r["value_a"] is not None else -1, int(r["value_b"]) if r["value_b"] is not None else -1, r["agreement_status"] == "agreed") for r in agreement.agreement(many(*a), many(*b), ["c"]).collect())
+    assert pairs(["5", "5"], ["5", "5"]) == [(5, 5, True)] * 2
+    assert pairs(["1", "9", "100"], ["9", "101", None]) == [(-1, -1, False), (1, -1, False), (9, 9, True), (100, 101, True)]
+    assert pairs(["7", "7", "7"], ["8", "30"]) == [(-1, 30, False), (7, -1, False), (7, -1, False), (7, 8, True)]
+    assert pairs(["1000000"], ["1000090", "1000300"]) == [(-1, 1000300, False), (1000000, 1000090, True)]
     rows = spark.createDataFrame([("x", 0.99, 0.99, "verified"), ("x", 0.0, 0.99, "verified"), ("y", 0.99, 0.99, "verified")], "c string, unit_confidence double, mapping_confidence double, validation_status string")
     assert [r["auto_trusted"] for r in publish.auto_trust(rows, got, ["c"]).orderBy("c", F.desc("unit_confidence")).collect()] == [True, False, False]
 
