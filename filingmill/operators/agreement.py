@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,8 +36,8 @@ def agreement(a: DataFrame, b: DataFrame, keys: Sequence[str], absolute: Decimal
 
     Equal values are paired first, as often as both sides have them. The rest of a key is sorted and cut
     where neighbours lie farther apart than any tolerance; within such a stretch the values of both sides are paired
-    in order. What has no partner, missing values and pairs beyond the tolerance are conflicts; no side is
-    ever chosen. Values are counted before they meet, so repeated facts of a key send one row each side.
+    in order. What is left of a key, missing values last, stands side by side in order as conflicts, as are pairs beyond the
+    tolerance; no side is ever chosen. Values are counted before they meet, so repeated facts of a key send one row each side.
     """
     both = _sided(a, keys, value, "a").unionByName(_sided(b, keys, value, "b"))
     counted = both.groupBy(*keys, "__v").agg(F.sum("__a").alias("__a"), F.sum("__b").alias("__b"))
@@ -44,8 +46,6 @@ def agreement(a: DataFrame, b: DataFrame, keys: Sequence[str], absolute: Decimal
     equal = repeated(counted.select(*keys, F.col("__v").alias("value_a"), F.col("__v").alias("value_b"), "__same"), F.lit(1), F.col("__same"), "__n")
     equal = equal.select(*keys, "value_a", "value_b", F.lit("agreed").alias("agreement_status"))
     left = counted.select(*keys, "__v", (F.col("__a") - F.col("__same")).alias("__a"), (F.col("__b") - F.col("__same")).alias("__b"))
-    empty = [F.lit(None).cast(MONEY).alias(c) for c in ("value_a", "value_b")]
-    missing = repeated(left.where("__v is null"), F.lit(1), F.col("__a") + F.col("__b"), "__n").select(*keys, *empty, F.lit(CONFLICT).alias("agreement_status"))
     place = Window.partitionBy(*keys).orderBy("__v")
     gap = F.col("__v") - F.lag("__v").over(place)
     reach = F.greatest(F.abs("__v"), F.abs(F.lag("__v").over(place)))
@@ -62,15 +62,24 @@ def agreement(a: DataFrame, b: DataFrame, keys: Sequence[str], absolute: Decimal
         own = repeated(own, F.col("__end") - F.col(n) + 1, F.col("__end"), "__r")
         return own.select(*[F.col(k).alias(f"{k}_{side}") for k in keys], F.col("__stretch").alias(f"s_{side}"), F.col("__v").alias(f"value_{side}"), F.col("__r").alias(f"r_{side}"))
 
-    on = (F.col("s_a") == F.col("s_b")) & (F.col("r_a") == F.col("r_b"))
-    for k in keys:
-        on &= F.col(f"{k}_a").eqNullSafe(F.col(f"{k}_b"))
-    paired = ranked("a").join(ranked("b"), on, "full_outer")
+    same_key = reduce(and_, [F.col(f"{k}_a").eqNullSafe(F.col(f"{k}_b")) for k in keys])
+    paired = ranked("a").join(ranked("b"), same_key & (F.col("s_a") == F.col("s_b")) & (F.col("r_a") == F.col("r_b")), "full_outer")
+
+    def alone(side: str) -> DataFrame:
+        other = "b" if side == "a" else "a"
+        named = [F.col(k).alias(f"{k}_{side}") for k in keys]
+        missing = repeated(left.where("__v is null"), F.lit(1), F.col(f"__{side}"), "__n").select(*named, F.col("__v").alias(f"value_{side}"))
+        own = paired.where(F.col(f"r_{other}").isNull()).select(*[f"{k}_{side}" for k in keys], f"value_{side}").unionByName(missing)
+        return own.withColumn(f"r_{side}", F.row_number().over(Window.partitionBy(*[f"{k}_{side}" for k in keys]).orderBy(F.col(f"value_{side}").asc_nulls_last())))
+
+    def told(rows: DataFrame, status: Column) -> DataFrame:
+        in_a = F.col("r_a").isNotNull()
+        return rows.select(*[F.when(in_a, F.col(f"{k}_a")).otherwise(F.col(f"{k}_b")).alias(k) for k in keys], "value_a", "value_b", status.alias("agreement_status"))
+
     near = within_tolerance(F.col("value_a") - F.col("value_b"), "value_a", absolute, relative)
-    status = F.when(F.coalesce(near, F.lit(False)), "agreed").otherwise(CONFLICT)
-    in_a = F.col("r_a").isNotNull()
-    paired = paired.select(*[F.when(in_a, F.col(f"{k}_a")).otherwise(F.col(f"{k}_b")).alias(k) for k in keys], "value_a", "value_b", status.alias("agreement_status"))
-    return equal.unionByName(missing).unionByName(paired)
+    both_there = paired.where(F.col("r_a").isNotNull() & F.col("r_b").isNotNull())
+    rest = alone("a").join(alone("b"), same_key & (F.col("r_a") == F.col("r_b")), "full_outer")
+    return equal.unionByName(told(both_there, F.when(near, "agreed").otherwise(CONFLICT))).unionByName(told(rest, F.lit(CONFLICT)))
 
 
 #: What facts of two extractors must have in common, besides their report, to be held against each other.

@@ -9,12 +9,13 @@ from __future__ import annotations
 import hashlib
 import uuid
 from decimal import Decimal
+from functools import reduce
 
 import yaml
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from filingmill.functions import exprs
+from filingmill.functions import exprs, periods
 from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, register, review, validate, views
 from filingmill.sources import rulepack
 from filingmill.sources.rulepack import Role, RulePack
@@ -92,11 +93,20 @@ def _rulepack_sql() -> str:
     return "select * from (values " + ", ".join(rows) + ") as t(market, alias, normalized_concept_id, mapping_confidence, mapping_rule_id, concepts, rule_pack_version)"
 
 
-@query(_rulepack_sql())
+@query(f"""with p as ({_rulepack_sql()}), n as (select market, normalized_concept_id, alias, concepts, rule_pack_version, row_number() over (partition by market order by alias) - 1 as r, count(*) over (partition by market) as m from p where mapping_confidence > 0),
+l as (select l_orderkey, l_linenumber, case l_orderkey % 3 when 0 then 'us' when 1 then 'hk' else 'a_share' end as market, l_partkey from lineitem)
+select l.market, normalized_concept_id, rule_pack_version, count(*) as n_lines, max(concepts) as concepts from l join n on n.market = l.market and n.r = l_partkey % n.m group by 1, 2, 3""")
 def q_rulepack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items under the shipped packs' aliases, noisily written, mapped back to concepts by the packs."""
     packs = rulepack.load_all()
+    aliases = rulepack.alias_table(spark, packs)
+    ranked = aliases.withColumns({"r": F.row_number().over(Window.partitionBy("market").orderBy("alias")) - 1, "m": F.count("*").over(Window.partitionBy("market"))}).select("market", "r", "m", F.concat(F.lit("  "), F.upper("alias"), F.lit(" ")).alias("raw_label"))
+    k = F.col("l_orderkey") % 3
+    lines = table(spark, sf_dir, "lineitem").select(F.when(k == 0, "us").when(k == 1, "hk").otherwise("a_share").alias("market"), "l_partkey").alias("l")
+    named = lines.join(F.broadcast(ranked), "market").where(F.col("l_partkey") % F.col("m") == F.col("r")).select("market", "raw_label")
     versions = spark.createDataFrame([(m, p.version) for m, p in packs.items()], "market string, rule_pack_version string")
-    return rulepack.alias_table(spark, packs).join(versions, "market")
+    found = facts.concepts(named, aliases.where("mapping_confidence > 0")).join(F.broadcast(versions), "market")
+    return found.groupBy("market", "normalized_concept_id", "rule_pack_version").agg(F.count("*").alias("n_lines"), F.max("concepts").alias("concepts"))
 
 
 @query("select user_id as report_id, arg_max(event_id::varchar, (ts, event_id::varchar)) as extraction_run_id from events group by 1")
@@ -119,6 +129,21 @@ def q_lake_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lake.read("pdf_pages").select("page_id", "report_id", "page_number")
 
 
+@query("select o_orderkey::varchar as page_id, (o_custkey % 40)::varchar as report_id, case when o_custkey % 40 % 3 = 0 then 2 else 1 end::int as page_number from orders where o_custkey % 40 % 5 <> 4 and o_custkey % 40 in (0, 3, 5, 7, 9, 11)")
+def q_lake_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of forty reports, some replaced, compacted, some cleared; six reports read from the files of their buckets alone."""
+    lake = Lake(spark, f"{scratch_root(spark)}/lake-{uuid.uuid4().hex}")
+    lake.initialize()
+    k = F.col("o_custkey") % 40
+    pages = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("page_id"), k.cast("string").alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("text_char_count"), F.lit(False).alias("has_statement_keywords"), k.alias("k"))
+    reports = spark.range(40).select(F.col("id").alias("k"), F.col("id").cast("string").alias("report_id"))
+    lake.replace("pdf_pages", pages, reports)
+    lake.replace("pdf_pages", pages.where("k % 3 = 0").withColumn("page_number", F.lit(2)), reports.where("k % 3 = 0"))
+    lake.compact("pdf_pages")
+    lake.replace("pdf_pages", pages.limit(0), reports.where("k % 5 = 4"))
+    return lake.read("pdf_pages", ["0", "3", "5", "7", "9", "11"]).select("page_id", "report_id", "page_number")
+
+
 # Profiles -----------------------------------------------------------------------------------------
 
 KEYWORDS = {"en": ("the", "tion"), "de": ("und ", "ung"), "fr": ("est", "dans")}
@@ -182,11 +207,10 @@ def q_grid_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"with {_GRID} select doc_id, row_index, count(raw_text) as n_cells, md5(coalesce(string_agg(column_index || '=' || raw_text, chr(31) order by column_index), '')) as cells_md5 from g group by 1, 2")
 def q_display_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every cell of every document as a display column, as wide as the widest grid; a row's columns are shown as a digest."""
-    wide = review.with_display(_grid(spark, sf_dir), ["doc_id"])
-    shown = review.display_columns(wide.columns)
-    cells = F.array_compact(F.array(*[F.concat(F.lit(f"{c.removeprefix('display_col_')}="), F.col(c)) for c in shown]))
-    return wide.select("doc_id", "row_index", cells.alias("cells")).select("doc_id", "row_index", F.size("cells").cast("bigint").alias("n_cells"), F.md5(F.array_join("cells", "\x1f")).alias("cells_md5"))
+    """Every cell of every document in its row's display map, shown as a digest."""
+    shown = review.display_cells(_grid(spark, sf_dir), ["doc_id"])
+    cells = F.transform(F.array_sort(F.map_entries("display")), lambda x: F.concat(x["key"].cast("string"), F.lit("="), x["value"]))
+    return shown.select("doc_id", "row_index", F.size("display").cast("bigint").alias("n_cells"), F.md5(F.array_join(cells, "\x1f")).alias("cells_md5"))
 
 
 @query(
@@ -477,6 +501,59 @@ def q_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agreement.agreement(a, b, ["nation", "period"])
 
 
+_SIDES = f"""a as (select s_nationkey as nation, s_suppkey % 3 as part, round(s_acctbal, 0)::{D} as v, row_number() over (partition by s_nationkey, s_suppkey % 3, round(s_acctbal, 0)::{D}) as r from supplier),
+b as (select s_nationkey as nation, s_suppkey % 3 as part, (round(s_acctbal, 0) + case s_suppkey % 4 when 1 then 1 when 2 then 50 else 0 end)::{D} as v, row_number() over (partition by s_nationkey, s_suppkey % 3, (round(s_acctbal, 0) + case s_suppkey % 4 when 1 then 1 when 2 then 50 else 0 end)::{D}) as r from supplier where s_suppkey % 7 <> 6)"""
+
+
+@query(
+    f"""with {_SIDES}, u as (select nation, part, v, 'a' as side from (select * from a anti join b using (nation, part, v, r)) union all select nation, part, v, 'b' from (select * from b anti join a using (nation, part, v, r))),
+    d as (select *, v - lag(v) over w as gap, greatest(abs(v), abs(lag(v) over w)) as reach from (select distinct nation, part, v from u) window w as (partition by nation, part order by v)),
+    s as (select nation, part, v, sum(case when gap is null or not (gap <= 2 or (reach <> 0 and gap <= reach::decimal(28,6) * 0.0002::decimal(9,4))) then 1 else 0 end) over (partition by nation, part order by v) as st from d),
+    x as (select nation, part, v, st, side, row_number() over (partition by nation, part, st, side order by v) as r from u join s using (nation, part, v)),
+    p as (select coalesce(y.nation, z.nation) as nation, coalesce(y.part, z.part) as part, y.v as value_a, z.v as value_b from (select * from x where side = 'a') y full outer join (select * from x where side = 'b') z on y.nation = z.nation and y.part = z.part and y.st = z.st and y.r = z.r),
+    oa as (select nation, part, value_a, row_number() over (partition by nation, part order by value_a) as r from p where value_b is null), ob as (select nation, part, value_b, row_number() over (partition by nation, part order by value_b) as r from p where value_a is null)
+    select nation, part, v as value_a, v as value_b, 'agreed' as agreement_status from a semi join b using (nation, part, v, r)
+    union all select nation, part, value_a, value_b, case when coalesce(abs(value_a - value_b) <= 2 or (value_a <> 0 and abs(value_a - value_b) <= abs(value_a)::decimal(28,6) * 0.0001::decimal(9,4)), false) then 'agreed' else 'blocked_extractor_conflict' end from p where value_a is not null and value_b is not null
+    union all select coalesce(oa.nation, ob.nation), coalesce(oa.part, ob.part), value_a, value_b, 'blocked_extractor_conflict' from oa full outer join ob on oa.nation = ob.nation and oa.part = ob.part and oa.r = ob.r"""
+)
+def q_agreement_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many facts of a key on each side, some repeated, some moved, some on one side only."""
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("nation"), (k % 3).alias("part"), k.alias("k"), F.round("s_acctbal", 0).cast(D).alias("normalized_value"))
+    moved = s.where("k % 7 <> 6").withColumn("normalized_value", F.col("normalized_value") + F.expr("case k % 4 when 1 then 1 when 2 then 50 else 0 end"))
+    return agreement.agreement(s, moved, ["nation", "part"])
+
+
+_FORMS = {  # form: (header in Spark's pattern, basis, SQL of the date, months)
+    0: ("'As of 'MMMM d, yyyy", "point_in_time", "d", None),
+    1: ("'Three months ended 'd MMM yyyy", "single_period", "d", 3),
+    2: ("yyyy-MM-dd", "point_in_time", "d", None),
+    3: ("'Nine months ended 'MM/dd/yyyy", "cumulative", "d", 9),
+    4: ("yyyy年M月d日", "point_in_time", "d", None),
+    5: ("'前三季度 'yyyy年MM月", "cumulative", "last_day(d)", 9),
+    6: ("'Year ended 'yyyy", "cumulative", "make_date(year(d), 12, 31)", 12),
+    7: ("'截至 'yyyy'年度'", "cumulative", "make_date(year(d), 12, 31)", 12),
+    8: ("'Amount (note 'd')'", "cumulative", "null::date", None),
+}
+
+
+def _dates_sql() -> str:
+    case = lambda k: "case o_orderkey % 9 " + " ".join(f"when {n} then {v}" for n, v in k.items()) + " end"
+    end, months = case({n: f[2] for n, f in _FORMS.items()}), case({n: f[3] or "null::int" for n, f in _FORMS.items()})
+    instant = case({n: str(f[1] == "point_in_time").lower() for n, f in _FORMS.items()})
+    return f"""with o as (select o_orderkey, o_orderdate::date as d from orders), p as (select o_orderkey, ({end})::date as e, ({months})::int as m, {instant} as i from o)
+    select o_orderkey, case when not i then (last_day(e) + 1 - to_months(m))::date end as period_start, case when not i then e end as period_end, case when i then e end as instant_date from p"""
+
+
+@query(_dates_sql())
+def q_period_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers written from order dates in nine forms; their dates must be read back."""
+    pick = lambda k, f: reduce(lambda out, n: out.when(F.col("o_orderkey") % 9 == n, f(n)), list(_FORMS)[1:], F.when(F.col("o_orderkey") % 9 == 0, f(0)))
+    header = pick("header", lambda n: F.date_format("o_orderdate", _FORMS[n][0]))
+    dates = periods.period(header, pick("basis", lambda n: F.lit(_FORMS[n][1])))
+    return table(spark, sf_dir, "orders").select("o_orderkey", dates.alias("p")).select("o_orderkey", "p.*")
+
+
 # Review and corrections ---------------------------------------------------------------------------
 
 
@@ -564,6 +641,22 @@ def q_trusted_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trusted(spark, sf_dir).select("trusted_version_id", "fact_id", "report_id", "effective_concept_id", "effective_value", "effective_unit", "trusted_status")
 
 
+@query(f"select s_nationkey::varchar as report_id, case when s_nationkey % 2 = 0 then '2' else '1' end as extraction_run_id, s_suppkey::varchar as fact_id, (s_acctbal::decimal(18,2) * case when s_nationkey % 2 = 0 then 2 else 1 end)::{D} as effective_value, case s_suppkey % 4 when 0 then 'verified' when 1 then 'verified_with_rounding' else 'manually_confirmed' end as trusted_status from supplier where s_suppkey % 4 <> 3")
+def q_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs of every nation's report: the first is published for all, the second for the even ones, whose first versions are superseded."""
+    lake = Lake(spark, f"{scratch_root(spark)}/lake-{uuid.uuid4().hex}")
+    lake.initialize()
+    k, run = F.col("s_suppkey") % 4, F.col("run").cast("string")
+    status = F.when(k == 0, "verified").when(k == 1, "verified_with_rounding").when(k == 2, "manually_confirmed").otherwise("failed")
+    found = table(spark, sf_dir, "supplier").withColumn("run", F.explode(F.array(F.lit(1), F.lit(2)))).select(F.col("s_nationkey").cast("string").alias("report_id"), run.alias("extraction_run_id"), F.col("s_suppkey").cast("string").alias("fact_id"), (F.col("s_acctbal").cast("decimal(18,2)") * F.col("run")).cast(D).alias("normalized_value"), F.lit("total_assets").alias("normalized_concept_id"), F.lit("USD").alias("raw_unit"), F.lit(1).alias("page_number"), F.lit("balance_sheet").alias("statement_type"), F.lit("t").alias("raw_table_id"), status.alias("validation_status"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("string").alias("report_id"), F.col("n_name").alias("company_name"), "n_nationkey")
+    at = lambda day: F.lit(f"2026-01-0{day} 00:00:00").cast("timestamp")
+    for day, reports in ((1, nations), (2, nations.where("n_nationkey % 2 = 0"))):
+        versions = publish.version_rows(reports.select("report_id", F.lit(str(day)).alias("extraction_run_id")), "report", None, at(day))
+        publish.publish(lake, found.where(F.col("extraction_run_id") == str(day)), nations, versions)
+    return publish.published(lake).select("report_id", "extraction_run_id", "fact_id", "effective_value", "trusted_status")
+
+
 @query("select o_custkey::varchar as report_id, 'statement' as scope, coalesce(case when o_orderpriority <> '5-LOW' then o_orderpriority end, '') as scope_key, count(*) as n from orders where o_orderstatus = 'P' group by 1, 2, 3 having count(*) > 1")
 def q_active_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("report_id"), F.lit("statement").alias("scope"), F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("scope_key"), F.when(F.col("o_orderstatus") == "P", "active").otherwise("inactive").alias("status"))
@@ -590,7 +683,7 @@ def q_period_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     fixed = table(spark, sf_dir, "orders").where(k % 4 == 0).select(F.explode(F.array(*[F.concat_ws("-", k.cast("string"), F.lit(str(r))) for r in (1, 2, 3)])).alias("fact_id"))
-    return views.debug_beside(_checked_facts(spark, sf_dir), fixed).select("fact_id", "normalized_concept_id", "validation_status", "correction_count")
+    return views.debug_facts(_facts(spark, sf_dir), _checked(spark, sf_dir), fixed).select("fact_id", "normalized_concept_id", "validation_status", "correction_count")
 
 
 # Whole stages over the lake's tables ----------------------------------------------------------------
