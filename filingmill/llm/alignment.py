@@ -56,23 +56,23 @@ class Transducer:
         self._begin()
 
     def _begin(self) -> None:
-        self.states: dict[tuple[bool, bytes], int] = {(True, b""): 0, (False, b""): 0}
-        self.held: list[tuple[bool, bytes]] = [(True, b"")]
+        self.states: dict[tuple[bool, bytes], int] = {}
+        self.held: list[bytes] = [b""]
         self.steps: dict[int, int] = {}
 
     def _state(self, leads: bool, rest: bytes) -> int:
-        """The number of a state: whether the left side leads, and by which bytes; nothing left is 0, balance."""
+        """The number of a state: even if the left side leads, odd if the right one does; nothing left is 0, balance."""
         if not rest:
             return 0
         found = self.states.get((leads, rest))
         if found is None:
-            found = self.states[leads, rest] = len(self.held)
-            self.held.append((leads, rest))
+            found = self.states[leads, rest] = 2 * len(self.held) + (not leads)
+            self.held.append(rest)
         return found
 
     def _step(self, state: int, token: int) -> int:
         """The state after the lagging side's next token (the left side's in balance); -1 if the bytes differ."""
-        leads, rest = self.held[state]
+        leads, rest = not state & 1, self.held[state >> 1]
         if state == 0:
             after = self._state(True, self.left[token])
         else:
@@ -86,37 +86,38 @@ class Transducer:
         self.steps[state * SIDE + token] = after
         return after
 
-    def align(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[tuple[list[int], list[int]]]] | None:
-        """(links, groups) of two tokenizations, None if their bytes differ; a link is a pair of ids as one number."""
+    def align(self, a: Sequence[int], b: Sequence[int]) -> tuple[list[int], list[tuple[int, int]]] | None:
+        """(links, ends) of two tokenizations, None if their bytes differ.
+
+        A link is a pair of ids as one number; an end says how many tokens of each side precede the end of a group.
+        """
         if len(self.steps) > KEPT_STEPS:
             self._begin()
-        links, groups, i, j, state, get, held = [], [], 0, 0, 0, self.steps.get, self.held
-        first = second = 0
-        while state or i < len(a):
-            if state == 0:
-                if i:
-                    groups.append((list(a[first:i]), list(b[second:j])))
-                first, second = i, j
-                token, i = a[i], i + 1
-            elif held[state][0]:
-                if j == len(b):
-                    return None
-                token, j = b[j], j + 1
-                links.append(a[i - 1] * SIDE + token)
-            else:
-                if i == len(a):
+        links, ends, i, j, n, m, get = [], [], 0, 0, len(a), len(b), self.steps.get
+        while i < n:
+            x = a[i]
+            i += 1
+            state = get(x)
+            if state is None:
+                state = self._step(0, x)
+            while state:
+                if state & 1:
+                    if i == n:
+                        return None
+                    token = x = a[i]
+                    i += 1
+                else:
+                    if j == m:
+                        return None
+                    token = y = b[j]
+                    j += 1
+                links.append(x * SIDE + y)
+                after = get(state * SIDE + token)
+                state = self._step(state, token) if after is None else after
+                if state < 0:
                     return None
-                token, i = a[i], i + 1
-                links.append(token * SIDE + b[j - 1])
-            after = get(state * SIDE + token)
-            state = self._step(state, token) if after is None else after
-            if state < 0:
-                return None
-        if j < len(b):
-            return None
-        if i:
-            groups.append((list(a[first:i]), list(b[second:j])))
-        return links, groups
+            ends.append((i, j))
+        return (links, ends) if j == m else None
 
 
 class Aligner:
@@ -142,6 +143,7 @@ class Aligner:
         #: Whether no piece has a line feed or reaches over a space that follows something else, nor changes a text's white space.
         self.cuts = not any("\n" in p or _SPACE in p.lstrip(_SPACE) for p in plain) and model.encode("a  b ", out_type=str)[-1] == _SPACE
         self.machine = Transducer(left, right)
+        self.names = [str(k) for k in range(max(len(left), len(right)))]
         self.kept: dict[str, tuple | None] = {}
 
     def chunks(self, text: str) -> list[str]:
@@ -149,32 +151,36 @@ class Aligner:
         whole = " " + text
         return [whole] if not self.cuts or _WHOLE.search(text) else _CUT.findall(whole)
 
-    def _right(self, chunk: str) -> list[int]:
-        """The second side's ids of a chunk; the model adds a space of its own, which a chunk has or which is dropped."""
-        if chunk == " ":  # the model adds nothing to an empty text
-            return [self.pieces.piece_to_id(_SPACE)]
-        if chunk[0] == " ":
-            return self.pieces.encode(chunk[1:])
-        return self.pieces.encode(chunk)[1:]
-
-    def aligned(self, chunk: str) -> tuple[int, int, int, tuple[int, ...], str] | None:
-        """(n_a, n_b, n_groups, links, groups) of a chunk; None if the two sides' bytes differ from it."""
-        if chunk in self.kept:
-            return self.kept[chunk]
-        made = None
-        if _SPACE not in chunk:
-            a = [k for part in self.bytes._split(chunk) for k in part]
-            b = self._right(chunk)
-            found = self.machine.align(a, b)
-            if found is not None:
-                links, groups = found
-                text = ";".join(f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups)
-                made = (len(a), len(b), len(groups), tuple(links), text)
-        if len(chunk) <= LONGEST_KEPT:
-            if len(self.kept) >= KEPT_CHUNKS:
-                self.kept.clear()
-            self.kept[chunk] = made
-        return made
+    def _right(self, chunks: list[str]) -> list[list[int]]:
+        """The second side's ids of chunks; the model adds a space of its own, which a chunk has or which is dropped."""
+        found = self.pieces.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
+        alone = self.pieces.piece_to_id(_SPACE)  # the model adds nothing to an empty text
+        return [([alone] if c == " " else ids) if c[0] == " " else ids[1:] for c, ids in zip(chunks, found)]
+
+    def _made(self, chunk: str, b: list[int]) -> tuple | None:
+        a = [k for part in self.bytes._split(chunk) for k in part]
+        found = self.machine.align(a, b) if _SPACE not in chunk else None
+        if found is None:
+            return None
+        links, ends = found
+        left, right = [self.names[k] for k in a], [self.names[k] for k in b]
+        text, p, q = [], 0, 0
+        for i, j in ends:
+            text.append(f"{left[p] if i == p + 1 else ','.join(left[p:i])}|{right[q] if j == q + 1 else ','.join(right[q:j])}")
+            p, q = i, j
+        return len(a), len(b), len(ends), links, ";".join(text)
+
+    def aligned(self, chunks: list[str]) -> list[tuple[int, int, int, list[int], str] | None]:
+        """(n_a, n_b, n_groups, links, groups) of each chunk; None if the two sides' bytes differ from it."""
+        out = list(map(self.kept.get, chunks))
+        new = [k for k, c in enumerate(chunks) if out[k] is None and c not in self.kept]
+        for k, b in zip(new, self._right([chunks[k] for k in new])):
+            out[k] = self._made(chunks[k], b)
+            if len(chunks[k]) <= LONGEST_KEPT:
+                if len(self.kept) >= KEPT_CHUNKS:
+                    self.kept.clear()
+                self.kept[chunks[k]] = out[k]
+        return out
 
 
 _ALIGNER: dict[tuple[str, str], Aligner] = {}
@@ -210,34 +216,36 @@ class _Block:
         self.number, self.codes, self.words = number, {}, 0
         self.links: list[int] = []
         self.sizes: list[int] = []
-        self.times: list[int] = []
-        self.stats: list[tuple[int, int, int, str]] = []
+        self.counts: tuple[list[int], list[int], list[int]] = ([], [], [])
+        self.groups: list[str] = []
+        self.seen: list[np.ndarray] = []
 
     def add(self, tool: Aligner, text: str | None) -> tuple:
         """A document's columns from n_a on; a text whose bytes the two sides don't give back has none of either."""
         parts = tool.chunks(text) if text else []
-        own = []
-        for part in parts:
-            code = self.codes.get(part)
-            if code is None:
-                found = tool.aligned(part)
-                if found is None:
-                    return 0, 0, 0, 0, "", _packed(np.zeros(0))
-                code = self.codes[part] = len(self.stats)
-                self.stats.append((found[0], found[1], found[2], found[4]))
-                self.links += found[3]
-                self.sizes.append(len(found[3]))
-                self.times.append(0)
-            own.append(code)
-        if not own:
+        own = list(map(self.codes.get, parts))
+        if None in own:
+            new = list(dict.fromkeys(p for p, code in zip(parts, own) if code is None))
+            found = tool.aligned(new)
+            if None in found:
+                parts = []
+            else:
+                for part, x in zip(new, found):
+                    self.codes[part] = len(self.groups)
+                    self.groups.append(x[4])
+                    self.links += x[3]
+                    self.sizes.append(len(x[3]))
+                    for n, held in zip(x, self.counts):
+                        held.append(n)
+                own = list(map(self.codes.__getitem__, parts))
+        if not parts:
             return 0, 0, 0, 0, "", _packed(np.zeros(0))
-        for code in own:
-            self.times[code] += 1
+        n_a, n_b, n_groups = (sum(map(held.__getitem__, own)) for held in self.counts)
+        digest = hashlib.sha256(";".join(map(self.groups.__getitem__, own)).encode()).hexdigest()
         self.words += len(own)
-        held = self.stats
-        n_a, n_b, n_groups = (sum(held[c][k] for c in own) for k in range(3))
-        digest = hashlib.sha256(";".join([held[c][3] for c in own]).encode()).hexdigest()
-        return n_a, n_b, n_groups, n_a + n_b - n_groups, digest, _packed(np.array(own))
+        codes = np.array(own, dtype=np.uint32)
+        self.seen.append(codes)
+        return n_a, n_b, n_groups, n_a + n_b - n_groups, digest, _packed(codes)
 
     def full(self, most: int) -> bool:
         return len(self.codes) >= most or self.words >= BLOCK_WORDS
@@ -246,7 +254,8 @@ class _Block:
         """The block's own row: links by chunk as places among its distinct pairs, the pairs, and how often it has each."""
         links, sizes = np.array(self.links, dtype=np.int64), np.array(self.sizes, dtype=np.int64)
         pairs, at = np.unique(links, return_inverse=True)
-        seen = np.bincount(at, weights=np.repeat(np.array(self.times, dtype=np.float64), sizes), minlength=len(pairs)).astype(np.int64)
+        times = np.bincount(np.concatenate(self.seen), minlength=len(sizes))
+        seen = np.bincount(at, weights=np.repeat(times, sizes).astype(np.float64), minlength=len(pairs)).astype(np.int64)
         none = [pa.nulls(1, f.type) for f in list(_DOC)[1:]]
         return pa.RecordBatch.from_arrays([pa.array([self.number], pa.int64()), *none, pa.array([_packed(at)]), pa.array([_packed(sizes)]), pa.array([pairs], pa.list_(pa.int64())), pa.array([seen], pa.list_(pa.int64()))], schema=_BOTH)
 
@@ -269,7 +278,7 @@ def coded(docs: DataFrame, byte_path: str, piece_path: str, block_chunks: int =
                     block = _Block(part)
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _DOC)] if rows else [pa.array([], f.type) for f in _DOC]
             yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(rows), f.type) for f in _BLOCK]], schema=_BOTH)
-        if block.stats:
+        if block.seen:
             yield block.row()
 
     schema = "block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, chunks binary, links binary, sizes binary, pairs array<bigint>, seen array<bigint>"

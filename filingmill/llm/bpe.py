@@ -21,7 +21,7 @@ import struct
 
 #: Chunks and pre-tokens kept per worker; a cache starts anew when it is full.
 CACHE_SIZE = 400_000
-#: Longer chunks aren't kept.
+#: Longer chunks and pre-tokens aren't kept, so the caches are bounded in bytes too.
 LONGEST_KEPT = 64
 
 
@@ -114,9 +114,10 @@ class PretokenEncoder:
         else:
             written = pretoken.encode().decode("latin-1").translate(self.chars)
         made = self.value([t.id for t in self.model.tokenize(written)])
-        if len(self.cache) >= len(self.whole) + CACHE_SIZE:
-            self.cache = dict(self.whole)
-        self.cache[pretoken] = made
+        if len(pretoken) <= LONGEST_KEPT:
+            if len(self.cache) >= len(self.whole) + CACHE_SIZE:
+                self.cache = dict(self.whole)
+            self.cache[pretoken] = made
         return made
 
     def _split(self, text: str) -> list:

@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from filingmill.llm.shared import broadcast_value, small_batches
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)/?>|<[!?][^>]*>", re.S)
+#: A comment, a tag or a declaration. As in browsers a quote mark opens a string only after an equals sign, and a tag
+#: reaches to the first ">" outside such strings. Nothing is tried twice, so a page takes time in proportion to its length.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][A-Za-z0-9:-]*+)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?)*+)>|<[!?][^>]*+>", re.S)
 ATTRIBUTE = re.compile(r"([A-Za-z_:][-A-Za-z0-9_:.]*)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Letters of scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Han.
 UNSPACED = re.compile("[\u0e01-\u0eff\u1000-\u109f\u1780-\u17ff\u3041-\u30ff\u3400-\u4dbf\u4e00-\u9fff\U00020000-\U0003ffff]")
@@ -67,19 +69,22 @@ def parsed(page: str) -> Iterator[tuple[str, str, str]]:
     """("text", words, ""), ("open", tag, attributes) and ("close", tag, "") in page order.
 
     Comments, declarations and the content of raw elements are left out; a raw element that isn't
-    closed reaches to the end.
+    closed reaches to the end, as does a comment.
     """
     at, n = 0, len(page)
+    last = page.rfind(">") + 1  # nothing after it is a whole tag
     while at < n:
-        found = TOKEN.search(page, at)
+        found = TOKEN.search(page, at, last) if at < last else None
         if found is None:
             rest = page[at:]
-            cut = re.search(r"<[/!?A-Za-z][^<>]*\Z", rest)  # a tag that the page's end cuts off
+            cut = re.search(r"<(?:!--|[/!?A-Za-z][^<>]*\Z)", rest)  # a tag or comment that the page's end cuts off
             yield "text", rest[: cut.start()] if cut else rest, ""
             return
         if found.start() > at:
             yield "text", page[at : found.start()], ""
         at = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            return
         tag = (found[2] or "").lower()
         if not tag:
             continue
@@ -89,17 +94,22 @@ def parsed(page: str) -> Iterator[tuple[str, str, str]]:
         if tag in ("svg", "math") and found[0].endswith("/>"):
             continue
         if tag in RAW:
-            end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+            end = re.compile(rf"</{tag}\b[^>]*+>", re.I).search(page, at)
             at = end.end() if end else n
             continue
         yield "open", tag, found[3] or ""
 
 
+#: Open elements beyond which a closing tag of an element inside a line, a paragraph or a list item doesn't look.
+BOUNDS = ("table", "article", "body")
+
+
 class _Open:
-    """The stack of open elements, closed as browsers do in the common cases."""
+    """The stack of open elements, closed as browsers do in the common cases; a step takes the same time at any depth."""
 
     def __init__(self) -> None:
         self.tags: list[str] = []
+        self.places: dict[str, list[int]] = defaultdict(list)
 
     def opened(self, tag: str) -> None:
         if tag in ENDS_P:
@@ -109,23 +119,23 @@ class _Open:
             for p in peers:
                 self._end(p, ("ul", "ol", "dl", "table"))
         if tag not in VOID:
+            self.places[tag].append(len(self.tags))
             self.tags.append(tag)
 
+    def _last(self, tag: str) -> int:
+        """The place of the innermost open element of a tag, -1 without one."""
+        held = self.places.get(tag)
+        return held[-1] if held else -1
+
     def _end(self, tag: str, within: tuple[str, ...]) -> None:
-        for i in range(len(self.tags) - 1, -1, -1):
-            if self.tags[i] in within:
-                return
-            if self.tags[i] == tag:
-                del self.tags[i:]
-                return
+        """Close the innermost element of a tag and what is in it, unless one of ``within`` is open inside it."""
+        at = self._last(tag)
+        if at >= 0 and all(self._last(w) < at for w in within):
+            while len(self.tags) > at:
+                self.places[self.tags.pop()].pop()
 
     def closed(self, tag: str) -> None:
-        for i in range(len(self.tags) - 1, -1, -1):
-            if self.tags[i] == tag:
-                del self.tags[i:]
-                return
-            if self.tags[i] in ("table", "article", "body") and tag in INLINE | {"p", "li"}:
-                return
+        self._end(tag, BOUNDS if tag in INLINE or tag in ("p", "li") else ())
 
 
 def _odds(outside: float, inside: float) -> float:
@@ -164,12 +174,23 @@ class Weights:
         return out
 
 
+def is_hidden(attributes: str) -> bool:
+    """Whether an element's own attributes say that it isn't shown."""
+    low = attributes.lower()
+    if "hidden" not in low and "display" not in low:
+        return False
+    for name, a, b, c in ATTRIBUTE.findall(low):
+        if name == "hidden" or name == "style" and re.search(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", html.unescape(a or b or c)):
+            return True
+    return False
+
+
 class Page:
     """A parsed page as its events and the tree of its elements, in page order."""
 
     def __init__(self, page: str) -> None:
         self.events = list(parsed(page))
-        self.tag, self.attributes, self.parent, self.words = ["html"], [""], [-1], [0.0]
+        self.tag, self.attributes, self.parent, self.words, self.hidden = ["html"], [""], [-1], [0.0], [False]
         self.holder: list[int] = []
         #: The element of each event: that a tag opens or closes, or that a text is in.
         stack, opened = _Open(), []
@@ -181,6 +202,7 @@ class Page:
                 self.attributes.append(attributes)
                 self.parent.append(opened[-1] if opened else 0)
                 self.words.append(0.0)
+                self.hidden.append(is_hidden(attributes))
                 if what not in VOID:
                     opened.append(len(self.tag) - 1)
                 self.holder.append(len(self.tag) - 1)
@@ -244,10 +266,10 @@ def _words(text: str) -> float:
 
 
 def _skipped(page: Page, against: list[float], kept: set[int]) -> list[bool]:
-    """Whether each element is boilerplate or inside such; those of ``kept`` are neither."""
+    """Whether each element is boilerplate or not shown, or inside such; those of ``kept`` aren't boilerplate."""
     out = [False] * len(page.tag)
     for e in range(1, len(out)):
-        out[e] = out[page.parent[e]] or (against[e] > SKIP_FROM and e not in kept)
+        out[e] = out[page.parent[e]] or page.hidden[e] or (against[e] > SKIP_FROM and e not in kept)
     return out
 
 
@@ -267,7 +289,11 @@ def article_of(page: Page, against: list[float]) -> tuple[int, set[int]]:
     marked = [e for e in range(1, len(page.tag)) if page.tag[e] in ("article", "main") or "main" in names_of(page.attributes[e]) and "role" in page.attributes[e]]
     plain = _totals(page, [False] * len(page.tag))
     # an article inside boilerplate, such as a reader's comment, is none; the page's wrappers say little
-    good = [e for e in marked if plain[e] and not any(against[a] > SKIP_FROM and plain[a] < ARTICLE_SHARE * plain[0] for a in page.path(e)[1:]) and (against[e] <= SKIP_FROM or page.tag[e] == "main")]
+    under = [False] * len(page.tag)
+    for e in range(1, len(page.tag)):
+        a = page.parent[e]
+        under[e] = under[a] or (against[a] > SKIP_FROM and plain[a] < ARTICLE_SHARE * plain[0])
+    good = [e for e in marked if plain[e] and not under[e] and (against[e] <= SKIP_FROM or page.tag[e] == "main")]
     best = max(good, key=lambda e: (plain[e], e), default=0)
     if not best:
         total = _totals(page, _skipped(page, against, set()))
@@ -285,9 +311,11 @@ def article_of(page: Page, against: list[float]) -> tuple[int, set[int]]:
         if page.tag[best] in ("html", "body"):
             return 0, set(page.path(best))
     path = set(page.path(best))
+    inside = [e == best for e in range(len(page.tag))]
     for e in range(1, len(page.tag)):
-        if page.tag[e] == "h1" and best in (up := page.path(e)):
-            path.update(up)
+        inside[e] |= inside[page.parent[e]]
+        if page.tag[e] == "h1" and inside[e]:
+            path.update(page.path(e))
             break
     return best, path
 
@@ -311,6 +339,11 @@ def blocks(text: str, weights: Weights) -> list[str]:
     article, kept = article_of(page, against)
     skipped = _skipped(page, against, kept)
     total = _totals(page, skipped)
+    if not total[0]:  # names speak against all that the page has, so they say nothing
+        against = [weights.against(t, ()) for t in page.tag]
+        article, kept = article_of(page, against)
+        skipped = _skipped(page, against, kept)
+        total = _totals(page, skipped)
     inside = [False] * len(page.tag)
     for e in range(len(page.tag)):
         inside[e] = e == article and e > 0 or e > 0 and inside[page.parent[e]]

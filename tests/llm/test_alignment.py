@@ -36,8 +36,8 @@ def test_edges(edge_docs, no_docs):
 def test_transducer_closes_groups_and_finds_differences():
     machine = alignment.Transducer([b"ab", b"c", b"abc", b"x"], [b"a", b"bc", b"abc", b"ab"])
     at = alignment.SIDE
-    assert machine.align([0, 1], [0, 1]) == ([0 * at + 0, 0 * at + 1, 1 * at + 1], [([0, 1], [0, 1])])
+    assert machine.align([0, 1], [0, 1]) == ([0 * at + 0, 0 * at + 1, 1 * at + 1], [(2, 2)])
     assert machine.align([0, 1, 2], [3, 0, 1]) is None
-    assert machine.align([2, 2], [2, 0, 1]) == ([2 * at + 2, 2 * at + 0, 2 * at + 1], [([2], [2]), ([2], [0, 1])])
+    assert machine.align([2, 2], [2, 0, 1]) == ([2 * at + 2, 2 * at + 0, 2 * at + 1], [(1, 1), (2, 3)])
     assert machine.align([0], [0]) is None and machine.align([3], [0]) is None and machine.align([], [0]) is None
     assert machine.align([], []) == ([], [])
