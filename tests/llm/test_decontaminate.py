@@ -46,3 +46,24 @@ def test_spans_of_overlapping_items_do_not_depend_on_blocks(spark, block_bytes):
     held = spark.createDataFrame([(1, " ".join(names)), (1, " ".join(names))], "doc_id bigint, text string")
     got = decontaminate.without_hits(held, overlapping, block_bytes=block_bytes, remove="spans")
     assert [r["text"] for r in got.collect()] == [" ".join(names[21:])] * 2
+
+
+def test_any_number_of_blocks_gives_the_same_and_leaves_nothing(spark, tmp_path, monkeypatch):
+    import os
+
+    from filingmill.llm import shared
+
+    monkeypatch.setattr(shared, "shared_root", lambda _: f"file://{tmp_path}")
+    texts = [prose(400, k) for k in range(6)] + [None, "", prose(400, 2)]
+    docs = spark.createDataFrame([(k % 8, t, "x") for k, t in enumerate(texts)], "doc_id int, text string, marks string")
+    items = [("a", prose(300, 1)), ("b", " ".join(prose(400, 2).split()[50:75])), ("c", "rho sigma"), (None, prose(2000, 3)), ("d", "nowhere to be found")]
+    held = spark.createDataFrame(items, "item_id string, text string")
+    want = sorted(((k % 8, *brute.hits(t, items)) for k, t in enumerate(texts)), key=str)
+    for size in (1 << 22, 600, 40):
+        got = decontaminate.hits(docs, held, block_bytes=size).drop("items")
+        assert sorted(map(tuple, got.collect()), key=str) == want
+        assert all(x.startswith("judged") for x in os.listdir(tmp_path))
+    whole = {how: sorted(map(tuple, decontaminate.without_hits(docs, held, remove=how).collect()), key=str) for how in ("documents", "spans")}
+    for how, rows in whole.items():
+        assert sorted(map(tuple, decontaminate.without_hits(docs, held, block_bytes=200, remove=how).collect()), key=str) == rows
+    assert len(whole["documents"]) == sum(not w[-1] for w in want)

@@ -125,3 +125,40 @@ def test_self_closed_elements_are_empty(tag):
 def test_text_without_spaces_keeps_its_paragraphs_with_links(script):
     page = "<body><article>" + f"<p>{script * 3}<a href='x'>{script}</a>{script * 2}</p>" * 4 + "</article></body>"
     assert text(page) == [script * 6] * 4
+
+
+def test_odd_pages_end_soon():
+    """Unclosed tags, stray quotes and deep nesting take time in proportion to the page."""
+    import time
+
+    quoted = " ".join(f'd{i}="x"' for i in range(200))
+    pages = [
+        f"<a {quoted} <b>" * 50 + "<p>one two three four</p>",
+        f"<a {quoted} " * 50,
+        "<a \"" * 20_000,
+        "<a b='" * 20_001 + "<p>x</p>",
+        "<" * 100_000 + "<p>x</p>",
+        "<!--" * 30_000,
+        "<div>" * 100_000 + "deep words here",
+        "<article>" * 100_000 + "deep words here" + "</p></b>" * 50_000,
+        "<p>" * 100_000 + "<h1>a</h1>" * 1000,
+        "<li><td><dd>" * 30_000 + "x",
+    ]
+    for page in pages:
+        began = time.process_time()
+        text(page)
+        assert time.process_time() - began < 10 * len(page) / 500_000 + 2
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ('<p>shown words are here</p><p hidden>not this at all</p><div style="color: red; display : none">nor that one</div>', ["shown words are here"]),
+        ('<p>kept words of the page</p><p style="visibility:hidden">gone words</p><p data-x="hidden">and these stay too</p>', ["kept words of the page", "and these stay too"]),
+        ('<a href="x>y">link words one two</a> <p title=\'a>b\'>more words there</p>', ["link words one two", "more words there"]),
+        ('<div class="related"><p>All of the words of this page are in here.</p></div>', ["All of the words of this page are in here."]),
+        ("<p>before the end <!-- open comment <p>lost</p>", ["before the end"]),
+    ],
+)
+def test_what_is_shown(page, want):
+    assert text(page) == want
