@@ -131,7 +131,7 @@ def raw(lake: Lake, table: str, runs, of=None):
 def classify_tables(lake: Lake, args) -> str:
     runs, reports, packs = _context(lake, args)
     packs = rulepack.load_all(args.rules_root, extended=True) if args.notes else packs
-    rows = classify.classify_runs(raw(lake, "raw_tables", runs, [args.extraction_run_id]), raw(lake, "raw_cells", runs, [args.extraction_run_id]), lake.read("pdf_pages", [r["report_id"] for r in reports.select("report_id").collect()]), runs, reports, packs, now(), args.notes)
+    rows = classify.classify_runs(raw(lake, "raw_tables", runs, [args.extraction_run_id]), raw(lake, "raw_cells", runs, [args.extraction_run_id]), lake.read("pdf_pages", [r["report_id"] for r in reports.select("report_id").collect()]), runs, reports, packs, now(), args.notes, args.indexed)
     lake.replace("classified_tables", rows, runs)
     s = classify.summary(lake.read("classified_tables", [args.extraction_run_id])).first()
     return f"extraction_run_id={args.extraction_run_id} classified={s['classified_count']} review_required={s['review_required_count']}"
@@ -150,17 +150,39 @@ def extract_facts(lake: Lake, args) -> str:
     return f"extraction_run_id={args.extraction_run_id} facts={s['fact_count']} needs_review={s['needs_review_count']}"
 
 
-def _validated(lake: Lake, args, runs, reports, packs, found) -> str:
+def _judge(lake: Lake, runs, reports, packs, found) -> None:
+    """Judge the facts ``found`` of ``runs``; their results replace earlier ones, and what was judged is noted by its digest."""
     rows = validate.validate_runs(found, runs, reports, packs, now())
     lake.replace("validation_results", rows, runs)
-    rows = lake.read("validation_results", [args.extraction_run_id])
-    lake.append("validation_runs", rows.select("validation_run_id", "extraction_run_id").distinct().join(runs.select("extraction_run_id", "rule_pack_version"), "extraction_run_id").withColumns({"started_at": now(), "finished_at": now(), "status": F.lit("succeeded")}))
-    s = validate.summary(rows, ["validation_run_id"]).first()
+    ids = [r["extraction_run_id"] for r in runs.select("extraction_run_id").toLocalIterator()]
+    judged = lake.read("validation_results", ids).select("validation_run_id", "extraction_run_id").distinct()
+    noted = judged.join(runs.select("extraction_run_id", "rule_pack_version"), "extraction_run_id").join(validate.fact_digests(found), "extraction_run_id", "left")
+    lake.append("validation_runs", noted.withColumns({"started_at": now(), "finished_at": now(), "status": F.lit("succeeded")}))
+
+
+def _validated(lake: Lake, args, runs, reports, packs, found) -> str:
+    _judge(lake, runs, reports, packs, found)
+    s = validate.summary(lake.read("validation_results", [args.extraction_run_id]), ["validation_run_id"]).first()
     if s is None:
         raise ValueError(f"no rules for the market of {args.extraction_run_id}")
     return f"validation_run_id={s['validation_run_id']} extraction_run_id={args.extraction_run_id} results={s['result_count']} failed={s['failed_count']}"
 
 
+def validate_changed(lake: Lake, args) -> str:
+    """Judge again only the runs whose corrected facts, or whose rules, aren't those of their last validation."""
+    packs = rulepack.load_all(args.rules_root)
+    runs = run_events(lake).where("status = 'succeeded'")
+    accepted = lake.read("correction_batches").where("status = 'accepted'").select("correction_batch_id")
+    log = lake.read("corrections").join(accepted, "correction_batch_id", "left_semi")
+    found = corrections.effective(lake.read("extracted_facts"), log).where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False)))
+    digests = validate.fact_digests(found).join(runs.select("extraction_run_id", "rule_pack_version"), "extraction_run_id")
+    ids = [r["extraction_run_id"] for r in validate.changed_runs(digests, lake.read("validation_runs")).toLocalIterator()]
+    if ids:
+        some = run_events(lake, ids)
+        _judge(lake, some, lake.read("reports"), packs, found.where(F.col("extraction_run_id").isin(*ids)))
+    return f"runs={runs.count()} validated={len(ids)}"
+
+
 def validate_run(lake: Lake, args) -> str:
     runs, reports, packs = _context(lake, args)
     return _validated(lake, args, runs, reports, packs, lake.read("extracted_facts", [args.extraction_run_id]))
@@ -272,7 +294,7 @@ def import_corrections(lake: Lake, args) -> str:
     return f"correction_batch_id={batch_id} corrections={sheet.count()} {said}"
 
 
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact}
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -303,10 +325,11 @@ def parser() -> argparse.ArgumentParser:
         elif name == "compact":
             p.add_argument("table", choices=sorted(SCHEMAS))
             p.add_argument("--vacuum", action="store_true")
-        elif name != "init-db":
+        elif name not in ("init-db", "validate-changed"):
             p.add_argument("extraction_run_id")
             if name == "classify-tables":
                 p.add_argument("--notes", action="store_true")
+                p.add_argument("--indexed", action="store_true", help="look keywords up in an index, for packs of thousands")
             if name == "extract-facts":
                 p.add_argument("--all-statements", action="store_true")
             if name == "publish-run":

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingmill.functions.exprs import contains_any, or_null, stable_id
+from filingmill.operators import keywords
 from filingmill.sources.rulepack import Role, RulePack
 
 PREFER, INCLUDE, REVIEW_BELOW = 0.95, 0.85, 0.95
@@ -43,18 +44,25 @@ def scope(lowered: Column, scopes: dict[str, Sequence[str]]) -> Column:
     return F.when(parent, "parent").when(whole, "consolidated").otherwise("unknown")
 
 
-def classified(tables: DataFrame, packs: dict[str, RulePack], text: Column | None = None, market: str = "market") -> DataFrame:
+def classified(tables: DataFrame, packs: dict[str, RulePack], text: Column | None = None, market: str = "market", indexed: Sequence[str] | None = None) -> DataFrame:
     """Add table_role, statement_scope, classification_confidence, classification_rule_id and requires_review.
 
-    Every row stays; a table of an unknown market, or without a match, has the role ``unknown``.
+    Every row stays; a table of an unknown market, or without a match, has the role ``unknown``. With
+    ``indexed``, columns that name a table and are never null, roles come from an index of the keywords, as packs of thousands need; the market's column
+    is then ``market``. The roles are the same.
     """
     rows = tables.withColumn("__text", F.lower(F.coalesce(evidence() if text is None else text, F.lit(""))))
-    role = role_match(F.col("__text"), ())
     within = F.lit("unknown")
     for m, pack in packs.items():
-        role = F.when(F.col(market) == m, role_match(F.col("__text"), pack.roles)).otherwise(role)
         within = F.when(F.col(market) == m, scope(F.col("__text"), pack.scopes)).otherwise(within)
-    rows = rows.withColumn("__role", role).withColumn("statement_scope", within)
+    if indexed:
+        rows = keywords.with_roles(rows, packs, indexed, "__text", "table_titles", (PREFER, INCLUDE))
+    else:
+        role = role_match(F.col("__text"), ())
+        for m, pack in packs.items():
+            role = F.when(F.col(market) == m, role_match(F.col("__text"), pack.roles)).otherwise(role)
+        rows = rows.withColumn("__role", role)
+    rows = rows.withColumn("statement_scope", within)
     rows = rows.withColumns({"table_role": F.col("__role.role"), "classification_confidence": F.col("__role.confidence"), "classification_rule_id": F.col("__role.rule_id")})
     review = (F.col("classification_confidence") < REVIEW_BELOW) | (F.col("statement_scope") != "consolidated")
     return rows.withColumn("requires_review", review).drop("__text", "__role")
@@ -75,17 +83,17 @@ def summary(classified_tables: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     return classified_tables.groupBy(*keys).agg(F.count("*").alias("classified_count"), F.count_if("requires_review").alias("review_required_count"))
 
 
-def classify_runs(raw_tables: DataFrame, raw_cells: DataFrame, pages: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], created_at: Column, notes: bool = False) -> DataFrame:
+def classify_runs(raw_tables: DataFrame, raw_cells: DataFrame, pages: DataFrame, runs: DataFrame, reports: DataFrame, packs: dict[str, RulePack], created_at: Column, notes: bool = False, indexed: bool = False) -> DataFrame:
     """Rows of classified_tables for every raw table of the given runs.
 
-    With ``notes`` tables of no statement take the role of the packs' note rules.
+    With ``notes`` tables of no statement take the role of the packs' note rules; with ``indexed`` roles come from an index of the keywords.
     """
     from filingmill.operators.rawtables import cell_lines
 
     market = runs.select("extraction_run_id", "report_id").join(reports.select("report_id", "market"), "report_id").select("extraction_run_id", "market")
     rows = raw_tables.join(market, "extraction_run_id").join(cell_lines(raw_cells, ["raw_table_id"]), "raw_table_id", "left")
     rows = rows.join(pages.select("report_id", "page_number", "page_text_sample"), ["report_id", "page_number"], "left")
-    out = classified(rows, packs)
+    out = classified(rows, packs, indexed=["raw_table_id"] if indexed else None)
     if notes:
         out = note_roles(out, packs, evidence())
         noted = (F.col("table_role") == "unknown") & (F.col("note_role") != "unknown")

@@ -140,3 +140,28 @@ def validate_runs(facts: DataFrame, runs: DataFrame, reports: DataFrame, packs:
 def summary(results: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Counts of results and of failures; results left to a person aren't failures."""
     return results.groupBy(*keys).agg(F.count("*").alias("result_count"), F.count_if(F.col("status").isin(*FAILED)).alias("failed_count"))
+
+
+#: What a rule's verdict depends on, and the fact that it names.
+JUDGED = ("fact_id", "normalized_concept_id", "normalized_value", "unit_confidence", "statement_scope", "period_basis", "period_end", "instant_date", "page_number", "table_index_on_page", "row_index", "column_index")
+
+
+def fact_digests(facts: DataFrame, run: str = "extraction_run_id", columns: Sequence[str] = JUDGED) -> DataFrame:
+    """(run, facts_digest): a digest of a run's facts whatever their order; repeated facts count as often as they come.
+
+    Sums of two independent hashes and the number of rows, so partial digests add up before the shuffle.
+    """
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("\u0000")) for c in columns]
+    wide = lambda salt: F.sum(F.xxhash64(F.lit(salt), *fields).cast("decimal(20,0)"))
+    sums = facts.groupBy(run).agg(F.count("*").alias("n"), wide(1).alias("a"), wide(2).alias("b"))
+    return sums.select(run, F.concat_ws("/", "n", "a", "b").alias("facts_digest"))
+
+
+def changed_runs(digests: DataFrame, validations: DataFrame) -> DataFrame:
+    """Rows of ``digests`` (extraction_run_id, rule_pack_version, facts_digest) that their run's last validation didn't judge.
+
+    ``validations`` has rows of validation_runs; a run without one has changed, as has one under other rules.
+    """
+    last = validations.groupBy("extraction_run_id").agg(F.max_by(F.struct("rule_pack_version", "facts_digest"), F.struct("finished_at", "validation_run_id")).alias("__last"))
+    known = last.select("extraction_run_id", F.col("__last.rule_pack_version").alias("rule_pack_version"), F.col("__last.facts_digest").alias("facts_digest")).where("facts_digest is not null")
+    return digests.join(known, ["extraction_run_id", "rule_pack_version", "facts_digest"], "left_anti")

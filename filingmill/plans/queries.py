@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingmill.functions import exprs, periods
-from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, register, review, validate, views
+from filingmill.operators import agreement, classify, corrections, facts, keywords, profile, publish, rawtables, register, review, validate, views
 from filingmill.sources import rulepack
 from filingmill.sources.rulepack import Role, RulePack
 from filingmill.sources.schemas import active_conflicts, conformed, orphans
@@ -263,6 +263,25 @@ def q_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classified(spark, sf_dir).select("doc_id", "table_role", "statement_scope", "classification_confidence", "classification_rule_id", "requires_review")
 
 
+@query(f"with {_CLASSIFIED} select doc_id, table_role, statement_scope, classification_confidence, classification_rule_id, requires_review from k")
+def q_classify_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classes by the index of keywords."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("market"), "source", "text")
+    found = classify.classified(rows, DOC_PACKS, F.col("text"), indexed=["doc_id"])
+    return found.select("doc_id", "table_role", "statement_scope", "classification_confidence", "classification_rule_id", "requires_review")
+
+
+# The words that stand fifth in the texts are the keywords.
+_FIFTH = r"select doc_id, 'm' || (doc_id % 3) as market, lower(text) as t, lower(regexp_extract(text, '^(?:[^ ]* ){4}([^ ]{2,})', 1)) as w from documents"
+
+
+@query(f"with d as ({_FIFTH}), k as (select distinct market, w from d where w <> '') select d.doc_id, k.w as keyword from d join k on d.market = k.market and contains(d.t, k.w)")
+def q_keyword_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hundreds of keywords, one from each document, found in all documents of their market."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("m"), (F.col("doc_id") % 3).cast("string")).alias("market"), F.lower("text").alias("text"), F.lower(F.regexp_extract("text", "^(?:[^ ]* ){4}([^ ]{2,})", 1)).alias("keyword"))
+    return keywords.keyword_hits(docs.select("doc_id", "market", "text"), docs.select("market", "keyword"), ["doc_id"]).select("doc_id", "keyword")
+
+
 @query(f"with {_CLASSIFIED} select table_role, statement_scope, count(*) as classified_count, count(*) filter (requires_review) as review_required_count from k group by 1, 2")
 def q_classify_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify.summary(_classified(spark, sf_dir), ["table_role", "statement_scope"])
@@ -554,6 +573,20 @@ def q_period_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.alias("p")).select("o_orderkey", "p.*")
 
 
+@query("select l_suppkey::varchar as extraction_run_id, count(*) as n_facts from lineitem group by 1 having bool_or(l_suppkey % 5 = 0 and l_linenumber = 3)")
+def q_changed_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers stand for runs, line items for their facts: after a correction only the runs that it touches are to be judged."""
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber")
+    held = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("extraction_run_id"), key.alias("fact_id"), F.col("l_extendedprice").cast(D).alias("normalized_value"), "l_suppkey", "l_linenumber")
+    columns = ["fact_id", "normalized_value"]
+    rules = F.lit("rules").alias("rule_pack_version")
+    noted = validate.fact_digests(held, columns=columns).select("*", rules, F.col("extraction_run_id").alias("validation_run_id"), F.lit(EPOCH).cast("timestamp").alias("finished_at"))
+    touched = held.withColumn("normalized_value", F.when((F.col("l_suppkey") % 5 == 0) & (F.col("l_linenumber") == 3), F.col("normalized_value") + 1).otherwise(F.col("normalized_value")).cast(D))
+    now = validate.fact_digests(touched, columns=columns).withColumn("rule_pack_version", rules)
+    changed = validate.changed_runs(now, noted)
+    return changed.select("extraction_run_id", F.split_part("facts_digest", F.lit("/"), F.lit(1)).cast("bigint").alias("n_facts"))
+
+
 # Review and corrections ---------------------------------------------------------------------------
 
 

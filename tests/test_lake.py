@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from filingmill import cli
-from filingmill.operators import agreement, corrections, publish, register, review, views
+from filingmill.operators import agreement, corrections, publish, register, review, validate, views
 from filingmill.sources import commits, documents, rulepack, schemas, store, workbook
 from filingmill.sources.store import Lake
 from filingmill.streaming import ingest
@@ -281,6 +281,30 @@ def test_two_publishers_leave_one_active_version(spark, reviewed):
     assert publish.published(lake).count() == 3
 
 
+def test_only_changed_runs_are_validated_again(spark, reviewed):
+    lake, run = reviewed
+    report_id = lake.read("reports").first()["report_id"]
+    run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run2")
+    for verb in ("classify-tables", "extract-facts"):
+        run(verb, "run2")
+    assert run("validate-changed") == "runs=2 validated=1"  # run1 has been judged as it is
+    assert run("validate-changed") == "runs=2 validated=0"
+    fact = lake.read("extracted_facts", ["run1"]).where("normalized_concept_id = 'total_equity'").first()["fact_id"]
+    lake.append("correction_batches", spark.createDataFrame([("b", "x", report_id, "run1", "p", AT, "accepted")], "correction_batch_id string, review_export_id string, report_id string, extraction_run_id string, imported_workbook_path string, imported_at timestamp, status string"))
+    lake.append("corrections", spark.createDataFrame([("c", "b", fact, "normalized_value", "7", "r", AT)], "correction_id string, correction_batch_id string, fact_id string, field_name string, new_value string, correction_reason string, created_at timestamp"))
+    before = lake.read("validation_results", ["run2"]).collect()
+    assert run("validate-changed") == "runs=2 validated=1" and lake.read("validation_results", ["run2"]).collect() == before
+    assert lake.read("validation_results", ["run1"]).first()["status"] == "failed"
+
+
+def test_digests_know_no_order(spark):
+    rows = [("r", "a", "1"), ("r", "b", None), ("r", "b", None), ("s", None, "1")]
+    digest = lambda rows: {r[0]: r[1] for r in validate.fact_digests(spark.createDataFrame(rows, "extraction_run_id string, x string, y string"), columns=["x", "y"]).collect()}
+    assert digest(rows) == digest(rows[::-1])
+    assert digest(rows)["r"] != digest(rows[1:])["r"] != digest([*rows[:2], rows[3]])["r"]
+    assert digest([("r", "a", None)]) != digest([("r", None, "a")])
+
+
 def test_publishing_needs_the_other_run_to_agree(spark, reviewed):
     lake, run = reviewed
     report_id = lake.read("reports").first()["report_id"]
