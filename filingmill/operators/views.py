@@ -37,11 +37,39 @@ def wide(lines: DataFrame, statement: str, concepts: Sequence[str] | None = None
     return rows.groupBy(*keys).agg(*[F.max_by("effective_value", F.when(F.col("concept_id") == c, F.struct(*order))).alias(c) for c in named])
 
 
+#: The keys of a summary from the widest level to the narrowest.
+SUMMARY_KEYS = ("company_id", "fiscal_year", "report_type")
+#: Distinct counts of a summary and what they count.
+SUMMARY_SETS = {"concept_count": "effective_concept_id", "report_count": "report_id"}
+
+
+def rollups(trusted: DataFrame, levels: Sequence[int] = (0, 1, 2, 3)) -> DataFrame:
+    """(level, company_id, fiscal_year, report_type, fact_count, concept_count, report_count, latest_period_end) by level.
+
+    Level 3 has all keys, 2 lacks the report type, 1 is of companies, 0 of everything; keys that a level lacks are null.
+    Facts become one row for each concept and one for each report of a key, with their number and latest period. A
+    level's rows are those of the level below it without a key, deduplicated again, so every level starts from what
+    the one below has left and distinct counts are plain counts of rows.
+    """
+    pair = lambda name: F.struct(F.lit(name).alias("set"), F.col(SUMMARY_SETS[name]).cast("string").alias("value"), F.lit(int(name == first)).cast("bigint").alias("n"))
+    first = next(iter(SUMMARY_SETS))  # every fact is counted in this one's rows
+    held = trusted.select(*SUMMARY_KEYS, "period_end", F.explode(F.array(*[pair(c) for c in SUMMARY_SETS])).alias("x")).select(*SUMMARY_KEYS, "x.*", F.col("period_end").alias("latest"))
+    out = None
+    for level in range(len(SUMMARY_KEYS), -1, -1):
+        own = SUMMARY_KEYS[:level]
+        held = held.groupBy(*own, "set", "value").agg(F.sum("n").alias("n"), F.max("latest").alias("latest"))
+        if level in levels:
+            counts = [F.count_if((F.col("set") == c) & F.col("value").isNotNull()).alias(c) for c in SUMMARY_SETS]
+            part = held.groupBy(*own).agg(F.sum("n").alias("fact_count"), *counts, F.max("latest").alias("latest_period_end")).where("fact_count > 0")
+            lacking = [F.lit(None).cast(trusted.schema[k].dataType).alias(k) for k in SUMMARY_KEYS[level:]]
+            part = part.select(F.lit(level).alias("level"), *own, *lacking, "fact_count", *SUMMARY_SETS, "latest_period_end")
+            out = part if out is None else out.unionByName(part)
+    return out
+
+
 def period_summary(trusted: DataFrame) -> DataFrame:
     """Our own definition: facts, concepts, reports and the latest period by company, year and report type."""
-    return trusted.groupBy("company_id", "fiscal_year", "report_type").agg(
-        F.count("*").alias("fact_count"), F.countDistinct("effective_concept_id").alias("concept_count"), F.countDistinct("report_id").alias("report_count"), F.max("period_end").alias("latest_period_end")
-    )
+    return rollups(trusted, levels=(len(SUMMARY_KEYS),)).drop("level")
 
 
 def ai_facts(trusted: DataFrame) -> DataFrame:

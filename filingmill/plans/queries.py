@@ -712,6 +712,11 @@ def q_period_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.period_summary(_trusted(spark, sf_dir)).drop("latest_period_end")
 
 
+@query(f"with {_TRUSTED} " + " union all ".join(f"select {n} as level, " + ", ".join(c if k < n else f"null::{t} as {c}" for k, (c, t) in enumerate((("company_id", "varchar"), ("fiscal_year", "int"), ("report_type", "varchar")))) + ", count(*) as fact_count, count(distinct concept) as concept_count, count(distinct report_id) as report_count from t" + (" group by " + ", ".join(str(k + 2) for k in range(n)) if n else " having count(*) > 0") for n in range(4)))
+def q_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.rollups(_trusted(spark, sf_dir)).drop("latest_period_end")
+
+
 @query(f"with {_CHECKED} select n.k || '-' || n.row_index as fact_id, n.concept as normalized_concept_id, v.status as validation_status, case when n.k % 4 = 0 then 1 else 0 end::bigint as correction_count from n join v on n.k = v.k")
 def q_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
