@@ -7,7 +7,7 @@ collisions that two sets of such sizes have by chance, and what may be similar e
 the whole shingle sets.
 
 Texts at the threshold of 0.85 share none of 36 bands of seven registers with a probability below one in a
-million; sets of fewer than seven shingles link at that similarity only if they are equal, and equal sets
+million; sets of fewer than six shingles link at that similarity only if they are equal, and equal sets
 are one node. In a band's bucket of many nodes those of its hubs are compared first, the hubs being the
 nodes that meet most others; then only nodes that no links join are paired.
 """
