@@ -426,7 +426,7 @@ def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     sums = sums.withColumn("equity", F.col("total") - F.col("part") + F.when(d == 0, 1).when(d == 1, 7).when(d == 2, 900).otherwise(0))
     context = F.when(k % 8 == 7, "no unit").when(k % 8 == 6, "amounts in thousands").when(k % 8 == 5, "US$ in millions").otherwise("USD thousands")
     last = F.when(k % 10 == 9, "Unmapped line").otherwise("Total stockholders'  equity")
-    rows = [("Line item", F.lit("Amount")), ("TOTAL assets", F.col("total").cast("string")), (" Total liabilities ", F.when(k % 11 == 10, "--").otherwise(F.col("part").cast("string"))), (last, F.col("equity").cast("string")), ("Unmapped line", F.lit("999"))]
+    rows = [("Caption", F.lit("Figures")), ("TOTAL assets", F.col("total").cast("string")), (" Total liabilities ", F.when(k % 11 == 10, "--").otherwise(F.col("part").cast("string"))), (last, F.col("equity").cast("string")), ("Unmapped line", F.lit("999"))]
     cells = [F.struct(F.lit(r).alias("row_index"), F.lit(c).alias("column_index"), (F.lit(x) if isinstance(x, str) else x).alias("raw_text")) for r, row in enumerate(rows) for c, x in enumerate(row)]
     out = sums.select("k", "equity", context.alias("context"), F.explode(F.array(*cells)).alias("c")).select("k", "equity", "context", "c.*")
     return out.withColumns({"raw_cell_id": F.concat_ws("-", F.col("k").cast("string"), F.col("row_index").cast("string"), F.col("column_index").cast("string")), "bbox": F.lit(None).cast("array<double>")})
@@ -442,7 +442,7 @@ def _facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("fact_id", F.concat_ws("-", F.col("k").cast("string"), F.col("row_index").cast("string")))
 
 
-@query(f"with {_STATEMENTS} select k, row_index, concept as normalized_concept_id, raw_value, raw_unit, currency, scale_factor, parsed_decimal, normalized_value, unit_confidence, fact_status, 'Amount' as column_label from n")
+@query(f"with {_STATEMENTS} select k, row_index, concept as normalized_concept_id, raw_value, raw_unit, currency, scale_factor, parsed_decimal, normalized_value, unit_confidence, fact_status, 'Figures' as column_label from n")
 def q_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _facts(spark, sf_dir).select("k", "row_index", "normalized_concept_id", "raw_value", "raw_unit", "currency", "scale_factor", "parsed_decimal", "normalized_value", "unit_confidence", "fact_status", "column_label")
 
@@ -760,7 +760,7 @@ def _extracted(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, D
     return found, x
 
 
-@query(f"with {_FILED} select k::varchar as report_id, table_index_on_page, row_index, concept as normalized_concept_id, raw_value, parsed as parsed_decimal, normalized_value, fact_status, 'Amount' as column_label from fact")
+@query(f"with {_FILED} select k::varchar as report_id, table_index_on_page, row_index, concept as normalized_concept_id, raw_value, parsed as parsed_decimal, normalized_value, fact_status, 'Figures' as column_label from fact")
 def q_extract_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = _extracted(spark, sf_dir)
     return conformed(found, "extracted_facts").select("report_id", "table_index_on_page", "row_index", "normalized_concept_id", "raw_value", "parsed_decimal", "normalized_value", "fact_status", "column_label")
