@@ -5,12 +5,12 @@ from __future__ import annotations
 import argparse
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, register, review, validate, views
-from filingmill.sources import documents, rulepack, workbook
+from filingmill.sources import books, documents, rulepack, workbook
 from filingmill.sources.schemas import ALLOWED, SCHEMAS
 from filingmill.sources.store import Lake
 
@@ -294,7 +294,68 @@ def import_corrections(lake: Lake, args) -> str:
     return f"correction_batch_id={batch_id} corrections={sheet.count()} {said}"
 
 
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed}
+def export_reviews(lake: Lake, args) -> str:
+    """The workbooks of all succeeded runs with facts, or of those named, written in parallel below a folder; a failure leaves none."""
+    folder = args.folder or f"{lake.root}/review"
+    ids = args.run or None
+    runs = run_events(lake, ids).where("status = 'succeeded'")
+    found = lake.read("extracted_facts", ids)
+    runs = runs.join(found.select("extraction_run_id").distinct(), "extraction_run_id", "left_semi")
+    cells = rawtables.last_cells(raw(lake, "raw_cells", runs, ids).join(found.select("raw_table_id").distinct(), "raw_table_id", "left_semi"), ["extraction_run_id", "raw_table_id"])
+    shown = found.join(review.display_cells(cells, ["extraction_run_id", "raw_table_id"]), ["extraction_run_id", "raw_table_id", "row_index"], "left")
+    export_id = F.sha2(F.concat_ws("/", F.lit("review"), "extraction_run_id"), 256)
+    meta = runs.select(F.lit("1").alias("workbook_schema_version"), "report_id", "extraction_run_id", export_id.alias("review_export_id"), "rule_pack_version", now().cast("string").alias("exported_at"))
+    path = F.concat_ws("/", "report_id", "extraction_run_id", F.lit("review.xlsx"))
+    rows = review.book_rows(meta, lake.read("validation_results", ids), shown.withColumn("cell_bbox_json", F.to_json("cell_bbox")))
+    books.write_books(rows.join(runs.select("extraction_run_id", path.alias("workbook")), "extraction_run_id"), folder)
+    exports = meta.select("review_export_id", "report_id", "extraction_run_id", F.concat_ws("/", F.lit(folder), path).alias("workbook_path"), F.lit("exported").alias("status"), now().alias("created_at"))
+    lake.append("review_exports", exports)
+    return f"folder={folder} workbooks={exports.count()}"
+
+
+def import_reviews(lake: Lake, args) -> str:
+    """Import the corrections of every workbook below a folder, each once, and validate again the runs that they change.
+
+    A workbook with broken rows is rejected, one that can't be read or has no open export is refused; neither stops the others.
+    The broken rows of all are written as one workbook of errors for each, below ``errors``.
+    """
+    rows = books.read_books(lake.spark, args.folder, "corrections", "_metadata").where(~F.col("workbook").startswith("errors/")).cache()
+    seen, sheet = corrections.books_of(rows), corrections.sheets_of(rows)
+    ids = [r["extraction_run_id"] for r in seen.where("extraction_run_id is not null").select("extraction_run_id").distinct().toLocalIterator()]
+    found = lake.read("extracted_facts", ids)
+    judged, errors = corrections.accepted_books(seen, sheet, found, lake.read("review_exports", ids), lake.read("correction_batches", ids))
+    judged = judged.cache()
+    taken = judged.where("status = 'accepted'").select("workbook", "correction_batch_id", "extraction_run_id")
+    own = sheet.join(taken.select("workbook", F.col("correction_batch_id").alias("batch")), "workbook")
+    log = corrections.history(own, found, F.col("batch"), now(), ["batch"])
+    lake.append("corrections", log)
+    # the batches make the corrections visible, so they come after them
+    noted = judged.where("status in ('accepted', 'rejected')").withColumns({"imported_workbook_path": F.concat_ws("/", F.lit(args.folder), "workbook"), "imported_at": now()})
+    lake.append("correction_batches", noted)
+    n = {r["status"]: r["count"] for r in judged.groupBy("status").count().collect()}
+    if n.get("rejected"):
+        head = errors.select("workbook", F.lit(1).alias("row_number"), F.array(F.lit("row_number"), F.lit("fact_id"), F.lit("error_code")).alias("cells")).distinct()
+        by = Window.partitionBy("workbook").orderBy("row_number", "error_code", "fact_id")
+        body = errors.select("workbook", (F.row_number().over(by) + 1).alias("at"), F.array(F.col("row_number").cast("string"), "fact_id", "error_code").alias("cells"))
+        books.write_books(head.union(body).withColumns({"sheet": F.lit("errors"), "workbook": F.concat(F.lit("errors/"), "workbook")}), args.folder)
+    ids = [r["extraction_run_id"] for r in taken.select("extraction_run_id").distinct().toLocalIterator()]
+    if ids:
+        _judge_corrected(lake, ids, rulepack.load_all(args.rules_root))
+    refused = "".join(f"\nrefused {r['workbook']}: {r['error_message']}" for r in judged.where("status = 'refused'").orderBy("workbook").toLocalIterator())
+    return f"accepted={n.get('accepted', 0)} rejected={n.get('rejected', 0)} refused={n.get('refused', 0)}{refused}"
+
+
+def _judge_corrected(lake: Lake, ids: list[str], packs) -> None:
+    """Judge the facts of some runs with their accepted corrections laid over."""
+    accepted = lake.read("correction_batches", ids).where("status = 'accepted'").select("correction_batch_id")
+    log = lake.read("corrections").join(accepted, "correction_batch_id", "left_semi")
+    corrected = corrections.effective(lake.read("extracted_facts", ids), log)
+    runs = run_events(lake, ids)
+    reports = lake.read("reports").join(runs.select("report_id"), "report_id", "left_semi")
+    _judge(lake, runs, reports, packs, corrected.where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False))))
+
+
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -319,6 +380,11 @@ def parser() -> argparse.ArgumentParser:
                 p.add_argument("--run-id")
         elif name == "import-corrections":
             p.add_argument("workbook")
+        elif name == "import-reviews":
+            p.add_argument("folder")
+        elif name == "export-reviews":
+            p.add_argument("folder", nargs="?")
+            p.add_argument("--run", action="append", help="a run to export; all by default")
         elif name == "show-view":
             p.add_argument("view")
             p.add_argument("--mode", choices=("trusted", "debug"), default="trusted")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sheets and columns of the workbook.
@@ -17,6 +17,7 @@ period_end instant_date raw_label normalized_concept_id raw_value raw_unit curre
 CORRECTION_COLUMNS = "fact_id correction_action corrected_value corrected_unit normalized_concept_id period_basis statement_scope table_role correction_reason".split()
 METADATA_KEYS = "workbook_schema_version report_id extraction_run_id review_export_id rule_pack_version exported_at".split()
 LAST_DISPLAY = 10_000
+_HEADS = {"summary": ["field", "value"], "validation_failures": FAILURE_COLUMNS} | {s: RAW_COLUMNS for s in RAW_SHEETS} | {"corrections": CORRECTION_COLUMNS, "_metadata": ["key", "value"]}
 
 
 def target_sheet(role: str | Column = "table_role", explicit: str | Column | None = None, prefixes: bool = False) -> Column:
@@ -114,6 +115,42 @@ def workbook_sheets(metadata: DataFrame, results: DataFrame, rows: DataFrame) ->
     return sheets | {"corrections": empty, "_metadata": key_values(metadata, ("key", "value"))}
 
 
+def book_rows(metadata: DataFrame, results: DataFrame, rows: DataFrame, key: str = "extraction_run_id") -> DataFrame:
+    """(key, sheet, row_number, cells): the sheets of ``workbook_sheets`` for every row of ``metadata`` at once.
+
+    ``key`` tells the workbooks apart in all three; ``rows`` may carry ``display`` (``display_cells``). The first row of a sheet names its
+    columns. A sheet's rows are numbered within it, so what one task sorts is one sheet. Rows of unknown keys are left out.
+    """
+    own = metadata.select(key)
+    pairs = F.array(*[F.array(F.lit(c), as_cell(metadata, c)) for c in metadata.columns])
+    meta = metadata.select(key, F.posexplode(pairs).alias("at", "cells"))
+    meta = meta.select(key, F.explode(F.array(F.lit("summary"), F.lit("_metadata"))).alias("sheet"), (F.col("at") + 2).alias("row_number"), "cells")
+
+    def cells(df: DataFrame, columns: Sequence[str]) -> Column:
+        return F.array(*[as_cell(df, c) if c in df.columns else F.lit(None).cast("string") for c in columns])
+
+    def numbered(df: DataFrame, order: Column) -> DataFrame:
+        return df.select(key, "sheet", (F.row_number().over(Window.partitionBy(key, "sheet").orderBy(order)) + 1).alias("row_number"), "cells")
+
+    failed = results.where(~F.col("status").startswith("verified")).join(own, key, "left_semi")
+    failed = numbered(failed.withColumns({"sheet": F.lit("validation_failures"), "cells": cells(failed, FAILURE_COLUMNS)}), F.struct("rule_id", "validation_result_id"))
+    explicit = "target_sheet" if "target_sheet" in rows.columns else None
+    raw = rows.withColumn("sheet", target_sheet("table_role", explicit)).where("sheet is not null").join(own, key, "left_semi")
+    shown = cells(raw, RAW_COLUMNS)
+    last = F.lit(-1)
+    if "display" in rows.columns:
+        last = F.coalesce(F.array_max(F.map_keys("display")), F.lit(-1))
+        shown = F.when(last >= 0, F.concat(shown, F.transform(F.sequence(F.lit(0), last), lambda i: F.try_element_at("display", i)))).otherwise(shown)
+    raw = raw.withColumns({"cells": shown, "last": last})
+    place = [c for c in ("page_number", "table_index_on_page", "row_index", "column_index", "fact_id") if c in rows.columns]
+    wide = raw.groupBy(key, "sheet").agg(F.max("last").alias("last"))
+    names = F.array(*[F.struct(F.lit(s).alias("sheet"), F.array(*[F.lit(c) for c in columns]).alias("cells")) for s, columns in _HEADS.items()])
+    heads = own.select(key, F.explode(names).alias("h")).select(key, "h.*").join(wide, [key, "sheet"], "left")
+    shown = F.transform(F.sequence(F.lit(0), F.col("last")), lambda i: F.concat(F.lit("display_col_"), i.cast("string")))
+    heads = heads.select(key, "sheet", F.lit(1).alias("row_number"), F.when(F.col("last") >= 0, F.concat("cells", shown)).otherwise(F.col("cells")).alias("cells"))
+    return heads.unionByName(meta).unionByName(failed).unionByName(numbered(raw, F.struct(*place)))
+
+
 def workbook_path(root: str, report_id: str, run_id: str) -> str:
     """Where a run's workbook goes by default."""
     return f"{root}/{report_id}/{run_id}/review.xlsx"

@@ -1,6 +1,7 @@
 """A minimal XLSX writer and reader over the standard library, and an HTML summary.
 
-Sheets are small hand-off files of one report, so they are written from the driver, row by row.
+One report's hand-off file is written from the driver, row by row; ``books`` reads and writes many
+workbooks at once, each in a task of its own, by the same functions.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import re
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 from pathlib import Path
+from typing import IO
 from xml.etree import ElementTree as ET
 from xml.sax.saxutils import escape, quoteattr
 
@@ -77,8 +79,21 @@ def write_sheets(path: str | Path, sheets: dict[str, DataFrame]) -> None:
     """Write frames as sheets in the given order; statuses have their colours, correction actions a list to choose from."""
     path = Path(path)
     path.parent.mkdir(parents=True, exist_ok=True)
-    names = list(sheets)
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    with path.open("wb") as out:
+        write_book(out, ((n, df.columns, df.toLocalIterator()) for n, df in sheets.items()))
+
+
+def write_book(out: IO[bytes], sheets: Iterable[tuple[str, Sequence[str], Iterable]]) -> None:
+    """Write (name, columns, rows) of the sheets one after another; one row is in memory at a time."""
+    names = []
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for i, (name, columns, rows) in enumerate(sheets, 1):
+            names.append(name)
+            choices = {columns.index("correction_action"): ALLOWED["correction_action"]} if "correction_action" in columns else {}
+            coloured = [k for k, c in enumerate(columns) if c in ("status", "validation_status")]
+            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as sheet:
+                for piece in _sheet(list(columns), rows, choices, coloured):
+                    sheet.write(piece.encode())
         kind = "application/vnd.openxmlformats-officedocument.spreadsheetml"
         kinds = "".join(f'<Override PartName="/xl/worksheets/sheet{i}.xml" ContentType="{kind}.worksheet+xml"/>' for i in range(1, len(names) + 1))
         z.writestr("[Content_Types].xml", f'{_HEAD}<Types xmlns="{_PACKAGE}/content-types"><Default Extension="rels" ContentType="application/vnd.openxmlformats-package.relationships+xml"/><Default Extension="xml" ContentType="application/xml"/><Override PartName="/xl/workbook.xml" ContentType="{kind}.sheet.main+xml"/><Override PartName="/xl/styles.xml" ContentType="{kind}.styles+xml"/>{kinds}</Types>')
@@ -89,18 +104,23 @@ def write_sheets(path: str | Path, sheets: dict[str, DataFrame]) -> None:
         links = "".join(f'<Relationship Id="rId{i}" Type="{_REL}/worksheet" Target="worksheets/sheet{i}.xml"/>' for i in range(1, len(names) + 1))
         links += f'<Relationship Id="rId{len(names) + 1}" Type="{_REL}/styles" Target="styles.xml"/>'
         z.writestr("xl/_rels/workbook.xml.rels", f'{_HEAD}<Relationships xmlns="{_PACKAGE}/relationships">{links}</Relationships>')
-        for i, n in enumerate(names, 1):
-            columns = sheets[n].columns
-            choices = {columns.index("correction_action"): ALLOWED["correction_action"]} if "correction_action" in columns else {}
-            coloured = [k for k, c in enumerate(columns) if c in ("status", "validation_status")]
-            with z.open(f"xl/worksheets/sheet{i}.xml", "w") as out:
-                for piece in _sheet(columns, sheets[n].toLocalIterator(), choices, coloured):
-                    out.write(piece.encode())
 
 
-def read_sheet(path: str | Path, sheet: str) -> list[list[str | None]]:
-    """The rows of a sheet as texts, gaps null. An absent sheet raises ValueError."""
-    with zipfile.ZipFile(path) as z:
+def _place(reference: str) -> int:
+    """The column index of a cell reference such as AB7."""
+    at = 0
+    for letter in re.match(r"[A-Z]+", reference)[0]:
+        at = at * 26 + ord(letter) - 64
+    return at - 1
+
+
+def _texts(node) -> str:
+    return "".join(t.text or "" for t in node.iter(f"{{{_MAIN}}}t"))
+
+
+def sheet_rows(file: str | Path | IO[bytes], sheet: str) -> Iterator[list[str | None]]:
+    """The rows of a sheet as texts, gaps null, one in memory at a time. An absent sheet raises ValueError."""
+    with zipfile.ZipFile(file) as z:
         book = ET.fromstring(z.read("xl/workbook.xml"))
         links = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
         found = [s.get(f"{{{_REL}}}id") for s in book.iter(f"{{{_MAIN}}}sheet") if s.get("name") == sheet]
@@ -108,24 +128,27 @@ def read_sheet(path: str | Path, sheet: str) -> list[list[str | None]]:
             raise ValueError(f"the workbook has no sheet {sheet}")
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
-            shared = ["".join(t.text or "" for t in si.iter(f"{{{_MAIN}}}t")) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{{{_MAIN}}}si")]
+            shared = [_texts(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).iter(f"{{{_MAIN}}}si")]
         target = links[found[0]].lstrip("/")
-        root = ET.fromstring(z.read(target if target.startswith("xl/") else f"xl/{target}"))
-    out = []
-    for row in root.iter(f"{{{_MAIN}}}row"):
-        held: dict[int, str | None] = {}
-        for c in row.iter(f"{{{_MAIN}}}c"):
-            letters = re.match(r"[A-Z]+", c.get("r", "A"))[0]
-            at = 0
-            for letter in letters:
-                at = at * 26 + ord(letter) - 64
-            if c.get("t") == "inlineStr":
-                held[at - 1] = "".join(t.text or "" for t in c.iter(f"{{{_MAIN}}}t"))
-            else:
-                v = c.find(f"{{{_MAIN}}}v")
-                held[at - 1] = None if v is None else shared[int(v.text)] if c.get("t") == "s" else v.text
-        out.append([held.get(i) for i in range(max(held, default=-1) + 1)])
-    return out
+        with z.open(target if target.startswith("xl/") else f"xl/{target}") as part:
+            for _, row in ET.iterparse(part):
+                if row.tag != f"{{{_MAIN}}}row":
+                    continue
+                held: dict[int, str | None] = {}
+                for c in row.iter(f"{{{_MAIN}}}c"):
+                    at = _place(c.get("r", "A"))
+                    if c.get("t") == "inlineStr":
+                        held[at] = _texts(c)
+                    else:
+                        v = c.find(f"{{{_MAIN}}}v")
+                        held[at] = None if v is None else shared[int(v.text)] if c.get("t") == "s" else v.text
+                row.clear()
+                yield [held.get(i) for i in range(max(held, default=-1) + 1)]
+
+
+def read_sheet(path: str | Path, sheet: str) -> list[list[str | None]]:
+    """All rows of a sheet as texts, gaps null."""
+    return list(sheet_rows(path, sheet))
 
 
 def corrections_of(spark: SparkSession, path: str | Path) -> DataFrame:
