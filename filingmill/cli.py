@@ -9,7 +9,7 @@ from pyspark.sql import Column, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, register, review, validate, views
+from filingmill.operators import agreement, classify, corrections, facts, profile, publish, rawtables, realign, register, review, validate, views
 from filingmill.sources import books, documents, rulepack, workbook
 from filingmill.sources.schemas import ALLOWED, SCHEMAS
 from filingmill.sources.store import Lake
@@ -345,6 +345,42 @@ def import_reviews(lake: Lake, args) -> str:
     return f"accepted={n.get('accepted', 0)} rejected={n.get('rejected', 0)} refused={n.get('refused', 0)}{refused}"
 
 
+def carry_corrections(lake: Lake, args) -> str:
+    """Take a run's accepted corrections over to another run of the same report, and validate that run again.
+
+    Only decisions on cells whose text, concept and unit are the same in both runs are taken; the others are counted by
+    their reason, to be reviewed anew. What was decided in the new run already stays.
+    """
+    old, new = args.from_run_id, args.extraction_run_id
+    runs = run_events(lake, [old, new])
+    report = {i: _one(runs.where(F.col("extraction_run_id") == i), "extraction run", i)["report_id"] for i in (old, new)}
+    if report[old] != report[new]:
+        raise ValueError(f"{old} and {new} are runs of different reports")
+
+    def cells(run: str):
+        last = rawtables.last_cells(raw(lake, "raw_cells", runs, [run]), ["report_id", "page_number", "raw_table_id"])
+        return last.join(raw(lake, "raw_tables", runs, [run]).select("raw_table_id", "table_index_on_page"), "raw_table_id")
+
+    batches = lake.read("correction_batches", [old]).where("status = 'accepted'")
+    ids = [r["correction_batch_id"] for r in batches.select("correction_batch_id").toLocalIterator()]
+    log = lake.read("corrections", ids)
+    found = lake.read("extracted_facts", [old]).join(log.select("fact_id"), "fact_id", "left_semi")
+    fresh = lake.read("extracted_facts", [new])
+    outcomes = realign.outcomes(found, fresh, realign.aligned_cells(cells(old), cells(new))).cache()
+    batch_id = f"carried-{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    args.extraction_run_id = new
+    rows = realign.carried(log, outcomes, fresh, _accepted(lake, args), batch_id, now()).cache()
+    n = {r["outcome"]: r["count"] for r in outcomes.groupBy("outcome").count().collect()}
+    said = f"facts={sum(n.values())} " + " ".join(f"{k}={n[k]}" for k in sorted(n)) + f" corrections={rows.count()}"
+    if rows.isEmpty():
+        return said.strip()
+    lake.append("corrections", rows)
+    last = batches.agg(F.max_by(F.struct("review_export_id", "imported_workbook_path"), "imported_at").alias("b")).select("b.*")
+    lake.append("correction_batches", last.withColumns({"correction_batch_id": F.lit(batch_id), "report_id": F.lit(report[new]), "extraction_run_id": F.lit(new), "imported_at": now(), "status": F.lit("accepted"), "operator": F.lit(f"carried from {old}")}))
+    _judge_corrected(lake, [new], rulepack.load_all(args.rules_root))
+    return said
+
+
 def _judge_corrected(lake: Lake, ids: list[str], packs) -> None:
     """Judge the facts of some runs with their accepted corrections laid over."""
     accepted = lake.read("correction_batches", ids).where("status = 'accepted'").select("correction_batch_id")
@@ -355,7 +391,7 @@ def _judge_corrected(lake: Lake, ids: list[str], packs) -> None:
     _judge(lake, runs, reports, packs, corrected.where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False))))
 
 
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews}
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews, "carry-corrections": carry_corrections}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -380,6 +416,9 @@ def parser() -> argparse.ArgumentParser:
                 p.add_argument("--run-id")
         elif name == "import-corrections":
             p.add_argument("workbook")
+        elif name == "carry-corrections":
+            p.add_argument("from_run_id")
+            p.add_argument("extraction_run_id")
         elif name == "import-reviews":
             p.add_argument("folder")
         elif name == "export-reviews":

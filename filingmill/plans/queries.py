@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from filingmill.functions import exprs, periods
-from filingmill.operators import agreement, classify, corrections, facts, keywords, profile, publish, rawtables, register, review, validate, views
+from filingmill.operators import agreement, classify, corrections, facts, keywords, profile, publish, rawtables, realign, register, review, validate, views
 from filingmill.sources import rulepack
 from filingmill.sources.rulepack import Role, RulePack
 from filingmill.sources.schemas import active_conflicts, conformed, orphans
@@ -839,3 +839,62 @@ def q_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("fact_id"), F.col("c_acctbal").cast("decimal(18,2)").cast(D).alias("normalized_value"), F.lit("CNY").alias("raw_unit"), F.lit("revenue").alias("normalized_concept_id"), none.alias("period_basis"), none.alias("statement_scope"), none.alias("table_role"))
     log = corrections.history(_sheet(spark, sf_dir).drop("created_at"), held, F.lit("b"), F.lit(EPOCH).cast("timestamp"))
     return log.select("fact_id", "field_name", "new_value", "old_value", "correction_reason")
+
+
+# Two runs of a report -------------------------------------------------------------------------------
+
+#: An order's lines are a table's rows. The second run lacks every third line, has titles before the table of every second order and a column
+#: before that of every fifth, and reads returned lines differently; it reads the units of every eleventh order differently.
+_RUNS = """
+ line as (select l_orderkey as k, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 as r, l_returnflag, l_linestatus, cast(cast(l_quantity as decimal(18,2)) as varchar) as v from lineitem),
+ kept as (select *, row_number() over (partition by k order by r) - 1 + case when k % 2 = 0 then 2 else 0 end as s, case when k % 5 = 0 then 1 else 0 end as shift from line where r % 3 <> 2)"""
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    by = Window.partitionBy("k").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    rows = table(spark, sf_dir, "lineitem").withColumn("k", F.col("l_orderkey"))
+    return rows.select("k", (F.row_number().over(by) - 1).alias("r"), "l_returnflag", "l_linestatus", F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("v"))
+
+
+def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The cells of both runs, the label and the value of each line."""
+    lines, k = _lines(spark, sf_dir), F.col("k")
+
+    def cells(rows: DataFrame, run: str, row: str, shift, value) -> DataFrame:
+        two = F.array(F.struct(F.lit(0).alias("c"), F.concat(F.lit("Line  "), F.col("r").cast("string")).alias("t")), F.struct(F.lit(1).alias("c"), value.alias("t")))
+        out = rows.select("k", F.col(row).alias("row_index"), shift.alias("shift"), "r", F.explode(two).alias("x"))
+        ids = F.concat_ws("/", F.lit(run), "k", "r", "x.c")
+        return out.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "row_index", (F.col("x.c") + F.col("shift")).alias("column_index"), F.col("x.t").alias("raw_text"), ids.alias("raw_cell_id"))
+
+    by = Window.partitionBy("k").orderBy("r")
+    kept = lines.where("r % 3 <> 2").withColumn("s", F.row_number().over(by) - 1 + F.when(k % 2 == 0, 2).otherwise(0))
+    shift = F.when(k % 5 == 0, 1).otherwise(0)
+    new = cells(kept, "new", "s", shift, F.when(F.col("l_returnflag") == "R", F.concat("v", F.lit("*"))).otherwise(F.col("v")))
+    titles = lines.where((k % 2 == 0) & (F.col("r") == 0)).select("k", F.explode(F.array(F.lit(0), F.lit(1))).alias("row_index"))
+    titles = titles.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "row_index", shift.alias("column_index"), F.lit("Schedule").alias("raw_text"), F.concat_ws("/", F.lit("title"), "k", "row_index").alias("raw_cell_id"))
+    return cells(lines, "old", "r", F.lit(0), F.col("v")), new.unionByName(titles)
+
+
+@query(f"""with {_RUNS},
+ old as (select k, r, c, case when c = 0 then 'Line ' || r else v end as t, case when r % 3 = 2 then 'gone' end as lost from line, (values (0), (1)) x(c)),
+ new as (select k, r, s, c, c + shift as d, case when c = 0 then 'Line ' || r when l_returnflag = 'R' then v || '*' else v end as t from kept, (values (0), (1)) x(c)),
+ cell as (
+  select o.k as report_id, case when n.k is null then 'gone' when n.t <> o.t then 'changed' when n.s = o.r and n.d = o.c then 'kept' else 'moved' end as kind, o.r as old_row, o.c as old_column, o.t as old_text, n.s as new_row, n.d as new_column, n.t as new_text
+  from old o left join new n on n.k = o.k and n.r = o.r and n.c = o.c)
+ select * from cell
+ union all select k, 'added', null, null, null, x.r, case when k % 5 = 0 then 1 else 0 end, 'Schedule' from (select distinct k from line where k % 2 = 0), (values (0), (1)) x(r)""")
+def q_aligned_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = realign.aligned_cells(*_two_runs(spark, sf_dir))
+    at = {"row": "row_index", "column": "column_index", "text": "symbol"}
+    return found.select("report_id", "kind", *[F.col(f"{side}.{c}").alias(f"{side}_{name}") for side in ("old", "new") for name, c in at.items()])
+
+
+@query(f"""with {_RUNS}
+ select k || '/' || r as fact_id, case when r % 3 = 2 then 'gone' when l_returnflag = 'R' then 'changed' when k % 11 = 0 then 'unit' else 'carried' end as outcome,
+  case when r % 3 <> 2 and l_returnflag <> 'R' and k % 11 <> 0 then 'new/' || k || '/' || r end as new_fact_id from line where l_linestatus = 'F'""")
+def q_carried_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines, name = _lines(spark, sf_dir), F.concat_ws("/", "k", "r")
+    fact = lambda run, ident, unit: lines.select("k", "r", "l_linestatus", ident.alias("fact_id"), F.concat(F.lit(f"{run}/"), name, F.lit("/1")).alias("raw_cell_id"), F.lit("quantity").alias("normalized_concept_id"), unit.alias("raw_unit"))
+    old = fact("old", name, F.lit("pieces")).where("l_linestatus = 'F'")
+    new = fact("new", F.concat(F.lit("new/"), name), F.when(F.col("k") % 11 == 0, "dozens").otherwise("pieces")).where("r % 3 <> 2")
+    return realign.outcomes(old, new, realign.aligned_cells(*_two_runs(spark, sf_dir)))
