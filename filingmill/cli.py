@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import argparse
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, SparkSession, Window
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from filingmill.operators import agreement, classify, corrections, facts, profil
 from filingmill.sources import books, documents, rulepack, workbook
 from filingmill.sources.schemas import ALLOWED, SCHEMAS
 from filingmill.sources.store import Lake
+from filingmill.streaming import lifecycle
 
 VERSION = "0.1.0"
 
@@ -40,9 +41,7 @@ def _files(lake: Lake, path: str):
 
 def run_events(lake: Lake, of=None):
     """Extraction runs, all or some, by their latest event."""
-    order = ["event_at", "event_number"]
-    runs = lake.read("extraction_runs", of).withColumn("event_at", F.coalesce("run_finished_at", "run_started_at")).withColumn("event_number", (F.col("status") != "running").cast("int"))
-    return register.latest_status(runs, "extraction_run_id", order).select("extraction_run_id", "last.*").drop("event_at", "event_number")
+    return register.run_events(lake.read("extraction_runs", of))
 
 
 def init_db(lake: Lake, args) -> str:
@@ -391,7 +390,15 @@ def _judge_corrected(lake: Lake, ids: list[str], packs) -> None:
     _judge(lake, runs, reports, packs, corrected.where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False))))
 
 
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews, "carry-corrections": carry_corrections}
+def watch_runs(lake: Lake, args) -> str:
+    """Fail the runs that have no end although later runs show that their time is over; goes on where it stopped."""
+    watched = lifecycle.watch(lake, args.checkpoint or f"{lake.root}/checkpoints/watch-runs", timedelta(minutes=args.limit_minutes), timedelta(minutes=args.delay_minutes))
+    watched.awaitTermination()
+    n = {r["status"]: r["count"] for r in run_events(lake).groupBy("status").count().collect()}
+    return f"running={n.get('running', 0)} succeeded={n.get('succeeded', 0)} failed={n.get('failed', 0)}"
+
+
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews, "carry-corrections": carry_corrections, "watch-runs": watch_runs}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -419,6 +426,10 @@ def parser() -> argparse.ArgumentParser:
         elif name == "carry-corrections":
             p.add_argument("from_run_id")
             p.add_argument("extraction_run_id")
+        elif name == "watch-runs":
+            p.add_argument("--limit-minutes", type=float, default=360)
+            p.add_argument("--delay-minutes", type=float, default=10)
+            p.add_argument("--checkpoint")
         elif name == "import-reviews":
             p.add_argument("folder")
         elif name == "export-reviews":

@@ -36,3 +36,9 @@ def latest_status(events: DataFrame, key: str, order: list[str]) -> DataFrame:
 def latest_runs(runs: DataFrame) -> DataFrame:
     """The latest extraction run of every report."""
     return runs.groupBy("report_id").agg(F.max_by("extraction_run_id", F.struct("run_started_at", "extraction_run_id")).alias("extraction_run_id"))
+
+
+def run_events(runs: DataFrame) -> DataFrame:
+    """Extraction runs by their latest event; at the same time an end comes after the beginning."""
+    at = runs.withColumns({"event_at": F.coalesce("run_finished_at", "run_started_at"), "event_number": (F.col("status") != "running").cast("int")})
+    return latest_status(at, "extraction_run_id", ["event_at", "event_number"]).select("extraction_run_id", "last.*").drop("event_at", "event_number")
