@@ -390,6 +390,15 @@ def _judge_corrected(lake: Lake, ids: list[str], packs) -> None:
     _judge(lake, runs, reports, packs, corrected.where(~F.coalesce(F.col("correction_action") == "ignore", F.lit(False))))
 
 
+def suggest_aliases(lake: Lake, args) -> str:
+    """The labels of statements that no rule maps, most frequent first, each with the aliases near it, as lines of JSON."""
+    ids = args.run or None
+    runs, packs = run_events(lake, ids), rulepack.load_all(args.rules_root)
+    rows = facts.unmatched_rows(lake.read("classified_tables", ids), raw(lake, "raw_cells", runs, ids), runs, lake.read("reports"))
+    found = facts.suggestions(rows, rulepack.alias_table(lake.spark, packs), args.edits)
+    return "\n".join(r["j"] for r in found.orderBy(F.desc("n_rows"), "market", "label").select(F.to_json(F.struct("market", "label", "n_rows", "candidates")).alias("j")).toLocalIterator())
+
+
 def watch_runs(lake: Lake, args) -> str:
     """Fail the runs that have no end although later runs show that their time is over; goes on where it stopped."""
     watched = lifecycle.watch(lake, args.checkpoint or f"{lake.root}/checkpoints/watch-runs", timedelta(minutes=args.limit_minutes), timedelta(minutes=args.delay_minutes))
@@ -398,7 +407,7 @@ def watch_runs(lake: Lake, args) -> str:
     return f"running={n.get('running', 0)} succeeded={n.get('succeeded', 0)} failed={n.get('failed', 0)}"
 
 
-VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews, "carry-corrections": carry_corrections, "watch-runs": watch_runs}
+VERBS = {"init-db": init_db, "import-pdf": import_pdf, "profile-pdf": profile_pdf, "extract-tables": extract_tables, "classify-tables": classify_tables, "extract-facts": extract_facts, "validate-run": validate_run, "export-review": export_review, "import-corrections": import_corrections, "publish-run": publish_run, "show-view": show_view, "compact": compact, "validate-changed": validate_changed, "export-reviews": export_reviews, "import-reviews": import_reviews, "carry-corrections": carry_corrections, "watch-runs": watch_runs, "suggest-aliases": suggest_aliases}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -426,6 +435,9 @@ def parser() -> argparse.ArgumentParser:
         elif name == "carry-corrections":
             p.add_argument("from_run_id")
             p.add_argument("extraction_run_id")
+        elif name == "suggest-aliases":
+            p.add_argument("--run", action="append", help="a run to look at; all by default")
+            p.add_argument("--edits", type=int, default=2)
         elif name == "watch-runs":
             p.add_argument("--limit-minutes", type=float, default=360)
             p.add_argument("--delay-minutes", type=float, default=10)

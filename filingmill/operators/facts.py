@@ -16,6 +16,8 @@ BALANCE_SHEET = "statement.balance_sheet"
 STATEMENTS = (BALANCE_SHEET, "statement.income_statement", "statement.cash_flow")
 UNIT_CONFIDENCE = 0.99
 AUTO_CONFIDENCE = 0.95
+#: Pieces of aliases, at most some 20 MB, that may be sent to every task.
+SENT_PIECES = 200_000
 
 
 def units(context: Column, packs: dict[str, RulePack], market: str = "market", longest: bool = False) -> Column:
@@ -58,11 +60,11 @@ def nearest_unit(levels: Sequence[str]) -> tuple[Column, Column]:
 def concepts(rows: DataFrame, aliases: DataFrame, raw_label: str = "raw_label", market: str = "market") -> DataFrame:
     """Rows whose normalised label is an alias of their market, with the concept; others are dropped.
 
-    The alias table is as large as the rule files, which the driver has read whole.
+    The join carries no hint: the planner sends the alias table to every task only if its size is below its own threshold.
     """
     keyed = rows.withColumn("__label", label(raw_label))
     right = aliases.withColumnRenamed("market", "__market")
-    out = keyed.join(F.broadcast(right), (F.col("__label") == F.col("alias")) & (F.col(market) == F.col("__market")))
+    out = keyed.join(right, (F.col("__label") == F.col("alias")) & (F.col(market) == F.col("__market")))
     return out.drop("__label", "__market", "alias")
 
 
@@ -71,7 +73,8 @@ def candidates(rows: DataFrame, aliases: DataFrame, raw_label: str, most: int =
 
     The label is cut into ``most + 1`` pieces; an alias within that many edits holds one of them
     unchanged, so candidates come from an equality join on pieces before the distance is checked.
-    A label of fewer characters has the empty piece, which every alias holds.
+    A label of fewer characters has the empty piece, which every alias holds. The pieces of aliases are
+    sent to every task if there are at most ``SENT_PIECES`` of them, else they are shuffled.
     """
     n = most + 1
 
@@ -86,7 +89,9 @@ def candidates(rows: DataFrame, aliases: DataFrame, raw_label: str, most: int =
     sized = grams.select("*", F.explode(F.sequence(F.lit(1), F.length("alias") - F.col("at") + 1)).alias("size"))
     sized = sized.select("market", "alias", "normalized_concept_id", F.substring(F.col("alias"), F.col("at"), F.col("size")).alias("piece"))
     sized = sized.unionByName(aliases.select("market", "alias", "normalized_concept_id", F.lit("").alias("piece"))).distinct()
-    met = own.join(F.broadcast(sized), (own["__m"] == sized["market"]) & (own["piece"] == sized["piece"])).select("__m", "__label", "alias", "normalized_concept_id").distinct()
+    n_pieces = aliases.agg(F.sum(F.length("alias") * (F.length("alias") + 1) / 2 + 1).alias("n")).first()["n"] or 0
+    sized = F.broadcast(sized) if n_pieces <= SENT_PIECES else sized.hint("shuffle_hash")
+    met = own.join(sized, (own["__m"] == sized["market"]) & (own["piece"] == sized["piece"])).select("__m", "__label", "alias", "normalized_concept_id").distinct()
     met = met.withColumn("edits", F.levenshtein("__label", "alias")).where((F.col("edits") > 0) & (F.col("edits") <= most))
     return met.select(F.col("__m").alias("market"), F.col("__label").alias("label"), "alias", "normalized_concept_id", "edits", F.lit(True).alias("requires_review"))
 
@@ -129,6 +134,28 @@ def label_values(cells: DataFrame, key: list[str], value_columns: str = "first")
     return rows.select(*key, "row_index", "raw_label", own("raw_text").alias("raw_value"), own("raw_cell_id").alias("raw_cell_id"), own("bbox").alias("cell_bbox"), F.greatest("column_index", F.lit(1)).alias("column_index"), F.when(is_value, F.col("__head")).otherwise(F.col("__first")).alias("column_label"))
 
 
+def suggestions(rows: DataFrame, aliases: DataFrame, most: int = 2, raw_label: str = "raw_label", market: str = "market") -> DataFrame:
+    """(market, label, n_rows, candidates): labels that no alias of their market equals, each with the aliases within ``most`` edits.
+
+    ``candidates`` are (edits, alias, normalized_concept_id) in order, empty if no alias is near. Rows without a label or a market
+    are left out. Nothing is mapped by it: a reviewer adds an alias to the rule pack.
+    """
+    counted = rows.select(F.col(market).alias("market"), label(raw_label).alias("label")).where("market is not null and length(label) > 0").groupBy("market", "label").agg(F.count("*").alias("n_rows"))
+    known = aliases.select("market", F.col("alias").alias("label"))
+    open_labels = counted.join(known, ["market", "label"], "left_anti")
+    near = candidates(open_labels, aliases, "label", most, "market")
+    near = near.groupBy("market", "label").agg(F.array_sort(F.collect_list(F.struct("edits", "alias", "normalized_concept_id"))).alias("candidates"))
+    none = F.array().cast("array<struct<edits:int,alias:string,normalized_concept_id:string>>")
+    return open_labels.join(near, ["market", "label"], "left").withColumn("candidates", F.coalesce("candidates", none))
+
+
+def unmatched_rows(classified: DataFrame, raw_cells: DataFrame, runs: DataFrame, reports: DataFrame, roles: Sequence[str] = STATEMENTS) -> DataFrame:
+    """(extraction_run_id, market, raw_label): the labelled rows of the classified statements of some runs, for ``suggestions``."""
+    tables = classified.where(F.col("table_role").isin(*roles)).select("raw_table_id", "extraction_run_id")
+    tables = tables.join(runs.select("extraction_run_id", "report_id").join(reports.select("report_id", "market"), "report_id"), "extraction_run_id")
+    return label_values(raw_cells.join(tables.select("raw_table_id"), "raw_table_id", "left_semi"), ["raw_table_id"]).join(tables, "raw_table_id").select("extraction_run_id", "market", "raw_label")
+
+
 def period_basis(header: Column, packs: dict[str, RulePack], market: str = "market") -> Column:
     """The first period basis with a pattern in a column header; ``unknown`` without one."""
     text, out = F.lower(F.coalesce(header, F.lit(""))), F.lit("unknown")

@@ -324,6 +324,19 @@ def q_fuzzy_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts.candidates(rows, rulepack.alias_table(spark, own), "raw_label").select("label", "alias", "normalized_concept_id", "edits")
 
 
+@query(
+    """with l as (select trim(lower(p_name)) as label, count(*) as n_rows from part group by 1), a(alias, normalized_concept_id) as (values ('smal ring', 'revenue'), ('red widgets', 'total_assets'), ('blue nut', 'total_equity'), ('red gizmo', 'revenue')),
+     o as (select * from l where label not in (select alias from a))
+    select label, n_rows, coalesce(string_agg(levenshtein(label, alias) || ' ' || alias || ' ' || normalized_concept_id, '; ' order by levenshtein(label, alias), alias), '') as candidates
+    from o left join a on levenshtein(label, alias) between 1 and 2 group by 1, 2"""
+)
+def q_alias_suggestions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = {"parts": pack("parts", aliases=[(0, "revenue", "smal ring", 0.9), (1, "total_assets", "red widgets", 0.9), (2, "total_equity", "blue nut", 0.9), (3, "revenue", "red gizmo", 0.9)])}
+    rows = table(spark, sf_dir, "part").select(F.col("p_name").alias("raw_label"), F.lit("parts").alias("market"))
+    said = F.transform("candidates", lambda c: F.concat_ws(" ", c["edits"].cast("string"), c["alias"], c["normalized_concept_id"]))
+    return facts.suggestions(rows, rulepack.alias_table(spark, own)).select("label", "n_rows", F.array_join(said, "; ").alias("candidates"))
+
+
 CURRENCIES = (("EUR", ("europe",)), ("USD", ("america", "us$")), ("CNY", ("asia",)))
 SCALES = (("1", ("dollars",)), ("1000", ("in thousands", "us$ thousands")), ("1000000", ("million dollars",)))
 UNIT_PACKS = {"world": pack("world", currencies=CURRENCIES, scales=SCALES)}
@@ -743,7 +756,9 @@ def _filings(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     second = own.where((k % 3 == 0) & at[0].isin(0, 3)).withColumn("raw_text", F.when(at[0] == 0, F.col("raw_text")).when(at[1] == 0, "Total stockholders' equity").otherwise((F.col("equity") + 900).cast("string")))
     second = second.withColumns({"row_index": F.when(at[0] == 3, 1).otherwise(0), "table_index_on_page": F.lit(1)})
     ids = {"report_id": k.cast("string"), "extraction_run_id": k.cast("string"), "page_number": F.lit(1), "raw_table_id": F.concat_ws("/", k.cast("string"), F.col("table_index_on_page").cast("string"))}
-    cells = own.unionByName(again).unionByName(second).withColumns(ids)
+    written = f"{scratch_root(spark)}/filings-{uuid.uuid4().hex}"  # as in the lake, where cells are stored rows and not derived for each reader
+    own.unionByName(again).unionByName(second).withColumns(ids).write.parquet(written)
+    cells = spark.read.parquet(written)
     tables = cells.groupBy("k", "context", "raw_table_id", "extraction_run_id", "report_id", "page_number", "table_index_on_page").agg(F.lit("fake").alias("extractor_name")).withColumnRenamed("context", "raw_table_text")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("report_id"))
     reports = orders.withColumns({"market": F.lit("us"), "company_id": F.lit("c"), "fiscal_year": F.lit(2026), "report_type": F.lit("annual"), "source_type": F.lit("pdf")})

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from pathlib import Path
 
+import pyarrow as pa
 import yaml
 from pyspark.sql import DataFrame, SparkSession
 
@@ -111,7 +112,8 @@ def alias_table(spark: SparkSession, packs: dict[str, RulePack]) -> DataFrame:
     """(market, alias, normalized_concept_id, mapping_confidence, mapping_rule_id, concepts), one row per alias.
 
     Aliases are normalised as labels are; of equal ones the first in file order wins, and ``concepts``
-    counts the distinct concepts that claim the alias.
+    counts the distinct concepts that claim the alias. The planner knows the table's size, so it alone decides whether a join sends
+    it to every task.
     """
     rows: dict[tuple[str, str], list] = {}
     claims: dict[tuple[str, str], set[str]] = {}
@@ -121,7 +123,9 @@ def alias_table(spark: SparkSession, packs: dict[str, RulePack]) -> DataFrame:
             claims.setdefault(key, set()).add(concept)
             rows.setdefault(key, [concept, confidence, f"concept_aliases.{concept}"])
     out = [(*k, *v, len(claims[k])) for k, v in rows.items()]
-    return spark.createDataFrame(out, "market string, alias string, normalized_concept_id string, mapping_confidence double, mapping_rule_id string, concepts int")
+    schema = pa.schema([("market", pa.string()), ("alias", pa.string()), ("normalized_concept_id", pa.string()), ("mapping_confidence", pa.float64()), ("mapping_rule_id", pa.string()), ("concepts", pa.int32())])
+    columns = list(zip(*out)) or [()] * len(schema)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema))
 
 
 def version_rows(spark: SparkSession, packs: dict[str, RulePack], root: str | Path, created_at) -> DataFrame:

@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from test_lake import reviewed  # noqa: F401
 
 from filingmill.operators import realign
 
@@ -95,3 +96,24 @@ def test_decisions_go_to_the_same_cell_only(spark):
     assert sorted((r["fact_id"], r["field_name"], r["old_value"], r["new_value"], r["correction_reason"]) for r in rows.collect()) == [("sales2", "correction_action", None, "remap", "then"), ("sales2", "period_basis", "year", "quarter", "then")]
     own = spark.createDataFrame([("9", "sales2", "period_basis", "half", "newer", at)], log_schema)
     assert [r["field_name"] for r in realign.carried(log, found, news, own, "b", F.lit(at)).collect()] == ["correction_action"]
+
+
+def test_a_new_run_keeps_the_corrections_of_the_old(spark, reviewed, tmp_path):  # noqa: F811
+    lake, run = reviewed
+    report_id = lake.read("reports").first()["report_id"]
+    run("extract-tables", report_id, "--extractor", "fake", "--run-id", "run2")
+    for verb in ("classify-tables", "extract-facts", "validate-run"):
+        run(verb, "run2")
+    fact = {(r["extraction_run_id"], r["normalized_concept_id"]): r["fact_id"] for r in lake.read("extracted_facts").collect()}
+    at = datetime(2026, 1, 1)
+    log = [(f"c{i}", "b1", fact["run1", "total_equity"], *x, "a misprint", at) for i, x in enumerate([("normalized_value", "60000000", "50000000"), ("correction_action", None, "correct")])]
+    lake.append("corrections", spark.createDataFrame(log, "correction_id string, correction_batch_id string, fact_id string, field_name string, old_value string, new_value string, correction_reason string, created_at timestamp"))
+    lake.append("correction_batches", spark.createDataFrame([("b1", "e1", report_id, "run1", "book.xlsx", at, "accepted")], "correction_batch_id string, review_export_id string, report_id string, extraction_run_id string, imported_workbook_path string, imported_at timestamp, status string"))
+    assert run("carry-corrections", "run1", "run2") == "facts=1 carried=1 corrections=2"
+    rows = lake.read("corrections").where("correction_batch_id <> 'b1' and field_name = 'normalized_value'").collect()
+    assert [(r["fact_id"], r["old_value"], r["new_value"], r["correction_reason"]) for r in rows] == [(fact["run2", "total_equity"], "60000000.000000", "50000000", "a misprint")]
+    assert {r["extraction_run_id"]: r["status"] for r in lake.read("validation_results").collect()} == {"run1": "verified", "run2": "failed"}
+    assert run("carry-corrections", "run1", "run2") == "facts=1 carried=1 corrections=0"
+    with pytest.raises(ValueError, match="Unknown extraction run"):
+        run("carry-corrections", "run1", "run9")
+    assert '"label":"total' not in run("suggest-aliases", "--run", "run1")
