@@ -48,7 +48,7 @@ def classified(tables: DataFrame, packs: dict[str, RulePack], text: Column | Non
     """Add table_role, statement_scope, classification_confidence, classification_rule_id and requires_review.
 
     Every row stays; a table of an unknown market, or without a match, has the role ``unknown``. With
-    ``indexed``, columns that name a table and are never null, roles come from an index of the keywords, as packs of thousands need; the market's column
+    ``indexed``, columns that name a table, roles come from an index of the keywords, as packs of thousands need; the market's column
     is then ``market``. The roles are the same.
     """
     rows = tables.withColumn("__text", F.lower(F.coalesce(evidence() if text is None else text, F.lit(""))))
@@ -56,7 +56,7 @@ def classified(tables: DataFrame, packs: dict[str, RulePack], text: Column | Non
     for m, pack in packs.items():
         within = F.when(F.col(market) == m, scope(F.col("__text"), pack.scopes)).otherwise(within)
     if indexed:
-        rows = keywords.with_roles(rows, packs, indexed, "__text", "table_titles", (PREFER, INCLUDE))
+        rows = keywords.with_roles(rows, packs, "__text", "table_titles", (PREFER, INCLUDE))
     else:
         role = role_match(F.col("__text"), ())
         for m, pack in packs.items():

@@ -41,3 +41,18 @@ def test_five_thousand_keywords(spark):
     df = spark.createDataFrame([(i, "m", t) for i, t in enumerate(texts)], "id int, market string, text string")
     got = keywords.keyword_hits(df, spark.createDataFrame([("m", k) for k in held] + [("m", ""), ("other", "abc"), ("m", None)], "market string, keyword string"), ["id"])
     assert sorted((r["id"], r["keyword"]) for r in got.collect()) == sorted((i, k) for i, t in enumerate(texts) for k in held if t and k in t)
+
+
+def test_hits_are_found_where_the_texts_lie(spark, monkeypatch):
+    """Neither grams nor matches are shuffled; blocks of keywords, bytes of several characters and windows lose none."""
+    held = ["consolidated balance", "consolidated balances", "lidated ba", "\u8d44\u4ea7\u8d1f\u503a\u8868", "\u8d44\u4ea7", "\u8868", "a\nb", "e", "ee", "balance sheet x"]
+    texts = ["the consolidated balances", "\u5408\u5e76\u8d44\u4ea7\u8d1f\u503a\u8868", "a\nb", "", None, "eee" * 40 + "balance sheet x"]
+    df = spark.createDataFrame([(i, ["m", "n", None][k], t) for i, t in enumerate(texts) for k in range(3)], "id int, market string, text string")
+    words = spark.createDataFrame([(m, k) for k in held for m in ("m", "n") if (m, k) != ("n", "e")] * 2, "market string, keyword string")
+    expected = sorted((i, m, k) for i, t in enumerate(texts) for m in ("m", "n") for k in held if t and k in t and (m, k) != ("n", "e"))
+    for block, window in ((1 << 22, 1 << 17), (40, 9)):
+        monkeypatch.setattr(keywords, "BLOCK_BYTES", block, raising=False)
+        monkeypatch.setattr(keywords, "WINDOW", window)
+        got = keywords.keyword_hits(df, words, ["id"])
+        assert sorted((r["id"], r["market"], r["keyword"]) for r in got.collect()) == expected
+        assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
