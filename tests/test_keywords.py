@@ -56,3 +56,9 @@ def test_hits_are_found_where_the_texts_lie(spark, monkeypatch):
         got = keywords.keyword_hits(df, words, ["id"])
         assert sorted((r["id"], r["market"], r["keyword"]) for r in got.collect()) == expected
         assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_indexed_classes_shuffle_no_text(spark):
+    df = spark.createDataFrame([(1, "m", "the end.")], "id int, market string, t string")
+    got = classify.classified(df, {"m": pack("m", (Role("r", include=("end",)),))}, F.col("t"), indexed=["id"])
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString() and got.first()["table_role"] == "r"
