@@ -2,27 +2,27 @@
 
 A report's file is the same in both runs, hence also its pages. Within a page the rows of the two runs are aligned
 by the longest common subsequence of their labels, in order of table and row, and the cells of aligned rows by
-that of their texts. Nothing larger than a page meets in one row.
+that of their texts. Nothing larger than a page meets in one place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import zip_longest
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
-from filingmill.functions.exprs import label, normalized_text, stable_id
+from filingmill.functions.exprs import normalized_text, stable_id
 from filingmill.operators.corrections import FIELDS
 
 PAGE = ("report_id", "page_number")
 #: Bits that a traceback may hold; longer pairs are halved first.
 HELD_BITS = 1 << 28
-_PAIRS = T.ArrayType(T.StructType([T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType())]))
 
 
 def _vectors(a: Sequence[str], b: Sequence[str]) -> Iterator[int]:
@@ -93,27 +93,64 @@ def merged(a: Sequence[str], b: Sequence[str], gaps: bool) -> list[tuple[int | N
     return out[:-1]
 
 
-@pandas_udf(_PAIRS)
-def _merged(old: pd.Series, new: pd.Series, gaps: pd.Series) -> pd.Series:
-    held = lambda x: [] if x is None else list(x)
-    return pd.Series([[{"i": i, "j": j} for i, j in merged(held(a), held(b), g)] for a, b, g in zip(old, new, gaps)])
-
-
-def paired(old: DataFrame, new: DataFrame, key: Sequence[str], place: Sequence[str], symbol: str, gaps: bool = False) -> DataFrame:
-    """(key, at, old, new): two sequences of a key aligned by their symbols; ``old`` and ``new`` hold place and symbol, or null.
-
-    The order is that of ``place``. Rows with a null in the key meet nothing, those without a symbol are left out. A key's
-    sequences meet in one row, so keys must be as small as a page or a line.
+def _starts(columns: Sequence[pa.Array]) -> np.ndarray:
+    """The rows that differ from the row before them in any column; nulls are alike."""
+    n = len(columns[0])
+    differs = np.ones(n, bool)
+    differs[1:] = False
+    for c in columns:
+        a, b = c.slice(1), c.slice(0, max(n - 1, 0))
+        other = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+        differs[1:] |= other.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(differs)
+
+
+def _by_pages(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """Batches of whole pages from rows in the order of their pages, whose key is the first ``width`` columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        starts = _starts(batch.columns[:width]) if batch.num_rows else []
+        if len(starts) and held:
+            joint = [pa.concat_arrays([held[-1].column(c).slice(held[-1].num_rows - 1), batch.column(c).slice(0, 1)]) for c in range(width)]
+            starts = starts if len(_starts(joint)) == 2 else starts[1:]
+        if len(starts):
+            done = [*held, batch.slice(0, starts[-1])]
+            yield pa.concat_batches([x for x in done if x.num_rows] or done[:1])
+            held = []
+            batch = batch.slice(starts[-1])
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
+def _aligned(pages: pa.RecordBatch, width: int, spots: int) -> tuple[list[int], list[int]]:
+    """The rows of both runs' cells beside each other, -1 where there is none; columns: key, new, place of the row, label, symbol, others.
+
+    Both runs of a page are cells in order of run, row and column.
     """
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.where(F.col(symbol).isNotNull()).groupBy(*key).agg(F.array_sort(F.collect_list(F.struct(*place, F.col(symbol).alias("symbol")))).alias(name))
-
-    both = side(old, "old").join(side(new, "new"), list(key), "full")
-    symbols = [F.transform(s, lambda x: x["symbol"]) for s in ("old", "new")]
-    both = both.withColumn("pairs", _merged(*symbols, F.lit(gaps)))
-    out = F.transform("pairs", lambda p: F.struct(F.get("old", p["i"]).alias("old"), F.get("new", p["j"]).alias("new")))
-    return both.select(*key, F.posexplode(out).alias("at", "p")).select(*key, "at", "p.*")
+    fresh = pages.column(width).to_numpy(zero_copy_only=False).astype(bool)
+    symbols, lines = pages.column(width + spots + 2).to_pylist(), _starts(pages.columns[: width + 1 + spots])
+    labels = pages.column(width + spots + 1).take(pa.array(lines)).to_pylist()
+    firsts = _starts(pages.columns[:width])
+    unknown = np.any([pages.column(c).is_null().to_numpy(zero_copy_only=False)[firsts] for c in range(width)], axis=0)
+    bounds = [*np.searchsorted(lines, firsts).tolist(), len(lines)]
+    olds = np.concatenate(([0], np.cumsum(~fresh[lines]))).tolist()
+    ends = [*lines.tolist(), pages.num_rows]
+    left: list[int] = []
+    right: list[int] = []
+    for a, b, apart in zip(bounds, bounds[1:], unknown.tolist()):
+        m = a + olds[b] - olds[a]
+        rows = [*((i, None) for i in range(m - a)), *((None, j) for j in range(b - m))] if apart else merged(labels[a:m], labels[m:b], False)
+        for i, j in rows:
+            x, y = (range(0) if k is None else range(ends[k], ends[k + 1]) for k in (None if i is None else a + i, None if j is None else m + j))
+            if len(x) == len(y) and symbols[x.start : x.stop] == symbols[y.start : y.stop]:
+                left += x
+                right += y
+            else:
+                for u, v in merged(symbols[x.start : x.stop], symbols[y.start : y.stop], True):
+                    left.append(-1 if u is None else x.start + u)
+                    right.append(-1 if v is None else y.start + v)
+    return left, right
 
 
 def aligned_cells(old: DataFrame, new: DataFrame, key: Sequence[str] = PAGE) -> DataFrame:
@@ -122,23 +159,41 @@ def aligned_cells(old: DataFrame, new: DataFrame, key: Sequence[str] = PAGE) ->
     Both have ``key``, table_index_on_page, row_index, column_index, raw_text and raw_cell_id, one cell for each place
     (``rawtables.last_cells``). A row's label is its first text. Kinds: ``kept`` (same text at the same place), ``moved`` (same
     text elsewhere), ``changed`` (another text between the same neighbours), ``gone`` and ``added``. Cells without a
-    text are left out.
+    text are left out; those with a null in the key meet nothing. Cells are dealt once, by page, and sorted; a task
+    holds a page of both runs at a time, so pages must fit in its memory.
     """
     spot = ["table_index_on_page", "row_index"]
-    old, new = (df.withColumn("__text", normalized_text("raw_text")).where("__text is not null") for df in (old, new))
-    rows = lambda df: df.groupBy(*key, *spot).agg(F.min_by(label("__text"), "column_index").alias("label"))
-    lines = paired(rows(old), rows(new), key, spot, "label")
-
-    def lined(df: DataFrame, side: str) -> DataFrame:
-        own = lines.where(F.col(side).isNotNull()).select(*key, F.col("at").alias("line"), *[F.col(f"{side}.{c}").alias(c) for c in spot])
-        return df.join(own, [*key, *spot])
-
-    cells = paired(lined(old, "old"), lined(new, "new"), [*key, "line"], ["column_index", *spot, "raw_cell_id"], "__text", gaps=True)
+    place = ["column_index", *spot, "raw_cell_id"]
+    width, spots = len(key), len(spot)
+
+    def side(df: DataFrame, fresh: bool) -> DataFrame:
+        held = df.withColumn("symbol", normalized_text("raw_text")).where("symbol is not null")
+        return held.select(*key, F.lit(fresh).alias("new"), *spot, F.lower("symbol").alias("label"), "symbol", "column_index", "raw_cell_id")
+
+    cells = side(old, False).unionByName(side(new, True))
+    cells = cells.repartition(*key).sortWithinPartitions(*key, "new", *spot, "column_index", "raw_cell_id", "symbol")
+    fields = {f.name: f for f in cells.schema}
+    cell = T.StructType([T.StructField(c, fields[c].dataType) for c in (*place, "symbol")])
+    schema = T.StructType([*[T.StructField(c, fields[c].dataType) for c in key], T.StructField("old", cell), T.StructField("new", cell)])
+    at = [cells.columns.index(c) for c in (*place, "symbol")]
+    names = cell.names
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for pages in _by_pages(batches, width):
+            both = [np.array(x, np.int64) for x in _aligned(pages, width, spots)]
+            whose = pa.array(np.where(both[0] < 0, both[1], both[0]))
+            out = [pages.column(c).take(whose) for c in range(width)]
+            for x in both:
+                own = pa.array(x, mask=x < 0)
+                out.append(pa.StructArray.from_arrays([pages.column(c).take(own) for c in at], names, mask=pa.array(x < 0)))
+            yield pa.RecordBatch.from_arrays(out, names=schema.names)
+
+    found = cells.mapInArrow(made, schema)
     same = F.lit(True)
     for c in (*spot, "column_index"):
         same = same & (F.col(f"old.{c}") == F.col(f"new.{c}"))
     kind = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "gone").when(F.col("old.symbol") != F.col("new.symbol"), "changed").when(same, "kept").otherwise("moved")
-    return cells.select(*key, kind.alias("kind"), "old", "new")
+    return found.select(*key, kind.alias("kind"), "old", "new")
 
 
 def outcomes(old_facts: DataFrame, new_facts: DataFrame, cells: DataFrame) -> DataFrame:

@@ -872,22 +872,25 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The cells of both runs, the label and the value of each line."""
-    lines, k = _lines(spark, sf_dir), F.col("k")
-
-    def cells(rows: DataFrame, run: str, row: str, shift, value) -> DataFrame:
-        two = F.array(F.struct(F.lit(0).alias("c"), F.concat(F.lit("Line  "), F.col("r").cast("string")).alias("t")), F.struct(F.lit(1).alias("c"), value.alias("t")))
-        out = rows.select("k", F.col(row).alias("row_index"), shift.alias("shift"), "r", F.explode(two).alias("x"))
-        ids = F.concat_ws("/", F.lit(run), "k", "r", "x.c")
-        return out.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "row_index", (F.col("x.c") + F.col("shift")).alias("column_index"), F.col("x.t").alias("raw_text"), ids.alias("raw_cell_id"))
-
-    by = Window.partitionBy("k").orderBy("r")
-    kept = lines.where("r % 3 <> 2").withColumn("s", F.row_number().over(by) - 1 + F.when(k % 2 == 0, 2).otherwise(0))
+    """The cells of both runs, the label and the value of each line: both come from the lines' one shuffle."""
+    k, r = F.col("k"), F.col("r")
     shift = F.when(k % 5 == 0, 1).otherwise(0)
-    new = cells(kept, "new", "s", shift, F.when(F.col("l_returnflag") == "R", F.concat("v", F.lit("*"))).otherwise(F.col("v")))
-    titles = lines.where((k % 2 == 0) & (F.col("r") == 0)).select("k", F.explode(F.array(F.lit(0), F.lit(1))).alias("row_index"))
-    titles = titles.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "row_index", shift.alias("column_index"), F.lit("Schedule").alias("raw_text"), F.concat_ws("/", F.lit("title"), "k", "row_index").alias("raw_cell_id"))
-    return cells(lines, "old", "r", F.lit(0), F.col("v")), new.unionByName(titles)
+
+    def cell(run: str, row, column, text, ident, when=None):
+        out = F.struct(F.lit(run).alias("run"), row.cast("int").alias("row_index"), column.cast("int").alias("column_index"), text.alias("raw_text"), ident.alias("raw_cell_id"))
+        return out if when is None else F.when(when, out)
+
+    def line(run: str, row, by, value, when=None):
+        texts = (F.concat(F.lit("Line  "), r.cast("string")), value)
+        return [cell(run, row, c + by, t, F.concat_ws("/", F.lit(run), k, r, F.lit(c)), when) for c, t in enumerate(texts)]
+
+    kept = r - F.floor(r / 3) + F.when(k % 2 == 0, 2).otherwise(0)  # the lines of r % 3 = 2 are left out
+    old = line("old", r, F.lit(0), F.col("v"))
+    new = line("new", kept, shift, F.when(F.col("l_returnflag") == "R", F.concat("v", F.lit("*"))).otherwise(F.col("v")), r % 3 != 2)
+    titles = [cell("new", F.lit(i), shift, F.lit("Schedule"), F.concat_ws("/", F.lit("title"), k, F.lit(i)), (k % 2 == 0) & (r == 0)) for i in range(2)]
+    cells = _lines(spark, sf_dir).select("k", F.explode(F.array(*old, *new, *titles)).alias("x")).where("x is not null")
+    cells = cells.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "x.*")
+    return tuple(cells.where(F.col("run") == run).drop("run") for run in ("old", "new"))
 
 
 @query(f"""with {_RUNS},

@@ -80,6 +80,31 @@ def test_pages_and_reports_do_not_mix_and_nothing_is_nothing(spark):
     assert kinds(realign.aligned_cells(none, none)) == [] and [k for *_, k in kinds(realign.aligned_cells(old, none))] == ["gone", "gone"]
 
 
+def test_pages_are_dealt_once_and_may_span_batches(spark):
+    draw, rows, wanted = random.Random(5), {"old": [], "new": []}, {}
+    for page in range(60):
+        for run in rows:
+            rows[run] += [(None if page == 7 else "r", page, 0, r, c, draw.choice("ab cd" if page != 7 else "abcd"), f"{run}/{page}/{r}/{c}") for r in range(draw.randrange(page == 7, 5)) for c in range(draw.randrange(1, 4))]
+    old, new = (spark.createDataFrame(rows[run], CELLS) for run in ("old", "new"))
+    for size in ("1", "7", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        try:
+            found = realign.aligned_cells(old, new)
+            assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+            got = [(r["page_number"], r["kind"], *((x and x["raw_cell_id"]) for x in (r["old"], r["new"]))) for r in found.collect()]
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+        for k, run in ((2, "old"), (3, "new")):
+            assert sorted(g[k] for g in got if g[k]) == sorted(x[-1] for x in rows[run] if x[5].strip())
+        assert {g[1] for g in got if g[0] == 7} == {"gone", "added"}
+        assert wanted.setdefault("all", sorted(map(str, got))) == sorted(map(str, got))
+    for page in range(60):
+        lines = [[tuple(x[5] for x in rows[run] if x[1] == page and x[3] == r and x[5].strip()) for r in range(5)] for run in rows]
+        kept = sum(1 for g in got if g[0] == page and g[1] in ("kept", "moved"))
+        if page != 7 and lines[0] == lines[1]:
+            assert kept == sum(map(len, lines[0]))
+
+
 def test_decisions_go_to_the_same_cell_only(spark):
     at = datetime(2026, 1, 1)
     old = cells(spark, "old", (0, 0, ["Sales", "5"]), (0, 1, ["Costs", "4"]), (0, 2, ["Tax", "1"]), (0, 3, ["Rent", "2"]))
