@@ -127,11 +127,14 @@ def label_values(cells: DataFrame, key: list[str], value_columns: str = "first")
     is_value, at_head = F.col("column_index") >= 1, F.col("row_index") == 0
     row, column, grid = Window.partitionBy(*key, "row_index"), Window.partitionBy(*key, "column_index"), Window.partitionBy(*key)
     held = held.withColumns({"raw_label": F.max(F.when(~is_value, F.col("raw_text"))).over(row), "__values": F.count(F.when(is_value, 1)).over(row)})
-    held = held.withColumn("__head", F.max(F.when(at_head, F.col("raw_text"))).over(column))
     held = held.withColumn("__first", F.max(F.when(at_head & (F.col("column_index") == 1), F.col("raw_text"))).over(grid))
+    heading = F.col("__first")  # of the only value column
+    if value_columns == "all":
+        held = held.withColumn("__head", F.max(F.when(at_head, F.col("raw_text"))).over(column))
+        heading = F.when(is_value, F.col("__head")).otherwise(heading)
     rows = held.where(~at_head & F.col("raw_label").isNotNull() & (is_value | (F.col("__values") == 0)))
     own = lambda c: F.when(is_value, F.col(c))
-    return rows.select(*key, "row_index", "raw_label", own("raw_text").alias("raw_value"), own("raw_cell_id").alias("raw_cell_id"), own("bbox").alias("cell_bbox"), F.greatest("column_index", F.lit(1)).alias("column_index"), F.when(is_value, F.col("__head")).otherwise(F.col("__first")).alias("column_label"))
+    return rows.select(*key, "row_index", "raw_label", own("raw_text").alias("raw_value"), own("raw_cell_id").alias("raw_cell_id"), own("bbox").alias("cell_bbox"), F.greatest("column_index", F.lit(1)).alias("column_index"), heading.alias("column_label"))
 
 
 def suggestions(rows: DataFrame, aliases: DataFrame, most: int = 2, raw_label: str = "raw_label", market: str = "market") -> DataFrame:
