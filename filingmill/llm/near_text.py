@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from filingmill.llm import bpe
 from filingmill.llm.components import components
-from filingmill.llm.shared import drop_dirs, possibly_in, small_batches, staged, text_bytes
+from filingmill.llm.shared import drop_dirs, never_sent, possibly_in, small_batches, staged, text_bytes
 from filingmill.llm.simhash import ODD, close_pairs, fingerprint, hub_ties, plan, shingle_hashes
 
 #: Differing bits of 64 within which texts are candidates.
@@ -102,7 +102,8 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, le
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     reps = staged(nodes.select("node", "rep_id", "rep_hash").join(ends, "node", "left_semi"), "reps", scratch)
     sets = staged(_sets(docs, reps, width), "sets", scratch)
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("s")), "a").join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("t")), "b")
+    of = lambda c, s: never_sent(sets.select(F.col("node").alias(c), F.col("shingles").alias(s)))
+    both = pairs.join(of("a", "s"), "a").join(of("b", "t"), "b")
     common = F.size(F.array_intersect("s", "t")).cast("bigint")
     up, down = least.numerator, least.denominator
     return staged(both.where(common * (up + down) >= (F.size("s") + F.size("t")) * F.lit(up)).select("a", "b").distinct(), "verified", scratch)

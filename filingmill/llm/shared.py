@@ -115,6 +115,15 @@ def broadcast_value(spark: SparkSession, value):
     return context.broadcast(value)
 
 
+def never_sent(df: DataFrame) -> DataFrame:
+    """One side of a join whose sides are both shuffled, whatever the planner takes them for.
+
+    The planner goes by the size of the files read, and rows that are exploded, or that pack well, are many times
+    that: such a side would pass through the driver and to every executor.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Deal few rows of much work each to as many tasks as shuffles have; adaptive execution keeps their number."""
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *[F.col(k) for k in keys])

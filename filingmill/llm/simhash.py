@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from filingmill.llm.components import components
-from filingmill.llm.shared import small_batches, staged, text_bytes
+from filingmill.llm.shared import never_sent, small_batches, staged, text_bytes
 
 BITS = 64
 #: Bytes A-Z to a-z; other bytes of UTF-8 stay.
@@ -236,7 +236,7 @@ def hub_ties(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int, le
     hubs = staged(hubs.select("key", F.explode("hubs").alias("h")).select("key", "h.*"), "hubs", scratch)
     x, y = hubs.alias("x"), rows.alias("y")
     sizes = (F.col("x.size"), F.col("y.size"))
-    met = x.join(y, F.col("x.key") == F.col("y.key")).where((F.col("x.node") != F.col("y.node")) & _near("x", "y", sizes, tau, least))
+    met = x.join(never_sent(y), F.col("x.key") == F.col("y.key")).where((F.col("x.node") != F.col("y.node")) & _near("x", "y", sizes, tau, least))
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), _parity_allows("x", "y", sizes, least).alias("allowed")).distinct()
 
 
@@ -264,7 +264,7 @@ def close_pairs(nodes: DataFrame, probed: list[tuple[list[int], int]], tau: int,
     ok &= (flips[1] - flips[0]).between(0, 1) & (flips[0] + flips[1] <= most)
     ok &= F.col("x.tag").bitwiseAND(F.col("y.tag")).bitwiseAND(F.lit(1)) == 0
     ok &= F.coalesce(F.col("x.root") != F.col("y.root"), F.lit(True))
-    met = x.join(y, (F.col("x.key") == F.col("y.key")) & ok)
+    met = x.join(never_sent(y), (F.col("x.key") == F.col("y.key")) & ok)
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 

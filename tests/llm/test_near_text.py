@@ -1,8 +1,10 @@
 import random
+from fractions import Fraction
 
 import brute
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from filingmill.llm import near_text, simhash
 
@@ -68,3 +70,13 @@ def test_stage_drops_edited_copies(spark, changed):
         copy[20 + 40 * k] = f"x{k}"
     docs = spark.createDataFrame([(1, " ".join(own)), (2, " ".join(copy)), (3, "other text of few words here")], "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, "").collect()) == [1, 3]
+
+
+@pytest.mark.parametrize("least", [None, Fraction(4, 5)])
+def test_exploded_rows_are_never_sent(spark, least):
+    """However small the file of nodes is, its exploded rows don't pass through the driver."""
+    nodes = spark.range(40).select(F.col("id").alias("node"), F.col("id").alias("code"), F.lit(100).cast("bigint").alias("size"), F.lit(None).cast("bigint").alias("root"), *[F.lit(None).cast("bigint").alias(c) for c in simhash.ODD])
+    probed = [(list(range(k, k + 16)), 2) for k in (0, 16, 32, 48)]
+    for found in (simhash.close_pairs(nodes, probed, 11, least), simhash.hub_ties(nodes, probed, 11, least)):
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+        assert found.count()
