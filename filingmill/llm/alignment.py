@@ -15,11 +15,14 @@ that they are made of, so only a block's distinct id pairs are shuffled and no t
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -157,17 +160,29 @@ class Aligner:
         alone = self.pieces.piece_to_id(_SPACE)  # the model adds nothing to an empty text
         return [([alone] if c == " " else ids) if c[0] == " " else ids[1:] for c, ids in zip(chunks, found)]
 
+    def _left(self, chunk: str) -> tuple[int, ...]:
+        """The first side's ids of a chunk. ASCII letters after one space or none are one pre-token, a mark after them another."""
+        own, word = self.bytes, chunk[1:] if chunk[0] == " " else chunk
+        if word.isascii():
+            if word.isalpha():
+                return own.cache.get(chunk) or own._merged(chunk)
+            if word[-1:] in own.marks and word[:-1].isalpha():
+                return (own.cache.get(chunk[:-1]) or own._merged(chunk[:-1])) + own.marks[word[-1]]
+        return own.add(own._split(chunk))
+
     def _made(self, chunk: str, b: list[int]) -> tuple | None:
-        a = [k for part in self.bytes._split(chunk) for k in part]
+        a = self._left(chunk)
         found = self.machine.align(a, b) if _SPACE not in chunk else None
         if found is None:
             return None
         links, ends = found
-        left, right = [self.names[k] for k in a], [self.names[k] for k in b]
-        text, p, q = [], 0, 0
-        for i, j in ends:
-            text.append(f"{left[p] if i == p + 1 else ','.join(left[p:i])}|{right[q] if j == q + 1 else ','.join(right[q:j])}")
-            p, q = i, j
+        if len(ends) == len(a) == len(b):
+            text = [f"{x}|{y}" for x, y in zip(a, b)]
+        else:
+            text, p, q, name = [], 0, 0, self.names.__getitem__
+            for i, j in ends:
+                text.append(f"{a[p] if i == p + 1 else ','.join(map(name, a[p:i]))}|{b[q] if j == q + 1 else ','.join(map(name, b[q:j]))}")
+                p, q = i, j
         return len(a), len(b), len(ends), links, ";".join(text)
 
     def aligned(self, chunks: list[str]) -> list[tuple[int, int, int, list[int], str] | None]:
@@ -214,9 +229,9 @@ class _Block:
 
     def __init__(self, number: int) -> None:
         self.number, self.codes, self.words = number, {}, 0
-        self.links: list[int] = []
-        self.sizes: list[int] = []
-        self.counts: tuple[list[int], list[int], list[int]] = ([], [], [])
+        self.links = array("q")
+        self.sizes = array("q")
+        self.counts = (array("q"), array("q"), array("q"))
         self.groups: list[str] = []
         self.seen: list[np.ndarray] = []
 
@@ -230,20 +245,20 @@ class _Block:
             if None in found:
                 parts = []
             else:
-                for part, x in zip(new, found):
-                    self.codes[part] = len(self.groups)
-                    self.groups.append(x[4])
-                    self.links += x[3]
-                    self.sizes.append(len(x[3]))
-                    for n, held in zip(x, self.counts):
-                        held.append(n)
+                self.codes.update(zip(new, range(len(self.groups), len(self.groups) + len(new))))
+                *counts, links, groups = zip(*found)
+                for held, n in zip(self.counts, counts):
+                    held.extend(n)
+                self.groups += groups
+                self.links.extend(chain.from_iterable(links))
+                self.sizes.extend(map(len, links))
                 own = list(map(self.codes.__getitem__, parts))
         if not parts:
             return 0, 0, 0, 0, "", _packed(np.zeros(0))
-        n_a, n_b, n_groups = (sum(map(held.__getitem__, own)) for held in self.counts)
+        codes = np.array(own, dtype=np.uint32)
+        n_a, n_b, n_groups = (int(np.frombuffer(held, np.int64)[codes].sum()) for held in self.counts)
         digest = hashlib.sha256(";".join(map(self.groups.__getitem__, own)).encode()).hexdigest()
         self.words += len(own)
-        codes = np.array(own, dtype=np.uint32)
         self.seen.append(codes)
         return n_a, n_b, n_groups, n_a + n_b - n_groups, digest, _packed(codes)
 
@@ -252,7 +267,7 @@ class _Block:
 
     def row(self) -> pa.RecordBatch:
         """The block's own row: links by chunk as places among its distinct pairs, the pairs, and how often it has each."""
-        links, sizes = np.array(self.links, dtype=np.int64), np.array(self.sizes, dtype=np.int64)
+        links, sizes = np.frombuffer(self.links, np.int64), np.frombuffer(self.sizes, np.int64)
         pairs, at = np.unique(links, return_inverse=True)
         times = np.bincount(np.concatenate(self.seen), minlength=len(sizes))
         seen = np.bincount(at, weights=np.repeat(times, sizes).astype(np.float64), minlength=len(pairs)).astype(np.int64)
@@ -267,19 +282,25 @@ def coded(docs: DataFrame, byte_path: str, piece_path: str, block_chunks: int =
         tool = aligner(byte_path, piece_path)
         part = TaskContext.get().partitionId() << 32
         block = _Block(part)
-        for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1)
-            rows = []
-            for doc_id, text in zip(ids, texts):
-                rows.append((block.number, doc_id, *block.add(tool, text.as_py())))
-                if block.full(block_chunks):
-                    yield block.row()
-                    part += 1
-                    block = _Block(part)
-            columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _DOC)] if rows else [pa.array([], f.type) for f in _DOC]
-            yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(rows), f.type) for f in _BLOCK]], schema=_BOTH)
-        if block.seen:
-            yield block.row()
+        collects = gc.isenabled()
+        gc.disable()  # many tuples are kept and none is in a cycle
+        try:
+            for batch in batches:
+                ids, texts = batch.column(0).to_pylist(), batch.column(1)
+                rows = []
+                for doc_id, text in zip(ids, texts):
+                    rows.append((block.number, doc_id, *block.add(tool, text.as_py())))
+                    if block.full(block_chunks):
+                        yield block.row()
+                        part += 1
+                        block = _Block(part)
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _DOC)] if rows else [pa.array([], f.type) for f in _DOC]
+                yield pa.RecordBatch.from_arrays([*columns, *[pa.nulls(len(rows), f.type) for f in _BLOCK]], schema=_BOTH)
+            if block.seen:
+                yield block.row()
+        finally:
+            if collects:
+                gc.enable()
 
     schema = "block bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, chunks binary, links binary, sizes binary, pairs array<bigint>, seen array<bigint>"
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(made, schema)

@@ -41,3 +41,15 @@ def test_transducer_closes_groups_and_finds_differences():
     assert machine.align([2, 2], [2, 0, 1]) == ([2 * at + 2, 2 * at + 0, 2 * at + 1], [(1, 1), (2, 3)])
     assert machine.align([0], [0]) is None and machine.align([3], [0]) is None and machine.align([], [0]) is None
     assert machine.align([], []) == ([], [])
+
+
+def test_words_and_marks_are_not_split(monkeypatch):
+    """Ids of chunks of letters and a mark come without the pattern, and equal the library's."""
+    tool = alignment.Aligner(BYTE_BPE, PIECE_BPE)
+    whole = lambda c: tuple(tool.bytes.library.encode(c, add_special_tokens=False).ids)
+    plain = [" word", " Internationalizationalism;", " a.", "word", "x!", " zorgleplexing,"]
+    odd = [" don't", " 12.", " x..", "  two", "\nfeed", " café,", " 漢.", " ", "\n", ".", " .", " a-b?"]
+    for chunk in plain + odd:
+        assert tuple(tool._left(chunk)) == whole(chunk), chunk
+    monkeypatch.setattr(tool.bytes, "_split", None)
+    assert None not in tool.aligned([c for c in plain if c[0] == " "])
