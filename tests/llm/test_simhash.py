@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from filingmill.llm import simhash
+from filingmill.llm import components as module, simhash
 from filingmill.llm.components import components
 
 
@@ -74,3 +74,13 @@ def test_components_of_a_chain_a_star_and_loops(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7), (300, 300), (201, 200), (200, 201), (None, 5)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(60)}, 200: 200, 201: 200}
+
+
+def test_components_take_no_step_over_stars(spark, monkeypatch):
+    taken, step = [], module._step
+    monkeypatch.setattr(module, "_step", lambda *args: taken.append(1) or step(*args))
+    found = lambda links: {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert found([(3, 1), (1, 4), (4, 1), (5, 5), (7, 6)]) == {1: 1, 3: 1, 4: 1, 6: 6, 7: 6} and not taken
+    assert found([]) == {} and not taken
+    assert found([(1, 3), (2, 3)]) == {1: 1, 2: 1, 3: 1} and len(taken) == 2
+    assert found([(1, 2), (2, 3)]) == {1: 1, 2: 1, 3: 1} and len(taken) == 4
