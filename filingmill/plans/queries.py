@@ -871,13 +871,13 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", (F.row_number().over(by) - 1).alias("r"), "l_returnflag", "l_linestatus", F.col("l_quantity").cast("decimal(18,2)").cast("string").alias("v"))
 
 
-def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The cells of both runs, the label and the value of each line: both come from the lines' one shuffle."""
+def _two_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of both runs, the label and the value of each line, with ``new``: all come from one pass over the lines."""
     k, r = F.col("k"), F.col("r")
     shift = F.when(k % 5 == 0, 1).otherwise(0)
 
     def cell(run: str, row, column, text, ident, when=None):
-        out = F.struct(F.lit(run).alias("run"), row.cast("int").alias("row_index"), column.cast("int").alias("column_index"), text.alias("raw_text"), ident.alias("raw_cell_id"))
+        out = F.struct(F.lit(run == "new").alias("new"), row.cast("int").alias("row_index"), column.cast("int").alias("column_index"), text.alias("raw_text"), ident.alias("raw_cell_id"))
         return out if when is None else F.when(when, out)
 
     def line(run: str, row, by, value, when=None):
@@ -889,8 +889,7 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     new = line("new", kept, shift, F.when(F.col("l_returnflag") == "R", F.concat("v", F.lit("*"))).otherwise(F.col("v")), r % 3 != 2)
     titles = [cell("new", F.lit(i), shift, F.lit("Schedule"), F.concat_ws("/", F.lit("title"), k, F.lit(i)), (k % 2 == 0) & (r == 0)) for i in range(2)]
     cells = _lines(spark, sf_dir).select("k", F.explode(F.array(*old, *new, *titles)).alias("x")).where("x is not null")
-    cells = cells.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "x.*")
-    return tuple(cells.where(F.col("run") == run).drop("run") for run in ("old", "new"))
+    return cells.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit(0).alias("table_index_on_page"), "x.*")
 
 
 @query(f"""with {_RUNS},
@@ -902,7 +901,7 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
  select * from cell
  union all select k, 'added', null, null, null, x.r, case when k % 5 = 0 then 1 else 0 end, 'Schedule' from (select distinct k from line where k % 2 = 0), (values (0), (1)) x(r)""")
 def q_aligned_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = realign.aligned_cells(*_two_runs(spark, sf_dir))
+    found = realign.aligned_runs(_two_runs(spark, sf_dir))
     at = {"row": "row_index", "column": "column_index", "text": "symbol"}
     return found.select("report_id", "kind", *[F.col(f"{side}.{c}").alias(f"{side}_{name}") for side in ("old", "new") for name, c in at.items()])
 
@@ -911,8 +910,14 @@ def q_aligned_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
  select k || '/' || r as fact_id, case when r % 3 = 2 then 'gone' when l_returnflag = 'R' then 'changed' when k % 11 = 0 then 'unit' else 'carried' end as outcome,
   case when r % 3 <> 2 and l_returnflag <> 'R' and k % 11 <> 0 then 'new/' || k || '/' || r end as new_fact_id from line where l_linestatus = 'F'""")
 def q_carried_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, name = _lines(spark, sf_dir), F.concat_ws("/", "k", "r")
-    fact = lambda run, ident, unit: lines.select("k", "r", "l_linestatus", ident.alias("fact_id"), F.concat(F.lit(f"{run}/"), name, F.lit("/1")).alias("raw_cell_id"), F.lit("quantity").alias("normalized_concept_id"), unit.alias("raw_unit"))
-    old = fact("old", name, F.lit("pieces")).where("l_linestatus = 'F'")
-    new = fact("new", F.concat(F.lit("new/"), name), F.when(F.col("k") % 11 == 0, "dozens").otherwise("pieces")).where("r % 3 <> 2")
-    return realign.outcomes(old, new, realign.aligned_cells(*_two_runs(spark, sf_dir)))
+    k, r, name = F.col("k"), F.col("r"), F.concat_ws("/", "k", "r")
+
+    def fact(new: bool, ident, unit, when):
+        run = "new" if new else "old"
+        return F.when(when, F.struct(F.lit(new).alias("new"), ident.alias("fact_id"), F.concat(F.lit(f"{run}/"), name, F.lit("/1")).alias("raw_cell_id"), unit.alias("raw_unit")))
+
+    old = fact(False, name, F.lit("pieces"), F.col("l_linestatus") == "F")
+    new = fact(True, F.concat(F.lit("new/"), name), F.when(k % 11 == 0, "dozens").otherwise("pieces"), r % 3 != 2)
+    facts = _lines(spark, sf_dir).select("k", F.explode(F.array(old, new)).alias("x")).where("x is not null")
+    facts = facts.select(k.alias("report_id"), F.lit(1).alias("page_number"), F.lit("quantity").alias("normalized_concept_id"), "x.*")
+    return realign.outcomes_on_pages(facts, _two_runs(spark, sf_dir))

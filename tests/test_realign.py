@@ -4,6 +4,7 @@ import random
 import time
 from datetime import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from test_lake import reviewed  # noqa: F401
@@ -45,6 +46,25 @@ def test_long_pages_take_little_time():
     assert time.monotonic() - start < 20
 
 
+@pytest.mark.parametrize("letters", ["ab", "abcdefgh", "abcdefghijklmnopqrstuvwxyz"])
+def test_groups_met_at_once_equal_groups_met_one_by_one(letters):
+    draw = random.Random(letters)
+    for _ in range(60):
+        groups = []
+        for _ in range(draw.randrange(12)):
+            a = draw.choices(range(len(letters)), k=draw.randrange(7))
+            groups.append((a, draw.choice([a, a[1:], [*a[::2], 1], draw.choices(range(len(letters)), k=draw.randrange(7))])))
+        (left, a), (right, b) = (([g for g, pair in enumerate(groups) for _ in pair[k]], [x for pair in groups for x in pair[k]]) for k in (0, 1))
+        got = realign._shared(*(np.array(x, np.int64) for x in (left, a, right, b)))
+        beside = realign._beside(*(np.array(x, np.int64) for x in (left, a, right, b)))
+        pairs, partners, s, t = [], [], 0, 0
+        for x, y in groups:
+            pairs += [(s + i, t + j) for i, j in realign.common(x, y)]
+            partners += [-1 if j is None else t + j for i, j in realign.merged(x, y, True) if i is not None]
+            s, t = s + len(x), t + len(y)
+        assert list(zip(*(x.tolist() for x in got))) == pairs and beside.tolist() == partners
+
+
 def cells(spark, run, *rows, report="r", page=1):
     """Cells of (table, row, texts)."""
     held = [(report, page, t, r, c, x, f"{run}/{t}/{r}/{c}") for t, r, texts in rows for c, x in enumerate(texts)]
@@ -123,6 +143,27 @@ def test_decisions_go_to_the_same_cell_only(spark):
     assert [r["field_name"] for r in realign.carried(log, found, news, own, "b", F.lit(at)).collect()] == ["correction_action"]
 
 
+def test_outcomes_on_pages_equal_joined_ones_and_shuffle_once(spark):
+    draw, texts, held = random.Random(3), {"old": [], "new": []}, {"old": [], "new": []}
+    for page in range(40):
+        for run in texts:
+            if run == "old" or page % 2:
+                shape = [(r, c, draw.choice(["C" if r else "c", "a", " d  e", " ", None])) for r in range(draw.randrange(5)) for c in range(draw.randrange(4))]
+            own = [(None if page == 7 else "r", page, 0, r, c, x, f"{run}/{page}/{r}/{c}") for r, c, x in shape]
+            texts[run] += own
+            ids = [x[-1] for x in own] + [None, f"{run}/{page}/none"]
+            held[run] += [(None if page == 7 else "r", page, f"{run}:{page}:{i}", draw.choice(ids), draw.choice(["x", "y", None]), draw.choice(["USD", "HKD", None])) for i in range(draw.randrange(30))]
+    old, new = (spark.createDataFrame(texts[run], CELLS) for run in ("old", "new"))
+    olds, news = (spark.createDataFrame(held[run], "report_id string, page_number int, fact_id string, raw_cell_id string, normalized_concept_id string, raw_unit string") for run in ("old", "new"))
+    found = realign.outcomes_on_pages(realign.both_runs(olds, news), realign.both_runs(old, new))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = sorted(map(str, found.collect()))
+    assert got == sorted(map(str, realign.outcomes(olds, news, realign.aligned_cells(old, new)).collect()))
+    assert {k.split("outcome='")[1].split("'")[0] for k in got} == {"no_cell", "gone", "changed", "no_fact", "unit", "carried"}
+    none = realign.outcomes_on_pages(realign.both_runs(olds, news.where("false")), realign.both_runs(old.where("false"), new.where("false")))
+    assert {r["outcome"] for r in none.collect()} == {"no_cell"}
+
+
 def test_a_new_run_keeps_the_corrections_of_the_old(spark, reviewed, tmp_path):  # noqa: F811
     lake, run = reviewed
     report_id = lake.read("reports").first()["report_id"]
